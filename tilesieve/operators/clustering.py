@@ -242,17 +242,19 @@ def minibatch_kmeans(
 ) -> DataFrame:
     """(cluster_id, centroid) after ``max_iter`` rounds over random batches of about ``batch`` rows.
 
-    The rows are dealt to batches by hash, every row once per epoch, and the batches of all rounds
-    are written in one scan; a round then reads its own batch only.
+    The rows are dealt to batches by md5(key-seed-epoch), every row once per epoch, and the batches
+    of all rounds are written in one scan; a round then reads its own batch only.
     """
     points, n = _checked(points, k, key, vec)
     per_epoch = max(1, round(n / batch))
     epochs = -(-max_iter // per_epoch)
+    digest = F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed)), F.col("_epoch").cast("string")))
+    dealt_by = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
     dealt = (
         points.withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
         .withColumn(
             "_round",
-            (F.col("_epoch") * per_epoch + F.pmod(F.xxhash64(F.col(key), F.lit(seed), F.col("_epoch")), F.lit(per_epoch))).cast("int"),
+            (F.col("_epoch") * per_epoch + F.pmod(dealt_by, F.lit(per_epoch))).cast("int"),
         )
         .filter(F.col("_round") < max_iter)
         .drop("_epoch")

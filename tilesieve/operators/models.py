@@ -37,11 +37,14 @@ def vectors_of(output: object) -> np.ndarray:
 
 def projection() -> Model:
     """A fixed linear map, for runs without network weights."""
+    maps: dict[int, np.ndarray] = {}
 
     def run(images: np.ndarray) -> np.ndarray:
         flat = np.asarray(images, dtype=np.float64).reshape(len(images), -1)
-        grid = np.outer(np.arange(1, flat.shape[1] + 1), np.arange(1, PROJECTION_DIMS + 1))
-        return flat @ np.cos(grid) / np.sqrt(flat.shape[1])
+        dims = flat.shape[1]
+        if dims not in maps:
+            maps[dims] = np.cos(np.outer(np.arange(1, dims + 1), np.arange(1, PROJECTION_DIMS + 1))) / np.sqrt(dims)
+        return flat @ maps[dims]
 
     return run
 

@@ -138,7 +138,7 @@ def pair_percentiles(
         inner = rank - (reach[i - 1] if i else 0)
         at[int(rank)] = float(group["v"].to_numpy()[np.searchsorted(np.cumsum(group["n"].to_numpy()), inner, side="right")])
     low, high = np.floor(position).astype(int), np.ceil(position).astype(int)
-    return [at[a] + (at[b] - at[a]) * (p - a) for a, b, p in zip(low, high, position)]
+    return [float(at[a] + (at[b] - at[a]) * (p - a)) for a, b, p in zip(low, high, position)]
 
 
 def distance_profile(sample: DataFrame, **options) -> DataFrame:

@@ -6,8 +6,7 @@ resized and before the model sees it, and an Arrow stage is a border that filter
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import lru_cache
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ def _band_bytes(df: DataFrame, name: str) -> Column:
     return F.col(name)["bytes"] if isinstance(df.schema[name].dataType, T.StructType) else F.col(name)
 
 
-@F.arrow_udf("array<int>")
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
 def _decoded(blobs: pa.Array) -> pa.Array:
     return pa.array(
         [None if b is None else np.frombuffer(b, dtype="<u2").astype(np.int32) for b in blobs.to_pylist()],
@@ -63,7 +62,6 @@ def with_zero_pct(df: DataFrame, bands: Sequence[str] = RGB) -> DataFrame:
     return df.withColumn("zero_pct", zero_value_pct(*[F.col(b) for b in bands]))
 
 
-@lru_cache(maxsize=16)
 def cubic_weights(source: int, target: int) -> np.ndarray:
     """(target, source) weights of bicubic resampling with half-pixel centres and clamped borders.
 
@@ -83,9 +81,10 @@ def cubic_weights(source: int, target: int) -> np.ndarray:
     return weights
 
 
-def resize(image: np.ndarray, size: int) -> np.ndarray:
-    """(bands, H, W) to (bands, size, size) by two matrix products."""
-    return cubic_weights(image.shape[1], size) @ image @ cubic_weights(image.shape[2], size).T
+def resizer(height: int, width: int, size: int) -> Callable[[np.ndarray], np.ndarray]:
+    """A function from (bands, height, width) to (bands, size, size): two matrix products."""
+    down, across = cubic_weights(height, size), cubic_weights(width, size).T
+    return lambda image: down @ image @ across
 
 
 def resize_bicubic(df: DataFrame, height: int, width: int, size: int, bands: Sequence[str] = RGB, key: str = "row_id") -> DataFrame:
@@ -93,13 +92,14 @@ def resize_bicubic(df: DataFrame, height: int, width: int, size: int, bands: Seq
     names = [key, *bands]
 
     def run(batches):
+        resize = resizer(height, width, size)
         for batch in batches:
             columns = [batch.column(0)]
             for c in batch.columns[1:]:
                 columns.append(
                     pa.array(
                         [
-                            None if b is None else resize(np.asarray(b, np.float64).reshape(1, height, width), size).ravel()
+                            None if b is None else resize(np.asarray(b, np.float64).reshape(1, height, width)).ravel()
                             for b in c.to_pylist()
                         ],
                         pa.list_(pa.float64()),
@@ -127,7 +127,7 @@ def prepare_tiles(
     mean = np.asarray(CHANNEL_MEAN).reshape(3, 1, 1)
     std = np.asarray(CHANNEL_STD).reshape(3, 1, 1)
 
-    def one(blobs) -> tuple[str, float | None, np.ndarray | None]:
+    def one(blobs, resize) -> tuple[str, float | None, np.ndarray | None]:
         if any(b is None for b in blobs):
             return "null_band", None, None
         if any(len(b) != 2 * height * width for b in blobs):
@@ -136,13 +136,14 @@ def prepare_tiles(
         share = float((raw == 0).all(axis=0).mean())
         if share * 100.0 > threshold * 100.0:
             return "nodata", share, None
-        image = resize(np.clip(raw / 10000.0, 0.0, 1.0), size)
+        image = resize(np.clip(raw / 10000.0, 0.0, 1.0))
         return "kept", share, ((image - mean) / std).astype(np.float32).ravel()
 
     def run(batches):
+        resize = resizer(height, width, size)
         for batch in batches:
             if batch.num_rows:
-                made = [one([c[i].as_py() for c in batch.columns[1:]]) for i in range(batch.num_rows)]
+                made = [one([c[i].as_py() for c in batch.columns[1:]], resize) for i in range(batch.num_rows)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0),
