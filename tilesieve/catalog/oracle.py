@@ -245,6 +245,22 @@ _sql("zero_value_pct", "zeros", "SELECT row_id, round(zero_pct, 6) + 0.0 AS zero
 _sql("filter_nodata", "zeros", "SELECT row_id FROM zeros WHERE NOT (nodata * 100 > 45)")
 _CLAMP = "least(greatest(CAST({x} AS DOUBLE) / 10000, 0), 1)"
 _sql("scale_clamp", "wide", _list("row_id, band", "wide", "v", _CLAMP))
+_part(
+    "cubic",
+    "",
+    """SELECT i, s, sum(w) AS w FROM (SELECT i, least(greatest(b + tap, 0), 7) AS s,
+    CASE WHEN t <= 1 THEN 1.25 * t * t * t - 2.25 * t * t + 1 WHEN t < 2 THEN -0.75 * t * t * t + 3.75 * t * t - 6 * t + 3 ELSE 0 END AS w
+    FROM (SELECT i, tap, b, abs(c - (b + tap)) AS t FROM (SELECT i, c, CAST(floor(c) AS INTEGER) AS b FROM
+      (SELECT i, (i + CAST(0.5 AS DOUBLE)) * 8 / 5 - 0.5 AS c FROM (SELECT unnest(range(0, 5)) AS i))),
+      (SELECT unnest([-1, 0, 1, 2]) AS tap))) GROUP BY i, s""",
+)
+_sql(
+    "resize_bicubic",
+    "wide cubic",
+    f"""SELECT row_id, band, CAST(y.i * 5 + x.i AS INTEGER) AS pos, round(sum(v * y.w * x.w) + 1e-7 / 3, 6) + 0.0 AS value
+  FROM (SELECT row_id, band, t.i AS at, {_CLAMP.format(x="v[t.i + 1]")} AS v FROM wide, (SELECT unnest(range(0, 64)) AS i) t) p
+  JOIN cubic y ON y.s = p.at // 8 JOIN cubic x ON x.s = p.at % 8 GROUP BY row_id, band, y.i, x.i""",
+)
 _MEAN = "(CASE channel WHEN 0 THEN 0.430 WHEN 1 THEN 0.411 ELSE 0.296 END)"
 _STD = "(CASE channel WHEN 0 THEN 0.213 WHEN 1 THEN 0.156 ELSE 0.143 END)"
 _sql("channel_normalize", "wide", _list("row_id, band", "wide", "v", f"({_CLAMP} - CAST({_MEAN} AS DOUBLE)) / CAST({_STD} AS DOUBLE)"))
@@ -440,6 +456,34 @@ _sql(
         "v",
     ),
 )
+_BATCH, _BATCHES = 200, 4
+_part("deals", "p", f"SELECT CAST(ceil(count(*) / {_BATCH}.0) AS BIGINT) AS per FROM p")
+_part(
+    "s0",
+    "p",
+    f"""SELECT CAST(rn - 1 AS INTEGER) AS cid, v, CAST(0 AS BIGINT) AS w FROM
+  (SELECT v, row_number() OVER (ORDER BY {_shuffled()}) AS rn FROM p) WHERE rn <= {K}""",
+)
+for _i in range(_BATCHES):
+    _part(
+        f"mb{_i}",
+        "p deals",
+        f"""SELECT row_id, v FROM p, deals
+  WHERE CAST('0x' || substr(md5(concat_ws('-', CAST(row_id AS VARCHAR), '42', CAST({_i} // per AS VARCHAR))), 1, 8) AS BIGINT) % per = {_i} % per""",
+    )
+    _part(f"ma{_i}", f"mb{_i} s{_i}", _nearest(f"mb{_i}", f"s{_i}"))
+    _part(
+        f"s{_i + 1}",
+        f"p ma{_i} s{_i}",
+        f"""SELECT o.cid, CASE WHEN m.n IS NULL THEN o.v ELSE
+    list_transform(range(1, 65), lambda i: o.v[i] * (1 - m.n / (o.w + m.n)) + m.v[i] * (m.n / (o.w + m.n))) END AS v,
+  o.w + coalesce(m.n, 0) AS w
+  FROM s{_i} o LEFT JOIN (SELECT cid, list(m ORDER BY i) AS v, max(n) AS n FROM
+    (SELECT a.cid, t.i, avg(p.v[t.i]) AS m, count(*) AS n FROM ma{_i} a JOIN p USING (row_id),
+      (SELECT unnest(range(1, 65)) AS i) t GROUP BY a.cid, t.i) GROUP BY cid) m ON m.cid = o.cid""",
+    )
+_part("assign_mb", f"p s{_BATCHES}", _nearest("p", f"s{_BATCHES}"))
+_sql("minibatch_kmeans", "assign_mb", _ASSIGN.format("assign_mb"))
 _sql("inertia", "assign", "SELECT round(sum(d2), 6) + 0.0 AS inertia FROM assign")
 
 # ---------------------------------------------------------------- reports

@@ -240,13 +240,13 @@ def minibatch_kmeans(
     vec: str = "embedding",
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """(cluster_id, centroid) after ``max_iter`` rounds over random batches of about ``batch`` rows.
+    """(cluster_id, centroid) after ``max_iter`` rounds over random batches of at most about ``batch`` rows.
 
     The rows are dealt to batches by md5(key-seed-epoch), every row once per epoch, and the batches
     of all rounds are written in one scan; a round then reads its own batch only.
     """
     points, n = _checked(points, k, key, vec)
-    per_epoch = max(1, round(n / batch))
+    per_epoch = -(-n // batch)
     epochs = -(-max_iter // per_epoch)
     digest = F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed)), F.col("_epoch").cast("string")))
     dealt_by = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")

@@ -18,6 +18,8 @@ from ..session import MAX_BROADCAST_BYTES
 
 # Memory of one broadcast address: shard name, row number, row id and hash table overhead.
 ADDRESS_BYTES = 128
+# Up to this many shards are named in the scan, so that other files are not opened.
+NAMED_SHARDS = 10_000
 
 
 def _shard(images_dir: str):
@@ -38,12 +40,14 @@ def row_group_starts(spark: SparkSession, images_dir: str) -> DataFrame:
     files = scan.select(_shard(images_dir).alias("shard"), F.col("_metadata.file_path").alias("path")).distinct()
 
     def run(batches):
+        import re
+
         import pyarrow.fs as pafs
         import pyarrow.parquet as pq
 
         for batch in batches:
             for shard, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                where, name = pafs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path)
+                where, name = pafs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
                 footer = pq.read_metadata(name, filesystem=where)
                 sizes = [footer.row_group(i).num_rows for i in range(footer.num_row_groups)]
                 starts = [sum(sizes[:i]) for i in range(len(sizes))]
@@ -91,8 +95,12 @@ def match_rows(images: DataFrame, keys: DataFrame, how: str, max_bytes: int = MA
     on, limit = ["shard", "row_in_file"], max(1, max_bytes // ADDRESS_BYTES)
     # One row per shard file, as many as the driver lists for the scan anyway.
     sizes = sorted((r["shard"], r["count"]) for r in keys.groupBy("shard").count().collect())
-    if sum(n for _, n in sizes) <= limit:
-        return images.join(F.broadcast(keys), on, how)
+    total = sum(n for _, n in sizes)
+    if total <= limit:
+        # The names let the planner drop all other files; beyond some number the scan is whole anyway.
+        few = len(sizes) <= NAMED_SHARDS
+        scan = images.filter(F.col("shard").isin([name for name, _ in sizes])) if few else images
+        return scan.join(F.broadcast(keys), on, how)
     result = None
     for names, n in _packed(sizes, limit):
         part = keys.filter(F.col("shard").isin(names))
