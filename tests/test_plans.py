@@ -85,6 +85,15 @@ def test_enrich_with_a_hot_key(spark):
     assert rows(got.filter("parquet_url_subset = 'hot'").select("v").distinct()) == [(0,)]
 
 
+def test_a_row_named_twice_keeps_one_number(spark):
+    df = spark.createDataFrame(
+        [(1, "/a/f.parquet", 7, 0), (2, "/a/f.parquet", 7, 0), (3, "/a/f.parquet", 9, 0)],
+        "row_id bigint, parquet_file string, row_group int, row_in_rg int",
+    )
+    got = {r["row_id"]: (r["parquet_file"], r["row_group"]) for r in joins.renumber_row_groups(df, "/b").collect()}
+    assert got == {1: ("/b/f.parquet", 0), 2: ("/b/f.parquet", 0), 3: ("/b/f.parquet", 1)}
+
+
 def test_nan_coordinates_are_dropped(spark):
     df = spark.createDataFrame([(1.0, 2.0), (float("nan"), 2.0), (1.0, None)], "centre_lat double, centre_lon double")
     assert joins.drop_null_coords(df).count() == 1

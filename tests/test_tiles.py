@@ -71,9 +71,24 @@ def test_only_named_bands_and_shards_are_scanned(spark, images, capsys):
     frame.explain()
     plan = capsys.readouterr().out
     assert "ReadSchema: struct<B04:binary,_tmp_metadata_row_index:bigint>" in plan
+    assert "Exchange hashpartitioning" not in plan.split("BroadcastExchange")[0]
     assert "BroadcastHashJoin" in plan and "IN (part_1.parquet)" in plan.replace("= part_1.parquet", "IN (part_1.parquet)")
 
 
+def test_a_shard_of_any_size_is_written_by_several_tasks(spark, images, tmp_path):
+    wanted = manifest(spark, [(i, f"/x/part_{i % 3}.parquet", 3 - i // 3, 0) for i in range(12)])
+    out = str(tmp_path / "written")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        src.write_shards(src.extract_subset_rows(spark, images, wanted, RGB), out, rows_per_file=1)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "written").glob("shard=*")}
+    assert len(files) == 3 and max(files.values()) > 1
+    back = tl.decode_raw_band(src.open_shards(spark, out, RGB)).collect()
+    assert sorted((r["shard"], r["row_in_file"], r["B04"][1]) for r in back) == [(f"part_{s}.parquet", t, t) for s in range(3) for t in range(4)]
+
+
 def test_missing_sources(spark, images):
     wanted = manifest(spark, [(0, "/x/part_0.parquet", 0, 0), (1, "/x/part_0.parquet", 7, 0), (2, "/x/gone.parquet", 0, 0)])
     got = {r["shard"]: (r["n_rows"], r["n_missing"], r["complete"]) for r in src.missing_sources(spark, images, wanted).collect()}

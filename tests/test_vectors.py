@@ -33,7 +33,7 @@ def test_kernel_is_brute_force_with_ties_to_the_lowest_id(cloud, cells, monkeypa
     monkeypatch.setattr(nearest, "CELLS", cells)
     c = np.vstack([cloud[50:60], cloud[50:60], cloud[95:105]])
     ids = np.arange(100, 100 + len(c))
-    labels, d2 = nearest.nearest(cloud, ids, c)
+    labels, d2 = nearest.Finder(ids, c)(cloud)
     want, dist = brute(cloud, c)
     assert (labels == ids[want]).all()
     assert np.allclose(d2, dist, atol=1e-12)
@@ -44,7 +44,22 @@ def test_large_offsets_do_not_change_the_winner():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(50, 4)) * 1e-4 + 1e4
     c = rng.normal(size=(20, 4)) * 1e-4 + 1e4
-    assert (nearest.nearest(x, np.arange(20), c)[0] == brute(x, c)[0]).all()
+    assert (nearest.Finder(np.arange(20), c)(x)[0] == brute(x, c)[0]).all()
+
+
+@pytest.mark.parametrize("scale", [1e-30, 1.0, 1e12, 1e20])
+def test_near_ties_beyond_single_precision(scale):
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(1, 8))
+    c = (base + rng.normal(size=(30, 8)) * 1e-9) * scale
+    x = (base + rng.normal(size=(40, 8)) * 1e-9) * scale
+    assert (nearest.Finder(np.arange(30), c)(x)[0] == brute(x, c)[0]).all()
+
+
+def test_equal_centroids_are_sent_once(spark, cloud):
+    made = blocks.vector_blocks(frame(spark, cloud, "cluster_id", "centroid"), "cluster_id", "centroid", distinct=True)
+    ids, values = made[0].data.value
+    assert len(ids) == 400 - 132 and 100 in ids and 101 not in ids
 
 
 @pytest.mark.parametrize("partitions", [1, 4, 16])

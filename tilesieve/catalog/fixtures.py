@@ -146,7 +146,7 @@ def images_dir(spark: SparkSession, sf_dir: str) -> str:
         meta = metadata(spark, sf_dir).select(
             "row_id",
             F.substring_index("parquet_url", "/", -1).alias("shard"),
-            F.col("parquet_row").alias("row_in_file"),
+            F.col("parquet_row").alias("tile_row"),
         )
         write_shards(raw_tiles(spark, sf_dir).join(meta, "row_id").drop("row_id"), path)
         return path

@@ -408,7 +408,7 @@ _sql(
 _sql(
     "extract_subset_rows_in_parts",
     "base tiles",
-    _text("string_split(parquet_url, '/')[-1] AS shard, parquet_row AS row_in_file", "base JOIN tiles USING (row_id)"),
+    _text("string_split(parquet_url, '/')[-1] AS shard, parquet_row AS tile_row", "base JOIN tiles USING (row_id)"),
 )
 _sql(
     "missing_sources",

@@ -48,9 +48,13 @@ class Block:
     rows: int
 
     @classmethod
-    def of(cls, spark: SparkSession, ids: np.ndarray, values: np.ndarray) -> Block:
+    def of(cls, spark: SparkSession, ids: np.ndarray, values: np.ndarray, distinct: bool = False) -> Block:
         order = np.argsort(ids, kind="stable")
-        return cls(spark.sparkContext.broadcast((ids[order], values[order])), len(ids))
+        ids, values = ids[order], values[order]
+        if distinct:
+            keep = np.sort(np.unique(values, axis=0, return_index=True)[1])
+            ids, values = ids[keep], values[keep]
+        return cls(spark.sparkContext.broadcast((ids, values)), len(ids))
 
 
 def _load(df: DataFrame, key: str, vec: str) -> tuple[np.ndarray, np.ndarray]:
@@ -58,7 +62,9 @@ def _load(df: DataFrame, key: str, vec: str) -> tuple[np.ndarray, np.ndarray]:
     return table["k"].to_numpy(), matrix(table["v"])
 
 
-def vector_blocks(df: DataFrame, key: str, vec: str, max_bytes: int = MAX_BROADCAST_BYTES) -> list[Block]:
+def vector_blocks(
+    df: DataFrame, key: str, vec: str, max_bytes: int = MAX_BROADCAST_BYTES, distinct: bool = False
+) -> list[Block]:
     """Split a vector table into broadcast blocks of at most ``max_bytes`` each.
 
     One block at a time passes through the driver.  Rows are dealt to blocks by a hash of the key
@@ -70,7 +76,7 @@ def vector_blocks(df: DataFrame, key: str, vec: str, max_bytes: int = MAX_BROADC
         return []
     limit = rows_per_block(dims, max_bytes)
     if n <= limit:
-        return [Block.of(spark, *_load(df, key, vec))]
+        return [Block.of(spark, *_load(df, key, vec), distinct)]
     df = written(df.select(key, vec), "blocks")
     pieces = -(-n // limit)
     while True:
@@ -82,5 +88,5 @@ def vector_blocks(df: DataFrame, key: str, vec: str, max_bytes: int = MAX_BROADC
     for b in range(pieces):
         ids, values = _load(df.filter(bucket == b), key, vec)
         if len(ids):
-            blocks.append(Block.of(spark, ids, values))
+            blocks.append(Block.of(spark, ids, values, distinct))
     return blocks

@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import MAX_BROADCAST_BYTES, written
 from .blocks import Block, list_array, matrix, rows_per_block, sized, vector_blocks
-from .nearest import assign_to_blocks, nearest
+from .nearest import Finder, assign_to_blocks
 from .ranking import rank_within
-from .sampling import sample_exact, shuffle_key, truncate
+from .sampling import DIRECT_LIMIT, sample_exact, shuffle_key, truncate
 
 _PARTIAL = "cluster_id int, n bigint, mean array<double>"
 
@@ -64,12 +64,11 @@ def _nearest_means(points: DataFrame, block: Block, vec: str, max_bytes: int) ->
     data = block.data
 
     def run(batches):
-        ids, c = data.value
-        sums = _Sums()
+        find, sums = Finder(*data.value), _Sums()
         for batch in batches:
             if batch.num_rows:
                 x = matrix(batch.column(0))
-                sums.add(nearest(x, ids, c)[0], x)
+                sums.add(find(x)[0], x)
                 if sums.full(max_bytes):
                     yield sums.batch()
                     sums = _Sums()
@@ -108,9 +107,8 @@ class Centres:
     table: DataFrame | None = None
 
     @classmethod
-    def of(cls, table: DataFrame, max_bytes: int) -> Centres:
-        n, dims = sized(table, "centroid")
-        if n > rows_per_block(dims, max_bytes):
+    def of(cls, table: DataFrame, k: int, dims: int, max_bytes: int) -> Centres:
+        if k > rows_per_block(dims, max_bytes):
             held = table.select("cluster_id", "centroid", F.lit(0).cast("bigint").alias("weight"))
             return cls(table.sparkSession, max_bytes, table=written(held, "centres"))
         local = table.select("cluster_id", "centroid").toArrow()
@@ -120,14 +118,14 @@ class Centres:
 
     def blocks(self) -> list[Block]:
         if self.table is None:
-            return [Block.of(self.spark, self.ids, self.values)]
-        return vector_blocks(self.table, "cluster_id", "centroid", self.max_bytes)
+            return [Block.of(self.spark, self.ids, self.values, distinct=True)]
+        return vector_blocks(self.table, "cluster_id", "centroid", self.max_bytes, distinct=True)
 
     def means(self, points: DataFrame, key: str, vec: str) -> DataFrame:
         blocks = self.blocks()
         if len(blocks) == 1:
             return _nearest_means(points, blocks[0], vec, self.max_bytes)
-        labels = assign_to_blocks(points, blocks, key, vec)
+        labels = assign_to_blocks(points, blocks, key, vec, stored=True)
         return label_means(points.join(labels.select(key, "cluster_id"), key), vec=vec)
 
     def move(self, means: DataFrame, keep_weight: bool) -> None:
@@ -171,23 +169,31 @@ class Centres:
 
 
 def initial_centroids(points: DataFrame, k: int, init: str, seed: int, key: str, vec: str) -> DataFrame:
-    """k starting centres, numbered 0..k-1: the first rows by key, or an exact random sample."""
+    """k starting centres, numbered 0..k-1: the first rows by key, or an exact random sample.
+
+    Many centres are numbered on their keys alone, so that no task holds all their vectors.
+    """
     if init == "first":
         start, order = truncate(points, k, key), [key]
     elif init == "sample":
         start, order = sample_exact(points, k, key, seed), [shuffle_key(key, seed), key]
     else:
         raise ValueError(f"init must be 'first' or 'sample', not {init!r}")
-    ranked = rank_within(start.select(key, vec), [], order, "_rn")
+    start = start.select(key, vec)
+    if k <= DIRECT_LIMIT:
+        ranked = rank_within(start, [], order, "_rn", size=k)
+    else:
+        start = written(start, "start")
+        ranked = start.join(rank_within(start.select(key), [], order, "_rn", size=k), key)
     return ranked.select((F.col("_rn") - 1).cast("int").alias("cluster_id"), F.col(vec).cast("array<double>").alias("centroid"))
 
 
-def _checked(points: DataFrame, k: int, key: str, vec: str) -> tuple[DataFrame, int]:
+def _checked(points: DataFrame, k: int, key: str, vec: str) -> tuple[DataFrame, int, int]:
     points = points.filter(F.col(vec).isNotNull()).select(key, vec)
-    n = points.count()
+    n, dims = sized(points, vec)
     if k < 1 or k > n:
         raise ValueError(f"cannot form {k} clusters from {n} points")
-    return points, n
+    return points, n, dims
 
 
 def kmeans(
@@ -207,14 +213,16 @@ def kmeans(
     Training uses at most ``max_points_per_centroid`` x k points, drawn exactly.  ``engine='mllib'``
     hands the same training set to Spark ML's KMeans, which may return fewer centres.
     """
-    points, n = _checked(points, k, key, vec)
+    points, n, dims = _checked(points, k, key, vec)
     if max_points_per_centroid and n > max_points_per_centroid * k:
         points = written(sample_exact(points, max_points_per_centroid * k, key, seed), "train")
     if engine == "mllib":
         return _mllib_kmeans(points, k, niter, seed, vec)
     if engine != "lloyd":
         raise ValueError(f"engine must be 'lloyd' or 'mllib', not {engine!r}")
-    centres = Centres.of(initial_centroids(points, k, init, seed, key, vec), max_bytes)
+    centres = Centres.of(initial_centroids(points, k, init, seed, key, vec), k, dims, max_bytes)
+    if centres.table is not None:
+        points = written(points, "points")
     for _ in range(niter):
         centres.move(centres.means(points, key, vec), keep_weight=False)
     return centres.frame()
@@ -245,7 +253,7 @@ def minibatch_kmeans(
     The rows are dealt to batches by md5(key-seed-epoch), every row once per epoch, and the batches
     of all rounds are written in one scan; a round then reads its own batch only.
     """
-    points, n = _checked(points, k, key, vec)
+    points, n, dims = _checked(points, k, key, vec)
     per_epoch = -(-n // batch)
     epochs = -(-max_iter // per_epoch)
     digest = F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed)), F.col("_epoch").cast("string")))
@@ -259,8 +267,8 @@ def minibatch_kmeans(
         .filter(F.col("_round") < max_iter)
         .drop("_epoch")
     )
-    batches = written(dealt.repartitionByRange("_round"), "batches") if per_epoch > 1 else dealt
-    centres = Centres.of(initial_centroids(points, k, init, seed, key, vec), max_bytes)
+    batches = written(dealt.repartitionByRange("_round"), "batches")
+    centres = Centres.of(initial_centroids(points, k, init, seed, key, vec), k, dims, max_bytes)
     for i in range(max_iter):
         part = batches.filter(F.col("_round") == i)
         centres.move(centres.means(part, key, vec), keep_weight=True)

@@ -78,15 +78,18 @@ def drop_null_coords(df: DataFrame) -> DataFrame:
 
 
 def renumber_row_groups(manifest: DataFrame, dest_dir: str) -> DataFrame:
-    """Point the manifest at the extracted shards: row_group becomes the order of the old ones."""
-    ranked = rank_within(manifest, ["parquet_file"], ["row_group", "row_in_rg"], "_rn")
-    return ranked.withColumns(
-        {
-            "row_group": (F.col("_rn") - 1).cast("int"),
-            "row_in_rg": F.lit(0),
-            "parquet_file": joined_path(dest_dir, basename(F.col("parquet_file"))),
-        }
-    ).drop("_rn")
+    """Point the manifest at the extracted shards: row_group becomes the order of the old ones.
+
+    A row that the manifest names twice is extracted once, so both entries get its number.
+    """
+    place = ["parquet_file", "row_group", "row_in_rg"]
+    ranked = rank_within(manifest.select(*place).distinct(), ["parquet_file"], place[1:], "_rn")
+    return manifest.join(ranked, place).select(
+        *[F.col(c) for c in manifest.columns if c not in place],
+        joined_path(dest_dir, basename(F.col("parquet_file"))).alias("parquet_file"),
+        (F.col("_rn") - 1).cast("int").alias("row_group"),
+        F.lit(0).alias("row_in_rg"),
+    )
 
 
 def rebase_manifest(manifest: DataFrame, overwrite: bool = False) -> DataFrame:

@@ -14,61 +14,82 @@ from .blocks import Block, matrix, vector_blocks
 CELLS = 4_000_000
 
 
-def nearest(x: np.ndarray, ids: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Id and squared distance of the nearest row of ``c`` (ids ascending) for every row of ``x``.
+class Finder:
+    """Nearest row of one matrix, exact, with the bulk of the work in a single-precision product.
 
-    Distances come from one matrix product; every candidate within its rounding error of the
-    minimum is then measured directly, so that ties and near-ties go to the lowest id exactly as
-    a direct comparison would have it.
+    ``c`` is moved to its mean, which leaves all differences as they are and keeps the product
+    accurate.  [x, 1] @ [-2c, |c|^2] ranks the candidates; all of them within the worst-case
+    rounding error of the best are then measured directly in double precision, so ties and
+    near-ties go to the lowest id exactly as a direct comparison would have it.
     """
-    c2 = np.einsum("ij,ij->i", c, c)
-    labels = np.empty(len(x), dtype=np.int64)
-    best = np.empty(len(x))
-    step = max(1, CELLS // max(1, len(c)))
-    for lo in range(0, len(x), step):
-        part = x[lo : lo + step]
-        p2 = np.einsum("ij,ij->i", part, part)
-        approx = c2 - 2.0 * (part @ c.T)
-        slack = 1e-12 * len(c[0]) * (p2 + c2.max())
-        row, col = np.nonzero(approx <= (approx.min(axis=1) + slack)[:, None])
-        exact = np.empty(len(row))
-        stride = max(1, CELLS // c.shape[1])
-        for s in range(0, len(row), stride):
-            diff = part[row[s : s + stride]] - c[col[s : s + stride]]
-            exact[s : s + stride] = np.einsum("ij,ij->i", diff, diff)
-        order = np.lexsort((col, exact, row))
-        first = order[np.searchsorted(row[order], np.arange(len(part)))]
-        labels[lo : lo + len(part)] = ids[col[first]]
-        best[lo : lo + len(part)] = exact[first]
-    return labels, best
-
-
-def _assign_to(points: DataFrame, block: Block, key: str, vec: str) -> DataFrame:
+
+    def __init__(self, ids: np.ndarray, c: np.ndarray) -> None:
+        self.ids, self.c, self.shift = ids, c, c.mean(axis=0)
+        centred = c - self.shift
+        c2 = np.einsum("ij,ij->i", centred, centred)
+        self.reach = float(np.sqrt(c2.max()))
+        self.kind = np.float32 if self.reach < 1e15 else np.float64
+        self.table = np.vstack([-2.0 * centred.T, c2]).astype(self.kind)
+
+    def _candidates(self, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        moved = part - self.shift
+        length = np.sqrt(np.einsum("ij,ij->i", moved, moved))
+        kind = self.kind if length.max() < 1e15 else np.float64
+        rows = np.hstack([moved, np.ones((len(moved), 1))]).astype(kind)
+        approx = rows @ self.table
+        error = (part.shape[1] + 4) * np.finfo(self.kind).eps * (2.0 * length + self.reach) * self.reach
+        return np.nonzero(approx <= (approx.min(axis=1) + 2.0 * error)[:, None])
+
+    def __call__(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Id and squared distance of the nearest row for every row of ``x``."""
+        labels, best = np.empty(len(x), dtype=np.int64), np.empty(len(x))
+        step, stride = max(1, CELLS // len(self.c)), max(1, CELLS // self.c.shape[1])
+        for lo in range(0, len(x), step):
+            part = x[lo : lo + step]
+            row, col = self._candidates(part)
+            exact = np.empty(len(row))
+            for s in range(0, len(row), stride):
+                diff = part[row[s : s + stride]] - self.c[col[s : s + stride]]
+                exact[s : s + stride] = np.einsum("ij,ij->i", diff, diff)
+            order = np.lexsort((self.ids[col], exact, row))
+            first = order[np.searchsorted(row[order], np.arange(len(part)))]
+            labels[lo : lo + len(part)] = self.ids[col[first]]
+            best[lo : lo + len(part)] = exact[first]
+        return labels, best
+
+
+def _assign_to(points: DataFrame, block: Block, key: str, vec: str, carry: bool = False) -> DataFrame:
     data = block.data
+    held = [key, vec] if carry else [key]
 
     def run(batches):
-        ids, c = data.value
+        find = Finder(*data.value)
         for batch in batches:
             if batch.num_rows:
-                labels, d2 = nearest(matrix(batch.column(1)), ids, c)
+                labels, d2 = find(matrix(batch.column(1)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(labels.astype(np.int32)), pa.array(d2)],
-                    names=[key, "cluster_id", "d2"],
+                    [*batch.columns[: len(held)], pa.array(labels.astype(np.int32)), pa.array(d2)],
+                    names=[*held, "cluster_id", "d2"],
                 )
 
-    kind = points.schema[key].dataType.simpleString()
     source = points.filter(F.col(vec).isNotNull()).select(key, vec)
-    return source.mapInArrow(run, f"`{key}` {kind}, cluster_id int, d2 double")
+    kinds = [f"`{c}` {source.schema[c].dataType.simpleString()}" for c in held]
+    return source.mapInArrow(run, ", ".join([*kinds, "cluster_id int", "d2 double"]))
 
 
-def assign_to_blocks(points: DataFrame, blocks: list[Block], key: str = "row_id", vec: str = "embedding") -> DataFrame:
+def assign_to_blocks(
+    points: DataFrame, blocks: list[Block], key: str = "row_id", vec: str = "embedding", stored: bool = False
+) -> DataFrame:
     """Nearest over all blocks: one map pass per block, then a minimum per point.
 
+    The points are written before they are read once per block, unless they are ``stored``.
+
     What is shuffled in the second step is (key, distance, id), never a vector and never a pair.
     """
     if len(blocks) == 1:
         return _assign_to(points, blocks[0], key, vec)
-    points = written(points.select(key, vec), "points")
+    if not stored:
+        points = written(points.select(key, vec), "points")
     found = _assign_to(points, blocks[0], key, vec)
     for block in blocks[1:]:
         found = found.unionByName(_assign_to(points, block, key, vec))
@@ -87,12 +108,20 @@ def assign_nearest(
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """(key, cluster_id, d2): the centroid with the least squared L2 distance, ties to the lowest id."""
-    blocks = vector_blocks(centroids, "cluster_id", "centroid", max_bytes)
+    blocks = vector_blocks(centroids, "cluster_id", "centroid", max_bytes, distinct=True)
     if not blocks:
         raise ValueError("there are no centroids to assign to")
     return assign_to_blocks(points, blocks, key, vec)
 
 
+def assign_carrying(points: DataFrame, centroids: DataFrame, key: str = "row_id", vec: str = "embedding") -> DataFrame:
+    """As assign_nearest, with the vector kept in the row; the centroids have to fit one block."""
+    blocks = vector_blocks(centroids, "cluster_id", "centroid", distinct=True)
+    if len(blocks) != 1:
+        raise ValueError("the centroids do not fit one block")
+    return _assign_to(points, blocks[0], key, vec, carry=True)
+
+
 def assign_nearest_normalized(points: DataFrame, centroids: DataFrame, **options) -> DataFrame:
     """As assign_nearest, with unit-length centroids; labels may differ from the raw form."""
     unit = centroids.select("cluster_id", l2_normalize(F.col("centroid")).alias("centroid"))

@@ -81,8 +81,14 @@ def pairwise_distances(
     scale = 10**digits
 
     def summarize(d):
-        value, n = np.unique(np.floor(d * scale + 0.5).astype(np.int64), return_counts=True)
-        return [pa.array(value), pa.array(n.astype(np.int64))]
+        steps = np.floor(d * scale + 0.5).astype(np.int64)
+        if len(steps) and steps.max() < CELLS:
+            n = np.bincount(steps)
+            value = np.nonzero(n)[0]
+            n = n[value]
+        else:
+            value, n = np.unique(steps, return_counts=True)
+        return [pa.array(value.astype(np.int64)), pa.array(n.astype(np.int64))]
 
     counted = _each(_spread(sample, key), blocks, key, vec, summarize, "step bigint, n bigint")
     return counted.groupBy("step").agg(F.sum("n").alias("n_pairs")).select(

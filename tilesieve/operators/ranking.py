@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import written
+from ..session import hinted, written
 
 # Largest group that one task may sort by itself.
 LARGE_GROUP = 1_000_000
@@ -62,17 +62,20 @@ def largest_group(df: DataFrame, by: Sequence[str]) -> int:
 
 
 def rank_within(
-    df: DataFrame, by: Sequence[str], order: Order, out: str = "rn", large: int = LARGE_GROUP
+    df: DataFrame, by: Sequence[str], order: Order, out: str = "rn", large: int | None = None, size: int | None = None
 ) -> DataFrame:
-    """1-based rank per group; the window form while every group is small, slices beyond that."""
-    if largest_group(df, by) > large:
+    """1-based rank per group; the window form while every group is small, slices beyond that.
+
+    ``size`` is an upper bound of the group size, where the caller knows one without a count.
+    """
+    if (largest_group(df, by) if size is None else size) > (LARGE_GROUP if large is None else large):
         return running_total(df, by, order, None, out)
     window = Window.partitionBy(*([F.col(c) for c in by] or [F.lit(0)])).orderBy(*_columns(order))
     return df.withColumn(out, F.row_number().over(window).cast("bigint"))
 
 
 def top_n_per_group(
-    df: DataFrame, by: Sequence[str], order: Order, n: int, out: str = "rn", limit: int = TOP_N_LIMIT
+    df: DataFrame, by: Sequence[str], order: Order, n: int, out: str = "rn", limit: int | None = None
 ) -> DataFrame:
     """First ``n`` rows per group with their rank.
 
@@ -80,7 +83,7 @@ def top_n_per_group(
     group before the shuffle; a second, salted cut keeps the last task at SALTS x n rows however
     many partitions feed a hot group.  Larger n rank the whole table in slices.
     """
-    if n > limit:
+    if n > (TOP_N_LIMIT if limit is None else limit):
         return rank_within(df, by, order, out).filter(F.col(out) <= n)
     sort, keys = _columns(order), [F.col(c) for c in by]
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*sort), F.lit(SALTS)).cast("int"))
@@ -105,13 +108,14 @@ def first_per_group(df: DataFrame, by: Sequence[str], order: Order) -> DataFrame
     )
 
 
-def exact_percentiles(
+def describe(
     df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), names: Sequence[str] | None = None
 ) -> DataFrame:
-    """Exact percentiles per group with linear interpolation, one column per probability.
+    """Per group: count, mean, std (sample), min, max and exact percentiles, linearly interpolated.
 
     Equal values are counted first (map-side), then a running total over the distinct values
-    locates the two neighbours of every wanted rank.  No task holds a whole group.
+    locates the two neighbours of every wanted rank.  No task holds a whole group, and the table
+    itself is read once.
     """
     names = list(names or [f"p{round(p * 100):02d}" for p in probs])
     by = list(by) or ["_all"]
@@ -122,7 +126,9 @@ def exact_percentiles(
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     placed = running_total(counted, by, ["_v"], "_n", "_cum")
-    totals = placed.groupBy(*by).agg(F.max("_cum").alias("_total"))
+    totals = placed.groupBy(*by).agg(
+        F.max("_cum").alias("_total"), (F.sum(F.col("_v") * F.col("_n")) / F.sum("_n")).alias("_mean")
+    )
     position = [F.lit(float(p)) * (F.col("_total") - 1) for p in probs]
 
     def at(rank: Column) -> Column:
@@ -132,12 +138,28 @@ def exact_percentiles(
     picks = []
     for i, pos in enumerate(position):
         picks += [at(F.floor(pos)).alias(f"_lo{i}"), at(F.ceil(pos)).alias(f"_hi{i}")]
-    found = placed.join(totals, by).groupBy(*by, "_total").agg(*picks)
+    gap = F.col("_v") - F.col("_mean")
+    found = placed.join(hinted(totals), by).groupBy(*by, "_total", "_mean").agg(
+        F.min("_v").alias("min"), F.max("_v").alias("max"), F.sum(F.col("_n") * gap * gap).alias("_spread"), *picks
+    )
+    low, high = "_lo{}".format, "_hi{}".format
     result = found.select(
         *by,
+        F.col("_total").alias("count"),
+        F.col("_mean").alias("mean"),
+        F.when(F.col("_total") > 1, F.sqrt(F.col("_spread") / (F.col("_total") - 1))).alias("std"),
+        "min",
         *[
-            (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (pos - F.floor(pos))).alias(names[i])
+            (F.col(low(i)) + (F.col(high(i)) - F.col(low(i))) * (pos - F.floor(pos))).alias(names[i])
             for i, pos in enumerate(position)
         ],
+        "max",
     )
     return result.drop("_all")
+
+
+def exact_percentiles(
+    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), names: Sequence[str] | None = None
+) -> DataFrame:
+    """The percentile columns of describe."""
+    return describe(df, value, probs, by, names).drop("count", "mean", "std", "min", "max")

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import BYTES_PER_SAMPLE, TILE_BANDS, TILE_SIDE
 from ..functions.bands import is_black_tile, zero_value_pct
-from .ranking import exact_percentiles
+from ..session import hinted
+from .ranking import describe
 from .sampling import first_matching, sample_per_group
 
 # Tiers of the cluster size table, as (label, largest size).
@@ -55,7 +56,7 @@ def size_histogram(df: DataFrame, col: str, bins: int = 50, by: Sequence[str] =
     values = df.filter(F.col(col).isNotNull()).select(*by, F.col(col).cast("double").alias("_v"))
     edges = values.groupBy(*by).agg(F.min("_v").alias("_a"), F.max("_v").alias("_b"))
     if by:
-        ranged = values.join(edges, by)
+        ranged = values.join(hinted(edges), by)
     else:
         one = lambda c: edges.select(c).scalar()
         ranged = values.withColumns({"_a": one("_a"), "_b": one("_b")})
@@ -77,20 +78,8 @@ def size_histogram(df: DataFrame, col: str, bins: int = 50, by: Sequence[str] =
     )
 
 
-def _summary(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
-    v = F.col(col).cast("double")
-    held = df.filter(F.col(col).isNotNull() & ~F.isnan(v))
-    return held.groupBy(*by).agg(
-        F.count(F.lit(1)).cast("double").alias("count"),
-        F.avg(v).alias("mean"),
-        F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-    )
-
-
 def _long(df: DataFrame, ids: Sequence[str], metrics: Sequence[str]) -> DataFrame:
-    lines = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"`{m}`").alias("value")) for m in metrics])
+    lines = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"`{m}`").cast("double").alias("value")) for m in metrics])
     return df.select(*ids, F.inline(lines))
 
 
@@ -101,7 +90,7 @@ def describe_by_class(
     wanted = percentiles or CLASS_PERCENTILES
     probs = sorted({p for ps in wanted.values() for p in ps})
     names = {p: f"p{round(p * 100):02d}" for p in probs}
-    full = _summary(df, col, [by]).join(exact_percentiles(df, col, probs, [by], [names[p] for p in probs]), by)
+    full = describe(df, col, probs, [by], [names[p] for p in probs])
     lines = _long(full, [by], ["count", "mean", "std", "min", *names.values(), "max"])
     keep = F.col("metric").isin("count", "mean", "std", "min", "max")
     for value, ps in wanted.items():
@@ -132,8 +121,7 @@ def profile_metadata(df: DataFrame) -> DataFrame:
     tall = df.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_x")) for c in present]))
     )
-    quartiles = exact_percentiles(tall, "_x", (0.25, 0.5, 0.75), ["column"], ["25%", "50%", "75%"])
-    full = _summary(tall, "_x", ["column"]).join(quartiles, "column")
+    full = describe(tall, "_x", (0.25, 0.5, 0.75), ["column"], ["25%", "50%", "75%"])
     return general.unionByName(_long(full, ["column"], ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]))
 
 
@@ -202,7 +190,7 @@ def black_tiles(tiles: DataFrame, most: int = 1, seed: int = 42, within: int | N
 
 def split_garbage(assign: DataFrame, garbage: DataFrame) -> DataFrame:
     """(row_id, cluster_id, is_garbage): membership of every tile's cluster in the garbage set."""
-    marked = garbage.select("cluster_id").withColumn("_g", F.lit(True))
+    marked = hinted(garbage.select("cluster_id").withColumn("_g", F.lit(True)))
     return assign.select("row_id", "cluster_id").join(marked, "cluster_id", "left").select(
         "row_id", "cluster_id", F.coalesce("_g", F.lit(False)).alias("is_garbage")
     )

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import MAX_BROADCAST_BYTES, written
 from .blocks import list_array, matrix
-from .nearest import assign_nearest
+from .nearest import assign_carrying, assign_nearest
 from .ranking import rank_within
 from .sampling import sample_exact
 
@@ -115,10 +115,11 @@ def threshold_centroids(
     if pivots > 1:
         starts = rank_within(sample_exact(points, pivots, key, seed), [], [key], "_rn")
         starts = starts.select((F.col("_rn") - 1).cast("int").alias("cluster_id"), F.col(vec).alias("centroid"))
-        cells = written(assign_nearest(points, starts, key, vec).select(key, F.col("cluster_id").alias("cell")), "cells")
+        near = assign_carrying(points, starts, key, vec)
+        cells = written(near.select(key, vec, F.col("cluster_id").alias("cell")), "cells")
         sizes = cells.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / group_rows).alias("salts"))
         # at most MAX_PIVOTS rows
-        keyed = cells.join(F.broadcast(sizes), "cell").join(points, key)
+        keyed = cells.join(F.broadcast(sizes), "cell")
         most = sizes.agg(F.max("salts")).first()[0]
     else:
         keyed, most = points.withColumn("cell", F.lit(0)).withColumn("salts", F.lit(1).cast("bigint")), 1

@@ -9,7 +9,7 @@ from ..functions.bands import band_columns
 from ..operators.models import model_factory
 from ..operators.sampling import sample_fraction
 from ..operators.tiles import blank_pixels, embed_tiles, prepare_tiles, tile_status
-from ..session import written
+from ..session import bound_batches, written
 from ..sources.manifest import load_or_build_manifest
 from ..sources.tiles import read_tiles
 from ..sources.vectors import read_embeddings, write_embeddings
@@ -18,6 +18,7 @@ from ..sources.vectors import read_embeddings, write_embeddings
 def prepare_and_embed_tiles(spark: SparkSession, manifest: DataFrame, cfg: RunConfig) -> DataFrame:
     """(row_id, embedding) of every manifest tile that passes the band and no-data tests."""
     e = cfg.extraction
+    bound_batches(spark, 2 * len(e.band_indices) * e.tile_height * e.tile_width)
     factory = model_factory(e.model)
     bands = band_columns(e.band_indices)
     tiles = read_tiles(spark, cfg.data.images_dir, manifest, bands)

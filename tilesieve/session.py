@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Upper bound for anything that is shipped whole to every executor.  All broadcasts of this
 # package are measured against it first and split into several bounded ones when they exceed it.
@@ -16,8 +16,6 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
-    # Tiles are megabytes per row, so Arrow batches have to be bounded by bytes, not by rows.
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
 }
 
 
@@ -50,6 +48,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/tilesieve/{app}/{label}-{uuid.uuid4().hex}"
 
 
+def hinted(df: DataFrame, rows: int = 10_000) -> DataFrame:
+    """A local, broadcast copy of a table that has at most ``rows`` rows; otherwise the table.
+
+    For the small side of a join on a key that may be hot: the other side is not shuffled.
+    """
+    head = df.limit(rows + 1).collect()
+    if len(head) > rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(head, df.schema))
+
+
+def bound_batches(spark: SparkSession, row_bytes: int, batch_bytes: int = 64 * 1024 * 1024) -> None:
+    """Lower the session's Arrow batch length so that a batch of such rows stays below a size."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    current, most = int(spark.conf.get(name)), max(1, batch_bytes // row_bytes)
+    if current <= 0 or current > most:
+        spark.conf.set(name, str(most))
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage of ``df``: write it once to the shared folder and read it back.
 

@@ -1,8 +1,10 @@
-"""Tile shards: Parquet files (or one-file Parquet folders) below one directory.
+"""Tile shards: Parquet files, or folders of such files, below one directory.
 
 A shard is named by the first path component below the directory, with or without ``shard=`` in
-front, and a tile is addressed by its row number inside the shard.  Image bytes are never
-shuffled to find a tile: the small side, the addresses, is broadcast in bounded parts.
+front.  A tile is addressed by its row number inside the shard: the position in the file of a
+one-file shard, or the column ``tile_row`` of the shards this package writes, which may consist
+of several files.  Image bytes are never shuffled to find a tile: the small side, the addresses,
+is broadcast in bounded parts.
 """
 
 from __future__ import annotations
@@ -14,12 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import basename
-from ..session import MAX_BROADCAST_BYTES
+from ..operators.ranking import rank_within
+from ..session import MAX_BROADCAST_BYTES, written
 
 # Memory of one broadcast address: shard name, row number, row id and hash table overhead.
 ADDRESS_BYTES = 128
 # Up to this many shards are named in the scan, so that other files are not opened.
 NAMED_SHARDS = 10_000
+# Rows of a written file: native tiles are some 27 MB each.
+ROWS_PER_FILE = 128
 
 
 def _shard(images_dir: str):
@@ -31,7 +36,8 @@ def _shard(images_dir: str):
 def open_shards(spark: SparkSession, images_dir: str, columns: Sequence[str] = ()) -> DataFrame:
     """(shard, row_in_file, *columns); without columns only footers are read."""
     scan = spark.read.option("recursiveFileLookup", "true").parquet(images_dir)
-    return scan.select(_shard(images_dir).alias("shard"), F.col("_metadata.row_index").alias("row_in_file"), *columns)
+    row = F.col("tile_row") if "tile_row" in scan.columns else F.col("_metadata.row_index")
+    return scan.select(_shard(images_dir).alias("shard"), row.alias("row_in_file"), *columns)
 
 
 def row_group_starts(spark: SparkSession, images_dir: str) -> DataFrame:
@@ -130,19 +136,27 @@ def extract_subset_rows(
     bands: Sequence[str],
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """(shard, row_in_file, *bands): the image rows that the manifest names, each once."""
+    """(shard, tile_row, *bands): the image rows that the manifest names, each once.
+
+    ``tile_row`` counts the chosen rows of a shard in their old order.  It is found on the
+    addresses, so the images are neither sorted nor grouped for it.
+    """
     images = open_shards(spark, images_dir, bands)
-    return match_rows(images, addresses(manifest).drop("row_id"), "left_semi", max_bytes)
+    wanted = addresses(manifest).select("shard", "row_in_file").distinct()
+    ranked = written(rank_within(wanted, ["shard"], ["row_in_file"], "_rn"), "rows")
+    placed = ranked.select("shard", "row_in_file", (F.col("_rn") - 1).alias("tile_row"))
+    return match_rows(images, placed, "inner", max_bytes).select("shard", "tile_row", *bands)
 
 
-def write_shards(tiles: DataFrame, dest: str) -> None:
-    """One folder per shard with one file, rows in the order of their old row numbers.
+def write_shards(tiles: DataFrame, dest: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """One folder per shard, with a file for every ``rows_per_file`` rows.
 
-    Only rows that were already selected are moved; a task receives at most what one source file
-    held per shard.
+    Only rows that were already selected are moved, and a shard of any size is written by as many
+    tasks as it has files.
     """
-    placed = tiles.repartition("shard").sortWithinPartitions("shard", "row_in_file")
-    placed.drop("row_in_file").write.partitionBy("shard").parquet(dest)
+    piece = F.floor(F.col("tile_row") / rows_per_file)
+    placed = tiles.repartition(F.col("shard"), piece).sortWithinPartitions("shard", "tile_row")
+    placed.write.partitionBy("shard").parquet(dest)
 
 
 def missing_rows(spark: SparkSession, images_dir: str, manifest: DataFrame) -> DataFrame:
