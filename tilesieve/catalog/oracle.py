@@ -106,10 +106,10 @@ def _nearest(points: str, centres: str) -> str:
   FROM {points} q CROSS JOIN {centres} c) WHERE rn = 1"""
 
 
-def _means(assign: str, old: str) -> str:
+def _means(assign: str, old: str, points: str = "p", dims: int = 64) -> str:
     return f"""SELECT o.cid, coalesce(m.v, o.v) AS v FROM {old} o LEFT JOIN
-  (SELECT cid, list(m ORDER BY i) AS v FROM (SELECT a.cid, t.i, avg(p.v[t.i]) AS m
-    FROM {assign} a JOIN p USING (row_id), (SELECT unnest(range(1, 65)) AS i) t GROUP BY a.cid, t.i) GROUP BY cid) m
+  (SELECT cid, list(m ORDER BY i) AS v FROM (SELECT a.cid, t.i, avg(q.v[t.i]) AS m
+    FROM {assign} a JOIN {points} q USING (row_id), (SELECT unnest(range(1, {dims + 1})) AS i) t GROUP BY a.cid, t.i) GROUP BY cid) m
   ON m.cid = o.cid"""
 
 
@@ -486,6 +486,39 @@ _part("assign_mb", f"p s{_BATCHES}", _nearest("p", f"s{_BATCHES}"))
 _sql("minibatch_kmeans", "assign_mb", _ASSIGN.format("assign_mb"))
 _sql("inertia", "assign", "SELECT round(sum(d2), 6) + 0.0 AS inertia FROM assign")
 
+# Clusters by radius have no SQL form in general.  On clusters that lie far apart compared with
+# their own size the answer is known: below the distance of the closest points every point stays
+# alone, between the two scales the clusters come out, and beyond both there is one cluster.
+_part(
+    "blobs",
+    "",
+    """SELECT vec_id AS row_id, label, list_transform(range(1, 65), lambda i: CAST(embedding[i] AS DOUBLE) * 0.15
+  + CASE WHEN i - 1 = label THEN 1 ELSE 0 END) AS v FROM embeddings""",
+)
+_part(
+    "groups",
+    "blobs",
+    """SELECT CAST(row_number() OVER (ORDER BY n DESC, ss) - 1 AS INTEGER) AS cid, v FROM
+  (SELECT label, n, ss, list(m ORDER BY i) AS v FROM (SELECT label, t.i, avg(v[t.i]) AS m, count(*) AS n FROM blobs,
+    (SELECT unnest(range(1, 65)) AS i) t GROUP BY label, t.i) JOIN
+    (SELECT label, sum(list_inner_product(v, v)) AS ss FROM blobs GROUP BY label) USING (label) GROUP BY label, n, ss)""",
+)
+_part("assign_blobs", "blobs groups", _nearest("blobs", "groups"))
+_sql("threshold_clusters", "assign_blobs", _ASSIGN.format("assign_blobs"))
+_sql(
+    "threshold_search",
+    "",
+    """SELECT 1 AS attempt, CAST(0.4 AS DOUBLE) AS threshold, count(DISTINCT label) AS n_clusters FROM embeddings
+  UNION ALL SELECT 2, 0.05, count(*) FROM embeddings""",
+)
+_sql(
+    "threshold_sweep",
+    "",
+    """SELECT CAST(0.05 AS DOUBLE) AS threshold, count(*) AS n_clusters FROM embeddings
+  UNION ALL SELECT 0.3, count(DISTINCT label) FROM embeddings UNION ALL SELECT 0.6, count(DISTINCT label) FROM embeddings
+  UNION ALL SELECT 1.2, CAST(1 AS BIGINT)""",
+)
+
 # ---------------------------------------------------------------- reports
 
 _sql("cluster_counts", "counts12", "SELECT cid AS cluster_id, n FROM counts12")
@@ -698,6 +731,29 @@ _sql(
     "counts",
     "SELECT cid AS cluster_id, n AS n_candidates, CAST(CASE WHEN n > 0 THEN 1 ELSE 0 END AS BIGINT) AS n_sampled FROM counts",
 )
+_part(
+    "m0",
+    "wide zeros",
+    f"""SELECT row_id, list(CAST(CAST(x AS FLOAT) AS DOUBLE) ORDER BY channel) AS v FROM (SELECT row_id, channel,
+  list_avg(list_transform(v, lambda x: ({_CLAMP.format(x="x")} - CAST({_MEAN} AS DOUBLE)) / CAST({_STD} AS DOUBLE))) AS x
+  FROM wide JOIN zeros USING (row_id) WHERE nodata * 100 <= 45) GROUP BY row_id""",
+)
+_part("mp", "m0", "SELECT row_id, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) AS v FROM m0")
+_part(
+    "mc0",
+    "mp",
+    f"SELECT CAST(rn - 1 AS INTEGER) AS cid, v FROM (SELECT v, row_number() OVER (ORDER BY row_id) AS rn FROM mp) WHERE rn <= {K}",
+)
+for _i in range(ROUNDS):
+    _part(f"mq{_i}", f"mp mc{_i}", _nearest("mp", f"mc{_i}"))
+    _part(f"mc{_i + 1}", f"mp mq{_i} mc{_i}", _means(f"mq{_i}", f"mc{_i}", "mp", 3))
+_part("mq", f"mp mc{ROUNDS}", _nearest("mp", f"mc{ROUNDS}"))
+_sql(
+    "run_steps",
+    "manifest mq",
+    """SELECT row_id, grid_cell, string_split(parquet_file, '/')[-1] AS parquet_file, row_group, row_in_rg, cid AS cluster_id
+  FROM manifest JOIN (SELECT *, row_number() OVER (PARTITION BY cid ORDER BY d2, row_id) AS rn FROM mq) USING (row_id) WHERE rn = 1""",
+)
 _sql(
     "materialize_subset",
     "manifest chosen20",

@@ -73,7 +73,7 @@ def _assign(df: DataFrame) -> DataFrame:
 
 def _stored_metadata(spark, sf_dir) -> str:
     path = scratch_path(spark, "metadata")
-    fx.metadata(spark, sf_dir).drop("row_id").write.parquet(path)
+    fx.metadata(spark, sf_dir).orderBy("row_id").drop("row_id").write.parquet(path)
     return path
 
 
@@ -262,17 +262,20 @@ def prepare_tiles(spark, sf_dir):
     return made.select("row_id", "status", _r(F.col("nodata")).alias("nodata"), F.size("pixels").alias("n_values"))
 
 
-def _run_config(spark, sf_dir, model: str = "projection", images: str | None = None) -> RunConfig:
+SELECTION = SelectionConfig(n_clusters=fx.K, max_iter=fx.ROUNDS, init="first", max_points_per_centroid=None)
+
+
+def _run_config(spark, sf_dir, model: str, size: int, metadata_path: str = "") -> RunConfig:
     return RunConfig(
-        DataConfig("", images or fx.images_dir(spark, sf_dir), scratch_path(spark, "run")),
-        ExtractionConfig(model=model, crop_size=6, tile_height=fx.SIDE, tile_width=fx.SIDE),
-        SelectionConfig(n_clusters=fx.K, max_iter=fx.ROUNDS, init="first", max_points_per_centroid=None),
+        DataConfig(metadata_path, fx.images_dir(spark, sf_dir), scratch_path(spark, "run")),
+        ExtractionConfig(model=model, crop_size=size, tile_height=fx.SIDE, tile_width=fx.SIDE),
+        SELECTION,
     )
 
 
 @query
 def embed_tiles(spark, sf_dir):
-    cfg = _run_config(spark, sf_dir)
+    cfg = _run_config(spark, sf_dir, "projection", 6)
     return _long(prepare_and_embed_tiles(spark, fx.manifest(spark, sf_dir), cfg), ["row_id"], "embedding")
 
 
@@ -532,7 +535,7 @@ def threshold_clusters(spark, sf_dir):
 
 @query
 def threshold_search(spark, sf_dir):
-    return thresholds.threshold_search(written(fx.blobs(spark, sf_dir), "blobs"), target=100, threshold=0.3)[0]
+    return thresholds.threshold_search(written(fx.blobs(spark, sf_dir), "blobs"), target=100, threshold=0.4, decay=0.125)[0]
 
 
 @query
@@ -776,23 +779,21 @@ def garbage_tally(spark, sf_dir):
 
 @query
 def select_subset(spark, sf_dir):
-    cfg = _run_config(spark, sf_dir, images=fx.IMAGES).selection
-    return choose(fx.manifest(spark, sf_dir), fx.vectors(spark, sf_dir), cfg).subset
+    return choose(fx.manifest(spark, sf_dir), fx.vectors(spark, sf_dir), SELECTION).subset
 
 
 @query
 def select_subset_stats(spark, sf_dir):
-    cfg = _run_config(spark, sf_dir, images=fx.IMAGES).selection
-    return choose(fx.manifest(spark, sf_dir), fx.vectors(spark, sf_dir), cfg).stats
+    return choose(fx.manifest(spark, sf_dir), fx.vectors(spark, sf_dir), SELECTION).stats
 
 
 @query
 def run_steps(spark, sf_dir):
-    base = _run_config(spark, sf_dir)
-    cfg = RunConfig(
-        DataConfig(_stored_metadata(spark, sf_dir), base.data.images_dir, base.data.output_dir), base.extraction, base.selection
-    )
-    return steps(spark, cfg, [1, 2])
+    """Both steps from stored metadata and shards; the model gives the mean of every channel."""
+    models.register_model("channel-means", _channel_means)
+    cfg = _run_config(spark, sf_dir, "channel-means", fx.SIDE, _stored_metadata(spark, sf_dir))
+    subset = steps(spark, cfg, [1, 2])
+    return subset.withColumn("parquet_file", basename(F.col("parquet_file")))
 
 
 @query
