@@ -31,6 +31,7 @@ def cloud():
 @pytest.mark.parametrize("cells", [10, 1000, 4_000_000])
 def test_kernel_is_brute_force_with_ties_to_the_lowest_id(cloud, cells, monkeypatch):
     monkeypatch.setattr(nearest, "CELLS", cells)
+    monkeypatch.setattr(nearest, "LEAST_ROWS", 7)
     c = np.vstack([cloud[50:60], cloud[50:60], cloud[95:105]])
     ids = np.arange(100, 100 + len(c))
     labels, d2 = nearest.Finder(ids, c)(cloud)

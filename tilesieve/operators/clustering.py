@@ -14,37 +14,48 @@ from ..session import MAX_BROADCAST_BYTES, written
 from .blocks import Block, list_array, matrix, rows_per_block, sized, vector_blocks
 from .nearest import Finder, assign_to_blocks
 from .ranking import rank_within
-from .sampling import DIRECT_LIMIT, sample_exact, shuffle_key, truncate
+from .sampling import BROADCAST_KEYS, sample_exact, shuffle_key, truncate
 
 _PARTIAL = "cluster_id int, n bigint, mean array<double>"
 
 
 class _Sums:
-    """Per-task sums, kept for the clusters the task has met."""
+    """Sums per cluster within a task; memory stays below the bound, whatever the number of clusters."""
 
-    def __init__(self) -> None:
-        self.n: dict[int, int] = {}
-        self.total: dict[int, np.ndarray] = {}
+    def __init__(self, max_bytes: int) -> None:
+        self.max_bytes = max_bytes
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-    def add(self, labels: np.ndarray, x: np.ndarray) -> None:
+    @staticmethod
+    def _grouped(labels: np.ndarray, n: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         order = np.argsort(labels, kind="stable")
         ids, start = np.unique(labels[order], return_index=True)
-        sums = np.add.reduceat(x[order], start, axis=0)
-        sizes = np.diff(np.append(start, len(labels)))
-        for cid, row, size in zip(ids.tolist(), sums, sizes.tolist()):
-            self.n[cid] = self.n.get(cid, 0) + size
-            self.total[cid] = self.total[cid] + row if cid in self.total else row
-
-    def batch(self) -> pa.RecordBatch:
-        ids = np.fromiter(self.n, dtype=np.int32, count=len(self.n))
-        n = np.fromiter(self.n.values(), dtype=np.int64, count=len(self.n))
-        means = np.vstack(list(self.total.values())) / n[:, None]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(ids), pa.array(n), list_array(means)], names=["cluster_id", "n", "mean"]
-        )
-
-    def full(self, max_bytes: int) -> bool:
-        return bool(self.total) and len(self.total) * next(iter(self.total.values())).nbytes > max_bytes
+        return ids, np.add.reduceat(n[order], start), np.add.reduceat(x[order], start, axis=0)
+
+    def _heavy(self) -> bool:
+        return sum(part[2].nbytes for part in self.parts) > self.max_bytes
+
+    def add(self, labels: np.ndarray, x: np.ndarray):
+        """Take in a batch; yields the sums collected so far where they outgrow the bound."""
+        self.parts.append(self._grouped(labels, np.ones(len(labels), np.int64), x))
+        if self._heavy():
+            self._compact()
+            if self._heavy():
+                yield from self.drain()
+
+    def _compact(self) -> None:
+        if len(self.parts) > 1:
+            self.parts = [self._grouped(*(np.concatenate(column) for column in zip(*self.parts)))]
+
+    def drain(self):
+        """One row per cluster that was met, and start again."""
+        self._compact()
+        for ids, n, total in self.parts:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids.astype(np.int32)), pa.array(n), list_array(total / n[:, None])],
+                names=["cluster_id", "n", "mean"],
+            )
+        self.parts = []
 
 
 def _combine(partial: DataFrame) -> DataFrame:
@@ -64,16 +75,12 @@ def _nearest_means(points: DataFrame, block: Block, vec: str, max_bytes: int) ->
     data = block.data
 
     def run(batches):
-        find, sums = Finder(*data.value), _Sums()
+        find, sums = Finder(*data.value), _Sums(max_bytes)
         for batch in batches:
             if batch.num_rows:
                 x = matrix(batch.column(0))
-                sums.add(find(x)[0], x)
-                if sums.full(max_bytes):
-                    yield sums.batch()
-                    sums = _Sums()
-        if sums.n:
-            yield sums.batch()
+                yield from sums.add(find(x)[0], x)
+        yield from sums.drain()
 
     return _combine(points.select(vec).mapInArrow(run, _PARTIAL))
 
@@ -82,15 +89,11 @@ def label_means(points: DataFrame, label: str = "cluster_id", vec: str = "embedd
     """(cluster_id, n, mean) of labelled points; every task sends one row per cluster it holds."""
 
     def run(batches):
-        sums = _Sums()
+        sums = _Sums(max_bytes)
         for batch in batches:
             if batch.num_rows:
-                sums.add(batch.column(0).to_numpy(), matrix(batch.column(1)))
-                if sums.full(max_bytes):
-                    yield sums.batch()
-                    sums = _Sums()
-        if sums.n:
-            yield sums.batch()
+                yield from sums.add(batch.column(0).to_numpy(), matrix(batch.column(1)))
+        yield from sums.drain()
 
     return _combine(points.select(F.col(label).cast("int"), vec).mapInArrow(run, _PARTIAL))
 
@@ -171,20 +174,18 @@ class Centres:
 def initial_centroids(points: DataFrame, k: int, init: str, seed: int, key: str, vec: str) -> DataFrame:
     """k starting centres, numbered 0..k-1: the first rows by key, or an exact random sample.
 
-    Many centres are numbered on their keys alone, so that no task holds all their vectors.
+    They are chosen and numbered on their keys alone, so no task holds all their vectors.
     """
+    keys = points.select(key)
     if init == "first":
-        start, order = truncate(points, k, key), [key]
+        chosen, order = truncate(keys, k, key), [key]
     elif init == "sample":
-        start, order = sample_exact(points, k, key, seed), [shuffle_key(key, seed), key]
+        chosen, order = sample_exact(keys, k, key, seed), [shuffle_key(key, seed), key]
     else:
         raise ValueError(f"init must be 'first' or 'sample', not {init!r}")
-    start = start.select(key, vec)
-    if k <= DIRECT_LIMIT:
-        ranked = rank_within(start, [], order, "_rn", size=k)
-    else:
-        start = written(start, "start")
-        ranked = start.join(rank_within(start.select(key), [], order, "_rn", size=k), key)
+    numbered = rank_within(chosen, [], order, "_rn", size=k)
+    # k keys and numbers
+    ranked = points.select(key, vec).join(F.broadcast(numbered) if k <= BROADCAST_KEYS else numbered, key)
     return ranked.select((F.col("_rn") - 1).cast("int").alias("cluster_id"), F.col(vec).cast("array<double>").alias("centroid"))
 
 

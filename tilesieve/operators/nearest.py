@@ -10,8 +10,10 @@ from ..functions.vectors import dot, l2_normalize, l2_normalize_eps, literal_vec
 from ..session import MAX_BROADCAST_BYTES, written
 from .blocks import Block, matrix, vector_blocks
 
-# Cells of the distance matrix a task holds at a time, and numbers of the exact recheck.
-CELLS = 4_000_000
+# Cells of the distance matrix a task looks at together, and the least number of points for it;
+# also the numbers in one slice of the exact recheck.
+CELLS = 1_000_000
+LEAST_ROWS = 512
 
 
 class Finder:
@@ -43,7 +45,7 @@ class Finder:
     def __call__(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Id and squared distance of the nearest row for every row of ``x``."""
         labels, best = np.empty(len(x), dtype=np.int64), np.empty(len(x))
-        step, stride = max(1, CELLS // len(self.c)), max(1, CELLS // self.c.shape[1])
+        step, stride = max(LEAST_ROWS, CELLS // len(self.c)), max(1, CELLS // self.c.shape[1])
         for lo in range(0, len(x), step):
             part = x[lo : lo + step]
             row, col = self._candidates(part)
