@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tilesieve.functions import bands as bd
 from tilesieve.operators import models
 from tilesieve.operators import tiles as tl
+from tilesieve.plans.materialize import materialize_subset
 from tilesieve.sources import tiles as src
 
 RGB = list(tl.RGB)
@@ -70,7 +71,7 @@ def test_only_named_bands_and_shards_are_scanned(spark, images, capsys):
     frame = src.read_tiles(spark, images, wanted, ["B04"])
     frame.explain()
     plan = capsys.readouterr().out
-    assert "ReadSchema: struct<B04:binary,_tmp_metadata_row_index:bigint>" in plan
+    assert "ReadSchema: struct<B04:binary,tile_row:bigint,_tmp_metadata_row_index:bigint>" in plan
     assert "Exchange hashpartitioning" not in plan.split("BroadcastExchange")[0]
     assert "BroadcastHashJoin" in plan and "IN (part_1.parquet)" in plan.replace("= part_1.parquet", "IN (part_1.parquet)")
 
@@ -89,6 +90,21 @@ def test_a_shard_of_any_size_is_written_by_several_tasks(spark, images, tmp_path
     assert sorted((r["shard"], r["row_in_file"], r["B04"][1]) for r in back) == [(f"part_{s}.parquet", t, t) for s in range(3) for t in range(4)]
 
 
+def test_an_unreadable_shard_is_reported(spark, images):
+    with open(f"{images}/part_1.parquet", "wb") as out:
+        out.write(b"no parquet at all")
+    wanted = manifest(spark, [(i, f"/x/part_{i % 3}.parquet", i % 4, 0) for i in range(12)])
+    with pytest.raises(Exception, match="part_1.parquet"):
+        src.read_tiles(spark, images, wanted, RGB).collect()
+    found = src.read_tiles(spark, images, wanted, RGB, tolerant=True)
+    assert sorted(r["row_id"] for r in found.select("row_id").collect()) == [i for i in range(12) if i % 3 != 1]
+    bad = src.missing_sources(spark, images, wanted).filter("not complete").collect()
+    assert [(r["shard"], r["n_rows"], r["n_missing"]) for r in bad] == [("part_1.parquet", 4, 4)]
+    made = materialize_subset(spark, images, wanted, f"{images}-out", RGB)
+    assert made.manifest.count() == 8
+    assert [r["shard"] for r in made.report.filter("not complete").collect()] == ["part_1.parquet"]
+
+
 def test_missing_sources(spark, images):
     wanted = manifest(spark, [(0, "/x/part_0.parquet", 0, 0), (1, "/x/part_0.parquet", 7, 0), (2, "/x/gone.parquet", 0, 0)])
     got = {r["shard"]: (r["n_rows"], r["n_missing"], r["complete"]) for r in src.missing_sources(spark, images, wanted).collect()}

@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.vectors import l2_normalize
 from ..operators.clustering import kmeans
 from ..operators.nearest import assign_nearest
+from ..operators.reports import black_tiles
 from ..operators.selection import closest_per_cluster
+from ..operators.tiles import null_band_policy
 from ..session import scratch_path, written
 from ..sources.manifest import build_manifest
 from ..sources.tiles import write_shards
@@ -177,9 +179,14 @@ def chosen10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def black_vector(spark: SparkSession, sf_dir: str) -> list[float]:
-    """The embedding of tile 7, a black one."""
-    row = vectors(spark, sf_dir).filter(F.col("row_id") == 7).select("embedding").first()
-    return [float(x) for x in row[0]]
+    """The embedding of the first black tile, as the black clusters are looked for with it."""
+
+    def make() -> list[float]:
+        black = black_tiles(null_band_policy(tiles(spark, sf_dir))).select("row_id")
+        row = vectors(spark, sf_dir).join(F.broadcast(black), "row_id", "left_semi").select("embedding").first()
+        return [float(x) for x in row[0]]
+
+    return _once(spark, sf_dir, "black", make)
 
 
 def sizes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -141,7 +141,13 @@ _part("counts", "assign", _counts(K))
 _part("counts12", "assign", _counts(K + 2))
 _part("ranks", "counts", "SELECT cid, n, row_number() OVER (ORDER BY n DESC, cid) - 1 AS r FROM counts")
 _part("ranks12", "counts12", "SELECT cid, n, row_number() OVER (ORDER BY n DESC, cid) - 1 AS r FROM counts12")
-_part("black", "raw", "SELECT v FROM raw WHERE row_id = 7")
+_part(
+    "black",
+    "raw zeros",
+    """SELECT v FROM raw WHERE row_id = (SELECT row_id FROM
+  (SELECT * FROM zeros ORDER BY md5(concat_ws('-', CAST(row_id AS VARCHAR), '42')), row_id LIMIT 5000)
+  WHERE is_black ORDER BY md5(concat_ws('-', CAST(row_id AS VARCHAR), '42')), row_id LIMIT 1)""",
+)
 _part(
     "sims",
     "cents black",
@@ -759,3 +765,11 @@ _sql(
     "manifest chosen20",
     f"SELECT row_id, cid AS cluster_id, name AS parquet_url, row_group AS parquet_row, row_group, 0 AS row_in_rg FROM ({_RENUMBERED})",
 )
+_sql(
+    "materialize_subset_report",
+    "manifest chosen20",
+    """SELECT shard, count(*) AS n_rows, count(*) FILTER (WHERE gone) AS n_missing, NOT bool_or(gone) AS complete FROM
+  (SELECT string_split(parquet_file, '/')[-1] AS shard, false AS gone FROM manifest JOIN chosen20 USING (row_id) UNION ALL
+   SELECT replace(string_split(parquet_file, '/')[-1], 'part_', 'absent_'), true FROM manifest JOIN chosen20 USING (row_id))
+  GROUP BY shard""",
+)

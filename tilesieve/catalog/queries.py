@@ -796,12 +796,21 @@ def run_steps(spark, sf_dir):
     return subset.withColumn("parquet_file", basename(F.col("parquet_file")))
 
 
-@query
-def materialize_subset(spark, sf_dir):
-    """Chosen tiles and their twins in absent shards; the twins must not be in the new manifest."""
+def _materialized(spark, sf_dir):
+    """Chosen tiles and their twins in absent shards."""
     near = selection.closest_per_cluster(fx.assign10(spark, sf_dir), 20)
     twins = near.withColumn("row_id", F.col("row_id") + 1000000)
     subset = joins.gather(fx.manifest_with_absent(spark, sf_dir), near.unionByName(twins)).drop("parquet_url", "parquet_row")
     dest = scratch_path(spark, "materialized")
-    made = materialize(spark, fx.images_dir(spark, sf_dir), subset, dest, RGB).manifest
-    return made.select("row_id", "cluster_id", "parquet_url", "parquet_row", "row_group", "row_in_rg")
+    return materialize(spark, fx.images_dir(spark, sf_dir), subset, dest, RGB)
+
+
+@query
+def materialize_subset(spark, sf_dir):
+    made = _materialized(spark, sf_dir)
+    return made.manifest.select("row_id", "cluster_id", "parquet_url", "parquet_row", "row_group", "row_in_rg")
+
+
+@query
+def materialize_subset_report(spark, sf_dir):
+    return _materialized(spark, sf_dir).report

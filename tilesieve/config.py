@@ -37,7 +37,8 @@ class ExtractionConfig:
     batch_size: int = 64
     tile_height: int = TILE_SIDE
     tile_width: int = TILE_SIDE
-    on_error: str = "drop"  # or "zeros": embed unreadable tiles as all-zero images
+    # Unreadable tiles: "drop" leaves them out, "zeros" embeds them as empty images, "fail" stops.
+    on_error: str = "drop"
 
 
 @dataclass(frozen=True)

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -91,6 +93,42 @@ def _merge(features: DataFrame, threshold: float) -> DataFrame:
     return merged.unionByName(rest)
 
 
+@dataclass(frozen=True)
+class Grouped:
+    """Points in bounded groups; independent of the threshold, so a search deals them once."""
+
+    points: DataFrame
+    cells: int
+    salts: int
+
+
+def group_points(
+    points: DataFrame, key: str = "row_id", vec: str = "embedding", seed: int = 42, group_rows: int = GROUP_ROWS
+) -> Grouped:
+    """Deal points to cells around sampled pivots, so that near points meet.
+
+    A cell with more than ``group_rows`` points is split by a hash of the key, whatever its size.
+    """
+    points = points.filter(F.col(vec).isNotNull()).select(key, F.col(vec).cast("array<double>").alias(vec))
+    total = points.count()
+    if total == 0:
+        raise ValueError("threshold clustering found zero clusters")
+    pivots = min(MAX_PIVOTS, -(-total // group_rows))
+    if pivots == 1:
+        return Grouped(points.withColumns({"cell": F.lit(0), "salt": F.lit(0).cast("bigint")}), 1, 1)
+    chosen = rank_within(sample_exact(points.select(key), pivots, key, seed), [], [key], "_rn", size=pivots)
+    # at most MAX_PIVOTS rows
+    starts = points.join(F.broadcast(chosen), key).select(
+        (F.col("_rn") - 1).cast("int").alias("cluster_id"), F.col(vec).alias("centroid")
+    )
+    near = assign_carrying(points, starts, key, vec)
+    cells = written(near.select(key, vec, F.col("cluster_id").alias("cell")), "cells")
+    sizes = cells.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / group_rows).alias("salts"))
+    # at most MAX_PIVOTS rows
+    salted = cells.join(F.broadcast(sizes), "cell").withColumn("salt", F.pmod(F.xxhash64(key), F.col("salts")))
+    return Grouped(salted.drop("salts"), pivots, sizes.agg(F.max("salts")).first()[0])
+
+
 def threshold_centroids(
     points: DataFrame,
     threshold: float,
@@ -98,33 +136,18 @@ def threshold_centroids(
     vec: str = "embedding",
     seed: int = 42,
     group_rows: int = GROUP_ROWS,
+    grouped: Grouped | None = None,
 ) -> DataFrame:
-    """(cluster_id, centroid, n): the sub-clusters of radius <= threshold, numbered 0..m-1.
+    """(cluster_id, centroid, n, radius): the sub-clusters of radius <= threshold, numbered 0..m-1.
 
-    1. Points go to cells around sampled pivots, so that near points meet; a cell with more than
-       ``group_rows`` points is split by a hash of the key, whatever its size.
+    1. Points are dealt to bounded groups of near points (``grouped``, where that was done before).
     2. Every group builds its features; equal points collapse here.
     3. The groups of a cell are merged SALT_STEP at a time, then the cells likewise.  Where the
        features of a group exceed one task they go on as they are; they keep the radius bound.
     """
-    points = points.filter(F.col(vec).isNotNull()).select(key, F.col(vec).cast("array<double>").alias(vec))
-    total = points.count()
-    if total == 0:
-        raise ValueError("threshold clustering found zero clusters")
-    pivots = min(MAX_PIVOTS, -(-total // group_rows))
-    if pivots > 1:
-        starts = rank_within(sample_exact(points, pivots, key, seed), [], [key], "_rn")
-        starts = starts.select((F.col("_rn") - 1).cast("int").alias("cluster_id"), F.col(vec).alias("centroid"))
-        near = assign_carrying(points, starts, key, vec)
-        cells = written(near.select(key, vec, F.col("cluster_id").alias("cell")), "cells")
-        sizes = cells.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / group_rows).alias("salts"))
-        # at most MAX_PIVOTS rows
-        keyed = cells.join(F.broadcast(sizes), "cell")
-        most = sizes.agg(F.max("salts")).first()[0]
-    else:
-        keyed, most = points.withColumn("cell", F.lit(0)).withColumn("salts", F.lit(1).cast("bigint")), 1
-    grouped = keyed.withColumn("salt", F.pmod(F.xxhash64(key), F.col("salts"))).drop("salts")
-    features = written(_build(grouped, threshold, vec, key), "features")
+    held = grouped or group_points(points, key, vec, seed, group_rows)
+    pivots, most = held.cells, held.salts
+    features = written(_build(held.points, threshold, vec, key), "features")
     while most > 1:
         most = -(-most // SALT_STEP)
         features = features.withColumn("salt", F.expr(f"salt div {SALT_STEP}"))
@@ -180,8 +203,9 @@ def threshold_search(
     the target, the lowest threshold or the last attempt is reached.
     """
     rows, current = [], threshold
+    grouped = group_points(points, key, vec, **options)
     while True:
-        centroids = written(threshold_centroids(points, current, key, vec, **options), "subclusters")
+        centroids = written(threshold_centroids(points, current, key, vec, grouped=grouped), "subclusters")
         found = cluster_number(centroids)
         rows.append((len(rows) + 1, float(current), found))
         if found >= target or current <= min_threshold or len(rows) >= attempts:
@@ -196,9 +220,10 @@ def threshold_sweep(
 ) -> DataFrame:
     """(threshold, n_clusters) per threshold, ending with the first that leaves one cluster."""
     sample = written(sample.select(key, vec), "sample")
+    grouped = group_points(sample, key, vec, **options)
     rows = []
     for threshold in thresholds:
-        found = cluster_number(threshold_centroids(sample, float(threshold), key, vec, **options))
+        found = cluster_number(threshold_centroids(sample, float(threshold), key, vec, grouped=grouped))
         rows.append((float(threshold), found))
         if found == 1:
             break

@@ -20,19 +20,19 @@ def prepare_and_embed_tiles(spark: SparkSession, manifest: DataFrame, cfg: RunCo
     e = cfg.extraction
     bound_batches(spark, 2 * len(e.band_indices) * e.tile_height * e.tile_width)
     factory = model_factory(e.model)
+    if e.on_error not in ("fail", "drop", "zeros"):
+        raise ValueError(f"on_error must be 'fail', 'drop' or 'zeros', not {e.on_error!r}")
     bands = band_columns(e.band_indices)
-    tiles = read_tiles(spark, cfg.data.images_dir, manifest, bands)
+    tiles = read_tiles(spark, cfg.data.images_dir, manifest, bands, tolerant=e.on_error != "fail")
     prepared = prepare_tiles(tiles, e.tile_height, e.tile_width, e.crop_size, e.nodata_threshold, bands)
-    if e.on_error == "drop":
+    if e.on_error != "zeros":
         usable = prepared.filter(F.col("status") == "kept")
-    elif e.on_error == "zeros":
+    else:
         # The images are used twice here, so they are written instead of being prepared twice.
         prepared = written(prepared, "prepared")
         unread = tile_status(manifest, prepared).filter(F.col("status") == "read_error").select("row_id")
         blank = unread.withColumn("pixels", blank_pixels(e.crop_size))
         usable = prepared.filter(F.col("status") == "kept").select("row_id", "pixels").unionByName(blank)
-    else:
-        raise ValueError(f"on_error must be 'drop' or 'zeros', not {e.on_error!r}")
     return embed_tiles(usable, factory, e.crop_size, e.batch_size)
 
 

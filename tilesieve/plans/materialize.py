@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.text import basename
 from ..operators.joins import rebase_manifest, renumber_row_groups
 from ..session import written
-from ..sources.tiles import extract_subset_rows, missing_rows, missing_sources, write_shards
+from ..sources.tiles import extract_subset_rows, missing_rows, write_shards
 
 
 @dataclass(frozen=True)
@@ -19,16 +20,28 @@ class Materialized:
 
 
 def materialize_subset(
-    spark: SparkSession, images_dir: str, subset: DataFrame, dest: str, bands: Sequence[str]
+    spark: SparkSession, images_dir: str, subset: DataFrame, dest: str, bands: Sequence[str], kind: str = "binary"
 ) -> Materialized:
     """Extract the rows of the subset to ``dest``/images and the new manifest to ``dest``/metadata.
 
-    Rows whose shard or row is absent are left out of the manifest and show up in the report,
-    (shard, n_rows, n_missing, complete).
+    Rows whose shard or row is absent or unreadable do not stop the others.  What counts is what
+    was written: the manifest holds the rows found in the new shards, and the report,
+    (shard, n_rows, n_missing, complete), the rest.
     """
     images, metadata = f"{dest.rstrip('/')}/images", f"{dest.rstrip('/')}/metadata"
     absent = written(missing_rows(spark, images_dir, subset), "absent")
     present = subset.join(absent.select("row_id"), "row_id", "left_anti")
-    write_shards(extract_subset_rows(spark, images_dir, present, bands), images)
-    rebase_manifest(renumber_row_groups(present, images)).write.parquet(metadata)
-    return Materialized(spark.read.parquet(metadata), missing_sources(spark, images_dir, subset))
+    write_shards(extract_subset_rows(spark, images_dir, present, bands, kind=kind, tolerant=True), images)
+    renumbered = written(renumber_row_groups(present, images), "renumbered")
+    lost = missing_rows(spark, images, renumbered).select("row_id")
+    rebase_manifest(renumbered.join(lost, "row_id", "left_anti")).write.parquet(metadata)
+    manifest = spark.read.parquet(metadata)
+    kept = manifest.select("row_id", F.lit(1).alias("_kept"))
+    report = (
+        subset.select("row_id", basename(F.col("parquet_file")).alias("shard"))
+        .join(kept, "row_id", "left")
+        .groupBy("shard")
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("_kept").isNull()).alias("n_missing"))
+        .withColumn("complete", F.col("n_missing") == 0)
+    )
+    return Materialized(manifest, report)

@@ -33,16 +33,28 @@ def _shard(images_dir: str):
     return F.regexp_replace(first, "^shard=", "")
 
 
-def open_shards(spark: SparkSession, images_dir: str, columns: Sequence[str] = ()) -> DataFrame:
-    """(shard, row_in_file, *columns); without columns only footers are read."""
-    scan = spark.read.option("recursiveFileLookup", "true").parquet(images_dir)
-    row = F.col("tile_row") if "tile_row" in scan.columns else F.col("_metadata.row_index")
-    return scan.select(_shard(images_dir).alias("shard"), row.alias("row_in_file"), *columns)
+def _scan(spark: SparkSession, images_dir: str, columns: Sequence[str], kind: str, tolerant: bool) -> DataFrame:
+    schema = ", ".join([*[f"`{c}` {kind}" for c in columns], "tile_row bigint"])
+    reader = spark.read.schema(schema).option("recursiveFileLookup", "true")
+    return reader.option("ignoreCorruptFiles", str(tolerant).lower()).parquet(images_dir)
+
+
+def open_shards(
+    spark: SparkSession, images_dir: str, columns: Sequence[str] = (), kind: str = "binary", tolerant: bool = False
+) -> DataFrame:
+    """(shard, row_in_file, *columns) with columns of type ``kind``; without columns no band is read.
+
+    ``tolerant`` passes over files that cannot be read; compare the result with the manifest then.
+    """
+    row = F.coalesce(F.col("tile_row"), F.col("_metadata.row_index"))
+    return _scan(spark, images_dir, columns, kind, tolerant).select(
+        _shard(images_dir).alias("shard"), row.alias("row_in_file"), *columns
+    )
 
 
 def row_group_starts(spark: SparkSession, images_dir: str) -> DataFrame:
     """(shard, row_group, first_row) from the footers, one small task per share of the files."""
-    scan = spark.read.option("recursiveFileLookup", "true").parquet(images_dir)
+    scan = _scan(spark, images_dir, (), "binary", False)
     files = scan.select(_shard(images_dir).alias("shard"), F.col("_metadata.file_path").alias("path")).distinct()
 
     def run(batches):
@@ -123,9 +135,11 @@ def read_tiles(
     bands: Sequence[str],
     starts: DataFrame | None = None,
     max_bytes: int = MAX_BROADCAST_BYTES,
+    kind: str = "binary",
+    tolerant: bool = False,
 ) -> DataFrame:
     """(row_id, shard, row_in_file, *bands) for the tiles of the manifest; one pruned scan."""
-    images = open_shards(spark, images_dir, bands)
+    images = open_shards(spark, images_dir, bands, kind, tolerant)
     return match_rows(images, addresses(manifest, starts), "inner", max_bytes).select("row_id", "shard", "row_in_file", *bands)
 
 
@@ -135,13 +149,15 @@ def extract_subset_rows(
     manifest: DataFrame,
     bands: Sequence[str],
     max_bytes: int = MAX_BROADCAST_BYTES,
+    kind: str = "binary",
+    tolerant: bool = False,
 ) -> DataFrame:
     """(shard, tile_row, *bands): the image rows that the manifest names, each once.
 
     ``tile_row`` counts the chosen rows of a shard in their old order.  It is found on the
     addresses, so the images are neither sorted nor grouped for it.
     """
-    images = open_shards(spark, images_dir, bands)
+    images = open_shards(spark, images_dir, bands, kind, tolerant)
     wanted = addresses(manifest).select("shard", "row_in_file").distinct()
     ranked = written(rank_within(wanted, ["shard"], ["row_in_file"], "_rn"), "rows")
     placed = ranked.select("shard", "row_in_file", (F.col("_rn") - 1).alias("tile_row"))
@@ -160,14 +176,14 @@ def write_shards(tiles: DataFrame, dest: str, rows_per_file: int = ROWS_PER_FILE
 
 
 def missing_rows(spark: SparkSession, images_dir: str, manifest: DataFrame) -> DataFrame:
-    """(row_id, shard, row_in_file) of manifest rows whose shard or row is absent."""
-    return addresses(manifest).join(open_shards(spark, images_dir), ["shard", "row_in_file"], "left_anti")
+    """(row_id, shard, row_in_file) of manifest rows whose shard or row is absent or unreadable."""
+    return addresses(manifest).join(open_shards(spark, images_dir, tolerant=True), ["shard", "row_in_file"], "left_anti")
 
 
 def missing_sources(spark: SparkSession, images_dir: str, manifest: DataFrame) -> DataFrame:
     """(shard, n_rows, n_missing, complete) for every shard the manifest names."""
     wanted = addresses(manifest)
-    held = open_shards(spark, images_dir).withColumn("_there", F.lit(1))
+    held = open_shards(spark, images_dir, tolerant=True).withColumn("_there", F.lit(1))
     found = wanted.join(held, ["shard", "row_in_file"], "left")
     return found.groupBy("shard").agg(
         F.count(F.lit(1)).alias("n_rows"),
