@@ -63,8 +63,7 @@ def test_equal_centroids_are_sent_once(spark, cloud):
     assert len(ids) == 400 - 132 and 100 in ids and 101 not in ids
 
 
-@pytest.mark.parametrize("partitions", [1, 4, 16])
-@pytest.mark.parametrize("max_bytes", [500, 1 << 28])
+@pytest.mark.parametrize("partitions,max_bytes", [(1, 1 << 28), (16, 1 << 28), (4, 500)])
 def test_assign_nearest(spark, cloud, partitions, max_bytes):
     points = frame(spark, cloud, partitions=partitions)
     centroids = frame(spark, cloud[:37], "cluster_id", "centroid")
@@ -114,8 +113,7 @@ def lloyd(x, c, rounds):
     return c, inertia
 
 
-@pytest.mark.parametrize("partitions", [1, 4, 16])
-@pytest.mark.parametrize("max_bytes", [700, 1 << 28])
+@pytest.mark.parametrize("partitions,max_bytes", [(1, 1 << 28), (16, 1 << 28), (4, 700)])
 def test_kmeans_is_lloyd(spark, cloud, partitions, max_bytes):
     points = frame(spark, cloud, partitions=partitions)
     got = clustering.kmeans(points, 9, 2, init="first", max_points_per_centroid=None, max_bytes=max_bytes).orderBy("cluster_id").collect()
@@ -167,8 +165,7 @@ def test_absorb_keeps_the_radius(cloud):
     assert (ss / n - (mean**2).sum(1) <= 2.5**2 + 1e-9).all()
 
 
-@pytest.mark.parametrize("group_rows", [40, 4096])
-@pytest.mark.parametrize("partitions", [1, 16])
+@pytest.mark.parametrize("partitions,group_rows", [(1, 40), (16, 40), (4, 4096)])
 def test_threshold_clusters_find_the_blobs(spark, sf_dir, group_rows, partitions):
     points = written(fx.blobs(spark, sf_dir).repartition(partitions), "blobs")
     found = thresholds.threshold_centroids(points, 0.3, group_rows=group_rows)
