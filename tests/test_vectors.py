@@ -91,7 +91,7 @@ def test_null_vectors_are_left_out(spark, cloud):
     assert nearest.assign_nearest(points, frame(spark, cloud[:5], "cluster_id", "centroid")).count() == 399
 
 
-@pytest.mark.parametrize("max_bytes", [2000, 1 << 28])
+@pytest.mark.parametrize("max_bytes", [15_000, 1 << 28])
 def test_pair_distances(spark, cloud, max_bytes):
     d = np.sqrt(((cloud[:, None] - cloud[None]) ** 2).sum(2))
     d = d[d > 0]

@@ -295,12 +295,12 @@ _sql(
 _sql(
     "register_model",
     "wide zeros",
-    f"""SELECT row_id, channel AS pos,
-  round(list_avg(list_transform(v, lambda x: ({_CLAMP.format(x='x')} - CAST({_MEAN} AS DOUBLE)) / CAST({_STD} AS DOUBLE))), 3) + 0.0 AS value
+    f"""SELECT row_id, channel AS pos, round(len(list_filter(v, lambda x:
+  ({_CLAMP.format(x="x")} - CAST({_MEAN} AS DOUBLE)) / CAST({_STD} AS DOUBLE) > 0)) / CAST(len(v) AS DOUBLE), 6) + 0.0 AS value
   FROM wide JOIN zeros USING (row_id) WHERE nodata * 100 <= 45""",
 )
 _sql(
-    "l2_normalize_vectors",
+    "l2_normalize",
     "scaled",
     _list(
         "row_id",
@@ -310,7 +310,7 @@ _sql(
     ),
 )
 _sql(
-    "l2_normalize_eps_vectors",
+    "l2_normalize_eps",
     "scaled",
     _list("row_id", "(SELECT row_id, v, sqrt(list_sum(list_transform(v, lambda y: y * y))) + 1e-8 AS n FROM scaled)", "v", "{x} / n"),
 )
@@ -320,7 +320,7 @@ _sql(
     """SELECT row_id, round((cloud_cover - min(cloud_cover) OVER ()) / (max(cloud_cover) OVER () - min(cloud_cover) OVER () + 1e-6), 6)
   + 0.0 AS scaled FROM base""",
 )
-_sql("file_basename", "base", "SELECT row_id, string_split(parquet_url, '/')[-1] AS name FROM base")
+_sql("basename", "base", "SELECT row_id, string_split(parquet_url, '/')[-1] AS name FROM base")
 
 # ---------------------------------------------------------------- filters and samples
 

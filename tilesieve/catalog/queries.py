@@ -30,7 +30,7 @@ GARBAGE = 0.02
 
 
 def query(run: Query) -> Query:
-    QUERIES[run.__name__] = run
+    QUERIES[run.__name__.rstrip("_")] = run
     return run
 
 
@@ -284,24 +284,27 @@ def _channel_means():
     return lambda images: {"x_norm_clstoken": images.mean(axis=(2, 3))}
 
 
+def _bright_share():
+    """Share of pixels above the channel's mean, first of a tuple as some networks return it."""
+    return lambda images: ((images > 0).mean(axis=(2, 3)), None)
+
+
 @query
 def register_model(spark, sf_dir):
-    models.register_model("channel-means", _channel_means)
+    models.register_model("bright-share", _bright_share)
     found = src.read_tiles(spark, fx.images_dir(spark, sf_dir), fx.manifest(spark, sf_dir), RGB)
     made = tl.prepare_tiles(found, fx.SIDE, fx.SIDE, fx.SIDE).filter(F.col("status") == "kept")
-    out = tl.embed_tiles(made, models.model_factory("channel-means"), fx.SIDE)
-    return out.select("row_id", F.posexplode("embedding").alias("pos", "x")).select(
-        "row_id", "pos", (F.round(F.col("x").cast("double"), 3) + F.lit(0.0)).alias("value")
-    )
+    out = tl.embed_tiles(made, models.model_factory("bright-share"), fx.SIDE)
+    return _long(out, ["row_id"], "embedding")
 
 
 @query
-def l2_normalize_vectors(spark, sf_dir):
+def l2_normalize_(spark, sf_dir):
     return _long(fx.scaled(spark, sf_dir).select("row_id", l2_normalize(F.col("embedding")).alias("v")), ["row_id"], "v")
 
 
 @query
-def l2_normalize_eps_vectors(spark, sf_dir):
+def l2_normalize_eps_(spark, sf_dir):
     return _long(fx.scaled(spark, sf_dir).select("row_id", l2_normalize_eps(F.col("embedding")).alias("v")), ["row_id"], "v")
 
 
@@ -312,7 +315,7 @@ def minmax_scale(spark, sf_dir):
 
 
 @query
-def file_basename(spark, sf_dir):
+def basename_(spark, sf_dir):
     return fx.metadata(spark, sf_dir).select("row_id", basename(F.col("parquet_url")).alias("name"))
 
 
