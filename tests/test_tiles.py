@@ -198,6 +198,23 @@ def test_band_stats_skip_tiles_with_a_null_band(spark):
     assert np.isclose(got["B04"]["mean"], pixels.mean()) and np.isclose(got["B04"]["std"], pixels.std())
 
 
+def test_measures_of_blobs(spark):
+    raw = spark.createDataFrame(
+        [
+            (0, bytearray(blob([0, 0, 5, 10000])), bytearray(blob([0, 7, 5, 1])), bytearray(blob([0, 0, 0, 2]))),
+            (1, None, bytearray(blob([0, 0, 0, 0])), bytearray(blob([0, 0, 0, 0]))),
+            (2, None, None, None),
+        ],
+        "row_id bigint, B04 binary, B03 binary, B02 binary",
+    )
+    got = tl.measure_tiles(raw).collect()
+    assert [r["row_id"] for r in got] == [0]
+    assert got[0]["nodata"] == 0.25 and np.isclose(got[0]["zero_pct"], 100 * 6 / 12) and not got[0]["is_black"]
+    assert np.allclose(got[0]["sums"], [1.0005, 0.0013, 0.0002])
+    zeros = {r["row_id"]: r for r in tl.measure_tiles(raw, null_bands="zeros").collect()}
+    assert sorted(zeros) == [0, 1] and zeros[1]["is_black"] and zeros[1]["zero_pct"] == 100
+
+
 def test_model_outputs_and_names():
     x = np.ones((2, 3))
     for out in (x, (x, "rest"), {"x_norm_clstoken": x}):

@@ -571,12 +571,19 @@ def _histogram(source: str, col: str, by: str = "") -> str:
 _sql("size_histogram", "sizes", _histogram("(SELECT * FROM sizes WHERE n_candidates > 0)", "n_candidates"))
 _sql("zero_histogram_by_class", "zeros split", _histogram("(SELECT * FROM zeros JOIN split USING (row_id))", "zero_pct", "is_garbage"))
 _sql(
-    "band_stats",
+    "measure_tiles",
+    "zeros",
+    """SELECT row_id, round(nodata, 6) + 0.0 AS nodata, round(zero_pct, 6) + 0.0 AS zero_pct, is_black, CAST(64 AS BIGINT) AS n_pixels
+  FROM zeros""",
+)
+_BAND_STATS = (
     "wide",
     """SELECT band, count(DISTINCT row_id) AS n_tiles, round(avg(x), 6) + 0.0 AS mean,
   round(sqrt(greatest(avg(x * x) - avg(x) * avg(x), 0)), 6) + 0.0 AS std
   FROM (SELECT band, row_id, unnest(v) / CAST(10000 AS DOUBLE) AS x FROM wide) GROUP BY band""",
 )
+_sql("band_stats", *_BAND_STATS)
+_sql("band_stats_of_blobs", *_BAND_STATS)
 
 
 def _profile(points: list[tuple[str, float]], name: str, value: str) -> str:

@@ -606,6 +606,18 @@ def band_stats(spark, sf_dir):
     return found.select("band", "n_tiles", _r(F.col("mean")).alias("mean"), _r(F.col("std")).alias("std"))
 
 
+@query
+def measure_tiles(spark, sf_dir):
+    found = tl.measure_tiles(fx.raw_tiles(spark, sf_dir))
+    return found.select("row_id", _r(F.col("nodata")).alias("nodata"), _r(F.col("zero_pct")).alias("zero_pct"), "is_black", "n_pixels")
+
+
+@query
+def band_stats_of_blobs(spark, sf_dir):
+    found = tl.band_stats_of_measures(tl.measure_tiles(fx.raw_tiles(spark, sf_dir)))
+    return found.select("band", "n_tiles", _r(F.col("mean")).alias("mean"), _r(F.col("std")).alias("std"))
+
+
 @query
 def distance_profile(spark, sf_dir):
     found = pairs.distance_profile(sampling.sample_exact(fx.vectors(spark, sf_dir), 10_000))

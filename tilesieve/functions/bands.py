@@ -1,4 +1,8 @@
-"""Expressions on decoded bands: one flat, row-major integer array per band."""
+"""Expressions on decoded bands: one flat, row-major integer array per band.
+
+They are evaluated element by element, which is right for thumbnails and samples.  For native
+tiles ``operators.tiles.measure_tiles`` takes the same measures from the blobs.
+"""
 
 from __future__ import annotations
 
@@ -14,21 +18,19 @@ def band_columns(indices: Sequence[int] = (3, 2, 1)) -> list[str]:
     return [BAND_ORDER[i] for i in indices]
 
 
-def _share(band: Column, hit) -> Column:
-    hits = F.aggregate(band, F.lit(0).cast("bigint"), lambda acc, x: acc + F.when(hit(x), 1).otherwise(0))
-    return hits
+def _count(band: Column, hit) -> Column:
+    return F.aggregate(band, F.lit(0).cast("bigint"), lambda acc, x: acc + F.when(hit(x), 1).otherwise(0))
 
 
 def nodata_fraction(red: Column, green: Column, blue: Column) -> Column:
     """Share of pixels in which all three bands are zero."""
-    stacked = F.arrays_zip(red.alias("r"), green.alias("g"), blue.alias("b"))
-    empty = _share(stacked, lambda p: (p["r"] == 0) & (p["g"] == 0) & (p["b"] == 0))
-    return empty.cast("double") / F.size(red)
+    either = F.zip_with(F.zip_with(red, green, lambda r, g: r.bitwiseOR(g)), blue, lambda x, b: x.bitwiseOR(b))
+    return _count(either, lambda x: x == 0).cast("double") / F.size(red)
 
 
 def zero_value_pct(red: Column, green: Column, blue: Column) -> Column:
     """100 x share of single band values that are zero."""
-    zeros = sum((_share(b, lambda x: x == 0) for b in (green, blue)), _share(red, lambda x: x == 0))
+    zeros = sum((_count(b, lambda x: x == 0) for b in (green, blue)), _count(red, lambda x: x == 0))
     total = F.size(red) + F.size(green) + F.size(blue)
     return F.lit(100.0) * zeros / total
 

@@ -191,6 +191,63 @@ def status_counts(status: DataFrame) -> DataFrame:
     return status.groupBy("status").agg(F.count(F.lit(1)).alias("n_tiles"))
 
 
+def measure_tiles(tiles: DataFrame, bands: Sequence[str] = RGB, null_bands: str = "skip") -> DataFrame:
+    """(row_id, nodata, zero_pct, is_black, n_pixels, sums, squares) of raw tiles, in one pass.
+
+    ``sums`` and ``squares`` hold, per band, the sum of the values scaled by 10000 and of their
+    squares.  A tile with a null band is left out, or its band counts as empty (``zeros``).
+    """
+    if null_bands not in ("skip", "zeros"):
+        raise ValueError(f"null_bands must be 'skip' or 'zeros', not {null_bands!r}")
+    names = ["row_id", "nodata", "zero_pct", "is_black", "n_pixels", "sums", "squares"]
+
+    def one(blobs) -> tuple | None:
+        length = max((len(b) for b in blobs if b is not None), default=0)
+        if any(b is None for b in blobs):
+            if null_bands == "skip" or not length:
+                return None
+            blobs = [bytes(length) if b is None else b for b in blobs]
+        raw = np.stack([np.frombuffer(b, dtype="<u2") for b in blobs])
+        scaled = raw / 10000.0
+        zero = raw == 0
+        return (
+            float(zero.all(axis=0).mean()),
+            100.0 * float(zero.mean()),
+            bool(zero.all()),
+            raw.shape[1],
+            scaled.sum(axis=1),
+            np.einsum("ij,ij->i", scaled, scaled),
+        )
+
+    def run(batches):
+        for batch in batches:
+            made = [one([c[i].as_py() for c in batch.columns[1:]]) for i in range(batch.num_rows)]
+            kept = [i for i, m in enumerate(made) if m is not None]
+            if kept:
+                columns = list(zip(*(made[i] for i in kept)))
+                kinds = [pa.float64(), pa.float64(), pa.bool_(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64())]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(kept)), *[pa.array(c, k) for c, k in zip(columns, kinds)]], names=names
+                )
+
+    source = tiles.select("row_id", *[_band_bytes(tiles, b).alias(b) for b in bands])
+    return source.mapInArrow(
+        run,
+        "row_id bigint, nodata double, zero_pct double, is_black boolean, n_pixels bigint, sums array<double>, squares array<double>",
+    )
+
+
+def band_stats_of_measures(measures: DataFrame, bands: Sequence[str] = RGB) -> DataFrame:
+    """band_stats from the measures of raw tiles."""
+    totals = measures.agg(
+        F.count(F.lit(1)).alias("n_tiles"),
+        *[F.sum(F.col("sums")[i]).alias(f"_s_{b}") for i, b in enumerate(bands)],
+        *[F.sum(F.col("squares")[i]).alias(f"_q_{b}") for i, b in enumerate(bands)],
+        *[F.sum("n_pixels").alias(f"_n_{b}") for b in bands],
+    )
+    return _stats_of_totals(totals, bands)
+
+
 def band_stats(tiles: DataFrame, bands: Sequence[str] = RGB) -> DataFrame:
     """(band, n_tiles, mean, std) over all pixels of tiles without a null band.
 
@@ -204,7 +261,10 @@ def band_stats(tiles: DataFrame, bands: Sequence[str] = RGB) -> DataFrame:
             F.sum(F.aggregate(b, F.lit(0.0), lambda a, x: a + scaled(x) * scaled(x))).alias(f"_q_{b}"),
             F.sum(F.size(b)).alias(f"_n_{b}"),
         ]
-    totals = tiles.dropna(subset=list(bands)).agg(F.count(F.lit(1)).alias("n_tiles"), *sums)
+    return _stats_of_totals(tiles.dropna(subset=list(bands)).agg(F.count(F.lit(1)).alias("n_tiles"), *sums), bands)
+
+
+def _stats_of_totals(totals: DataFrame, bands: Sequence[str]) -> DataFrame:
     lines = F.array(
         *[
             F.struct(
