@@ -230,3 +230,21 @@ def test_pca_is_the_eigen_decomposition(spark, cloud):
     marks = reduction.variance_marks(reduction.pca_cumulative_variance(frame(spark, x)), at=5).first()
     assert np.isclose(marks["cumulative_5"], value[:5].sum() / value.sum())
     assert marks["reach_90"] == int(np.argmax(np.cumsum(value) / value.sum() >= 0.9)) + 1
+
+
+@pytest.mark.parametrize("max_bytes", [1, 2_000, 1 << 28])
+def test_partial_sums_in_bounded_memory(cloud, max_bytes):
+    labels = np.arange(400) % 37
+    sums = clustering._Sums(max_bytes)
+    out = []
+    for lo in range(0, 400, 60):
+        out += list(sums.add(labels[lo : lo + 60], cloud[lo : lo + 60]))
+    out += list(sums.drain())
+    n, total = np.zeros(37), np.zeros((37, 12))
+    for batch in out:
+        ids, size = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        n[ids] += size
+        total[ids] += blocks.matrix(batch.column(2)) * size[:, None]
+    assert (n == np.bincount(labels)).all()
+    assert np.allclose(total, [cloud[labels == k].sum(0) for k in range(37)])
+    assert max_bytes > 2_000 or len(out) > 1

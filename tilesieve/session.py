@@ -16,6 +16,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
+    # Tiles are megabytes per row: Arrow batches are bounded by bytes, not only by rows.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
 }
 
 
@@ -59,14 +61,6 @@ def hinted(df: DataFrame, rows: int = 10_000) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(head, df.schema))
 
 
-def bound_batches(spark: SparkSession, row_bytes: int, batch_bytes: int = 64 * 1024 * 1024) -> None:
-    """Lower the session's Arrow batch length so that a batch of such rows stays below a size."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    current, most = int(spark.conf.get(name)), max(1, batch_bytes // row_bytes)
-    if current <= 0 or current > most:
-        spark.conf.set(name, str(most))
-
-
 def written(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage of ``df``: write it once to the shared folder and read it back.
 
