@@ -126,33 +126,35 @@ def describe(
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     placed = running_total(counted, by, ["_v"], "_n", "_cum")
-    totals = placed.groupBy(*by).agg(
-        F.max("_cum").alias("_total"), (F.sum(F.col("_v") * F.col("_n")) / F.sum("_n")).alias("_mean")
+    spans = [F.lit(float(p)) * (F.col("_total") - 1) for p in probs]
+    totals = (
+        placed.groupBy(*by)
+        .agg(F.max("_cum").alias("_total"), (F.sum(F.col("_v") * F.col("_n")) / F.sum("_n")).alias("_mean"))
+        .withColumn("_ranks", F.array_distinct(F.array(*[f(pos) for pos in spans for f in (F.floor, F.ceil)])))
     )
-    position = [F.lit(float(p)) * (F.col("_total") - 1) for p in probs]
-
-    def at(rank: Column) -> Column:
-        # ranks are 0-based; a distinct value covers the ranks [cum - n, cum)
-        return F.max(F.when((F.col("_cum") - F.col("_n") <= rank) & (rank < F.col("_cum")), F.col("_v")))
-
-    picks = []
-    for i, pos in enumerate(position):
-        picks += [at(F.floor(pos)).alias(f"_lo{i}"), at(F.ceil(pos)).alias(f"_hi{i}")]
+    # Ranks are 0-based; a distinct value covers the ranks [cum - n, cum).
+    covered = F.filter("_ranks", lambda r: (F.col("_cum") - F.col("_n") <= r) & (r < F.col("_cum")))
+    hits = F.transform(covered, lambda r: F.struct(r.alias("rank"), F.col("_v").alias("value")))
     gap = F.col("_v") - F.col("_mean")
-    found = placed.join(hinted(totals), by).groupBy(*by, "_total", "_mean").agg(
-        F.min("_v").alias("min"), F.max("_v").alias("max"), F.sum(F.col("_n") * gap * gap).alias("_spread"), *picks
+    found = placed.join(hinted(totals), by).withColumn("_hits", hits).groupBy(*by, "_total", "_mean").agg(
+        F.min("_v").alias("min"),
+        F.max("_v").alias("max"),
+        F.sum(F.col("_n") * gap * gap).alias("_spread"),
+        # two ranks per probability, whatever the size of the group
+        F.map_from_entries(F.flatten(F.collect_list(F.when(F.size("_hits") > 0, F.col("_hits"))))).alias("_at"),
     )
-    low, high = "_lo{}".format, "_hi{}".format
+
+    def between(pos: Column) -> Column:
+        low, high = F.col("_at")[F.floor(pos)], F.col("_at")[F.ceil(pos)]
+        return low + (high - low) * (pos - F.floor(pos))
+
     result = found.select(
         *by,
         F.col("_total").alias("count"),
         F.col("_mean").alias("mean"),
         F.when(F.col("_total") > 1, F.sqrt(F.col("_spread") / (F.col("_total") - 1))).alias("std"),
         "min",
-        *[
-            (F.col(low(i)) + (F.col(high(i)) - F.col(low(i))) * (pos - F.floor(pos))).alias(names[i])
-            for i, pos in enumerate(position)
-        ],
+        *[between(pos).alias(name) for pos, name in zip(spans, names)],
         "max",
     )
     return result.drop("_all")
