@@ -117,31 +117,25 @@ def with_edited(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     of the next document.  Of the neighbours only these characters and the fingerprint are moved.
     """
     text = F.coalesce("text", F.lit(""))
-    marked = sketch(docs.select(id_col, F.xxhash64(text).alias("_key"), text.alias("text")), "text", "fingerprint")
-    order = written(in_order(docs, id_col), "next")
-    wanted = order.select(
-        F.col("_next_id").alias(id_col),
-        F.col("_next_h").alias("_key"),
-        F.col(id_col).alias("_for_id"),
-        F.col("_h").alias("_for_h"),
+    # One key column, equal also where the id is null: the joins and the grouping below share their partitioning.
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"))
+    marked = sketch(docs.select(key.alias("_key"), text.alias("text")), "text", "fingerprint")
+    wanted = written(in_order(docs, id_col), "next").select(
+        F.struct(F.col("_next_id").alias("id"), F.col("_next_h").alias("h")).alias("_key"),
+        F.struct(F.col(id_col).alias("id"), F.col("_h").alias("h")).alias("_for"),
         "n_chars",
         (F.col("n_chars") / 2).cast("int").alias("_half"),
     )
-
-    def same(a: DataFrame, b: DataFrame, names: list[tuple[str, str]]) -> Column:
-        (i, j), (k, m) = names
-        return a[i].eqNullSafe(b[j]) & (a[k] == b[m])
-
-    given = marked.join(wanted, same(marked, wanted, [(id_col, id_col), ("_key", "_key")])).select(
-        "_for_id", "_for_h", "n_chars", "_half", F.expr("substring(text, 1, _half)").alias("_given"), F.col("fingerprint").alias("_next_fingerprint")
+    given = marked.join(wanted, "_key").select(
+        F.col("_for").alias("_key"), "n_chars", "_half", F.expr("substring(text, 1, _half)").alias("_given"), F.col("fingerprint").alias("_next_fingerprint")
     )
     # A repeated row hands on its beginning once.
-    given = given.groupBy("_for_id", "_for_h").agg(*(F.first(c).alias(c) for c in ("n_chars", "_half", "_given", "_next_fingerprint")))
-    both = marked.join(given, same(marked, given, [(id_col, "_for_id"), ("_key", "_for_h")]))
+    given = given.groupBy("_key").agg(*(F.first(c).alias(c) for c in ("n_chars", "_half", "_given", "_next_fingerprint")))
+    both = marked.join(given, "_key")
     edited = both.withColumn("edited", F.concat(F.expr("substring(text, 1, n_chars - _half)"), F.col("_given"))).drop("text", "_given")
     found = sketch(edited, "edited", "edited_fingerprint")
     return found.select(
-        id_col,
+        F.col("_key.id").alias(id_col),
         F.col("n_chars").cast("bigint").alias("n_chars"),
         "edited",
         "fingerprint",
