@@ -29,10 +29,10 @@ def _tokens(text: Column) -> Column:
 
 
 def _with_pairs(df: DataFrame, text: str) -> DataFrame:
-    """Adds _h, the hashes of the tokens, and _s, those of neighbouring tokens."""
-    hashed = df.withColumn("_h", F.transform(_tokens(F.coalesce(F.col(text), F.lit(""))), lambda t: F.xxhash64(t)))
+    """Adds _t, the hashes of the tokens, and _s, those of neighbouring tokens."""
+    hashed = df.withColumn("_t", F.transform(_tokens(F.coalesce(F.col(text), F.lit(""))), lambda t: F.xxhash64(t)))
     return hashed.withColumn(
-        "_s", F.expr("transform(slice(_h, 1, greatest(size(_h) - 1, 0)), (a, i) -> xxhash64(a, get(_h, i + 1)))")
+        "_s", F.expr("transform(slice(_t, 1, greatest(size(_t) - 1, 0)), (a, i) -> xxhash64(a, get(_t, i + 1)))")
     )
 
 
@@ -50,7 +50,7 @@ def anchors(df: DataFrame, text: str = "text", out: str = "anchors") -> DataFram
             f"filter(transform({_FOURS}, (a, i) -> if({_IS_ANCHOR}, named_struct('hash', {_ANCHOR}, 'position', i), null)), x -> x is not null)"
         ),
     )
-    return found.drop("_h", "_s")
+    return found.drop("_t", "_s")
 
 
 def matches(a: Column, b: Column) -> Column:
@@ -67,9 +67,9 @@ def sketch(df: DataFrame, text: str, out: str, size: int = SKETCH) -> DataFrame:
     chosen = _with_pairs(df, text).withColumn(
         "_c", F.expr(f"filter(transform({_FOURS}, (a, i) -> if({_IS_ANCHOR}, {_ANCHOR}, null)), x -> x is not null)")
     )
-    whole = F.when(F.size("_h") > 0, F.array(F.hash("_h"))).otherwise(F.array().cast("array<int>"))
+    whole = F.when(F.size("_t") > 0, F.array(F.hash("_t"))).otherwise(F.array().cast("array<int>"))
     marks = F.when(F.size("_c") > 0, F.slice(F.sort_array(F.array_distinct("_c")), 1, size)).otherwise(whole)
-    return chosen.withColumn(out, marks).drop("_h", "_s", "_c")
+    return chosen.withColumn(out, marks).drop("_t", "_s", "_c")
 
 
 def as_text(fingerprint: Column) -> Column:
@@ -85,6 +85,11 @@ def likeness(a: Column, b: Column, size: int = SKETCH) -> Column:
     return 2 * jaccard / (1 + jaccard)
 
 
+def _name(id_col: Column) -> Column:
+    """An id as text; a null id has a name too."""
+    return F.coalesce(F.concat(F.lit("="), id_col.cast("string")), F.lit("-"))
+
+
 def in_order(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id, _h, n_chars, _next_id, _next_h): each document and the next by descending id, the first after the last.
 
@@ -117,25 +122,31 @@ def with_edited(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     of the next document.  Of the neighbours only these characters and the fingerprint are moved.
     """
     text = F.coalesce("text", F.lit(""))
-    # One key column, equal also where the id is null: the joins and the grouping below share their partitioning.
-    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"))
-    marked = sketch(docs.select(key.alias("_key"), text.alias("text")), "text", "fingerprint")
+    # One key, equal also where the id is null: the joins and the grouping below share their partitioning.
+    marked = sketch(docs.select(id_col, _name(F.col(id_col)).alias("_id"), F.xxhash64(text).alias("_h"), text.alias("text")), "text", "fingerprint")
     wanted = written(in_order(docs, id_col), "next").select(
-        F.struct(F.col("_next_id").alias("id"), F.col("_next_h").alias("h")).alias("_key"),
-        F.struct(F.col(id_col).alias("id"), F.col("_h").alias("h")).alias("_for"),
+        _name(F.col("_next_id")).alias("_id"),
+        F.col("_next_h").alias("_h"),
+        _name(F.col(id_col)).alias("_for_id"),
+        F.col("_h").alias("_for_h"),
         "n_chars",
         (F.col("n_chars") / 2).cast("int").alias("_half"),
     )
-    given = marked.join(wanted, "_key").select(
-        F.col("_for").alias("_key"), "n_chars", "_half", F.expr("substring(text, 1, _half)").alias("_given"), F.col("fingerprint").alias("_next_fingerprint")
+    given = marked.join(wanted, ["_id", "_h"]).select(
+        F.col("_for_id").alias("_id"),
+        F.col("_for_h").alias("_h"),
+        "n_chars",
+        "_half",
+        F.expr("substring(text, 1, _half)").alias("_given"),
+        F.col("fingerprint").alias("_next_fingerprint"),
     )
     # A repeated row hands on its beginning once.
-    given = given.groupBy("_key").agg(*(F.first(c).alias(c) for c in ("n_chars", "_half", "_given", "_next_fingerprint")))
-    both = marked.join(given, "_key")
+    given = given.groupBy("_id", "_h").agg(*(F.first(c).alias(c) for c in ("n_chars", "_half", "_given", "_next_fingerprint")))
+    both = marked.join(given, ["_id", "_h"])
     edited = both.withColumn("edited", F.concat(F.expr("substring(text, 1, n_chars - _half)"), F.col("_given"))).drop("text", "_given")
     found = sketch(edited, "edited", "edited_fingerprint")
     return found.select(
-        F.col("_key.id").alias(id_col),
+        id_col,
         F.col("n_chars").cast("bigint").alias("n_chars"),
         "edited",
         "fingerprint",
