@@ -122,12 +122,14 @@ def with_edited(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     of the next document.  Of the neighbours only these characters and the fingerprint are moved.
     """
     text = F.coalesce("text", F.lit(""))
-    # One key, equal also where the id is null: the joins and the grouping below share their partitioning.
-    marked = sketch(docs.select(id_col, _name(F.col(id_col)).alias("_id"), F.xxhash64(text).alias("_h"), text.alias("text")), "text", "fingerprint")
+    # One key, equal also where the id is null: the joins and the grouping below share their partitioning,
+    # and as both joins take all its columns, the texts are shuffled once.
+    marked = sketch(docs.select(_name(F.col(id_col)).alias("_id"), F.xxhash64(text).alias("_h"), text.alias("text")), "text", "fingerprint")
     wanted = written(in_order(docs, id_col), "next").select(
         _name(F.col("_next_id")).alias("_id"),
         F.col("_next_h").alias("_h"),
         _name(F.col(id_col)).alias("_for_id"),
+        F.col(id_col).alias("_given_id"),
         F.col("_h").alias("_for_h"),
         "n_chars",
         (F.col("n_chars") / 2).cast("int").alias("_half"),
@@ -135,18 +137,19 @@ def with_edited(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     given = marked.join(wanted, ["_id", "_h"]).select(
         F.col("_for_id").alias("_id"),
         F.col("_for_h").alias("_h"),
+        "_given_id",
         "n_chars",
         "_half",
         F.expr("substring(text, 1, _half)").alias("_given"),
         F.col("fingerprint").alias("_next_fingerprint"),
     )
     # A repeated row hands on its beginning once.
-    given = given.groupBy("_id", "_h").agg(*(F.first(c).alias(c) for c in ("n_chars", "_half", "_given", "_next_fingerprint")))
+    given = given.groupBy("_id", "_h").agg(*(F.first(c).alias(c) for c in ("_given_id", "n_chars", "_half", "_given", "_next_fingerprint")))
     both = marked.join(given, ["_id", "_h"])
     edited = both.withColumn("edited", F.concat(F.expr("substring(text, 1, n_chars - _half)"), F.col("_given"))).drop("text", "_given")
     found = sketch(edited, "edited", "edited_fingerprint")
     return found.select(
-        id_col,
+        F.col("_given_id").alias(id_col),
         F.col("n_chars").cast("bigint").alias("n_chars"),
         "edited",
         "fingerprint",
