@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Rows of an Arrow batch that a task works on together; bounds its scratch memory.
 SLICE_ROWS = 256
+# Rows of texts that are sent to a Python process in one batch.
+BATCH_ROWS = 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +33,19 @@ def process_state() -> dict:
     return sys.modules.setdefault("_tilesieve_process", types.ModuleType("_tilesieve_process")).__dict__
 
 
+def bounded(rows: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
+    """The same rows, in a session whose Arrow batches hold at most ``batch_rows``.
+
+    Texts are kilobytes per row: a batch of the usual 10,000 rows takes as much memory several times
+    over, in the executor and in each of its Python processes.
+    """
+    conf = rows.sparkSession.conf
+    now = int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if not 0 < now <= batch_rows:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
+    return rows
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of at most ``rows`` rows, without copying; empty ones are left out."""
     for batch in batches:

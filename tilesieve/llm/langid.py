@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import slices, texts_of
+from .common import bounded, slices, texts_of
 
 DIMS = 4096
 # Learning rows per language for the centroids, centroids per language, rounds of clustering.
@@ -108,7 +108,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS, id_col: str =
 
     seen = np.zeros(DIMS + 1)
     # One row per dimension.
-    for at, n in rows.select("text").mapInArrow(frequencies, "_at bigint, _n bigint").groupBy("_at").agg(F.sum("_n")).collect():
+    for at, n in bounded(rows).select("text").mapInArrow(frequencies, "_at bigint, _n bigint").groupBy("_at").agg(F.sum("_n")).collect():
         seen[at] = n
     idf = (np.log((1 + seen[DIMS]) / (1 + seen[:DIMS])) + 1).astype(np.float32)
 
@@ -150,7 +150,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id") -> DataFrame:
                 names=[id_col, "lang_pred", "score", "accepted"],
             )
 
-    return docs.select(id_col, "text").mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double, accepted boolean")
+    return bounded(docs).select(id_col, "text").mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double, accepted boolean")
 
 
 def keep_known(docs: DataFrame, model: Model) -> DataFrame:
@@ -161,4 +161,4 @@ def keep_known(docs: DataFrame, model: Model) -> DataFrame:
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             yield batch.filter(pa.array(model.predict(texts)[2]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return bounded(docs).mapInArrow(run, docs.schema)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import slices, texts_of
+from .common import bounded, slices, texts_of
 from .wordbpe import WordBpe
 
 CAPACITY = 2048
@@ -118,4 +118,4 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, i
         if bins.done:
             yield drained()
 
-    return docs.select(id_col, "text").mapInArrow(run, schema)
+    return bounded(docs).select(id_col, "text").mapInArrow(run, schema)

@@ -21,7 +21,7 @@ import string
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import slices
+from .common import bounded, slices
 
 ROUNDS = 8
 
@@ -266,7 +266,7 @@ def pseudonymise(docs: DataFrame, key: bytes, back: bool = False, text: str = "t
             new = [t if t is None else names.replace(t)[0] for t in batch.column(at).to_pylist()]
             yield batch.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return bounded(docs).mapInArrow(run, docs.schema)
 
 
 def findings(docs: DataFrame, key: bytes, id_col: str = "doc_id") -> DataFrame:
@@ -287,4 +287,4 @@ def findings(docs: DataFrame, key: bytes, id_col: str = "doc_id") -> DataFrame:
                 names=[id_col, "text", "n_found", "kinds"],
             )
 
-    return docs.select(id_col, "text").mapInArrow(run, f"`{id_col}` {kind}, text string, n_found bigint, kinds string")
+    return bounded(docs).select(id_col, "text").mapInArrow(run, f"`{id_col}` {kind}, text string, n_found bigint, kinds string")

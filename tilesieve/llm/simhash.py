@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import written
-from .common import slices, texts_of
+from .common import bounded, slices, texts_of
 from .components import connected
 
 SHINGLE, SEED, REACH = 3, 42, 3
@@ -81,7 +81,7 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE, seed: int = SEED, id_col:
             found = np.array([majority(shingle_hashes(t, size, seed)) for t in texts_of(batch)], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=[id_col, "fp"])
 
-    return docs.select(id_col, "text").mapInArrow(run, f"`{id_col}` {kind}, fp bigint")
+    return bounded(docs).select(id_col, "text").mapInArrow(run, f"`{id_col}` {kind}, fp bigint")
 
 
 def smallest_linked(fps: np.ndarray, table: np.ndarray, reach: int) -> np.ndarray:

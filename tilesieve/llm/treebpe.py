@@ -18,7 +18,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import slices, texts_of
+from .common import bounded, slices, texts_of
 from .wordbpe import WordBpe
 
 # Characters that are encoded in one go, around a join at first, and in one task.
@@ -124,7 +124,7 @@ def _encoded(rows: DataFrame, path: str, leaf: int, spread: int, decoded: bool,
         return pa.Table.from_batches([done])
 
     short = F.coalesce(F.length("text") <= spread, F.lit(True))
-    near = rows.filter(short).select(id_col, "text").mapInArrow(encode, out)
+    near = bounded(rows).filter(short).select(id_col, "text").mapInArrow(encode, out)
     far = (
         rows.filter(~short)
         .select(id_col, "text", F.monotonically_increasing_id().alias("_row"))

@@ -24,7 +24,7 @@ _PLAIN = "[!-~À-ÖØ-öø-ÿ]{1,100}"
 # The split pattern of the vocabulary, restricted to those characters.
 _PIECES = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\na-zß-öø-ÿ0-9]+")
 # Chunks, and lower-case words, that a process keeps at most; a table starts again beyond.
-MAX_KNOWN = 400_000
+MAX_KNOWN = 200_000
 
 
 def _byte_letters() -> dict[str, int]:
