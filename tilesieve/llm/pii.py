@@ -37,9 +37,10 @@ _PATTERN = re.compile(
   | (?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d))
   | (?P<date>(?<![\d/.-])(?:(?:19|20)\d\d(?P<s1>[-/.])\d\d(?P=s1)\d\d|\d\d(?P<s2>[-/.])\d\d(?P=s2)(?:19|20)\d\d)(?![\d/-]|\.\d))
   | (?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))
-  | (?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)
+  | (?P<phone>(?<![\w+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)
+      | (?<![\w+])\+(?!1[ .(-])\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)
       | (?<![\w+(-])\(\d{3}\)[ ]?\d{3}[ .-]\d{4}(?!\d) | (?<![\w+.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-]))
-  | (?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-]))
+  | (?P<card>(?<![\w-])(?:\d{13,19}|\d{4}(?P<s3>[ -])\d{4}(?P=s3)\d{4}(?P=s3)\d{1,7}|\d{4}(?P<s4>[ -])\d{6}(?P=s4)\d{5})(?![\w-]))
     """,
     re.VERBOSE,
 )
@@ -241,8 +242,10 @@ class Pseudonyms:
         spans, out, at = [], [], 0
         for m in _PATTERN.finditer(text):
             kind, value = m.lastgroup, m.group()
-            if kind in ("s1", "s2"):
-                kind = "date"
+            if kind == "iban":
+                # A short word in capitals may follow; the check digits tell where the number ends.
+                while " " in value and self.iban(value) is None:
+                    value = value.rpartition(" ")[0]
             new = self.known.get((kind, value), "")
             if new == "":
                 new = getattr(self, kind)(value)
@@ -251,8 +254,8 @@ class Pseudonyms:
                 self.known[kind, value] = new
             if new is not None:
                 out += [text[at : m.start()], new]
-                at = m.end()
-                spans.append((kind, m.start(), m.end()))
+                at = m.start() + len(value)
+                spans.append((kind, m.start(), at))
         return ("".join([*out, text[at:]]), spans) if spans else (text, [])
 
 
