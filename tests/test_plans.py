@@ -224,7 +224,7 @@ def test_unreadable_tiles_can_be_embedded_as_zeros(spark, sf_dir, tmp_path):
     from tilesieve.plans.extract import prepare_and_embed_tiles
 
     wanted = fx.manifest_with_absent(spark, sf_dir)
-    drop = prepare_and_embed_tiles(spark, wanted, config(spark, sf_dir, tmp_path))
+    drop = prepare_and_embed_tiles(spark, wanted, config(spark, sf_dir, tmp_path, on_error="drop"))
     zeros = prepare_and_embed_tiles(spark, wanted, config(spark, sf_dir, tmp_path / "z", on_error="zeros"))
     assert zeros.count() == drop.count() + 500
     blank = zeros.filter("row_id >= 1000000").select("embedding").distinct().collect()

@@ -89,3 +89,11 @@ def test_sample_per_group_caps(spark, skewed):
 def test_fraction_of_one_is_the_table(spark, skewed):
     assert sampling.sample_fraction(skewed, 1.0) is skewed
     assert sampling.sample_fraction(skewed, 0.1234).count() == int(3000 * 0.1234)
+
+
+def test_null_groups_are_ranked_alike_in_both_forms(spark):
+    from tilesieve.operators.ranking import rank_within
+
+    frame = spark.createDataFrame([(None if i % 2 else 1, i) for i in range(10)], "g int, v int")
+    plain = sorted((r.g or 0, r.v, r.rn) for r in rank_within(frame, ["g"], ["v"]).collect())
+    assert plain == sorted((r.g or 0, r.v, r.rn) for r in rank_within(frame, ["g"], ["v"], large=1).collect()) and len(plain) == 10

@@ -142,10 +142,25 @@ def test_minibatch_paths_agree(spark, cloud, max_bytes):
     assert np.allclose([r["centroid"] for r in got], [r["centroid"] for r in want], atol=1e-10)
 
 
-def test_mllib_engine_and_unknown_names(spark, cloud):
-    assert 0 < clustering.kmeans(frame(spark, cloud), 5, engine="mllib").count() <= 5
-    with pytest.raises(ValueError, match="engine"):
-        clustering.kmeans(frame(spark, cloud), 5, engine="other")
+def test_vectors_of_different_length_are_rejected():
+    import pyarrow as pa
+    from tilesieve.operators.blocks import matrix
+
+    with pytest.raises(ValueError, match="different lengths"):
+        matrix(pa.array([[1.0] * 3, [1.0] * 5]))
+
+
+@pytest.mark.parametrize("group_rows, merge_rows", [(4096, 8192), (64, 16), (16, 16)])
+def test_small_bounds_still_merge_to_the_true_clusters(spark, sf_dir, group_rows, merge_rows):
+    from tilesieve.catalog import fixtures
+    from tilesieve.operators import thresholds
+
+    held = written(fixtures.blobs(spark, sf_dir), "blobs")
+    found = thresholds.threshold_centroids(held, 0.3, group_rows=group_rows, merge_rows=merge_rows).collect()
+    assert len(found) == 10 and sum(r.n for r in found) == held.count()
+
+
+def test_unknown_starts_are_rejected(spark, cloud):
     with pytest.raises(ValueError, match="init"):
         clustering.kmeans(frame(spark, cloud), 5, init="other")
 

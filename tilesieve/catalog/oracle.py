@@ -341,7 +341,7 @@ _sql(
     f"""SELECT row_id, grid_cell FROM (SELECT *, row_number() OVER (ORDER BY {_shuffled()}) AS rn, count(*) OVER () AS n FROM base)
   WHERE rn <= floor(n * 0.3)""",
 )
-_IN_SAMPLE = f"(SELECT * FROM zeros ORDER BY {_shuffled()} LIMIT 20000)"
+_IN_SAMPLE = "zeros"
 _sql(
     "first_matching",
     "zeros",
@@ -462,8 +462,8 @@ _sql(
         "v",
     ),
 )
-_BATCH, _BATCHES = 200, 4
-_part("deals", "p", f"SELECT CAST(ceil(count(*) / {_BATCH}.0) AS BIGINT) AS per FROM p")
+_PER_PASS, _BATCHES = 3, 6
+_part("deals", "p", f"SELECT CAST({_PER_PASS} AS BIGINT) AS per")
 _part(
     "s0",
     "p",
@@ -560,12 +560,16 @@ _sql(
 def _histogram(source: str, col: str, by: str = "") -> str:
     over = f"PARTITION BY {by}" if by else ""
     ids = f"{by}, " if by else ""
-    return f"""SELECT {ids}bin, round(low + bin * width, 6) + 0.0 AS low, round(low + (bin + 1) * width, 6) + 0.0 AS high, count(*) AS n
-  FROM (SELECT *, CAST(least(floor((x - low) / width), 49) AS INTEGER) AS bin
+    same = f"AND f.{by} = g.{by}" if by else ""
+    group = f"g.{by}, " if by else ""
+    filled = f"""(SELECT *, CAST(least(floor((x - low) / width), 49) AS INTEGER) AS bin
     FROM (SELECT *, CASE WHEN a = b THEN a - 0.5 ELSE a END AS low, CASE WHEN a = b THEN CAST(1 AS DOUBLE) ELSE b - a END / 50 AS width
       FROM (SELECT {ids}CAST({col} AS DOUBLE) AS x, min(CAST({col} AS DOUBLE)) OVER ({over}) AS a,
-        max(CAST({col} AS DOUBLE)) OVER ({over}) AS b FROM {source})))
-  GROUP BY {ids}bin, low, width"""
+        max(CAST({col} AS DOUBLE)) OVER ({over}) AS b FROM {source})))"""
+    return f"""SELECT {group}g.bin, round(g.low + g.bin * g.width, 6) + 0.0 AS low, round(g.low + (g.bin + 1) * g.width, 6) + 0.0 AS high,
+    count(f.bin) AS n
+  FROM (SELECT DISTINCT {ids}low, width, CAST(t.i AS INTEGER) AS bin FROM {filled} h, (SELECT unnest(range(0, 50)) AS i) t) g
+    LEFT JOIN {filled} f ON f.bin = g.bin {same} GROUP BY {group}g.bin, g.low, g.width"""
 
 
 _sql("size_histogram", "sizes", _histogram("(SELECT * FROM sizes WHERE n_candidates > 0)", "n_candidates"))
@@ -727,7 +731,7 @@ _sql(
     "dark_clusters",
     "zeros assign",
     f"""SELECT DISTINCT cid AS cluster_id FROM assign WHERE row_id IN (SELECT row_id FROM {_IN_SAMPLE}
-  WHERE zero_pct > 30 AND zero_pct < 70 ORDER BY {_shuffled()} LIMIT 10)""",
+  WHERE zero_pct > 30 AND zero_pct < 70)""",
 )
 _sql("split_garbage", "split", "SELECT row_id, cid AS cluster_id, is_garbage FROM split")
 _sql("garbage_tally", "split", "SELECT is_garbage, count(*) AS n_tiles FROM split GROUP BY is_garbage")

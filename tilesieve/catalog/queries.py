@@ -355,7 +355,7 @@ def sample_fraction(spark, sf_dir):
 @query
 def first_matching(spark, sf_dir):
     inside = (bd.zero_value_pct(*[F.col(b) for b in RGB]) > 30) & (bd.zero_value_pct(*[F.col(b) for b in RGB]) < 70)
-    found = sampling.first_matching(_whole(spark, sf_dir), inside, 10, within=20_000)
+    found = sampling.first_matching(_whole(spark, sf_dir), inside, 10)
     return tl.with_zero_pct(found).select("row_id", _r(F.col("zero_pct")).alias("zero_pct"))
 
 
@@ -458,7 +458,7 @@ def missing_sources(spark, sf_dir):
 
 @query
 def pairwise_distances(spark, sf_dir):
-    return pairs.pairwise_distances(sampling.sample_exact(fx.vectors(spark, sf_dir), 10_000))
+    return pairs.pairwise_distances(fx.vectors(spark, sf_dir))
 
 
 def _sims(spark, sf_dir, normalize: str = "none") -> DataFrame:
@@ -519,15 +519,10 @@ def kmeans_capped_training(spark, sf_dir):
     return _long(found, ["cluster_id"], "centroid")
 
 
-@query
-def kmeans_mllib(spark, sf_dir):
-    return _long(clustering.kmeans(fx.points(spark, sf_dir), fx.K, fx.ROUNDS, engine="mllib"), ["cluster_id"], "centroid")
-
-
 @query
 def minibatch_kmeans(spark, sf_dir):
     data = written(fx.points(spark, sf_dir), "points")
-    centroids = clustering.minibatch_kmeans(data, fx.K, max_iter=4, batch=200)
+    centroids = clustering.minibatch_kmeans(data, fx.K, max_iter=2, batches=3)
     return _assign(nearest.assign_nearest(data, centroids))
 
 
@@ -543,7 +538,7 @@ def threshold_search(spark, sf_dir):
 
 @query
 def threshold_sweep(spark, sf_dir):
-    sample = sampling.sample_exact(fx.blobs(spark, sf_dir), 10_000)
+    sample = fx.blobs(spark, sf_dir)
     return thresholds.threshold_sweep(sample, [0.05, 0.3, 0.6, 1.2, 2.4])
 
 
@@ -620,13 +615,13 @@ def band_stats_of_blobs(spark, sf_dir):
 
 @query
 def distance_profile(spark, sf_dir):
-    found = pairs.distance_profile(sampling.sample_exact(fx.vectors(spark, sf_dir), 10_000))
+    found = pairs.distance_profile(fx.vectors(spark, sf_dir))
     return found.select("metric", _r(F.col("distance")).alias("distance"))
 
 
 @query
 def recommend_thresholds(spark, sf_dir):
-    found = pairs.recommend_thresholds(sampling.sample_exact(fx.vectors(spark, sf_dir), 10_000))
+    found = pairs.recommend_thresholds(fx.vectors(spark, sf_dir))
     return found.select("n_clusters", _r(F.col("threshold")).alias("threshold"))
 
 

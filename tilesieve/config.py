@@ -38,16 +38,17 @@ class ExtractionConfig:
     tile_height: int = TILE_SIDE
     tile_width: int = TILE_SIDE
     # Unreadable tiles: "drop" leaves them out, "zeros" embeds them as empty images, "fail" stops.
-    on_error: str = "drop"
+    on_error: str = "fail"
 
 
 @dataclass(frozen=True)
 class SelectionConfig:
     method: str = "lloyd"
     n_clusters: int = 1000
+    # Rounds of Lloyd's algorithm, or passes over all rows in mini-batches.
     max_iter: int = 6
     init: str = "sample"
-    max_points_per_centroid: int = 100
+    max_points_per_centroid: int | None = None
     batch_size: int = 4096
     pca_components: int = 0
     seed: int = 42

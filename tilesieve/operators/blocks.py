@@ -17,9 +17,9 @@ def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     rows = len(column)
-    flat = np.asarray(column.flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
-    if rows and flat.size % rows:
+    if rows and len(set(np.diff(column.offsets.to_numpy()).tolist())) > 1:
         raise ValueError("vectors of different lengths in one column")
+    flat = np.asarray(column.flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
     return flat.reshape(rows, -1) if rows else np.empty((0, 0))
 
 

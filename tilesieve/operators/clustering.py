@@ -203,24 +203,18 @@ def kmeans(
     niter: int = 6,
     seed: int = 42,
     init: str = "sample",
-    max_points_per_centroid: int | None = 100,
-    engine: str = "lloyd",
+    max_points_per_centroid: int | None = None,
     key: str = "row_id",
     vec: str = "embedding",
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """(cluster_id, centroid) after ``niter`` Lloyd rounds; ids are always 0..k-1.
 
-    Training uses at most ``max_points_per_centroid`` x k points, drawn exactly.  ``engine='mllib'``
-    hands the same training set to Spark ML's KMeans, which may return fewer centres.
+    All points train, or at most ``max_points_per_centroid`` x k of them, drawn exactly, where that is given.
     """
     points, n, dims = _checked(points, k, key, vec)
     if max_points_per_centroid and n > max_points_per_centroid * k:
         points = written(sample_exact(points, max_points_per_centroid * k, key, seed), "train")
-    if engine == "mllib":
-        return _mllib_kmeans(points, k, niter, seed, vec)
-    if engine != "lloyd":
-        raise ValueError(f"engine must be 'lloyd' or 'mllib', not {engine!r}")
     centres = Centres.of(initial_centroids(points, k, init, seed, key, vec), k, dims, max_bytes)
     if centres.table is not None:
         points = written(points, "points")
@@ -229,15 +223,6 @@ def kmeans(
     return centres.frame()
 
 
-def _mllib_kmeans(points: DataFrame, k: int, niter: int, seed: int, vec: str) -> DataFrame:
-    from pyspark.ml.clustering import KMeans
-
-    data = points.select(array_to_vector(F.col(vec).cast("array<double>")).alias("features"))
-    model = KMeans(k=k, maxIter=niter, seed=seed, featuresCol="features").fit(data)
-    rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    return points.sparkSession.createDataFrame(rows, "cluster_id int, centroid array<double>")
-
-
 def minibatch_kmeans(
     points: DataFrame,
     k: int,
@@ -248,31 +233,25 @@ def minibatch_kmeans(
     key: str = "row_id",
     vec: str = "embedding",
     max_bytes: int = MAX_BROADCAST_BYTES,
+    batches: int | None = None,
 ) -> DataFrame:
-    """(cluster_id, centroid) after ``max_iter`` rounds over random batches of at most about ``batch`` rows.
+    """(cluster_id, centroid) after ``max_iter`` passes over all rows, in random batches of about ``batch`` rows.
 
-    The rows are dealt to batches by md5(key-seed-epoch), every row once per epoch, and the batches
-    of all rounds are written in one scan; a round then reads its own batch only.
+    The rows are dealt to batches by md5(key-seed-pass), every row once per pass, and the batches
+    of a pass are written in one scan, each spread over several tasks; a round then reads its own
+    batch only.  ``batches`` sets their number per pass instead of their size.
     """
     points, n, dims = _checked(points, k, key, vec)
-    per_epoch = -(-n // batch)
-    epochs = -(-max_iter // per_epoch)
+    per_epoch = batches or -(-n // batch)
     digest = F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed)), F.col("_epoch").cast("string")))
     dealt_by = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
-    dealt = (
-        points.withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
-        .withColumn(
-            "_round",
-            (F.col("_epoch") * per_epoch + F.pmod(dealt_by, F.lit(per_epoch))).cast("int"),
-        )
-        .filter(F.col("_round") < max_iter)
-        .drop("_epoch")
-    )
-    batches = written(dealt.repartitionByRange("_round"), "batches")
     centres = Centres.of(initial_centroids(points, k, init, seed, key, vec), k, dims, max_bytes)
-    for i in range(max_iter):
-        part = batches.filter(F.col("_round") == i)
-        centres.move(centres.means(part, key, vec), keep_weight=True)
+    for epoch in range(max_iter):
+        dealt = points.withColumn("_epoch", F.lit(epoch)).withColumn("_round", F.pmod(dealt_by, F.lit(per_epoch)).cast("int")).drop("_epoch")
+        # A range of (batch, key) per task: a batch is read by its files' statistics, and by many tasks.
+        held = written(dealt.repartitionByRange("_round", key), "batches")
+        for i in range(per_epoch):
+            centres.move(centres.means(held.filter(F.col("_round") == i), key, vec), keep_weight=True)
     return centres.frame()
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import hinted, written
 
-# Largest group that one task may sort by itself.
-LARGE_GROUP = 1_000_000
+# Largest group that one task sorts by itself; the slices give the same ranks.
+LARGE_GROUP = 100_000
 # Largest n for which the group-limit form of top-n is used.
 TOP_N_LIMIT = 10_000
 # A group is first cut to n rows in this many independent pieces.
@@ -30,7 +30,7 @@ def running_total(
     Rows are range-partitioned on (group, order), so a hot group is spread over as many slices as
     its size asks for.  The slices are written once, which fixes which row lies in which slice;
     each slice sums its own rows and adds the total of the slices before it.  (group, order) has
-    to identify a row, and group columns must not be null.
+    to identify a row; null groups count as groups.
     """
     keys, sort = [F.col(c) for c in by], _columns(order)
     amount = F.lit(1).cast("bigint") if weight is None else F.col(weight)
@@ -47,10 +47,14 @@ def running_total(
     inside = (
         Window.partitionBy(*keys, "_slice").orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    renamed = offsets.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col("_slice").alias("_of"), "_before")
+    same = F.col("_slice") == F.col("_of")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_by{i}"))
     return (
-        staged.join(offsets, [*by, "_slice"])
+        staged.join(renamed, same)
         .withColumn(out, F.sum(amount).over(inside) + F.col("_before"))
-        .drop("_slice", "_before")
+        .drop("_slice", "_before", "_of", *[f"_by{i}" for i in range(len(by))])
     )
 
 

@@ -76,9 +76,9 @@ def minmax_scale(df: DataFrame, col: str, out: str = "scaled", eps: float = 1e-6
     return df.withColumn(out, (F.col(col) - low) / (high - low + F.lit(eps)))
 
 
-def pca_scatter(df: DataFrame, max_samples: int = 50_000, seed: int = 42, vec: str = "embedding", key: str = "row_id") -> DataFrame:
+def pca_scatter(df: DataFrame, max_samples: int | None = None, seed: int = 42, vec: str = "embedding", key: str = "row_id") -> DataFrame:
     """(key, pc1, pc2, pc3, color): four components of a capped sample, the fourth scaled to 0..1."""
-    sample = sample_exact(df.select(key, vec), max_samples, key, seed)
+    sample = df.select(key, vec) if max_samples is None else sample_exact(df.select(key, vec), max_samples, key, seed)
     reduced, _ = pca_fit_transform(sample, 4, vec, key)
     parts = reduced.select(key, *[F.col(vec)[i].alias(f"pc{i + 1}") for i in range(4)])
     return minmax_scale(parts, "pc4", "color").drop("pc4")

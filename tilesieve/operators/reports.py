@@ -10,7 +10,7 @@ from ..config import BYTES_PER_SAMPLE, TILE_BANDS, TILE_SIDE
 from ..functions.bands import is_black_tile, zero_value_pct
 from ..session import hinted
 from .ranking import describe
-from .sampling import first_matching, sample_per_group
+from .sampling import first_matching, sample_per_group, semi_sample
 
 # Tiers of the cluster size table, as (label, largest size).
 TIERS = (
@@ -48,7 +48,7 @@ def size_tiers(stats: DataFrame) -> DataFrame:
 
 
 def size_histogram(df: DataFrame, col: str, bins: int = 50, by: Sequence[str] = ()) -> DataFrame:
-    """([by,] bin, low, high, n): equal-width bins over the range of the group, the last one closed.
+    """([by,] bin, low, high, n): equal-width bins over the range of the group, the last one closed, empty bins with n = 0.
 
     A group whose values are all equal gets a range of one around them.
     """
@@ -68,13 +68,16 @@ def size_histogram(df: DataFrame, col: str, bins: int = 50, by: Sequence[str] =
         }
     )
     bin_no = F.least(F.floor((F.col("_v") - F.col("_low")) / F.col("_width")), F.lit(bins - 1)).cast("int")
-    counted = ranged.groupBy(*by, bin_no.alias("bin"), "_low", "_width").agg(F.count(F.lit(1)).alias("n"))
-    return counted.select(
+    counted = ranged.groupBy(*by, "_low", "_width", bin_no.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    # One row per group from here on: its counts, and 0 for the bins that no value fell into.
+    held = counted.groupBy(*by, "_low", "_width").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_n"))
+    every = held.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    return every.select(
         *by,
         "bin",
         (F.col("_low") + F.col("bin") * F.col("_width")).alias("low"),
         (F.col("_low") + (F.col("bin") + 1) * F.col("_width")).alias("high"),
-        "n",
+        F.coalesce(F.col("_n")[F.col("bin")], F.lit(0)).cast("bigint").alias("n"),
     )
 
 
@@ -172,17 +175,21 @@ def garbage_clusters(sims: DataFrame, threshold: float = 0.90) -> DataFrame:
 
 
 def dark_clusters(
-    tiles: DataFrame, assign: DataFrame, low: float = 30, high: float = 70, most: int = 10, seed: int = 42, within: int | None = 20_000
+    tiles: DataFrame, assign: DataFrame, low: float = 30, high: float = 70, most: int | None = None, seed: int = 42, within: int | None = None
 ) -> DataFrame:
-    """Distinct clusters of the first ``most`` half-dark tiles in shuffled order, inside a sample."""
+    """Distinct clusters of the half-dark tiles: of all, or of the first ``most`` in shuffled order, or inside a sample."""
     share = zero_value_pct(F.col("B04"), F.col("B03"), F.col("B02"))
     held = tiles.dropna(subset=["B04", "B03", "B02"])
-    hits = first_matching(held, (share > low) & (share < high), most, "row_id", seed, within).select("row_id")
+    dark = (share > low) & (share < high)
+    if most is None:
+        pool = held if within is None else semi_sample(held, within, "row_id", seed)
+        return assign.join(pool.filter(dark).select("row_id"), "row_id", "left_semi").select("cluster_id").distinct()
+    hits = first_matching(held, dark, most, "row_id", seed, within).select("row_id")
     # at most ``most`` rows
     return assign.join(F.broadcast(hits), "row_id", "left_semi").select("cluster_id").distinct()
 
 
-def black_tiles(tiles: DataFrame, most: int = 1, seed: int = 42, within: int | None = 5_000) -> DataFrame:
+def black_tiles(tiles: DataFrame, most: int = 1, seed: int = 42, within: int | None = None) -> DataFrame:
     """The first purely black tiles in shuffled order, optionally inside a sample."""
     black = is_black_tile(F.col("B04"), F.col("B03"), F.col("B02"))
     return first_matching(tiles, black, most, "row_id", seed, within)
@@ -200,12 +207,16 @@ def garbage_tally(split: DataFrame) -> DataFrame:
     return split.groupBy("is_garbage").agg(F.count(F.lit(1)).alias("n_tiles"))
 
 
-def labelled_sample(split: DataFrame, tiles: DataFrame, garbage: int = 500, good: int = 1000, seed: int = 42) -> DataFrame:
-    """(idx, cluster, is_garbage, black_pct) of up to 500 garbage and 1000 other tiles."""
-    chosen = sample_per_group(split, "is_garbage", {True: garbage, False: good}, "row_id", seed)
+def labelled_sample(
+    split: DataFrame, tiles: DataFrame, garbage: int | None = None, good: int | None = None, seed: int = 42
+) -> DataFrame:
+    """(idx, cluster, is_garbage, black_pct) of all tiles, or of a sample of both classes where both sizes are given."""
+    if (garbage is None) != (good is None):
+        raise ValueError("give the sizes of both classes or of none")
+    chosen = split if garbage is None else F.broadcast(sample_per_group(split, "is_garbage", {True: garbage, False: good}, "row_id", seed))
     share = zero_value_pct(F.col("B04"), F.col("B03"), F.col("B02"))
-    # at most garbage + good rows; the pixels of other tiles are not looked at
-    drawn = tiles.join(F.broadcast(chosen), "row_id").dropna(subset=["B04", "B03", "B02"])
+    # a sample is broadcast: at most garbage + good rows, and the pixels of other tiles are not looked at
+    drawn = tiles.join(chosen, "row_id").dropna(subset=["B04", "B03", "B02"])
     return drawn.select(
         F.col("row_id").alias("idx"), F.col("cluster_id").alias("cluster"), "is_garbage", share.alias("black_pct")
     )

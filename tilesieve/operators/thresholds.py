@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import MAX_BROADCAST_BYTES, written
-from .blocks import list_array, matrix
+from .blocks import list_array, matrix, sized
 from .nearest import assign_carrying, assign_nearest
 from .ranking import rank_within
 from .sampling import sample_exact
@@ -76,8 +76,13 @@ def _build(points: DataFrame, threshold: float, vec: str, key: str) -> DataFrame
     return points.groupBy("cell", "salt").applyInArrow(job, f"cell int, salt bigint, {_FEATURE}")
 
 
-def _merge(features: DataFrame, threshold: float) -> DataFrame:
-    """Merge the features of every (cell, salt) group that fits one task; others pass unchanged."""
+def _merge(features: DataFrame, threshold: float, merge_rows: int = MERGE_ROWS) -> DataFrame:
+    """Merge the features of every (cell, salt) group, written.
+
+    A group beyond ``merge_rows`` is dealt to parts that fit one task, each time by other slices:
+    along one coordinate after the other, so that near features meet, and by hash where many lie
+    in one slice.  That is repeated until the group fits, or no slicing merges any more.
+    """
 
     def job(table: pa.Table) -> pa.Table:
         n, ls, ss = table["n"].to_numpy(), matrix(table["ls"]), table["ss"].to_numpy()
@@ -85,12 +90,27 @@ def _merge(features: DataFrame, threshold: float) -> DataFrame:
         feats = absorb(n[order], ls[order], ss[order], threshold)
         return _feature_table(table, table["cell"][0].as_py(), table["salt"][0].as_py(), feats)
 
-    sizes = features.groupBy("cell", "salt").agg(F.count(F.lit(1)).alias("_size"))
-    marked = features.join(sizes, ["cell", "salt"])
-    small = marked.filter(F.col("_size").between(2, MERGE_ROWS)).drop("_size")
-    merged = small.groupBy("cell", "salt").applyInArrow(job, f"cell int, salt bigint, {_FEATURE}")
-    rest = marked.filter(~F.col("_size").between(2, MERGE_ROWS)).drop("_size")
-    return merged.unionByName(rest)
+    group = ["cell", "salt"]
+    dims, idle, turn, before = None, 0, 0, None
+    while True:
+        dims = dims or sized(features, "ls")[1]
+        at = F.get(F.col("ls"), F.lit(turn % max(dims, 1))) / F.col("n")
+        marked = features.withColumn("_x", at)
+        span = marked.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"), F.min("_x").alias("_a"), F.max("_x").alias("_b"))
+        parts = F.ceil(F.col("_size") / merge_rows)
+        slice_no = F.when(F.col("_b") > F.col("_a"), F.least(F.floor(parts * (F.col("_x") - F.col("_a")) / (F.col("_b") - F.col("_a"))), parts - 1))
+        sliced = marked.join(span, group).withColumn("_slice", F.coalesce(slice_no, F.lit(0)).cast("bigint"))
+        within = sliced.groupBy(*group, "_slice").agg(F.ceil(F.count(F.lit(1)) / merge_rows).alias("_parts"))
+        dealt = sliced.join(within, [*group, "_slice"]).withColumn("_part", F.pmod(F.xxhash64("ls", "ss", F.lit(turn)), F.col("_parts")))
+        dealt = dealt.select(*features.columns, "_slice", "_part")
+        features = written(dealt.groupBy(*group, "_slice", "_part").applyInArrow(job, f"cell int, salt bigint, {_FEATURE}"), "features")
+        total, largest = features.groupBy(*group).count().agg(F.sum("count"), F.max("count")).first()
+        was_whole, idle = before is not None and before[1] <= merge_rows, idle + 1 if before and total == before[0] else 0
+        if turn == 0 and (span.agg(F.max("_size")).first()[0] or 0) <= merge_rows:
+            return features
+        if was_whole or idle > dims:
+            return features
+        before, turn = (total, largest), turn + 1
 
 
 @dataclass(frozen=True)
@@ -137,13 +157,14 @@ def threshold_centroids(
     seed: int = 42,
     group_rows: int = GROUP_ROWS,
     grouped: Grouped | None = None,
+    merge_rows: int = MERGE_ROWS,
 ) -> DataFrame:
     """(cluster_id, centroid, n, radius): the sub-clusters of radius <= threshold, numbered 0..m-1.
 
     1. Points are dealt to bounded groups of near points (``grouped``, where that was done before).
     2. Every group builds its features; equal points collapse here.
-    3. The groups of a cell are merged SALT_STEP at a time, then the cells likewise.  Where the
-       features of a group exceed one task they go on as they are; they keep the radius bound.
+    3. The groups of a cell are merged SALT_STEP at a time, then the cells likewise; what exceeds
+       one task is merged in parts, again and again.
     """
     held = grouped or group_points(points, key, vec, seed, group_rows)
     pivots, most = held.cells, held.salts
@@ -151,11 +172,11 @@ def threshold_centroids(
     while most > 1:
         most = -(-most // SALT_STEP)
         features = features.withColumn("salt", F.expr(f"salt div {SALT_STEP}"))
-        features = written(_merge(features, threshold), "features")
+        features = _merge(features, threshold, merge_rows)
     while pivots > 1:
         pivots = -(-pivots // SALT_STEP)
         features = features.withColumn("cell", F.expr(f"cell div {SALT_STEP}").cast("int"))
-        features = written(_merge(features, threshold), "features")
+        features = _merge(features, threshold, merge_rows)
     numbered = rank_within(features.withColumn("_key", F.xxhash64("ls", "ss")), [], [F.desc("n"), "ss", "_key"], "_rn")
     return numbered.select(
         (F.col("_rn") - 1).cast("int").alias("cluster_id"),
