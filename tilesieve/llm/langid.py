@@ -122,13 +122,17 @@ def fit(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS, id_col: str =
             {"lang": [name] * len(found), "centroid": pa.array(list(found), pa.list_(pa.float32())), "radius": pa.array(radius, pa.float64())}
         )
 
-    # The rank is taken on keys; of the texts only those of the sample are shuffled.
-    order = [F.xxhash64(F.col(id_col), F.lit(42)), F.col(id_col)]
+    # Rows whose hash lies below a bound, set so that about twice the sample does; of these the smallest hashes.
+    # Only those rows are shuffled, however many tasks and rows there are.
+    sizes = rows.groupBy(F.col(lang).cast("string").alias("lang")).agg(F.count(F.lit(1)).alias("_rows"))
+    bounds = sizes.select("lang", (F.lit(2.0 * sample) / F.col("_rows")).alias("_share"))  # one row per language
+    chance = F.pmod(F.xxhash64(F.col(id_col), F.lit(42)), F.lit(1 << 31)) / F.lit(float(1 << 31))
+    drawn = rows.select(id_col, F.col(lang).cast("string").alias("lang"), "text", chance.alias("_chance"))
+    drawn = drawn.join(F.broadcast(bounds), "lang").filter(F.col("_chance") < F.col("_share"))
     chosen = (
-        rows.select(id_col, F.col(lang).cast("string").alias("lang"), "text")
-        .withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+        drawn.withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy("_chance", id_col)))
         .filter(F.col("_rank") <= sample)
-        .drop("_rank")
+        .select("lang", "text")
     )
     # At most k rows per language.
     found = chosen.groupBy("lang").applyInArrow(centroids, "lang string, centroid array<float>, radius double").collect()
