@@ -12,13 +12,15 @@ Control strings cannot occur inside a text or role: after ``<`` and any number o
 Turns are ordered by their number, ties by role and text; a null turn comes first, null role and
 text count as empty, and rows without conversation id are one conversation.  Rows that repeat are
 turns that repeat.  Other columns are ignored.  A conversation is one string and one task's work,
-whatever its length: tasks hold one conversation and the batch that is being read.
+whatever its length: tasks hold one conversation, a bounded number of characters of shorter
+ones and the batch that is being read.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,8 @@ from .common import process_state, slices
 # The control strings of the template.
 START, END = "<|im_start|>", "<|im_end|>"
 LEARN = "assistant"
+# Characters of whole conversations after which a task sends them on.
+BATCH_CHARS = 1 << 18
 
 _OPEN, _ESCAPED = re.compile(r"<(\\*)\|"), re.compile(r"<\\(\\*)\|")
 
@@ -70,21 +74,37 @@ def parse(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
-def aligned(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]) -> list[tuple[int, int, int, int]]:
-    """(span, token, first, last character + 1) of every token inside each span, by binary search.
+def aligned(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]) -> list[np.ndarray]:
+    """Columns (span, token, first, last character + 1) of every token inside each span, by binary search.
 
     Several tokens of one character (bytes of it) are all under the mask; the first has its character.
     """
-    out = []
-    for k, (a, b) in enumerate(spans):
-        first = int(np.searchsorted(ends, a, "right"))
-        last = int(np.searchsorted(starts, b, "left"))
-        at = a
-        for i in range(first, last):
-            lo, hi = max(at, int(starts[i])), min(b, int(ends[i]))
-            out.append((k, i, lo, max(lo, hi)))
-            at = max(at, hi)
-    return out
+    a, b = np.array(spans, np.int64).reshape(-1, 2).T
+    first = np.searchsorted(ends, a, "right")
+    n = np.searchsorted(starts, b, "left") - first
+    span = np.repeat(np.arange(len(a)), n)
+    token = np.arange(len(span)) + np.repeat(first - np.cumsum(n) + n, n)
+    lo, hi = np.maximum(starts[token], a[span]), np.minimum(ends[token], b[span])
+    # Spans are in order, so what was covered before is a running maximum.
+    lo = np.maximum(lo, np.concatenate([[0], np.maximum.accumulate(hi)])[:-1])
+    return [span, token, lo, np.maximum(lo, hi)]
+
+
+def masked(formatted: str, span: np.ndarray, start: np.ndarray, end: np.ndarray) -> str:
+    """All text under a loss mask, unescaped: the texts in order, nothing between."""
+    held = np.flatnonzero(end > start)
+    held = held[np.argsort(span[held], kind="stable")]
+    span, start, end = span[held], start[held], end[held]
+    opens = np.ones(len(held), bool)  # a run of characters of one text begins here
+    opens[1:] = (span[1:] != span[:-1]) | (start[1:] != end[:-1])
+    texts: dict[int, list[str]] = {}
+    for k, a, b in zip(span[opens].tolist(), start[opens].tolist(), end[np.roll(opens, -1)].tolist()):
+        texts.setdefault(k, []).append(formatted[a:b])
+    return "".join(unescape("".join(parts)) for parts in texts.values())
+
+
+def _ends(lengths: list[int]) -> pa.Array:
+    return pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
 
 
 def _tokenizer(path: str):
@@ -106,38 +126,45 @@ def format_chats(turns: DataFrame, path: str, learn: str = LEARN, id_col: str =
     learn from, the token's place in ``ids`` and its characters of ``formatted``.
     """
     kind = turns.schema[id_col].dataType.simpleString()
-    mark = pa.struct([(n, pa.int32()) for n in ("text", "token", "start", "end")])
+    names = ["text", "token", "start", "end"]
 
     def run(batches):
-        library, names = _tokenizer(path), [id_col, "formatted", "ids", "loss"]
-
-        def made(conversation, rows, id_type):
-            formatted, spans = render(rows, learn)
-            found = library.encode(formatted, add_special_tokens=False)
-            offsets = np.array(found.offsets, np.int64).reshape(-1, 2)
-            loss = aligned(offsets[:, 0], offsets[:, 1], spans)
-            marks = pa.array([dict(zip(("text", "token", "start", "end"), m)) for m in loss], mark)
+        library = _tokenizer(path)
+
+        def made(held, id_type):
+            ids, marks, texts = [], [], []
+            for _, rows in held:
+                formatted, spans = render(rows, learn)
+                found = library.encode(formatted, add_special_tokens=False)
+                ids.append(np.array(found.ids, np.int32))
+                offsets = np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(ids[-1])).reshape(-1, 2)
+                marks.append(aligned(offsets[:, 0], offsets[:, 1], spans))
+                texts.append(formatted)
+            loss = pa.StructArray.from_arrays([np.concatenate(c).astype(np.int32) for c in zip(*marks)], names)
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([conversation], id_type),
-                    pa.array([formatted], pa.string()),
-                    pa.array([found.ids], pa.list_(pa.int32())),
-                    pa.ListArray.from_arrays(pa.array([0, len(marks)], pa.int32()), marks),
+                    pa.array([conversation for conversation, _ in held], id_type),
+                    pa.array(texts, pa.string()),
+                    pa.ListArray.from_arrays(_ends([len(i) for i in ids]), pa.array(np.concatenate(ids))),
+                    pa.ListArray.from_arrays(_ends([len(m[0]) for m in marks]), loss),
                 ],
-                names=names,
+                names=[id_col, "formatted", "ids", "loss"],
             )
 
-        current, rows, id_type = None, [], None
+        # Conversations that are complete but for the last, and the characters in them.
+        held, size, id_type = [], 0, None
         for batch in slices(batches):
             id_type = batch.column(0).type
             for conversation, role, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if rows and conversation != current:
-                    yield made(current, rows, id_type)
-                    rows = []
-                current = conversation
-                rows.append((role or "", text or ""))
-        if rows:
-            yield made(current, rows, id_type)
+                if not held or conversation != held[-1][0]:
+                    if size > BATCH_CHARS:
+                        yield made(held, id_type)
+                        held, size = [], 0
+                    held.append((conversation, []))
+                held[-1][1].append((role or "", text or ""))
+                size += len(text or "")
+        if held:
+            yield made(held, id_type)
 
     schema = f"`{id_col}` {kind}, formatted string, ids array<int>, loss array<struct<text:int,token:int,start:int,end:int>>"
     ordered = turns.select(id_col, "role", "text", "turn").repartition(id_col)
@@ -151,14 +178,13 @@ def read_back(formatted: DataFrame, id_col: str = "conv_id") -> DataFrame:
 
     def run(batches):
         for batch in slices(batches, 16):
-            rows = []
-            for text, loss in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            rows, loss = [], batch.column(2)
+            span, start, end = (loss.flatten().field(n).to_numpy() for n in ("text", "start", "end"))
+            at = (loss.offsets.to_numpy() - loss.offsets[0].as_py()).tolist()
+            for text, i, j in zip(batch.column(1).to_pylist(), at, at[1:]):
                 turns = parse(text)
                 digest = hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode("utf-8", "surrogatepass"))
-                pieces: dict[int, list[str]] = {}
-                for m in loss:
-                    pieces.setdefault(m["text"], []).append(text[m["start"] : m["end"]])
-                learnt = "".join(unescape("".join(p)) for _, p in sorted(pieces.items()))
+                learnt = masked(text, span[i:j], start[i:j], end[i:j])
                 rows.append((len(turns), digest.hexdigest(), len(learnt), hashlib.sha256(learnt.encode()).hexdigest(), len(text)))
             columns = list(zip(*rows))
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
