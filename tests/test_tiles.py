@@ -66,6 +66,46 @@ def test_larger_row_groups_are_addressed_through_the_footers(spark, tmp_path):
     assert got["B04"] == [7, 0]
 
 
+def test_rows_behind_a_group_are_not_those_of_the_next(spark, tmp_path):
+    folder = tmp_path / "grouped"
+    folder.mkdir()
+    shard(folder / "part_0.parquet", [[blob([t, b]) for b in range(3)] for t in range(10)], group=3)
+    wanted = manifest(spark, [(0, "/x/part_0.parquet", 1, 2), (1, "/x/part_0.parquet", 1, 3), (2, "/x/part_0.parquet", 4, 0), (3, None, 0, 0)])
+    got = tl.decode_raw_band(src.read_tiles(spark, str(folder), wanted, RGB)).collect()
+    assert [(r["row_id"], r["B04"]) for r in got] == [(0, [5, 0])]
+    assert sorted(r["row_id"] for r in src.missing_rows(spark, str(folder), wanted).collect()) == [1, 2, 3]
+
+
+def test_extracted_rows_keep_all_columns_and_types(spark, tmp_path, capsys):
+    folder = tmp_path / "typed"
+    folder.mkdir()
+    for s in range(2):
+        table = pa.table(
+            {
+                "B04": pa.array([blob([s, t]) for t in range(8)], pa.binary()),
+                "a.b": pa.array([t / 2 for t in range(8)]),
+                "product": pa.array([f"{s}-{t}" if t % 2 else None for t in range(8)]),
+                "box": pa.array([{"x": t, "y": [s]} for t in range(8)]),
+            }
+        )
+        pq.write_table(table, folder / f"part_{s}.parquet", row_group_size=3)
+    wanted = manifest(spark, [(i, f"/x/part_{i % 2}.parquet", g, 1) for i, g in enumerate([0, 0, 2, 1])] + [(9, "/x/gone.parquet", 0, 0)])
+    rows = src.extract_subset_rows(spark, str(folder), wanted)
+    rows.explain()
+    assert "Exchange hashpartitioning" not in capsys.readouterr().out
+    made = materialize_subset(spark, str(folder), wanted, str(tmp_path / "out"))
+    back = src.open_shards(spark, str(tmp_path / "out" / "images"), None).select("shard", "row_in_file", "`a.b`", "product", "box").collect()
+    assert sorted((r[0], r[1], r[2], r[3], r[4].x, list(r[4].y)) for r in back) == [
+        ("part_0.parquet", 0, 0.5, "0-1", 1, [0]),
+        ("part_0.parquet", 1, 3.5, "0-7", 7, [0]),
+        ("part_1.parquet", 0, 0.5, "1-1", 1, [1]),
+        ("part_1.parquet", 1, 2.0, None, 4, [1]),
+    ]
+    again = src.read_tiles(spark, str(tmp_path / "out" / "images"), made.manifest, ["B04"]).select("row_id", F.hex("B04").alias("h")).collect()
+    assert {r["row_id"]: r["h"] for r in again} == {0: "00000100", 1: "01000100", 2: "00000700", 3: "01000400"}
+    assert [(r["shard"], r["n_missing"]) for r in made.report.filter("not complete").collect()] == [("gone.parquet", 1)]
+
+
 def test_only_named_bands_and_shards_are_scanned(spark, images, capsys):
     wanted = manifest(spark, [(0, "/x/part_1.parquet", 2, 0)])
     frame = src.read_tiles(spark, images, wanted, ["B04"])
@@ -215,6 +255,27 @@ def test_measures_of_blobs(spark):
     assert sorted(zeros) == [0, 1] and zeros[1]["is_black"] and zeros[1]["zero_pct"] == 100
 
 
+def test_measures_of_unreadable_blobs(spark):
+    two = bytearray(blob([1, 2]))
+    raw = spark.createDataFrame(
+        [(0, two, two, two), (1, two, bytearray(b"abc"), two), (2, two, bytearray(b"ab"), two), (3, *[bytearray(b"")] * 3)],
+        "row_id bigint, B04 binary, B03 binary, B02 binary",
+    )
+    got = tl.measure_tiles(raw)
+    assert {r["row_id"]: (r["status"], r["nodata"]) for r in got.collect()} == {0: ("kept", 0.0), **{i: ("read_error", None) for i in (1, 2, 3)}}
+    assert {r["n_tiles"] for r in tl.band_stats_of_measures(got).collect()} == {1}
+
+
+def test_resize_of_frames_with_null_bands(spark):
+    image = [float(x) for x in range(12)]
+    df = spark.createDataFrame([(0, image, None, image), (1, None, None, None), (2, image, image, image)], "row_id bigint, B04 array<double>, B03 array<double>, B02 array<double>")
+    got = {r["row_id"]: r for r in tl.resize_bicubic(df, 3, 4, 2).collect()}
+    want = bicubic(np.reshape(image, (3, 4)), 2).ravel()
+    for i, present in {0: "B04 B02", 1: "", 2: "B04 B03 B02"}.items():
+        for b in RGB:
+            assert np.allclose(got[i][b], want) if b in present.split() else got[i][b] is None
+
+
 def test_model_outputs_and_names():
     x = np.ones((2, 3))
     for out in (x, (x, "rest"), {"x_norm_clstoken": x}):

@@ -150,7 +150,8 @@ def images_dir(spark: SparkSession, sf_dir: str) -> str:
             F.substring_index("parquet_url", "/", -1).alias("shard"),
             F.col("parquet_row").alias("tile_row"),
         )
-        write_shards(raw_tiles(spark, sf_dir).join(meta, "row_id").drop("row_id"), path)
+        # Rows of a shard together, so that it is one file.
+        write_shards(raw_tiles(spark, sf_dir).join(meta, "row_id").drop("row_id").repartition("shard"), path)
         return path
 
     return _once(spark, sf_dir, "images", make)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..config import CHANNEL_MEAN, CHANNEL_STD
 from ..functions.bands import nodata_fraction, zero_value_pct
+from .blocks import matrix
 from .models import Factory, vectors_of
 
 RGB = ("B04", "B03", "B02")
@@ -96,15 +97,11 @@ def resize_bicubic(df: DataFrame, height: int, width: int, size: int, bands: Seq
         for batch in batches:
             columns = [batch.column(0)]
             for c in batch.columns[1:]:
-                columns.append(
-                    pa.array(
-                        [
-                            None if b is None else resize(np.asarray(b, np.float64).reshape(1, height, width)).ravel()
-                            for b in c.to_pylist()
-                        ],
-                        pa.list_(pa.float64()),
-                    )
-                )
+                there = c.drop_null()
+                small = resize(matrix(there).reshape(len(there), height, width)).reshape(-1)
+                ends = np.concatenate([[0], np.cumsum(c.is_valid().to_numpy(zero_copy_only=False))]) * size * size
+                offsets = pa.array(ends.astype(np.int32), mask=np.append(c.is_null().to_numpy(zero_copy_only=False), False))
+                columns.append(pa.ListArray.from_arrays(offsets, pa.array(small)))
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = ", ".join([f"`{key}` {df.schema[key].dataType.simpleString()}", *[f"`{b}` array<double>" for b in bands]])
@@ -192,14 +189,15 @@ def status_counts(status: DataFrame) -> DataFrame:
 
 
 def measure_tiles(tiles: DataFrame, bands: Sequence[str] = RGB, null_bands: str = "skip") -> DataFrame:
-    """(row_id, nodata, zero_pct, is_black, n_pixels, sums, squares) of raw tiles, in one pass.
+    """(row_id, status, nodata, zero_pct, is_black, n_pixels, sums, squares) of raw tiles, in one pass.
 
     ``sums`` and ``squares`` hold, per band, the sum of the values scaled by 10000 and of their
-    squares.  A tile with a null band is left out, or its band counts as empty (``zeros``).
+    squares.  A tile with a null band is left out, or its band counts as empty (``zeros``).  Status is
+    ``kept``, or ``read_error`` with null measures where the bands don't hold equally many whole samples.
     """
     if null_bands not in ("skip", "zeros"):
         raise ValueError(f"null_bands must be 'skip' or 'zeros', not {null_bands!r}")
-    names = ["row_id", "nodata", "zero_pct", "is_black", "n_pixels", "sums", "squares"]
+    names = ["row_id", "status", "nodata", "zero_pct", "is_black", "n_pixels", "sums", "squares"]
 
     def one(blobs) -> tuple | None:
         length = max((len(b) for b in blobs if b is not None), default=0)
@@ -207,10 +205,13 @@ def measure_tiles(tiles: DataFrame, bands: Sequence[str] = RGB, null_bands: str
             if null_bands == "skip" or not length:
                 return None
             blobs = [bytes(length) if b is None else b for b in blobs]
+        if not length or length % 2 or any(len(b) != length for b in blobs):
+            return "read_error", *[None] * 6
         raw = np.stack([np.frombuffer(b, dtype="<u2") for b in blobs])
         scaled = raw / 10000.0
         zero = raw == 0
         return (
+            "kept",
             float(zero.all(axis=0).mean()),
             100.0 * float(zero.mean()),
             bool(zero.all()),
@@ -225,7 +226,7 @@ def measure_tiles(tiles: DataFrame, bands: Sequence[str] = RGB, null_bands: str
             kept = [i for i, m in enumerate(made) if m is not None]
             if kept:
                 columns = list(zip(*(made[i] for i in kept)))
-                kinds = [pa.float64(), pa.float64(), pa.bool_(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64())]
+                kinds = [pa.string(), pa.float64(), pa.float64(), pa.bool_(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64())]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(kept)), *[pa.array(c, k) for c, k in zip(columns, kinds)]], names=names
                 )
@@ -233,13 +234,13 @@ def measure_tiles(tiles: DataFrame, bands: Sequence[str] = RGB, null_bands: str
     source = tiles.select("row_id", *[_band_bytes(tiles, b).alias(b) for b in bands])
     return source.mapInArrow(
         run,
-        "row_id bigint, nodata double, zero_pct double, is_black boolean, n_pixels bigint, sums array<double>, squares array<double>",
+        "row_id bigint, status string, nodata double, zero_pct double, is_black boolean, n_pixels bigint, sums array<double>, squares array<double>",
     )
 
 
 def band_stats_of_measures(measures: DataFrame, bands: Sequence[str] = RGB) -> DataFrame:
-    """band_stats from the measures of raw tiles."""
-    totals = measures.agg(
+    """band_stats from the measures of raw tiles that could be read."""
+    totals = measures.filter(F.col("status") == "kept").agg(
         F.count(F.lit(1)).alias("n_tiles"),
         *[F.sum(F.col("sums")[i]).alias(f"_s_{b}") for i, b in enumerate(bands)],
         *[F.sum(F.col("squares")[i]).alias(f"_q_{b}") for i, b in enumerate(bands)],
@@ -278,5 +279,3 @@ def _stats_of_totals(totals: DataFrame, bands: Sequence[str]) -> DataFrame:
     rows = totals.select("n_tiles", F.explode(lines).alias("r"))
     spread = F.sqrt(F.greatest(F.col("r.square") - F.col("r.mean") * F.col("r.mean"), F.lit(0.0)))
     return rows.select("r.band", "n_tiles", "r.mean", spread.alias("std"))
-
-

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.text import basename
 from ..operators.joins import rebase_manifest, renumber_row_groups
 from ..session import written
-from ..sources.tiles import extract_subset_rows, missing_rows, write_shards
+from ..sources.tiles import addresses, extract_subset_rows, missing_rows, row_groups, write_shards
 
 
 @dataclass(frozen=True)
@@ -20,18 +20,22 @@ class Materialized:
 
 
 def materialize_subset(
-    spark: SparkSession, images_dir: str, subset: DataFrame, dest: str, bands: Sequence[str], kind: str = "binary"
+    spark: SparkSession, images_dir: str, subset: DataFrame, dest: str, bands: Sequence[str] | None = None, kind: str = "binary"
 ) -> Materialized:
     """Extract the rows of the subset to ``dest``/images and the new manifest to ``dest``/metadata.
 
+    Rows are copied with all their columns, or with ``bands`` of type ``kind`` only.
+
     Rows whose shard or row is absent or unreadable do not stop the others.  What counts is what
     was written: the manifest holds the rows found in the new shards, and the report,
     (shard, n_rows, n_missing, complete), the rest.
     """
     images, metadata = f"{dest.rstrip('/')}/images", f"{dest.rstrip('/')}/metadata"
-    absent = written(missing_rows(spark, images_dir, subset), "absent")
-    present = subset.join(absent.select("row_id"), "row_id", "left_anti")
-    write_shards(extract_subset_rows(spark, images_dir, present, bands, kind=kind, tolerant=True), images)
+    subset = written(subset, "subset")
+    groups = written(row_groups(spark, images_dir, subset, tolerant=True), "groups")
+    absent = addresses(subset, groups).filter(F.col("row_in_file").isNull()).select("row_id")
+    present = written(subset.join(absent, "row_id", "left_anti"), "present")
+    write_shards(extract_subset_rows(spark, images_dir, present, bands, kind=kind, tolerant=True, starts=groups), images)
     renumbered = written(renumber_row_groups(present, images), "renumbered")
     lost = missing_rows(spark, images, renumbered).select("row_id")
     rebase_manifest(renumbered.join(lost, "row_id", "left_anti")).write.parquet(metadata)

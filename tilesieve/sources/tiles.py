@@ -3,17 +3,20 @@
 A shard is named by the first path component below the directory, with or without ``shard=`` in
 front.  A tile is addressed by its row number inside the shard: the position in the file of a
 one-file shard, or the column ``tile_row`` of the shards this package writes, which may consist
-of several files.  Image bytes are never shuffled to find a tile: the small side, the addresses,
-is broadcast in bounded parts.
+of several files.  Which row a manifest's row group starts at is read from the footers.  Image bytes
+are never shuffled, neither to find a tile nor to write it: the small side, the addresses, is
+broadcast in bounded parts, and a task writes the rows that it has read.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from urllib.parse import urlparse
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.text import basename
 from ..operators.ranking import rank_within
@@ -33,65 +36,97 @@ def _shard(images_dir: str):
     return F.regexp_replace(first, "^shard=", "")
 
 
-def _scan(spark: SparkSession, images_dir: str, columns: Sequence[str], kind: str, tolerant: bool) -> DataFrame:
-    schema = ", ".join([*[f"`{c}` {kind}" for c in columns], "tile_row bigint"])
-    reader = spark.read.schema(schema).option("recursiveFileLookup", "true")
-    return reader.option("ignoreCorruptFiles", str(tolerant).lower()).parquet(images_dir)
+def _scan(spark: SparkSession, images_dir: str, columns: Sequence[str] | None, kind: str, tolerant: bool) -> DataFrame:
+    reader = spark.read.option("recursiveFileLookup", "true").option("ignoreCorruptFiles", str(tolerant).lower())
+    if columns is None:
+        found = reader.option("mergeSchema", "true").parquet(images_dir).schema
+        clash = [f.name for f in found if f.name.lower() in ("shard", "row_in_file")]
+        if clash:
+            raise ValueError(f"shards must not have columns named {', '.join(clash)}")
+        fields = [f for f in found if f.name != "tile_row"]
+    else:
+        fields = [T.StructField(c, T.DataType.fromDDL(kind)) for c in columns]
+    return reader.schema(T.StructType([*fields, T.StructField("tile_row", T.LongType())])).parquet(images_dir)
 
 
 def open_shards(
-    spark: SparkSession, images_dir: str, columns: Sequence[str] = (), kind: str = "binary", tolerant: bool = False
+    spark: SparkSession,
+    images_dir: str,
+    columns: Sequence[str] | None = (),
+    kind: str = "binary",
+    tolerant: bool = False,
 ) -> DataFrame:
     """(shard, row_in_file, *columns) with columns of type ``kind``; without columns no band is read.
 
+    ``columns=None`` takes all columns of the shards with the types that their footers tell.
     ``tolerant`` passes over files that cannot be read; compare the result with the manifest then.
     """
     row = F.coalesce(F.col("tile_row"), F.col("_metadata.row_index"))
-    return _scan(spark, images_dir, columns, kind, tolerant).select(
-        _shard(images_dir).alias("shard"), row.alias("row_in_file"), *columns
-    )
+    scan = _scan(spark, images_dir, columns, kind, tolerant)
+    held = [c for c in scan.columns if c != "tile_row"]
+    return scan.select(_shard(images_dir).alias("shard"), row.alias("row_in_file"), *[F.col(f"`{c}`") for c in held])
 
 
-def row_group_starts(spark: SparkSession, images_dir: str) -> DataFrame:
-    """(shard, row_group, first_row) from the footers, one small task per share of the files."""
-    scan = _scan(spark, images_dir, (), "binary", False)
-    files = scan.select(_shard(images_dir).alias("shard"), F.col("_metadata.file_path").alias("path")).distinct()
-
-    def run(batches):
-        import re
+def row_groups(spark: SparkSession, images_dir: str, manifest: DataFrame | None = None, tolerant: bool = False) -> DataFrame:
+    """(shard, row_group, first_row, n_rows) from the footers of the shards that the manifest names, or of all.
 
+    In shards with ``tile_row`` every row counts as a group of its own, numbered by it.  Footers that
+    cannot be read stop the job or, where ``tolerant``, are passed over.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(images_dir)
+    files = listed.select(_shard(images_dir).alias("shard"), F.col("_metadata.file_path").alias("path"))
+    if manifest is not None:
+        files = files.join(manifest.select(basename(F.col("parquet_file")).alias("shard")).distinct(), "shard", "left_semi")
+    # A fixed number of tasks: a path is a few bytes, opening the file is the work.
+    files = files.repartition(spark.sparkContext.defaultParallelism, "path")
+
+    def groups(path):
         import pyarrow.fs as pafs
         import pyarrow.parquet as pq
 
+        where, name = pafs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+        with pq.ParquetFile(name, filesystem=where) as file:
+            if "tile_row" in file.schema_arrow.names:
+                rows = file.read(columns=["tile_row"]).column(0).to_numpy()
+                return rows, rows, np.ones(len(rows), np.int64)
+            sizes = np.array([file.metadata.row_group(i).num_rows for i in range(file.metadata.num_row_groups)], np.int64)
+            return np.arange(len(sizes)), np.cumsum(sizes) - sizes, sizes
+
+    def run(batches):
         for batch in batches:
             for shard, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                where, name = pafs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
-                footer = pq.read_metadata(name, filesystem=where)
-                sizes = [footer.row_group(i).num_rows for i in range(footer.num_row_groups)]
-                starts = [sum(sizes[:i]) for i in range(len(sizes))]
+                try:
+                    number, first, size = groups(path)
+                except (OSError, pa.ArrowException) as error:
+                    if tolerant:
+                        continue
+                    raise OSError(f"cannot read the footer of {path}") from error
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([shard] * len(sizes), pa.string()),
-                        pa.array(range(len(sizes)), pa.int32()),
-                        pa.array(starts, pa.int64()),
-                    ],
-                    names=["shard", "row_group", "first_row"],
+                    [pa.array([shard] * len(number), pa.string()), pa.array(number, pa.int32()), pa.array(first, pa.int64()), pa.array(size)],
+                    names=["shard", "row_group", "first_row", "n_rows"],
                 )
 
-    return files.mapInArrow(run, "shard string, row_group int, first_row bigint")
+    return files.mapInArrow(run, "shard string, row_group int, first_row bigint, n_rows bigint")
 
 
-def addresses(manifest: DataFrame, starts: DataFrame | None = None) -> DataFrame:
-    """(row_id, shard, row_in_file) of a manifest.
+def row_group_starts(spark: SparkSession, images_dir: str) -> DataFrame:
+    """(shard, row_group, first_row) from the footers, one small task per share of the files."""
+    return row_groups(spark, images_dir).drop("n_rows")
 
-    Without ``starts`` a row group is taken to hold one row, so its number is the row number.
-    """
+
+def addresses(manifest: DataFrame, starts: DataFrame) -> DataFrame:
+    """(row_id, shard, row_in_file) of a manifest; row_in_file is null where the shards have no such row."""
     keys = manifest.select("row_id", basename(F.col("parquet_file")).alias("shard"), "row_group", "row_in_rg")
-    if starts is None:
-        first = F.col("row_group").cast("bigint")
-    else:
-        keys, first = keys.join(starts, ["shard", "row_group"]), F.col("first_row")
-    return keys.select("row_id", "shard", (first + F.col("row_in_rg")).alias("row_in_file"))
+    row = F.col("first_row") + F.col("row_in_rg")
+    if "n_rows" in starts.columns:
+        row = F.when(F.col("row_in_rg") < F.col("n_rows"), row)
+    return keys.join(starts, ["shard", "row_group"], "left").select("row_id", "shard", row.alias("row_in_file"))
+
+
+def _found(spark: SparkSession, images_dir: str, manifest: DataFrame, starts: DataFrame | None, tolerant: bool) -> DataFrame:
+    """The addresses that exist, written, so that footers are opened once."""
+    held = row_groups(spark, images_dir, manifest, tolerant) if starts is None else starts
+    return written(addresses(manifest, held).filter(F.col("row_in_file").isNotNull()), "addresses")
 
 
 def _packed(sizes: list[tuple[str, int]], limit: int) -> list[tuple[list[str], int]]:
@@ -138,54 +173,61 @@ def read_tiles(
     kind: str = "binary",
     tolerant: bool = False,
 ) -> DataFrame:
-    """(row_id, shard, row_in_file, *bands) for the tiles of the manifest; one pruned scan."""
+    """(row_id, shard, row_in_file, *bands) for the tiles of the manifest; one pruned scan.
+
+    ``starts`` saves opening the footers, where ``row_groups`` or ``row_group_starts`` were made before.
+    """
     images = open_shards(spark, images_dir, bands, kind, tolerant)
-    return match_rows(images, addresses(manifest, starts), "inner", max_bytes).select("row_id", "shard", "row_in_file", *bands)
+    keys = _found(spark, images_dir, manifest, starts, tolerant)
+    return match_rows(images, keys, "inner", max_bytes).select("row_id", "shard", "row_in_file", *bands)
 
 
 def extract_subset_rows(
     spark: SparkSession,
     images_dir: str,
     manifest: DataFrame,
-    bands: Sequence[str],
+    bands: Sequence[str] | None = None,
     max_bytes: int = MAX_BROADCAST_BYTES,
     kind: str = "binary",
     tolerant: bool = False,
+    starts: DataFrame | None = None,
 ) -> DataFrame:
-    """(shard, tile_row, *bands): the image rows that the manifest names, each once.
+    """(shard, tile_row, *columns): the image rows that the manifest names, each once, whole or some ``bands``.
 
     ``tile_row`` counts the chosen rows of a shard in their old order.  It is found on the
     addresses, so the images are neither sorted nor grouped for it.
     """
     images = open_shards(spark, images_dir, bands, kind, tolerant)
-    wanted = addresses(manifest).select("shard", "row_in_file").distinct()
+    wanted = _found(spark, images_dir, manifest, starts, tolerant).select("shard", "row_in_file").distinct()
     ranked = written(rank_within(wanted, ["shard"], ["row_in_file"], "_rn"), "rows")
     placed = ranked.select("shard", "row_in_file", (F.col("_rn") - 1).alias("tile_row"))
-    return match_rows(images, placed, "inner", max_bytes).select("shard", "tile_row", *bands)
+    held = [F.col(f"`{c}`") for c in images.columns if c not in ("shard", "row_in_file")]
+    return match_rows(images, placed, "inner", max_bytes).select("shard", "tile_row", *held)
 
 
 def write_shards(tiles: DataFrame, dest: str, rows_per_file: int = ROWS_PER_FILE) -> None:
-    """One folder per shard, with a file for every ``rows_per_file`` rows.
+    """One folder per shard, with files of at most ``rows_per_file`` rows.
 
-    Only rows that were already selected are moved, and a shard of any size is written by as many
-    tasks as it has files.
+    Nothing is shuffled: a task writes the rows it holds, so a shard has a file at least for every
+    task that holds some of it.
     """
-    piece = F.floor(F.col("tile_row") / rows_per_file)
-    placed = tiles.repartition(F.col("shard"), piece).sortWithinPartitions("shard", "tile_row")
-    placed.write.partitionBy("shard").parquet(dest)
+    placed = tiles.sortWithinPartitions("shard", "tile_row")
+    placed.write.option("maxRecordsPerFile", rows_per_file).partitionBy("shard").parquet(dest)
 
 
 def missing_rows(spark: SparkSession, images_dir: str, manifest: DataFrame) -> DataFrame:
-    """(row_id, shard, row_in_file) of manifest rows whose shard or row is absent or unreadable."""
-    return addresses(manifest).join(open_shards(spark, images_dir, tolerant=True), ["shard", "row_in_file"], "left_anti")
+    """(row_id, shard, row_in_file) of manifest rows whose shard or row is absent or whose footer is unreadable.
+
+    ``row_in_file`` is null, as there is none.  Only footers are read.
+    """
+    held = row_groups(spark, images_dir, manifest, tolerant=True)
+    return addresses(manifest, held).filter(F.col("row_in_file").isNull())
 
 
 def missing_sources(spark: SparkSession, images_dir: str, manifest: DataFrame) -> DataFrame:
     """(shard, n_rows, n_missing, complete) for every shard the manifest names."""
-    wanted = addresses(manifest)
-    held = open_shards(spark, images_dir, tolerant=True).withColumn("_there", F.lit(1))
-    found = wanted.join(held, ["shard", "row_in_file"], "left")
+    found = addresses(manifest, row_groups(spark, images_dir, manifest, tolerant=True))
     return found.groupBy("shard").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("_there").isNull()).alias("n_missing"),
+        F.count_if(F.col("row_in_file").isNull()).alias("n_missing"),
     ).withColumn("complete", F.col("n_missing") == 0)
