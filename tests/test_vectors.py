@@ -263,3 +263,20 @@ def test_partial_sums_in_bounded_memory(cloud, max_bytes):
     assert (n == np.bincount(labels)).all()
     assert np.allclose(total, [cloud[labels == k].sum(0) for k in range(37)])
     assert max_bytes > 2_000 or len(out) > 1
+
+
+@pytest.mark.parametrize("max_bytes", [1 << 28, 200])
+def test_distances_to_the_own_centroid(spark, max_bytes, capsys):
+    rng = np.random.default_rng(5)
+    x, c = rng.normal(size=(60, 3)), rng.normal(size=(9, 3))
+    label = [0 if i % 3 else int(rng.integers(0, 9)) for i in range(60)]  # two thirds in one cluster
+    rows = [(i, x[i].tolist(), label[i]) for i in range(60)] + [(60, None, 1), (61, [1.0, 2.0, 3.0], None), (62, [1.0, 2.0, 3.0], 77)]
+    points = spark.createDataFrame(rows, "row_id bigint, embedding array<double>, cluster_id int")
+    centroids = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(c)], "cluster_id int, centroid array<double>")
+    found = nearest.distance_to_own(points, centroids, max_bytes=max_bytes)
+    found.explain()
+    assert "Exchange" not in capsys.readouterr().out
+    got = {r["row_id"]: (r["cluster_id"], r["d2"]) for r in found.collect()}
+    assert sorted(got) == list(range(60))
+    for i in range(60):
+        assert got[i][0] == label[i] and np.isclose(got[i][1], ((x[i] - c[label[i]]) ** 2).sum())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -108,6 +108,7 @@ class Centres:
     values: np.ndarray | None = None
     weight: np.ndarray | None = None
     table: DataFrame | None = None
+    sent: list[Block] = field(default_factory=list)
 
     @classmethod
     def of(cls, table: DataFrame, k: int, dims: int, max_bytes: int) -> Centres:
@@ -125,13 +126,20 @@ class Centres:
         return vector_blocks(self.table, "cluster_id", "centroid", self.max_bytes, distinct=True)
 
     def means(self, points: DataFrame, key: str, vec: str) -> DataFrame:
-        blocks = self.blocks()
+        blocks = self.sent = self.blocks()
         if len(blocks) == 1:
             return _nearest_means(points, blocks[0], vec, self.max_bytes)
         labels = assign_to_blocks(points, blocks, key, vec, stored=True)
         return label_means(points.join(labels.select(key, "cluster_id"), key), vec=vec)
 
-    def move(self, means: DataFrame, keep_weight: bool) -> None:
+    def round(self, points: DataFrame, key: str, vec: str, keep_weight: bool = False) -> None:
+        """One pass over the points; the executors forget its centres afterwards."""
+        self._move(self.means(points, key, vec), keep_weight)
+        for block in self.sent:
+            block.data.destroy()
+        self.sent = []
+
+    def _move(self, means: DataFrame, keep_weight: bool) -> None:
         """Move every centre to the mean of its points; a centre without points stays.
 
         With ``keep_weight`` the points of earlier rounds keep their share, so the rate of a
@@ -219,7 +227,7 @@ def kmeans(
     if centres.table is not None:
         points = written(points, "points")
     for _ in range(niter):
-        centres.move(centres.means(points, key, vec), keep_weight=False)
+        centres.round(points, key, vec)
     return centres.frame()
 
 
@@ -251,7 +259,7 @@ def minibatch_kmeans(
         # A range of (batch, key) per task: a batch is read by its files' statistics, and by many tasks.
         held = written(dealt.repartitionByRange("_round", key), "batches")
         for i in range(per_epoch):
-            centres.move(centres.means(held.filter(F.col("_round") == i), key, vec), keep_weight=True)
+            centres.round(held.filter(F.col("_round") == i), key, vec, keep_weight=True)
     return centres.frame()
 
 

@@ -124,6 +124,44 @@ def assign_carrying(points: DataFrame, centroids: DataFrame, key: str = "row_id"
     return _assign_to(points, blocks[0], key, vec, carry=True)
 
 
+def distance_to_own(
+    labelled: DataFrame, centroids: DataFrame, key: str = "row_id", vec: str = "embedding", max_bytes: int = MAX_BROADCAST_BYTES
+) -> DataFrame:
+    """(key, cluster_id, d2): the squared distance of every labelled point to the centroid of its cluster.
+
+    Vectors are not shuffled by cluster, so a hot one is no single task's work; every block of
+    centroids measures the points of its own clusters.  Points of an unknown cluster are left out.
+    """
+    blocks = vector_blocks(centroids, "cluster_id", "centroid", max_bytes)
+    if not blocks:
+        raise ValueError("there are no centroids to measure to")
+    labelled = labelled.filter(F.col(vec).isNotNull() & F.col("cluster_id").isNotNull()).select(key, vec, "cluster_id")
+    if len(blocks) > 1:
+        labelled = written(labelled, "labelled")
+
+    def job(data):
+        def run(batches):
+            ids, c = data.value
+            for batch in batches:
+                label = batch.column(2).to_numpy()
+                at = np.minimum(np.searchsorted(ids, label), len(ids) - 1)
+                own = np.flatnonzero(ids[at] == label)
+                if len(own):
+                    diff = matrix(batch.column(1))[own] - c[at[own]]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(pa.array(own)), pa.array(label[own], pa.int32()), pa.array(np.einsum("ij,ij->i", diff, diff))],
+                        names=[key, "cluster_id", "d2"],
+                    )
+
+        kind = labelled.schema[key].dataType.simpleString()
+        return labelled.mapInArrow(run, f"`{key}` {kind}, cluster_id int, d2 double")
+
+    found = job(blocks[0].data)
+    for block in blocks[1:]:
+        found = found.unionByName(job(block.data))
+    return found
+
+
 def assign_nearest_normalized(points: DataFrame, centroids: DataFrame, **options) -> DataFrame:
     """As assign_nearest, with unit-length centroids; labels may differ from the raw form."""
     unit = centroids.select("cluster_id", l2_normalize(F.col("centroid")).alias("centroid"))

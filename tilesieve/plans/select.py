@@ -10,7 +10,7 @@ from ..config import RunConfig, SelectionConfig
 from ..functions.vectors import l2_normalize
 from ..operators.clustering import cluster_centroids, kmeans, minibatch_kmeans
 from ..operators.joins import align_manifest, check_alignment, gather
-from ..operators.nearest import assign_nearest
+from ..operators.nearest import assign_nearest, distance_to_own
 from ..operators.reduction import pca_fit_transform
 from ..operators.sampling import truncate
 from ..operators.selection import (
@@ -105,11 +105,7 @@ def select_subset(manifest: DataFrame, embeddings: DataFrame, cfg: SelectionConf
 
 def _measured(points: DataFrame, labels: DataFrame, centroids: DataFrame) -> DataFrame:
     """Labels kept, distances taken to the mean of the members instead of the sub-cluster."""
-    joined = points.join(labels.select("row_id", "cluster_id"), "row_id").join(centroids, "cluster_id")
-    gap = F.aggregate(
-        F.zip_with("embedding", "centroid", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x
-    )
-    return joined.select("row_id", "cluster_id", gap.alias("d2"))
+    return distance_to_own(points.join(labels.select("row_id", "cluster_id"), "row_id"), centroids)
 
 
 def store_selection(selection: Selection, cfg: RunConfig) -> None:
