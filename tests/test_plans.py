@@ -209,6 +209,8 @@ def test_steps_through_stored_tables(spark, sf_dir, tmp_path):
     kept = spark.read.parquet(cfg.data.table("embeddings")).count()
     t = fx.tiles(spark, sf_dir)
     assert kept == tl.filter_nodata(tl.null_band_policy(t)).count()
+    status = spark.read.parquet(cfg.data.table("tile_status"))
+    assert status.count() == t.count() and status.filter("status = 'kept'").count() == kept
     stats = rep.read_cluster_stats(spark, cfg.data.table("cluster_stats"))
     assert stats.agg(F.sum("n_candidates")).first()[0] == kept
     # step 2 alone, from the stored embeddings, gives the same subset

@@ -280,3 +280,21 @@ def test_distances_to_the_own_centroid(spark, max_bytes, capsys):
     assert sorted(got) == list(range(60))
     for i in range(60):
         assert got[i][0] == label[i] and np.isclose(got[i][1], ((x[i] - c[label[i]]) ** 2).sum())
+
+
+def test_many_blocks_take_one_scan_and_no_shuffle_of_points(spark, cloud, tmp_path):
+    frame(spark, cloud, partitions=4).write.parquet(str(tmp_path / "points"))
+    points = spark.read.parquet(str(tmp_path / "points"))
+    table = frame(spark, cloud[:28], "cluster_id", "centroid")
+    held = nearest.Centroids.of(table, 220)
+    assert held.data is None and len(held.files) >= 14
+    found = nearest.assign_nearest(points, table, max_bytes=220)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+    assert [r["cluster_id"] for r in found.orderBy("row_id").collect()] == brute(cloud, cloud[:28])[0].tolist()
+
+
+def test_chunks_are_put_together_from_batches():
+    batches = [pa.RecordBatch.from_arrays([pa.array(list(range(n)), pa.int64())], names=["a"]) for n in (3, 0, 4, 5, 1)]
+    got = [b.column(0).to_pylist() for b in blocks.in_chunks(iter(batches), 48)]
+    assert got == [[0, 1, 2, 0, 1, 2, 3], [0, 1, 2, 3, 4, 0]]

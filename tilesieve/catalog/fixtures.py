@@ -60,6 +60,14 @@ def scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.unionByName(zeros)
 
 
+def tapered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors whose elements vary less and less, so that their principal components are well apart."""
+    return embeddings(spark, sf_dir).select(
+        F.col("vec_id").alias("row_id"),
+        F.transform(F.col("embedding").cast("array<double>"), lambda x, i: x * F.pow(F.lit(0.7), i)).alias("embedding"),
+    )
+
+
 def blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten separated clusters: one-hot(label) + 0.15 x embedding."""
     return embeddings(spark, sf_dir).select(

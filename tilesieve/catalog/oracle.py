@@ -251,15 +251,16 @@ _sql("zero_value_pct", "zeros", "SELECT row_id, round(zero_pct, 6) + 0.0 AS zero
 _sql("filter_nodata", "zeros", "SELECT row_id FROM zeros WHERE NOT (nodata * 100 > 45)")
 _CLAMP = "least(greatest(CAST({x} AS DOUBLE) / 10000, 0), 1)"
 _sql("scale_clamp", "wide", _list("row_id, band", "wide", "v", _CLAMP))
-_part(
-    "cubic",
-    "",
-    """SELECT i, s, sum(w) AS w FROM (SELECT i, least(greatest(b + tap, 0), 7) AS s,
+for _name, _size in (("cubic", 5), ("cubic6", 6)):
+    _part(
+        _name,
+        "",
+        f"""SELECT i, s, sum(w) AS w FROM (SELECT i, least(greatest(b + tap, 0), 7) AS s,
     CASE WHEN t <= 1 THEN 1.25 * t * t * t - 2.25 * t * t + 1 WHEN t < 2 THEN -0.75 * t * t * t + 3.75 * t * t - 6 * t + 3 ELSE 0 END AS w
     FROM (SELECT i, tap, b, abs(c - (b + tap)) AS t FROM (SELECT i, c, CAST(floor(c) AS INTEGER) AS b FROM
-      (SELECT i, (i + CAST(0.5 AS DOUBLE)) * 8 / 5 - 0.5 AS c FROM (SELECT unnest(range(0, 5)) AS i))),
+      (SELECT i, (i + CAST(0.5 AS DOUBLE)) * 8 / {_size} - 0.5 AS c FROM (SELECT unnest(range(0, {_size})) AS i))),
       (SELECT unnest([-1, 0, 1, 2]) AS tap))) GROUP BY i, s""",
-)
+    )
 _sql(
     "resize_bicubic",
     "wide cubic",
@@ -299,6 +300,19 @@ _sql(
   ({_CLAMP.format(x="x")} - CAST({_MEAN} AS DOUBLE)) / CAST({_STD} AS DOUBLE) > 0)) / CAST(len(v) AS DOUBLE), 6) + 0.0 AS value
   FROM wide JOIN zeros USING (row_id) WHERE nodata * 100 <= 45""",
 )
+# Single precision where the pixels go into the model and where its vectors come out.
+_sql(
+    "embed_tiles",
+    "wide zeros cubic6",
+    f"""SELECT row_id, CAST(k - 1 AS INTEGER) AS pos,
+  round(CAST(CAST(sum(CAST(pixel AS DOUBLE) * (cos(CAST(slot * k AS DOUBLE)) / sqrt(CAST(108 AS DOUBLE)))) AS FLOAT) AS DOUBLE), 6) + 0.0 AS value
+  FROM (SELECT row_id, channel * 36 + y.i * 6 + x.i + 1 AS slot,
+      CAST((sum(v * y.w * x.w) - CAST({_MEAN} AS DOUBLE)) / CAST({_STD} AS DOUBLE) AS FLOAT) AS pixel
+    FROM (SELECT row_id, channel, t.i AS at, {_CLAMP.format(x="v[t.i + 1]")} AS v
+      FROM wide JOIN zeros USING (row_id), (SELECT unnest(range(0, 64)) AS i) t WHERE nodata * 100 <= 45) p
+    JOIN cubic6 y ON y.s = p.at // 8 JOIN cubic6 x ON x.s = p.at % 8 GROUP BY row_id, channel, y.i, x.i),
+  (SELECT unnest(range(1, 33)) AS k) GROUP BY row_id, k""",
+)
 _sql(
     "l2_normalize",
     "scaled",
@@ -784,3 +798,76 @@ _sql(
    SELECT replace(string_split(parquet_file, '/')[-1], 'part_', 'absent_'), true FROM manifest JOIN chosen20 USING (row_id))
   GROUP BY shard""",
 )
+
+# ---------------------------------------------------------------- principal components
+
+# Power iteration with deflation, on all elements; what lies behind these components is below 1e-7 of the whole.
+_COMPONENTS, _STEPS = 24, 100
+_part(
+    "tapered",
+    "",
+    """SELECT vec_id AS row_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x, i: x * pow(CAST(0.7 AS DOUBLE), i - 1)) AS v
+  FROM embeddings""",
+)
+_part(
+    "elements",
+    "tapered",
+    """SELECT row_id, i, x - avg(x) OVER (PARTITION BY i) AS x
+  FROM (SELECT row_id, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS i FROM tapered)""",
+)
+_part(
+    "covariance",
+    "elements",
+    """SELECT list(line ORDER BY i) AS a, sum(own) AS trace FROM (SELECT i, list(c ORDER BY j) AS line, sum(CASE WHEN i = j THEN c END) AS own
+  FROM (SELECT a.i, b.i AS j, sum(a.x * b.x) / (count(*) - 1) AS c FROM elements a JOIN elements b USING (row_id) GROUP BY a.i, b.i)
+  GROUP BY i)""",
+)
+_part(
+    "components",
+    "covariance",
+    f"""WITH RECURSIVE steps AS (
+  SELECT 1 AS component, 0 AS step, a, trace, list_transform(a[1], lambda x: CAST(1 AS DOUBLE)) AS u, CAST(0 AS DOUBLE) AS size FROM covariance
+  UNION ALL
+  SELECT CASE WHEN step = {_STEPS} THEN component + 1 ELSE component END, CASE WHEN step = {_STEPS} THEN 0 ELSE step + 1 END,
+    CASE WHEN step = {_STEPS} THEN list_transform(a, lambda line, i: list_transform(line, lambda c, j: c - size * u[i] * u[j])) ELSE a END,
+    trace,
+    CASE WHEN step = {_STEPS} THEN list_transform(u, lambda x: CAST(1 AS DOUBLE)) ELSE list_transform(w, lambda x: x / length) END,
+    length
+  FROM (SELECT *, sqrt(list_dot_product(w, w)) AS length
+    FROM (SELECT *, list_transform(a, lambda line: list_dot_product(line, u)) AS w FROM steps WHERE component <= {_COMPONENTS}))
+  )
+  SELECT component, size / trace AS ratio,
+    list_transform(u, lambda x: CASE WHEN list_max(u) < -list_min(u) THEN -x ELSE x END) AS u
+  FROM steps WHERE step = {_STEPS} AND component <= {_COMPONENTS}""",
+)
+_part(
+    "reduced",
+    "elements components",
+    """SELECT row_id, component, sum(x * u[i]) AS value FROM elements, components WHERE component <= 8 GROUP BY row_id, component""",
+)
+_part(
+    "curve",
+    "tapered components",
+    """SELECT CAST(n AS INTEGER) AS component, coalesce(ratio, 0) AS ratio, sum(coalesce(ratio, 0)) OVER (ORDER BY n) AS cumulative
+  FROM (SELECT unnest(range(1, (SELECT least(count(*), max(len(v))) FROM tapered) + 1)) AS n) LEFT JOIN components ON component = n""",
+)
+_sql(
+    "pca_fit_transform",
+    "reduced",
+    "SELECT row_id, CAST(component - 1 AS INTEGER) AS pos, round(value, 6) + 0.0 AS value FROM reduced",
+)
+_sql("pca_cumulative_variance", "curve", "SELECT component, round(ratio, 6) + 0.0 AS ratio, round(cumulative, 6) + 0.0 AS cumulative FROM curve")
+_sql(
+    "pca_variance_marks",
+    "curve",
+    """SELECT round(max(CASE WHEN component = 2 THEN cumulative END), 6) + 0.0 AS cumulative_2,
+  min(CASE WHEN cumulative >= 0.90 THEN component END) AS reach_90, min(CASE WHEN cumulative >= 0.95 THEN component END) AS reach_95 FROM curve""",
+)
+_sql(
+    "pca_scatter",
+    "reduced",
+    """SELECT row_id, round(pc1, 6) + 0.0 AS pc1, round(pc2, 6) + 0.0 AS pc2, round(pc3, 6) + 0.0 AS pc3,
+  round((pc4 - min(pc4) OVER ()) / (max(pc4) OVER () - min(pc4) OVER () + 1e-6), 6) + 0.0 AS color
+  FROM (SELECT row_id, max(value) FILTER (component = 1) AS pc1, max(value) FILTER (component = 2) AS pc2,
+    max(value) FILTER (component = 3) AS pc3, max(value) FILTER (component = 4) AS pc4 FROM reduced GROUP BY row_id)""",
+)

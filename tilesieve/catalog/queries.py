@@ -486,17 +486,19 @@ def gather(spark, sf_dir):
 
 @query
 def pca_fit_transform(spark, sf_dir):
-    return _long(reduction.pca_fit_transform(fx.vectors(spark, sf_dir), 8)[0], ["row_id"], "embedding")
+    return _long(reduction.pca_fit_transform(fx.tapered(spark, sf_dir), 8)[0], ["row_id"], "embedding")
 
 
 @query
 def pca_cumulative_variance(spark, sf_dir):
-    return reduction.pca_cumulative_variance(fx.vectors(spark, sf_dir))
+    found = reduction.pca_cumulative_variance(fx.tapered(spark, sf_dir))
+    return found.select("component", _r(F.col("ratio")).alias("ratio"), _r(F.col("cumulative")).alias("cumulative"))
 
 
 @query
 def pca_variance_marks(spark, sf_dir):
-    return reduction.variance_marks(reduction.pca_cumulative_variance(fx.vectors(spark, sf_dir)))
+    found = reduction.variance_marks(reduction.pca_cumulative_variance(fx.tapered(spark, sf_dir)), at=2)
+    return found.withColumn("cumulative_2", _r(F.col("cumulative_2")))
 
 
 @query
@@ -752,7 +754,8 @@ def first_large_clusters(spark, sf_dir):
 
 @query
 def pca_scatter(spark, sf_dir):
-    return reduction.pca_scatter(fx.vectors(spark, sf_dir))
+    found = reduction.pca_scatter(fx.tapered(spark, sf_dir))
+    return found.select("row_id", *[_r(F.col(c)).alias(c) for c in ("pc1", "pc2", "pc3", "color")])
 
 
 # ---------------------------------------------------------------- sets

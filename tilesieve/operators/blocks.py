@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -9,7 +11,11 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import MAX_BROADCAST_BYTES, written
+from ..session import MAX_BROADCAST_BYTES, scratch_path, written
+
+# Vectors of a stored block, and points of a chunk that meets all stored blocks, that a task holds.
+STORED_BYTES = 64 * 1024 * 1024
+CHUNK_BYTES = 64 * 1024 * 1024
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -57,7 +63,8 @@ class Block:
         return cls(spark.sparkContext.broadcast((ids, values)), len(ids))
 
 
-def _load(df: DataFrame, key: str, vec: str) -> tuple[np.ndarray, np.ndarray]:
+def loaded(df: DataFrame, key: str, vec: str) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, matrix) of a vector table whose size is known to be bounded."""
     table = df.select(F.col(key).cast("bigint").alias("k"), F.col(vec).cast("array<double>").alias("v")).toArrow()
     return table["k"].to_numpy(), matrix(table["v"])
 
@@ -76,7 +83,7 @@ def vector_blocks(
         return []
     limit = rows_per_block(dims, max_bytes)
     if n <= limit:
-        return [Block.of(spark, *_load(df, key, vec), distinct)]
+        return [Block.of(spark, *loaded(df, key, vec), distinct)]
     df = written(df.select(key, vec), "blocks")
     pieces = -(-n // limit)
     while True:
@@ -86,7 +93,52 @@ def vector_blocks(
         pieces = pieces + max(1, pieces // 4)
     blocks = []
     for b in range(pieces):
-        ids, values = _load(df.filter(bucket == b), key, vec)
+        ids, values = loaded(df.filter(bucket == b), key, vec)
         if len(ids):
             blocks.append(Block.of(spark, ids, values, distinct))
     return blocks
+
+
+def stored_blocks(df: DataFrame, key: str, vec: str, max_bytes: int = STORED_BYTES, distinct: bool = False) -> list[str]:
+    """The files of a written copy of a vector table, none with more than ``max_bytes`` of vectors.
+
+    Tasks read them with ``stored_block``; only their names come to the driver.  Of equal vectors
+    ``distinct`` keeps that of the smallest key.
+    """
+    n, dims = sized(df, vec)
+    limit = rows_per_block(dims, max_bytes)
+    held = df.select(F.col(key).cast("bigint").alias("k"), F.col(vec).cast("array<double>").alias("v"))
+    if distinct:
+        held = held.groupBy("v").agg(F.min("k").alias("k")).select("k", "v")
+    path = scratch_path(df.sparkSession, "blocks")
+    held.repartition(max(1, -(-n // limit)), "k").write.option("maxRecordsPerFile", limit).parquet(path)
+    return df.sparkSession.read.schema("k bigint, v array<double>").parquet(path).inputFiles()
+
+
+def stored_block(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, matrix) of one file of ``stored_blocks``, ordered by id."""
+    import pyarrow.fs as pafs
+    import pyarrow.parquet as pq
+
+    where, name = pafs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+    table = pq.read_table(name, filesystem=where, partitioning=None)
+    ids = table["k"].to_numpy()
+    order = np.argsort(ids, kind="stable")
+    return ids[order], matrix(table["v"])[order]
+
+
+def in_chunks(batches: Iterator[pa.RecordBatch], max_bytes: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about ``max_bytes``, put together from smaller ones; none is empty."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            if sum(b.nbytes for b in held) >= max_bytes:
+                yield _together(held)
+                held = []
+    if held:
+        yield _together(held)
+
+
+def _together(batches: Sequence[pa.RecordBatch]) -> pa.RecordBatch:
+    return batches[0] if len(batches) == 1 else pa.Table.from_batches(batches).combine_chunks().to_batches()[0]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -11,8 +11,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import MAX_BROADCAST_BYTES, written
-from .blocks import Block, list_array, matrix, rows_per_block, sized, vector_blocks
-from .nearest import Finder, assign_to_blocks
+from .blocks import Block, list_array, matrix, rows_per_block, sized
+from .nearest import Centroids
 from .ranking import rank_within
 from .sampling import BROADCAST_KEYS, sample_exact, shuffle_key, truncate
 
@@ -71,15 +71,14 @@ def _combine(partial: DataFrame) -> DataFrame:
     )
 
 
-def _nearest_means(points: DataFrame, block: Block, vec: str, max_bytes: int) -> DataFrame:
-    data = block.data
+def _nearest_means(points: DataFrame, centroids: Centroids, vec: str, max_bytes: int) -> DataFrame:
+    """(cluster_id, n, mean) of the points nearest to each centroid, found and added up in one pass."""
 
     def run(batches):
-        find, sums = Finder(*data.value), _Sums(max_bytes)
-        for batch in batches:
-            if batch.num_rows:
-                x = matrix(batch.column(0))
-                yield from sums.add(find(x)[0], x)
+        find, sums = centroids.finder(), _Sums(max_bytes)
+        for batch in centroids.chunks(batches):
+            x = matrix(batch.column(0))
+            yield from sums.add(find(x)[0], x)
         yield from sums.drain()
 
     return _combine(points.select(vec).mapInArrow(run, _PARTIAL))
@@ -108,7 +107,6 @@ class Centres:
     values: np.ndarray | None = None
     weight: np.ndarray | None = None
     table: DataFrame | None = None
-    sent: list[Block] = field(default_factory=list)
 
     @classmethod
     def of(cls, table: DataFrame, k: int, dims: int, max_bytes: int) -> Centres:
@@ -120,24 +118,16 @@ class Centres:
         order = np.argsort(ids)
         return cls(table.sparkSession, max_bytes, ids[order], values[order], np.zeros(len(ids), np.int64))
 
-    def blocks(self) -> list[Block]:
+    def sent(self) -> Centroids:
         if self.table is None:
-            return [Block.of(self.spark, self.ids, self.values, distinct=True)]
-        return vector_blocks(self.table, "cluster_id", "centroid", self.max_bytes, distinct=True)
-
-    def means(self, points: DataFrame, key: str, vec: str) -> DataFrame:
-        blocks = self.sent = self.blocks()
-        if len(blocks) == 1:
-            return _nearest_means(points, blocks[0], vec, self.max_bytes)
-        labels = assign_to_blocks(points, blocks, key, vec, stored=True)
-        return label_means(points.join(labels.select(key, "cluster_id"), key), vec=vec)
+            return Centroids(Block.of(self.spark, self.ids, self.values, distinct=True).data, [])
+        return Centroids.of(self.table, self.max_bytes)
 
-    def round(self, points: DataFrame, key: str, vec: str, keep_weight: bool = False) -> None:
+    def round(self, points: DataFrame, vec: str, keep_weight: bool = False) -> None:
         """One pass over the points; the executors forget its centres afterwards."""
-        self._move(self.means(points, key, vec), keep_weight)
-        for block in self.sent:
-            block.data.destroy()
-        self.sent = []
+        centroids = self.sent()
+        self._move(_nearest_means(points, centroids, vec, self.max_bytes), keep_weight)
+        centroids.release()
 
     def _move(self, means: DataFrame, keep_weight: bool) -> None:
         """Move every centre to the mean of its points; a centre without points stays.
@@ -224,10 +214,8 @@ def kmeans(
     if max_points_per_centroid and n > max_points_per_centroid * k:
         points = written(sample_exact(points, max_points_per_centroid * k, key, seed), "train")
     centres = Centres.of(initial_centroids(points, k, init, seed, key, vec), k, dims, max_bytes)
-    if centres.table is not None:
-        points = written(points, "points")
     for _ in range(niter):
-        centres.round(points, key, vec)
+        centres.round(points, vec)
     return centres.frame()
 
 
@@ -259,7 +247,7 @@ def minibatch_kmeans(
         # A range of (batch, key) per task: a batch is read by its files' statistics, and by many tasks.
         held = written(dealt.repartitionByRange("_round", key), "batches")
         for i in range(per_epoch):
-            centres.round(held.filter(F.col("_round") == i), key, vec, keep_weight=True)
+            centres.round(held.filter(F.col("_round") == i), vec, keep_weight=True)
     return centres.frame()
 
 

@@ -1,14 +1,18 @@
-"""Nearest centroid per point: a map over the points with the centroids in bounded blocks."""
+"""Nearest centroid per point: one map over the points with the centroids in bounded blocks."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.vectors import dot, l2_normalize, l2_normalize_eps, literal_vector
-from ..session import MAX_BROADCAST_BYTES, written
-from .blocks import Block, matrix, vector_blocks
+from ..session import MAX_BROADCAST_BYTES
+from .blocks import CHUNK_BYTES, STORED_BYTES, Block, in_chunks, loaded, matrix, rows_per_block, sized, stored_block, stored_blocks
 
 # Cells of the distance matrix a task looks at together, and the least number of points for it;
 # also the numbers in one slice of the exact recheck.
@@ -60,48 +64,79 @@ class Finder:
         return labels, best
 
 
-def _assign_to(points: DataFrame, block: Block, key: str, vec: str, carry: bool = False) -> DataFrame:
-    data = block.data
+class StoredFinder:
+    """As ``Finder`` over stored blocks: one is read at a time, and the nearest so far is kept."""
+
+    def __init__(self, files: list[str]) -> None:
+        self.files = files
+
+    def __call__(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        labels, best = np.full(len(x), -1, dtype=np.int64), np.full(len(x), np.inf)
+        for file in self.files:
+            ids, c = stored_block(file)
+            if len(ids):
+                found, d2 = Finder(ids, c)(x)
+                nearer = (labels < 0) | (d2 < best) | ((d2 == best) & (found < labels))
+                labels[nearer], best[nearer] = found[nearer], d2[nearer]
+        return labels, best
+
+
+@dataclass(frozen=True)
+class Centroids:
+    """What tasks measure points with: one broadcast block, or the files of a table beyond its bound.
+
+    The points are read once either way, and neither they nor pairs are shuffled.
+    """
+
+    data: Broadcast | None
+    files: list[str]
+
+    @classmethod
+    def of(cls, table: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES, distinct: bool = True) -> Centroids:
+        n, dims = sized(table, "centroid")
+        if n == 0:
+            raise ValueError("there are no centroids to measure to")
+        if n <= rows_per_block(dims, max_bytes):
+            return cls(Block.of(table.sparkSession, *loaded(table, "cluster_id", "centroid"), distinct).data, [])
+        return cls(None, stored_blocks(table, "cluster_id", "centroid", min(max_bytes, STORED_BYTES), distinct))
+
+    def finder(self) -> Finder | StoredFinder:
+        return StoredFinder(self.files) if self.data is None else Finder(*self.data.value)
+
+    def chunks(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Batches without empty ones; big enough to be worth reading all files."""
+        return in_chunks(batches, CHUNK_BYTES if self.data is None else 0)
+
+    def blocks(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids, matrix) of each block, one at a time."""
+        if self.data is not None:
+            yield self.data.value
+        for file in self.files:
+            yield stored_block(file)
+
+    def release(self) -> None:
+        """The executors forget a broadcast block."""
+        if self.data is not None:
+            self.data.destroy()
+
+
+def _assign_to(points: DataFrame, centroids: Centroids, key: str, vec: str, carry: bool = False) -> DataFrame:
     held = [key, vec] if carry else [key]
 
     def run(batches):
-        find = Finder(*data.value)
-        for batch in batches:
-            if batch.num_rows:
-                labels, d2 = find(matrix(batch.column(1)))
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[: len(held)], pa.array(labels.astype(np.int32)), pa.array(d2)],
-                    names=[*held, "cluster_id", "d2"],
-                )
+        find = centroids.finder()
+        for batch in centroids.chunks(batches):
+            labels, d2 = find(matrix(batch.column(1)))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[: len(held)], pa.array(labels.astype(np.int32)), pa.array(d2)],
+                names=[*held, "cluster_id", "d2"],
+            )
 
     source = points.filter(F.col(vec).isNotNull()).select(key, vec)
     kinds = [f"`{c}` {source.schema[c].dataType.simpleString()}" for c in held]
     return source.mapInArrow(run, ", ".join([*kinds, "cluster_id int", "d2 double"]))
 
 
-def assign_to_blocks(
-    points: DataFrame, blocks: list[Block], key: str = "row_id", vec: str = "embedding", stored: bool = False
-) -> DataFrame:
-    """Nearest over all blocks: one map pass per block, then a minimum per point.
-
-    The points are written before they are read once per block, unless they are ``stored``.
-
-    What is shuffled in the second step is (key, distance, id), never a vector and never a pair.
-    """
-    if len(blocks) == 1:
-        return _assign_to(points, blocks[0], key, vec)
-    if not stored:
-        points = written(points.select(key, vec), "points")
-    found = _assign_to(points, blocks[0], key, vec)
-    for block in blocks[1:]:
-        found = found.unionByName(_assign_to(points, block, key, vec))
-    return (
-        found.groupBy(key)
-        .agg(F.min(F.struct("d2", "cluster_id")).alias("_best"))
-        .select(key, F.col("_best.cluster_id").alias("cluster_id"), F.col("_best.d2").alias("d2"))
-    )
-
-
 def assign_nearest(
     points: DataFrame,
     centroids: DataFrame,
@@ -110,18 +145,12 @@ def assign_nearest(
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """(key, cluster_id, d2): the centroid with the least squared L2 distance, ties to the lowest id."""
-    blocks = vector_blocks(centroids, "cluster_id", "centroid", max_bytes, distinct=True)
-    if not blocks:
-        raise ValueError("there are no centroids to assign to")
-    return assign_to_blocks(points, blocks, key, vec)
+    return _assign_to(points, Centroids.of(centroids, max_bytes), key, vec)
 
 
 def assign_carrying(points: DataFrame, centroids: DataFrame, key: str = "row_id", vec: str = "embedding") -> DataFrame:
-    """As assign_nearest, with the vector kept in the row; the centroids have to fit one block."""
-    blocks = vector_blocks(centroids, "cluster_id", "centroid", distinct=True)
-    if len(blocks) != 1:
-        raise ValueError("the centroids do not fit one block")
-    return _assign_to(points, blocks[0], key, vec, carry=True)
+    """As assign_nearest, with the vector kept in the row."""
+    return _assign_to(points, Centroids.of(centroids), key, vec, carry=True)
 
 
 def distance_to_own(
@@ -132,34 +161,27 @@ def distance_to_own(
     Vectors are not shuffled by cluster, so a hot one is no single task's work; every block of
     centroids measures the points of its own clusters.  Points of an unknown cluster are left out.
     """
-    blocks = vector_blocks(centroids, "cluster_id", "centroid", max_bytes)
-    if not blocks:
-        raise ValueError("there are no centroids to measure to")
+    held = Centroids.of(centroids, max_bytes, distinct=False)
     labelled = labelled.filter(F.col(vec).isNotNull() & F.col("cluster_id").isNotNull()).select(key, vec, "cluster_id")
-    if len(blocks) > 1:
-        labelled = written(labelled, "labelled")
-
-    def job(data):
-        def run(batches):
-            ids, c = data.value
-            for batch in batches:
-                label = batch.column(2).to_numpy()
-                at = np.minimum(np.searchsorted(ids, label), len(ids) - 1)
-                own = np.flatnonzero(ids[at] == label)
-                if len(own):
-                    diff = matrix(batch.column(1))[own] - c[at[own]]
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(own)), pa.array(label[own], pa.int32()), pa.array(np.einsum("ij,ij->i", diff, diff))],
-                        names=[key, "cluster_id", "d2"],
-                    )
-
-        kind = labelled.schema[key].dataType.simpleString()
-        return labelled.mapInArrow(run, f"`{key}` {kind}, cluster_id int, d2 double")
-
-    found = job(blocks[0].data)
-    for block in blocks[1:]:
-        found = found.unionByName(job(block.data))
-    return found
+
+    def run(batches):
+        for batch in held.chunks(batches):
+            label, x = batch.column(2).to_numpy(), matrix(batch.column(1))
+            known, d2 = np.zeros(len(x), bool), np.zeros(len(x))
+            for ids, c in held.blocks():
+                if len(ids):
+                    at = np.minimum(np.searchsorted(ids, label), len(ids) - 1)
+                    own = np.flatnonzero(ids[at] == label)
+                    diff = x[own] - c[at[own]]
+                    known[own], d2[own] = True, np.einsum("ij,ij->i", diff, diff)
+            there = pa.array(np.flatnonzero(known))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(there), pa.array(label[known], pa.int32()), pa.array(d2[known])],
+                names=[key, "cluster_id", "d2"],
+            )
+
+    kind = labelled.schema[key].dataType.simpleString()
+    return labelled.mapInArrow(run, f"`{key}` {kind}, cluster_id int, d2 double")
 
 
 def assign_nearest_normalized(points: DataFrame, centroids: DataFrame, **options) -> DataFrame:

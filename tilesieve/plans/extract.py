@@ -15,31 +15,42 @@ from ..sources.tiles import read_tiles
 from ..sources.vectors import read_embeddings, write_embeddings
 
 
-def prepare_and_embed_tiles(spark: SparkSession, manifest: DataFrame, cfg: RunConfig) -> DataFrame:
-    """(row_id, embedding) of every manifest tile that passes the band and no-data tests."""
+def prepare_wanted(spark: SparkSession, manifest: DataFrame, cfg: RunConfig) -> DataFrame:
+    """(row_id, status, nodata, pixels) of every manifest tile that could be read, written.
+
+    An image is some 2 % of its tile; with it stored, the status costs no second reading of tiles
+    and a lost executor costs no preparing anew.
+    """
     e = cfg.extraction
-    factory = model_factory(e.model)
     if e.on_error not in ("fail", "drop", "zeros"):
         raise ValueError(f"on_error must be 'fail', 'drop' or 'zeros', not {e.on_error!r}")
     bands = band_columns(e.band_indices)
     tiles = read_tiles(spark, cfg.data.images_dir, manifest, bands, tolerant=e.on_error != "fail")
-    prepared = prepare_tiles(tiles, e.tile_height, e.tile_width, e.crop_size, e.nodata_threshold, bands)
-    if e.on_error != "zeros":
-        usable = prepared.filter(F.col("status") == "kept")
-    else:
-        # The images are used twice here, so they are written instead of being prepared twice.
-        prepared = written(prepared, "prepared")
+    return written(prepare_tiles(tiles, e.tile_height, e.tile_width, e.crop_size, e.nodata_threshold, bands), "prepared")
+
+
+def embed_prepared(manifest: DataFrame, prepared: DataFrame, cfg: RunConfig) -> DataFrame:
+    """(row_id, embedding) of the kept tiles; with ``zeros`` also of those that could not be read."""
+    e = cfg.extraction
+    usable = prepared.filter(F.col("status") == "kept").select("row_id", "pixels")
+    if e.on_error == "zeros":
         unread = tile_status(manifest, prepared).filter(F.col("status") == "read_error").select("row_id")
-        blank = unread.withColumn("pixels", blank_pixels(e.crop_size))
-        usable = prepared.filter(F.col("status") == "kept").select("row_id", "pixels").unionByName(blank)
-    return embed_tiles(usable, factory, e.crop_size, e.batch_size)
+        usable = usable.unionByName(unread.withColumn("pixels", blank_pixels(e.crop_size)))
+    return embed_tiles(usable, model_factory(e.model), e.crop_size, e.batch_size)
+
+
+def prepare_and_embed_tiles(spark: SparkSession, manifest: DataFrame, cfg: RunConfig) -> DataFrame:
+    """(row_id, embedding) of every manifest tile that passes the band and no-data tests."""
+    return embed_prepared(manifest, prepare_wanted(spark, manifest, cfg), cfg)
 
 
 def extract_features(spark: SparkSession, cfg: RunConfig) -> DataFrame:
-    """Build or reuse the manifest, embed its tiles and store the vectors."""
+    """Build or reuse the manifest, embed its tiles, store the vectors and the outcome of every tile."""
     manifest = load_or_build_manifest(
         spark, cfg.data.table("manifest"), cfg.data.metadata_path, cfg.data.images_dir
     )
     wanted = sample_fraction(manifest, cfg.extraction.sample_fraction, "row_id", cfg.extraction.seed)
-    write_embeddings(prepare_and_embed_tiles(spark, wanted, cfg), cfg.data.table("embeddings"))
+    prepared = prepare_wanted(spark, wanted, cfg)
+    tile_status(wanted, prepared).write.parquet(cfg.data.table("tile_status"))
+    write_embeddings(embed_prepared(wanted, prepared, cfg), cfg.data.table("embeddings"))
     return read_embeddings(spark, cfg.data.table("embeddings"))
