@@ -298,3 +298,16 @@ def test_chunks_are_put_together_from_batches():
     batches = [pa.RecordBatch.from_arrays([pa.array(list(range(n)), pa.int64())], names=["a"]) for n in (3, 0, 4, 5, 1)]
     got = [b.column(0).to_pylist() for b in blocks.in_chunks(iter(batches), 48)]
     assert got == [[0, 1, 2, 0, 1, 2, 3], [0, 1, 2, 3, 4, 0]]
+
+
+def test_percentiles_are_found_bit_by_bit(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "KEPT", 1)
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(60, 3)) * 10.0 ** rng.integers(-9, 3, size=(60, 1))
+    x[50:] = x[0]  # equal points have no distance, but many equal ones to others
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    d = d[d > 0]
+    probs = [0, 0.01, 0.25, 0.5, 0.9, 0.999, 1]
+    assert np.allclose(pairs.pair_percentiles(frame(spark, x), probs), np.percentile(d, [100 * p for p in probs]), rtol=1e-6)
+    assert np.isnan(pairs.pair_percentiles(frame(spark, x).filter("row_id < 0"), probs)).all()
+    assert np.isnan(pairs.pair_percentiles(frame(spark, x).filter("row_id >= 50"), probs)).all()

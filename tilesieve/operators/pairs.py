@@ -16,7 +16,9 @@ from ..session import MAX_BROADCAST_BYTES, written
 from .blocks import Block, matrix, vector_blocks
 from .nearest import CELLS
 
-BINS = 65_536
+# Bits behind the first that distances are counted by, and distances that are counted by value at once.
+FIRST, KEPT = 48, 1_000_000
+# The percentiles that are reported.
 PROFILE = (("min", 0.0), ("p5", 0.05), ("p25", 0.25), ("p50", 0.5), ("p75", 0.75), ("p95", 0.95), ("max", 1.0))
 # Percentile to use for an aimed number of clusters.
 RECOMMENDED = (("1k", 0.99), ("10k", 0.95), ("100k", 0.85), ("1M", 0.50))
@@ -103,48 +105,57 @@ def pair_percentiles(
     vec: str = "embedding",
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> list[float]:
-    """Exact percentiles (linear interpolation) of the positive pair distances, in two passes.
+    """Exact percentiles (linear interpolation) of the positive pair distances, in two to four passes.
 
-    Pass one counts the distances in 65,536 bins; pass two computes them again and lets only the
-    bins through that hold a wanted rank.
+    The bits of positive doubles are in the order of their values.  A pass counts the distances by
+    their first bits, the next ones by 16 more bits where a wanted rank lies, and as soon as those
+    places hold at most ``KEPT`` distances, by all bits.  What comes to the driver is counts: at
+    most 65,536 per wanted rank, however large the sample.
     """
     sample = written(sample.filter(F.col(vec).isNotNull()).select(key, vec), "sample")
     blocks = vector_blocks(sample, key, vec, max_bytes)
-    top = sample.agg(F.max(F.sqrt(F.aggregate(vec, F.lit(0.0), lambda a, x: a + x * x)))).first()[0]
-    if not top:
+    if not blocks:
         return [float("nan")] * len(probs)
-    width = 2.0 * top * (1 + 1e-9) / BINS
     spread = _spread(sample, key)
 
-    def bins(d):
-        n = np.bincount((d / width).astype(np.int64), minlength=1)
-        hit = np.nonzero(n)[0]
-        return [pa.array(hit.astype(np.int64)), pa.array(n[hit].astype(np.int64))]
-
-    counts = _each(spread, blocks, key, vec, bins, "bin bigint, n bigint")
-    histogram = counts.groupBy("bin").agg(F.sum("n").alias("n")).toPandas().sort_values("bin")
-    bin_no, reach = histogram["bin"].to_numpy(), np.cumsum(histogram["n"].to_numpy())
-    if not len(reach):
+    def counted(shift: int, above: int, wanted: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """The first bits that occur, in order, and how often; of ``wanted`` parts only."""
+
+        def summarize(d):
+            bits = d.view(np.int64)
+            if wanted is None:
+                n = np.bincount(bits >> shift)
+                part = np.flatnonzero(n)
+                n = n[part]
+            else:
+                part, n = np.unique(bits[np.isin(bits >> above, wanted)] >> shift, return_counts=True)
+            return [pa.array(part.astype(np.int64)), pa.array(n.astype(np.int64))]
+
+        counts = _each(spread, blocks, key, vec, summarize, "part bigint, n bigint")
+        found = counts.groupBy("part").agg(F.sum("n").alias("n")).toArrow().sort_by("part")
+        return found["part"].to_numpy(), found["n"].to_numpy()
+
+    def located(parts: np.ndarray, sizes: np.ndarray, rank: int, below: int) -> tuple[int, int, int]:
+        """The part that holds a rank, the number of distances below it, and its size."""
+        reach = below + np.cumsum(sizes)
+        i = int(np.searchsorted(reach, rank, side="right"))
+        return int(parts[i]), int(reach[i] - sizes[i]), int(sizes[i])
+
+    shift = FIRST
+    parts, sizes = counted(shift, 0, None)
+    if not len(parts):
         return [float("nan")] * len(probs)
-    position = np.asarray(probs, dtype=float) * (reach[-1] - 1)
-    ranks = np.unique(np.concatenate([np.floor(position), np.ceil(position)]).astype(np.int64))
-    owner = np.searchsorted(reach, ranks, side="right")
-    wanted = np.unique(bin_no[owner])
-
-    def chosen(d):
-        d = d[np.isin((d / width).astype(np.int64), wanted)]
-        value, n = np.unique(d, return_counts=True)
-        return [pa.array((value / width).astype(np.int64)), pa.array(value), pa.array(n.astype(np.int64))]
-
-    inside = _each(spread, blocks, key, vec, chosen, "bin bigint, v double, n bigint")
-    values = inside.groupBy("bin", "v").agg(F.sum("n").alias("n")).toPandas().sort_values(["bin", "v"])
-    at = {}
-    for rank, i in zip(ranks, owner):
-        group = values[values["bin"] == bin_no[i]]
-        inner = rank - (reach[i - 1] if i else 0)
-        at[int(rank)] = float(group["v"].to_numpy()[np.searchsorted(np.cumsum(group["n"].to_numpy()), inner, side="right")])
-    low, high = np.floor(position).astype(int), np.ceil(position).astype(int)
-    return [float(at[a] + (at[b] - at[a]) * (p - a)) for a, b, p in zip(low, high, position)]
+    position = np.asarray(probs, dtype=float) * (sizes.sum() - 1)
+    low, high = np.floor(position).astype(np.int64), np.ceil(position).astype(np.int64)
+    at = {rank: located(parts, sizes, rank, 0) for rank in np.unique(np.concatenate([low, high])).tolist()}
+    while shift:
+        above, held = shift, {part: size for part, _, size in at.values()}
+        shift = 0 if sum(held.values()) <= KEPT else shift - 16
+        parts, sizes = counted(shift, above, np.array(sorted(held)))
+        owner = parts >> (above - shift)
+        at = {rank: located(parts[owner == part], sizes[owner == part], rank, below) for rank, (part, below, _) in at.items()}
+    value = {rank: float(np.int64(part).view(np.float64)) for rank, (part, _, _) in at.items()}
+    return [value[a] + (value[b] - value[a]) * float(p - a) for a, b, p in zip(low.tolist(), high.tolist(), position)]
 
 
 def distance_profile(sample: DataFrame, **options) -> DataFrame:
