@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tilesieve.llm import chat, langid, packing, pii, quality, queries, simhash, syncmers, treebpe, urls, vamana
+from tilesieve.llm import chat, langid, packing, pii, quality, queries, shingles, simhash, syncmers, treebpe, urls, vamana
 from tilesieve.llm.components import connected
 from tilesieve.llm.wordbpe import WordBpe
 
@@ -357,6 +357,46 @@ def test_near_dedup_keeps_one_row_of_each_component(odd, empty):
     assert simhash.keep_first(empty).count() == 0
 
 
+def brute_shingles(text):
+    words = text.lower().split()
+    return {" ".join(words[i : i + 5]) for i in range(len(words) - 4)} or ({" ".join(words)} if words else set())
+
+
+@pytest.mark.parametrize("group", [4, 2048])
+def test_near_dedup_stage_links_by_five_word_similarity(spark, group):
+    random.seed(11)
+    texts = []
+    for _ in range(12):
+        base = [f"w{random.randint(0, 5000)}" for _ in range(200)]
+        for changes in (0, 0, 1, 2, 3, 4, 5, 6, 9, 20):
+            words = list(base)
+            for at in random.sample(range(200), changes):
+                words[at] = f"new{random.randint(0, 10**6)}"
+            texts.append(" ".join(words))
+    sets = [brute_shingles(t) for t in texts]
+    root = list(range(len(texts)))
+    far = 0  # pairs that the three bits of op8 don't link
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b):
+                x, y = root[i], root[j]
+                root = [min(x, y) if r in (x, y) else r for r in root]
+                far += (brute_fingerprint(texts[i]) ^ brute_fingerprint(texts[j])).bit_count() > 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert far > 20
+    assert {r.doc_id: r.component_id for r in shingles.components(docs, group=group).collect()} == dict(enumerate(root))
+    if group > 4:
+        assert {r.doc_id for r in corpus_pipeline.near_dedup_stage(spark, docs, "").collect()} == set(root)
+
+
+def test_shingle_dedup_of_odd_tables(odd, empty):
+    kept = shingles.keep_first(odd)
+    ids = [r.doc_id for r in kept.collect()]
+    assert kept.columns == odd.columns and ids.count(1) == 1 and 4 in ids and 5 not in ids
+    assert 2 in ids and 3 not in ids and 7 not in ids
+    assert shingles.keep_first(empty).count() == 0
+
+
 def test_feistel_is_a_permutation_without_fixed_points():
     f = pii.Feistel(b"k")
     for n in (2, 3, 7, 100, 257):

@@ -191,7 +191,11 @@ def keep_first(docs: DataFrame, reach: int = REACH, id_col: str = "doc_id", **ho
     Of several rows with that id the first by their text stays; a row without id stays if its
     component has no id at all.
     """
-    found = components(docs, reach, id_col, **how)
+    return first_rows(docs, components(docs, reach, id_col, **how), id_col)
+
+
+def first_rows(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that ``keep_first`` keeps, for components (id, component_id) of all rows."""
     first = found.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(id_col, "component_id").agg(F.count(F.lit(1)).alias("_rows"))
     kept = docs.join(first.select(F.col(id_col).alias("_kept"), "_rows"), F.col(id_col).eqNullSafe(F.col("_kept")), "inner")
     # The join has brought the rows of an id together; numbering them needs no other shuffle.
