@@ -7,6 +7,11 @@ hashes permutes that set, stepping on until the result lies in it again.  So a p
 format, the length and the check digits of its original, equal values get equal pseudonyms in
 every document, and who holds the key can go back.  A value never stays as it was.
 
+What fails its check takes nothing with it: other kinds are tried at the same place, and the search
+goes on inside it.  After a value the search goes on where the value ends.  A pseudonym inside such
+a candidate can happen to fulfil the candidate's check (one card number in ten, one IBAN in 97);
+only there ``back`` reads the wrong value.
+
 Null text stays null, text without such values stays as it is, and so do numbers that fail their
 check.  Other columns pass untouched; repeated rows are treated alike.
 """
@@ -26,8 +31,7 @@ from .common import bounded, slices
 ROUNDS = 8
 
 # The formats that are looked for.
-_PATTERN = re.compile(
-    r"""
+_FORMATS = r"""
     (?P<email>(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![\w-]))
   | (?P<secret>\b(?:AKIA|ASIA)[A-Z0-9]{16}\b
       | \b(?:gh[pousr]_|sk-|xox[abp]-)[A-Za-z0-9_-]{16,}
@@ -41,9 +45,11 @@ _PATTERN = re.compile(
       | (?<![\w+])\+(?!1[ .(-])\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)
       | (?<![\w+(-])\(\d{3}\)[ ]?\d{3}[ .-]\d{4}(?!\d) | (?<![\w+.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-]))
   | (?P<card>(?<![\w-])(?:\d{13,19}|\d{4}(?P<s3>[ -])\d{4}(?P=s3)\d{4}(?P=s3)\d{1,7}|\d{4}(?P<s4>[ -])\d{6}(?P=s4)\d{5})(?![\w-]))
-    """,
-    re.VERBOSE,
-)
+    """
+_PATTERN = re.compile(_FORMATS, re.VERBOSE)
+# What else may start at the place of a candidate that failed: the kinds behind its own.
+_STARTS = [m.start() for m in re.finditer(r"\(\?P<(?!s\d)", _FORMATS)]
+_LATER = {re.match(r"\(\?P<(\w+)", _FORMATS[a:])[1]: re.compile(_FORMATS[b:], re.VERBOSE) for a, b in zip(_STARTS, _STARTS[1:])}
 # A text without a digit or an at sign has nothing to look for.
 _MAYBE = re.compile(r"[0-9@]|password|token|secret|api_key")
 _FIRST_DAY, _LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
@@ -240,7 +246,8 @@ class Pseudonyms:
         if not _MAYBE.search(text):
             return text, []
         spans, out, at = [], [], 0
-        for m in _PATTERN.finditer(text):
+        m = _PATTERN.search(text)
+        while m:
             kind, value = m.lastgroup, m.group()
             if kind == "iban":
                 # A short word in capitals may follow; the check digits tell where the number ends.
@@ -256,6 +263,10 @@ class Pseudonyms:
                 out += [text[at : m.start()], new]
                 at = m.start() + len(value)
                 spans.append((kind, m.start(), at))
+                m = _PATTERN.search(text, at)
+            else:
+                # Another kind may start at the same place, and any inside what the candidate took.
+                m = (kind in _LATER and _LATER[kind].match(text, m.start())) or _PATTERN.search(text, m.start() + 1)
         return ("".join([*out, text[at:]]), spans) if spans else (text, [])
 
 
