@@ -188,6 +188,16 @@ def test_templates_learn_a_blocked_section_and_generalise_ids(spark):
     assert urls.judge(pages.filter("1 = 0"), rules).count() == 0
 
 
+@pytest.mark.parametrize("sections", [20, 60])
+def test_a_blocked_section_is_found_however_broad_its_branch(spark, sections):
+    rows = [f"https://hot.com/s{s}/{i}" for s in range(sections) for i in range(30)]
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id bigint, url string")
+    rules = [("block" if s == 7 else "allow", "hot.com", f"/s{s}/1") for s in range(sections)]
+    got = urls.judge(pages, rules).filter("rule is null").collect()
+    assert {r.path.split("/")[1] for r in got if r.verdict == "block"} == {"s7"}
+    assert {r.template.split("/")[1] for r in got if r.verdict == "block"} == {"s7"}
+
+
 def brute_anchors(text):
     tokens = []
     for word in text.lower().split():

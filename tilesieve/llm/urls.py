@@ -3,9 +3,11 @@
 Rules name a host suffix and a path prefix; the longest that fits an URL decides it.  All other
 URLs are judged by templates learned from the URLs that rules decide.
 
-The tree of a host is built level by level.  Under a branch, a segment that is one of very many,
-none of them frequent, becomes a wildcard; literal siblings whose shares of blocked URLs are not
-significantly different from their wildcard's are merged with it.  Hosts without any labelled URL
+The tree of a host is built level by level.  Under a branch, a segment stays literal if its share of
+blocked URLs differs significantly from that of its wildcard, which holds all segments that do not;
+a segment without labels, or whose wildcard has none, stays literal if it is frequent.  How many
+other segments a branch has plays no part.  A branch is split as deep as its paths go, unless none
+of its URLs is labelled or all have one path.  Hosts without any labelled URL
 use the tree of all hosts (host ``*``), which is built in the same way.  Each template has a purity, the share of
 its labelled URLs that are blocked, smoothed towards that of its parent; an URL is blocked if the
 purity of its longest labelled template is above ``reject``.
@@ -23,10 +25,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import written
 
-# Levels of the tree; deeper segments are judged by their first ones.
-DEPTH = 4
-# A segment stays literal if it has at least this many URLs and this share of its branch.
-LEAST_ROWS, LEAST_SHARE = 8, 0.02
+# A segment without labels stays literal if it has at least this many URLs.
+LEAST_ROWS = 8
 # Normal deviate below which two shares count as alike; pseudo-observations of the parent; verdict.
 ALIKE, SMOOTH, REJECT = 2.0, 2.0, 0.5
 
@@ -51,54 +51,57 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column,
     return name, verdict
 
 
-def _segments(path: Column, depth: int) -> Column:
-    """The first segments of a path; a file's ending is a part of its own kind: digits stay with ``.html``."""
-    return F.slice(F.filter(F.split(path, "/"), lambda s: s != ""), 1, depth)
+def _segments(path: Column) -> Column:
+    """The segments of a path; a file's ending is a part of its own kind: digits stay with ``.html``."""
+    return F.filter(F.split(path, "/"), lambda s: s != "")
 
 
-def _level(rows: DataFrame, level: int) -> DataFrame:
-    """The branches below ``level`` segments of template: (host, template, segment, kept).
+def _apart(labelled: Column, blocked: Column, others: Column, others_blocked: Column) -> Column:
+    """Whether two shares of blocked URLs differ significantly (with continuity correction); null without labels on either side."""
+    pooled = (blocked + others_blocked) / (labelled + others)
+    spread = F.sqrt(pooled * (1 - pooled) * (1 / labelled + 1 / others))
+    difference = F.abs(blocked / labelled - others_blocked / others) - (1 / labelled + 1 / others) / 2
+    return F.when((labelled > 0) & (others > 0), difference > ALIKE * spread)
 
-    ``rows`` are (host, template, segment, n, labelled, blocked) with one row per literal segment.
-    """
-    branch = rows.groupBy("host", "template").agg(F.sum("n").alias("_n"))
-    # Rare segments form the wildcard; what it holds is the comparison for the frequent ones.
-    joined = rows.join(branch, ["host", "template"])
-    frequent = (F.col("n") >= LEAST_ROWS) & (F.col("n") >= LEAST_SHARE * F.col("_n"))
-    rare = joined.filter(~frequent).groupBy("host", "template").agg(
-        F.sum("labelled").alias("_wl"), F.sum("blocked").alias("_wb"), F.sum("n").alias("_wn")
-    )
-    known = joined.filter(frequent).join(rare, ["host", "template"], "left")
-    pooled = (F.col("blocked") + F.col("_wb")) / (F.col("labelled") + F.col("_wl"))
-    spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("labelled") + 1 / F.col("_wl")))
-    apart = F.abs(F.col("blocked") / F.col("labelled") - F.col("_wb") / F.col("_wl"))
-    # Without labels on either side, without a wildcard, or with shares too far apart, it stays a literal.
-    alike = (F.col("labelled") > 0) & (F.col("_wl") > 0) & (apart <= ALIKE * spread)
-    return known.filter(~F.coalesce(alike, F.lit(False))).select("host", "template", "segment")
 
+def _level(counts: DataFrame) -> DataFrame:
+    """The literals (host, template, segment) of each branch; ``counts`` has one row per segment."""
+    branch = counts.groupBy("host", "template").agg(F.sum("labelled").alias("_l"), F.sum("blocked").alias("_b"))
+    own, blocked = F.col("labelled"), F.col("blocked")
+    # At first the comparison is with all other segments of the branch, then with those that are left for the wildcard.
+    first = F.coalesce(_apart(own, blocked, F.col("_l") - own, F.col("_b") - blocked), F.lit(False))
+    tested = counts.join(branch, ["host", "template"]).withColumn("_first", first)
+    in_wildcard = F.when(~F.col("_first"), 1).otherwise(0)
+    wild = tested.groupBy("host", "template").agg(F.sum(own * in_wildcard).alias("_wl"), F.sum(blocked * in_wildcard).alias("_wb"))
+    second = _apart(own, blocked, F.col("_wl") - own * in_wildcard, F.col("_wb") - blocked * in_wildcard)
+    kept = F.coalesce(second, F.col("_first") | (F.col("n") >= LEAST_ROWS))
+    return tested.join(wild, ["host", "template"]).filter(kept).select("host", "template", "segment")
 
-def tree(urls: DataFrame, depth: int = DEPTH) -> tuple[list[DataFrame], DataFrame]:
-    """Kept literals per level, and (host, template, level, labelled, blocked) of every template.
 
-    ``urls`` has (host, segments, labelled, blocked), counts of URLs of that shape in ``n``.
+def tree(urls: DataFrame, depth: int | None = None) -> tuple[DataFrame, DataFrame, int]:
+    """(host, segments, template, level) of every shape, (host, template, level, labelled, blocked) of every template, deepest level.
+
+    ``urls`` has (host, segments, labelled, blocked), counts of URLs of that shape in ``n``.  Shapes
+    have a row per level, as far as their branches are split, in the tree of their host and in that of all hosts.
     """
     everywhere = urls.withColumn("host", F.lit("*"))
     rows = urls.unionByName(everywhere).withColumn("template", F.lit(""))
     rows = rows.groupBy("host", "segments", "template").agg(*(F.sum(c).alias(c) for c in ("n", "labelled", "blocked")))
-    literals, sums = [], [rows.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")).withColumn("level", F.lit(0))]
-    for level in range(depth):
+    rows = written(rows, "branches0")
+    steps, sums, level = None, None, 0
+    while True:
+        step = rows.select("host", "segments", "template").withColumn("level", F.lit(level))
+        total = rows.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")).withColumn("level", F.lit(level))
+        steps, sums = (step, total) if steps is None else (steps.unionByName(step), sums.unionByName(total))
         there = rows.filter(F.size("segments") > level).withColumn("segment", F.get("segments", F.lit(level)))
+        # A branch without labels, or of one path only, cannot be split.
+        split = rows.groupBy("host", "template").agg(F.sum("labelled").alias("_l"), F.count(F.lit(1)).alias("_n"))
+        there = there.join(split.filter("_l > 0 and _n > 1").select("host", "template"), ["host", "template"], "left_semi")
+        if level == depth or there.isEmpty():
+            return steps, sums, level
         counts = there.groupBy("host", "template", "segment").agg(*(F.sum(c).alias(c) for c in ("n", "labelled", "blocked")))
-        kept = written(_level(counts, level), f"literals{level}")
-        literals.append(kept)
-        rows = written(_descend(there, kept), f"branches{level}")
-        sums.append(
-            rows.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")).withColumn("level", F.lit(level + 1))
-        )
-    templates = sums[0]
-    for s in sums[1:]:
-        templates = templates.unionByName(s)
-    return literals, templates
+        level += 1
+        rows = written(_descend(there, written(_level(counts), f"literals{level}")), f"branches{level}")
 
 
 def _descend(rows: DataFrame, kept: DataFrame) -> DataFrame:
@@ -108,51 +111,48 @@ def _descend(rows: DataFrame, kept: DataFrame) -> DataFrame:
     return marked.withColumn("template", F.concat("template", F.lit("/"), step)).drop("_kept", "segment")
 
 
-def purities(templates: DataFrame, depth: int = DEPTH) -> DataFrame:
+def purities(templates: DataFrame, deepest: int) -> DataFrame:
     """(host, template, purity) of the templates with labels, smoothed towards their parents."""
-    labelled = templates.filter("labelled > 0")
+    labelled = written(templates.filter("labelled > 0"), "labelled")
     parent = F.regexp_replace("template", "/[^/]*$", "")
     smoothed = lambda p: (F.col("blocked") + SMOOTH * p) / (F.col("labelled") + SMOOTH)
     current = labelled.filter("level = 0").select("host", "template", smoothed(F.lit(0.0)).alias("purity"))
     found = current
-    for level in range(1, depth + 1):
+    for level in range(1, deepest + 1):
         here = labelled.filter(F.col("level") == level).withColumn("_parent", parent)
         above = current.select("host", F.col("template").alias("_parent"), F.col("purity").alias("_p"))
-        current = here.join(above, ["host", "_parent"]).select("host", "template", smoothed(F.col("_p")).alias("purity"))
+        current = written(here.join(above, ["host", "_parent"]).select("host", "template", smoothed(F.col("_p")).alias("purity")), f"purities{level}")
         found = found.unionByName(current)
     return found
 
 
-def judge(pages: DataFrame, rules: Sequence[Rule], depth: int = DEPTH, reject: float = REJECT, id_col: str = "page_id", url: str = "url") -> DataFrame:
+def judge(pages: DataFrame, rules: Sequence[Rule], depth: int | None = 4, reject: float = REJECT, id_col: str = "page_id", url: str = "url") -> DataFrame:
     """(id, host, path, rule, template, purity, verdict) of every row.
 
     ``template`` and ``purity`` are those that decide an URL without rule, null where nothing is known.
+    Paths are judged by all their segments, or by the first ``depth`` of them if that is given.
     """
     host, path = split_url(F.col(url))
     split = pages.select(F.col(id_col).alias(id_col), host.alias("host"), path.alias("path"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    ruled = split.withColumns({"rule": name, "_verdict": verdict, "segments": _segments(F.col("path"), depth)})
+    ruled = split.withColumns({"rule": name, "_verdict": verdict, "segments": _segments(F.col("path"))})
     counted = ruled.groupBy("host", "segments").agg(
         F.count(F.lit(1)).alias("n"),
         F.count("_verdict").alias("labelled"),
         F.coalesce(F.sum((F.col("_verdict") == "block").cast("bigint")), F.lit(0)).alias("blocked"),
     )
     shapes = written(counted, "shapes")
-    literals, templates = tree(shapes, depth)
-    purity = written(purities(templates, depth), "purities")
-    # Every shape's own templates, from the root down, in its host's tree and in that of all hosts.
-    walked = shapes.select("host", "segments").withColumn("_tree", F.explode(F.array(F.col("host"), F.lit("*"))))
-    walked = walked.select(F.col("_tree").alias("host"), F.col("host").alias("_host"), "segments").withColumn("template", F.lit(""))
-    steps = walked.withColumn("_level", F.lit(0))
-    for level, kept in enumerate(literals):
-        walked = _descend(walked.filter(F.size("segments") > level).withColumn("segment", F.get("segments", F.lit(level))), kept)
-        steps = steps.unionByName(walked.withColumn("_level", F.lit(level + 1)))
+    steps, templates, deepest = tree(shapes, depth)
+    purity = written(purities(templates, deepest), "purities")
+    # Every shape's longest labelled template in its host's tree and in that of all hosts.
     known = steps.join(purity, ["host", "template"])
-    # The own host's longest template wins over that of all hosts.
-    best = known.groupBy("_host", "segments").agg(
-        F.max_by(F.struct("template", "purity"), F.struct((F.col("host") != "*").alias("own"), "_level")).alias("_best")
-    )
-    decided = ruled.join(best.select(F.col("_host").alias("host"), "segments", "_best"), ["host", "segments"], "left")
+    longest = written(known.groupBy("host", "segments").agg(F.max_by(F.struct("template", "purity"), "level").alias("_best")), "longest")
+    own = shapes.select("host", "segments").join(longest, ["host", "segments"], "left")
+    everywhere = longest.filter("host = '*'").select("segments", F.col("_best").alias("_else"))
+    # The own host's wins over that of all hosts.
+    other = own.filter("_best is null").join(everywhere, "segments").select("host", "segments", F.col("_else").alias("_best"))
+    best = own.filter("_best is not null").unionByName(other)
+    decided = ruled.join(best, ["host", "segments"], "left")
     learned = F.when(F.col("_best.purity") > reject, "block").otherwise("allow")
     return decided.select(
         id_col,
