@@ -198,6 +198,14 @@ def test_a_blocked_section_is_found_however_broad_its_branch(spark, sections):
     assert {r.template.split("/")[1] for r in got if r.verdict == "block"} == {"s7"}
 
 
+def test_urls_that_differ_from_the_sixth_segment_on_have_their_own_verdicts(spark):
+    rows = [f"https://deep.com/blog/2020/05/12/x/{kind}/{i}" for kind in ("spam", "news") for i in range(30)]
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id bigint, url string")
+    rules = [(verdict, "deep.com", f"/blog/2020/05/12/x/{kind}/1") for verdict, kind in (("block", "spam"), ("allow", "news"))]
+    got = urls.judge(pages, rules).filter("rule is null").collect()
+    assert len(got) == 38 and all((r.verdict == "block") == ("/spam/" in r.path) for r in got)
+
+
 def brute_anchors(text):
     tokens = []
     for word in text.lower().split():

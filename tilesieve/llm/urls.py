@@ -126,7 +126,7 @@ def purities(templates: DataFrame, deepest: int) -> DataFrame:
     return found
 
 
-def judge(pages: DataFrame, rules: Sequence[Rule], depth: int | None = 4, reject: float = REJECT, id_col: str = "page_id", url: str = "url") -> DataFrame:
+def judge(pages: DataFrame, rules: Sequence[Rule], depth: int | None = None, reject: float = REJECT, id_col: str = "page_id", url: str = "url") -> DataFrame:
     """(id, host, path, rule, template, purity, verdict) of every row.
 
     ``template`` and ``purity`` are those that decide an URL without rule, null where nothing is known.
