@@ -7,7 +7,7 @@ import hashlib
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -242,6 +242,22 @@ def test_op4_edits_and_likeness(spark, sf_dir, texts):
     assert np.mean([r.near_edited for r in long]) > 0.4 > 10 * np.mean([r.near_next for r in long])
 
 
+def test_fingerprints_hold_every_anchor_with_its_position(spark):
+    random.seed(5)
+    words = lambda n: [f"w{random.randint(0, 10**6)}" for _ in range(n)]
+    passage, a, b = words(60), words(3000), words(3000)
+    texts = [" ".join(a[:1500] + passage + a[1500:]), " ".join(b[:500] + passage + b[500:])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = {r.doc_id: r for r in syncmers.with_edited(docs).collect()}
+    for r in syncmers.anchors(docs).collect():
+        assert rows[r.doc_id].fingerprint == [(x.hash << 32) | x.position for x in r.anchors] and len(r.anchors) > 1000
+    one, two = ([x >> 32 for x in rows[i].fingerprint] for i in (0, 1))
+    common = sum((Counter(one) & Counter(two)).values())
+    assert common > 15 and rows[1].near_next == rows[0].near_next == 2 * common / (len(one) + len(two))
+    again = spark.createDataFrame([([1 << 32, (1 << 32) + 1, 5 << 32], [1 << 32, 5 << 32, (5 << 32) + 9])], "a array<bigint>, b array<bigint>")
+    assert again.select(syncmers.likeness(F.col("a"), F.col("b"))).first()[0] == 2 * 2 / 6
+
+
 def test_syncmers_of_odd_rows(odd):
     rows = syncmers.with_edited(odd).collect()
     assert len(rows) == odd.count()

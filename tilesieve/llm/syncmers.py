@@ -6,12 +6,13 @@ neighbours are hashed; the five are an anchor if the smallest of the four hashes
 the last.  Whether they are depends on nothing but these five tokens, so a passage has the same
 anchors wherever it stands, and anchors of two texts can be matched by position.
 
-The fingerprint is the ``SKETCH`` smallest distinct anchor hashes of the whole text (all, if there
-are fewer); the likeness of two fingerprints estimates the share of anchors that their texts have
-in common, 2 |A and B| / (|A| + |B|), and is exact for texts with fewer anchors.
+The fingerprint is all anchors of the whole text in order, each a 64-bit integer: the hash in the
+upper half, the position of its first token in the lower.  Anchors of two texts match one to one by
+hash, the first of several with the first, the second with the second; the likeness of two
+fingerprints is the share of anchors that have a match, 2 |matches| / (|A| + |B|).
 
 Null text counts as empty.  A text without tokens has the empty fingerprint, and a text whose
-tokens have no anchor has one, the hash of all its tokens.  Two empty fingerprints have the
+tokens have no anchor has one at position 0, the hash of all its tokens.  Two empty fingerprints have the
 likeness 1.  Equal texts have equal fingerprints.  Other columns are ignored.
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import written
 
-WORD, K, SKETCH = 16, 5, 128
+WORD, K = 16, 5
 
 
 def _tokens(text: Column) -> Column:
@@ -62,27 +63,43 @@ def matches(a: Column, b: Column) -> Column:
     return F.filter(paired, lambda p: p["b"].isNotNull())
 
 
-def sketch(df: DataFrame, text: str, out: str, size: int = SKETCH) -> DataFrame:
-    """Adds the fingerprint of a whole text as a sorted array of integers."""
+def fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Adds the fingerprint of a whole text as an array of integers."""
+    packed = f"shiftleft(cast({_ANCHOR} as bigint), 32) + i"
     chosen = _with_pairs(df, text).withColumn(
-        "_c", F.expr(f"filter(transform({_FOURS}, (a, i) -> if({_IS_ANCHOR}, {_ANCHOR}, null)), x -> x is not null)")
+        "_c", F.expr(f"filter(transform({_FOURS}, (a, i) -> if({_IS_ANCHOR}, {packed}, null)), x -> x is not null)")
     )
-    whole = F.when(F.size("_t") > 0, F.array(F.hash("_t"))).otherwise(F.array().cast("array<int>"))
-    marks = F.when(F.size("_c") > 0, F.slice(F.sort_array(F.array_distinct("_c")), 1, size)).otherwise(whole)
-    return chosen.withColumn(out, marks).drop("_t", "_s", "_c")
+    whole = F.when(F.size("_t") > 0, F.array(F.shiftleft(F.hash("_t").cast("bigint"), 32))).otherwise(F.array().cast("array<bigint>"))
+    return chosen.withColumn(out, F.when(F.size("_c") > 0, F.col("_c")).otherwise(whole)).drop("_t", "_s", "_c")
 
 
 def as_text(fingerprint: Column) -> Column:
-    """Eight hexadecimal digits per anchor."""
-    return F.lower(F.array_join(F.transform(fingerprint, lambda x: F.substring(F.hex(x.cast("bigint") + F.lit(1 << 32)), -8, 8)), ""))
+    """Sixteen hexadecimal digits per anchor: its hash and its position."""
+    return F.lower(F.array_join(F.transform(fingerprint, lambda x: F.lpad(F.hex(x), 16, "0")), ""))
 
 
-def likeness(a: Column, b: Column, size: int = SKETCH) -> Column:
-    """From 0 to 1: the share of common anchors, from the smallest of both fingerprints' union."""
-    union = F.slice(F.sort_array(F.array_union(a, b)), 1, size)
-    common = F.size(F.array_intersect(F.array_intersect(union, a), b))
-    jaccard = F.when(F.size(union) == 0, 1.0).otherwise(common / F.size(union))
-    return 2 * jaccard / (1 + jaccard)
+def n_matches(a: Column, b: Column) -> Column:
+    """How many anchors of two fingerprints match one to one, by one pass over both, sorted by hash."""
+    sides = F.transform(a, lambda x: F.shiftright(x, 32) * 2), F.transform(b, lambda x: F.shiftright(x, 32) * 2 + 1)
+    # Of each hash those of a come first: ``open`` of them are without a match so far.
+    start = F.struct(F.lit(None).cast("bigint").alias("hash"), F.lit(0).alias("open"), F.lit(0).alias("found"))
+
+    def step(s, x):
+        same, second = s["hash"].eqNullSafe(F.shiftright(x, 1)), x.bitwiseAND(F.lit(1)) == 1
+        still = F.when(same, s["open"]).otherwise(0)
+        return F.struct(
+            F.shiftright(x, 1).alias("hash"),
+            F.when(second, F.greatest(still - 1, F.lit(0))).otherwise(still + 1).alias("open"),
+            F.when(second & (still > 0), s["found"] + 1).otherwise(s["found"]).alias("found"),
+        )
+
+    return F.aggregate(F.sort_array(F.concat(*sides)), start, step, lambda s: s["found"])
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """From 0 to 1: the share of anchors that have a match; 1 for two empty fingerprints."""
+    both = F.size(a) + F.size(b)
+    return F.when(both == 0, 1.0).otherwise(2 * n_matches(a, b) / both)
 
 
 def _name(id_col: Column) -> Column:
@@ -119,12 +136,13 @@ def with_edited(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """One row per row: (id, n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next).
 
     The edited text has the last half of a text (rounded down) replaced by as many first characters
-    of the next document.  Of the neighbours only these characters and the fingerprint are moved.
+    of the next document.  The neighbour's text is moved and its fingerprint taken again: that is
+    less than the fingerprint would be.
     """
     text = F.coalesce("text", F.lit(""))
     # One key, equal also where the id is null: the joins and the grouping below share their partitioning,
     # and as both joins take all its columns, the texts are shuffled once.
-    marked = sketch(docs.select(_name(F.col(id_col)).alias("_id"), F.xxhash64(text).alias("_h"), text.alias("text")), "text", "fingerprint")
+    marked = docs.select(_name(F.col(id_col)).alias("_id"), F.xxhash64(text).alias("_h"), text.alias("text"))
     wanted = written(in_order(docs, id_col), "next").select(
         _name(F.col("_next_id")).alias("_id"),
         F.col("_next_h").alias("_h"),
@@ -135,19 +153,16 @@ def with_edited(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
         (F.col("n_chars") / 2).cast("int").alias("_half"),
     )
     given = marked.join(wanted, ["_id", "_h"]).select(
-        F.col("_for_id").alias("_id"),
-        F.col("_for_h").alias("_h"),
-        "_given_id",
-        "n_chars",
-        "_half",
-        F.expr("substring(text, 1, _half)").alias("_given"),
-        F.col("fingerprint").alias("_next_fingerprint"),
+        F.col("_for_id").alias("_id"), F.col("_for_h").alias("_h"), "_given_id", "n_chars", "_half", F.col("text").alias("_next_text")
     )
-    # A repeated row hands on its beginning once.
-    given = given.groupBy("_id", "_h").agg(*(F.first(c).alias(c) for c in ("_given_id", "n_chars", "_half", "_given", "_next_fingerprint")))
+    # A repeated row hands on its text once.
+    given = given.groupBy("_id", "_h").agg(*(F.first(c).alias(c) for c in ("_given_id", "n_chars", "_half", "_next_text")))
     both = marked.join(given, ["_id", "_h"])
-    edited = both.withColumn("edited", F.concat(F.expr("substring(text, 1, n_chars - _half)"), F.col("_given"))).drop("text", "_given")
-    found = sketch(edited, "edited", "edited_fingerprint")
+    edited = both.withColumn("edited", F.concat(F.expr("substring(text, 1, n_chars - _half)"), F.expr("substring(_next_text, 1, _half)")))
+    found = fingerprint(edited, "text", "fingerprint").drop("text")
+    found = fingerprint(found, "_next_text", "_next_fingerprint").drop("_next_text")
+    found = found.withColumn("near_next", likeness(F.col("fingerprint"), F.col("_next_fingerprint"))).drop("_next_fingerprint")
+    found = fingerprint(found, "edited", "edited_fingerprint")
     return found.select(
         F.col("_given_id").alias(id_col),
         F.col("n_chars").cast("bigint").alias("n_chars"),
@@ -155,5 +170,5 @@ def with_edited(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
         "fingerprint",
         "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("_next_fingerprint")).alias("near_next"),
+        "near_next",
     )
