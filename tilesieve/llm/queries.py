@@ -9,8 +9,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, langid, packing, pii, quality, simhash, syncmers, treebpe, urls, vamana
+from . import chat, langid, negatives, packing, pii, posindex, quality, simhash, syncmers, treebpe, urls, vamana
 from .common import is_held_out, table
+from .oracle import ORACLE  # noqa: F401
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -91,6 +92,24 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", is_held_out().alias("held_out"), "score", "predicted")
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    points = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return negatives.mine(points, F.col("id") % 100 == 0)
+
+
+def op13_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = posindex.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_chat": op2_chat,
@@ -102,6 +121,6 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_pseudonyms": op9_pseudonyms,
     "op10_quality": op10_quality,
+    "op12_negatives": op12_negatives,
+    "op13_positions": op13_positions,
 }
-
-ORACLE: dict[str, str] = {}
