@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import written
 
-SIZE, FIRST = 10, 3
+SIZE, FIRST = 10, 2
 # Bytes of a table that may be broadcast.
 SMALL = 32 * 1024 * 1024
 # What is between words.
@@ -67,15 +67,16 @@ def tests_of(items: DataFrame, id_col: str = "item_id") -> tuple[DataFrame, Data
     """(test, tokens) of every different test with words, and (test, id) of the rows that have it."""
     low = F.transform(words(F.col("text")), lowered)
     held = items.select(F.col(id_col).cast("string").alias("id"), low.alias("tokens")).filter(F.size("tokens") > 0)
-    held = written(held.withColumn("test", F.unhex(F.md5(F.array_join("tokens", " ")))), "tests")
-    tokens = held.groupBy("test").agg(F.first("tokens").alias("tokens"))
-    return written(tokens, "tokens"), written(held.select("test", "id").distinct(), "ids")
+    held = written(held, "tests")
+    tokens = written(held.select("tokens").distinct().withColumn("test", F.monotonically_increasing_id()), "tokens")
+    return tokens, written(held.join(tokens, "tokens").select("test", "id").distinct(), "ids")
 
 
 def build_index(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(key, pos, word): the postings of every word of ``vocabulary`` (word), written in the order of the documents."""
-    spread = docs.select(text_key(F.col("text")).alias("key"), F.posexplode(words(F.col("text"))).alias("pos", "word"))
-    spread = spread.select("key", "pos", lowered(F.col("word")).alias("word"))
+    # The key is a column before the words are spread, or it would be computed for each of them.
+    held = docs.select(text_key(F.col("text")).alias("key"), words(F.col("text")).alias("words"))
+    spread = held.select("key", F.posexplode("words").alias("pos", "word")).select("key", "pos", lowered(F.col("word")).alias("word"))
     return written(spread.join(bounded_broadcast(vocabulary), "word", "left_semi").select("key", "pos", "word"), "postings")
 
 
@@ -91,31 +92,44 @@ def ranked_windows(tokens: DataFrame, postings: DataFrame, size: int = SIZE, fir
     return written(ordered.select("test", "start", "length", F.slice("own.place", 1, first).alias("rare")), "windows")
 
 
-def _on_diagonals(postings: DataFrame, wanted: DataFrame, tokens: DataFrame) -> DataFrame:
-    """(key, test, diagonal, places) for the wanted (test, place): where their lists, moved by the place, meet."""
+def _bit(place: Column) -> Column:
+    """A place of a test as one of 64 bits; places 64 apart share theirs."""
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), place % 64)
+
+
+def candidates(postings: DataFrame, tokens: DataFrame, windows: DataFrame) -> DataFrame:
+    """(key, test, diagonal, start, length) of the windows whose rarest words' lists meet on a diagonal.
+
+    A diagonal's places are held as 64 bits, which is exact for tests of up to 64 words; of longer
+    tests some more windows stay, for the other lists to decide.
+    """
+    rare = windows.select("test", F.size("rare").alias("n"), F.explode("rare").alias("place"))
+    wanted = rare.groupBy("test", "place").agg(F.min("n").alias("_n"))
+    fewest = windows.groupBy("test").agg(F.min(F.size("rare")).alias("fewest"))
     spread = tokens.select("test", F.posexplode("tokens").alias("place", "word"))
-    entries = written(spread.join(wanted, ["test", "place"], "left_semi"), "entries")
-    met = postings.join(bounded_broadcast(entries), "word").select("key", "test", (F.col("pos") - F.col("place")).alias("diagonal"), "place")
-    # Distinct first: copies of a text are one before anything is gathered.
-    return met.distinct().groupBy("key", "test", "diagonal").agg(F.collect_list("place").alias("places"))
+    entries = written(spread.join(wanted, ["test", "place"]).join(fewest, "test").select("test", "place", "word", "fewest"), "entries")
+    met = postings.join(bounded_broadcast(entries), "word").select("key", "test", (F.col("pos") - F.col("place")).alias("diagonal"), _bit(F.col("place")).alias("bit"), "fewest")
+    # Tasks join the bits of equal diagonals first, so copies of a text are moved once per task.
+    held = met.groupBy("key", "test", "diagonal").agg(F.bit_or("bit").alias("bits"), F.min("fewest").alias("fewest"))
+    held = held.filter(F.bit_count("bits") >= F.col("fewest"))
+    masked = windows.withColumn("mask", F.aggregate("rare", F.lit(0).cast("bigint"), lambda m, p: m.bitwiseOR(_bit(p))))
+    found = held.join(bounded_broadcast(masked), "test").filter(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"))
+    return written(found.select("key", "test", "diagonal", "start", "length"), "candidates")
 
 
 def matches(postings: DataFrame, tokens: DataFrame, windows: DataFrame) -> DataFrame:
     """(key, test, diagonal, start, length) of every window that occurs: at position diagonal + start of the text."""
-    small = bounded_broadcast(windows)
-    met = _on_diagonals(postings, windows.select("test", F.explode("rare").alias("place")).distinct(), tokens)
-    held = F.size(F.array_except("rare", "places")) == 0
-    candidates = written(met.join(small, "test").filter(held).select("key", "test", "diagonal", "start", "length"), "candidates")
+    found = candidates(postings, tokens, windows)
     # The remaining lists, for the words of the candidates' windows only.
     place = F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1))
-    probes = candidates.select("key", "test", "diagonal", place.alias("place")).distinct()
+    probes = found.select("key", "test", "diagonal", place.alias("place")).distinct()
     spread = written(tokens.select("test", F.posexplode("tokens").alias("place", "word")), "spread")
     probes = probes.join(bounded_broadcast(spread), ["test", "place"])
     probes = probes.select("key", "test", "diagonal", "place", "word", (F.col("diagonal") + F.col("place")).alias("pos"))
-    keys = written(candidates.select("key").distinct(), "keys")
+    keys = written(found.select("key").distinct(), "keys")
     lists = postings.join(bounded_broadcast(keys), "key", "left_semi").distinct()
-    found = probes.join(lists, ["key", "pos", "word"]).groupBy("key", "test", "diagonal").agg(F.collect_list("place").alias("places"))
-    whole = candidates.join(found, ["key", "test", "diagonal"])
+    met = probes.join(lists, ["key", "pos", "word"]).groupBy("key", "test", "diagonal").agg(F.collect_list("place").alias("places"))
+    whole = found.join(met, ["key", "test", "diagonal"])
     inside = F.size(F.filter("places", lambda p: (p >= F.col("start")) & (p < F.col("start") + F.col("length")))) == F.col("length")
     return whole.filter(inside).select("key", "test", "diagonal", "start", "length")
 
