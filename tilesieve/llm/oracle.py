@@ -11,24 +11,29 @@ WITH pieces AS (
 ),
 sized AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM pieces GROUP BY lang),
 places AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM pieces),
-grams AS (
+grams AS MATERIALIZED (
   SELECT lang, k, array_to_string(ws[i : i + k - 1], ' ') AS phrase, count(*)::BIGINT AS f
   FROM places, (VALUES (1), (2), (3)) AS sizes(k) WHERE i + k - 1 <= len(ws) GROUP BY ALL
 ),
 candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM grams WHERE k > 1 AND f >= 10),
-cuts AS (
-  SELECT c.lang, c.k, c.phrase, c.a, cut, l.f AS l, r.f AS r,
-         (1000000::HUGEINT * c.a * c.a // (l.f::HUGEINT * r.f))::BIGINT AS score
-  FROM candidates c, (VALUES (1), (2)) AS at(cut), grams l, grams r
-  WHERE cut < c.k AND l.lang = c.lang AND l.k = cut AND l.phrase = array_to_string(c.ws[1 : cut], ' ')
-    AND r.lang = c.lang AND r.k = c.k - cut AND r.phrase = array_to_string(c.ws[cut + 1 :], ' ')
+cut_places AS (
+  SELECT lang, k, phrase, a, ws, unnest(range(1, k)) AS cut FROM candidates
+),
+cut_parts AS MATERIALIZED (
+  SELECT lang, k, phrase, a, cut, array_to_string(ws[1 : cut], ' ') AS head, array_to_string(ws[cut + 1 :], ' ') AS tail FROM cut_places
+),
+with_head AS MATERIALIZED (
+  SELECT c.*, g.f AS l FROM cut_parts c JOIN grams g ON g.lang = c.lang AND g.phrase = c.head
+),
+cuts AS MATERIALIZED (
+  SELECT c.lang, c.k, c.phrase, c.a, c.cut, c.l, g.f AS r, (1000000::HUGEINT * c.a * c.a // (c.l::HUGEINT * g.f))::BIGINT AS score
+  FROM with_head c JOIN grams g ON g.lang = c.lang AND g.phrase = c.tail
 ),
 scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
-inner_ones AS (
-  SELECT DISTINCT s.lang, s.phrase FROM scored s JOIN candidates t ON t.lang = s.lang AND t.k = 3
-    AND (s.phrase = array_to_string(t.ws[1:2], ' ') OR s.phrase = array_to_string(t.ws[2:3], ' '))
-  WHERE s.k = 2 AND 100 * t.a >= 50 * s.a
+parts AS (
+  SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase FROM candidates WHERE k = 3
 ),
+inner_ones AS (SELECT DISTINCT s.lang, s.phrase FROM scored s JOIN parts t ON t.lang = s.lang AND t.phrase = s.phrase WHERE 100 * t.a >= 50 * s.a),
 left_over AS (SELECT * FROM scored ANTI JOIN inner_ones USING (lang, phrase)),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM left_over)
 SELECT lang, rank::BIGINT AS rank, phrase, a, l, r, n, score FROM ranked JOIN sized USING (lang) WHERE rank <= 2000
@@ -90,4 +95,4 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM docs LEFT JOIN hits USING (row_no) LEFT JOIN named USING (row_no)
 """
 
-ORACLE = {"op12_negatives": OP12, "op13_positions": OP13}
+ORACLE = {"op11_collocations": OP11, "op12_negatives": OP12, "op13_positions": OP13}

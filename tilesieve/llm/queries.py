@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, langid, negatives, packing, pii, posindex, quality, simhash, syncmers, treebpe, urls, vamana
+from . import chat, collocations, langid, negatives, packing, pii, posindex, quality, simhash, syncmers, treebpe, urls, vamana
 from .common import is_held_out, table
 from .oracle import ORACLE  # noqa: F401
 
@@ -92,6 +92,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", is_held_out().alias("held_out"), "score", "predicted")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     points = table(spark, sf_dir, "embeddings").withColumn("label", moved)
@@ -121,6 +125,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_pseudonyms": op9_pseudonyms,
     "op10_quality": op10_quality,
+    "op11_collocations": op11_collocations,
     "op12_negatives": op12_negatives,
     "op13_positions": op13_positions,
 }
