@@ -37,14 +37,17 @@ from .common import bounded
 
 LONGEST, THRESHOLD, ABSORBED, TOP = 3, 10, 50, 2_000
 SHARDS, FLUSH = 3, 8 * 1024 * 1024
-# Slots: about one per eight words of the corpus, within these powers of two; a block of them is summed in one place.
+# Slots: about one per 16 words of the corpus, within these powers of two; a block of them is summed in one place.
 LEAST_BITS, MOST_BITS, BLOCK_BITS = 16, 27, 18
+# Phrases of a packed row.
+PACKED = 50_000
 NEVER = 255
 
 _BREAK, _GAP = b"\n", b" "
 # What ends a piece, what separates words, and capitals.
 _BYTES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + _BREAK * 9 + _GAP)
-_SCHEMA = "lang string, size int, phrase string, n bigint, slot int, block int, slots binary, sums binary"
+# A row holds the packed phrases of one length, the sums of one block of slots, or (size 0) a number of words.
+_SCHEMA = "lang string, size int, n bigint, block int, phrases binary, ends binary, slots binary, sums binary"
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
@@ -91,19 +94,31 @@ def count_phrases(codes: np.ndarray, words: list[bytes], lang: str, since: np.nd
             return
         if size > 1:
             # Reached parts: the phrase without its last, and without its first word.
-            reached = np.where(whole, since[own & last], NEVER).astype(np.int64)
+            reached = np.where(whole, since[own & last], NEVER)
             opened = np.maximum(reached[:-1], reached[1:])
             own, whole = _mixed(own[:n], single[size - 1 :]), whole[:n] & there[size - 1 :]
-        at = np.flatnonzero(whole & (opened <= step) & (step < opened + shards) & (opened < NEVER))
-        if len(at):
-            ids = codes[at]
-            for j in range(1, size):
-                first, ids = np.unique(ids * len(words) + codes[at + j], return_inverse=True)
-            _, first, counts = np.unique(ids, return_index=True, return_counts=True)
-            one = at[first]
-            parts = [spaced.take(pa.array(codes[one + j])) for j in range(size - 1)] + [plain.take(pa.array(codes[one + size - 1]))]
-            phrases = pc.binary_join_element_wise(*parts, pa.scalar(b"", pa.large_binary())) if size > 1 else parts[0]
-            yield size, phrases.cast(pa.large_string()).cast(pa.string()), counts, (own[one] & last).astype(np.int64)
+        at = np.flatnonzero(whole & (opened <= step) & (opened.astype(np.int64) + shards > step) & (opened < NEVER))
+        if not len(at):
+            continue
+        # Hash tables, not sorting: a phrase is the number of its part before the last word, and that word.
+        ids, parts = codes[at], []
+        for j in range(1, size):
+            coded = pa.array(ids * len(words) + codes[at + j]).dictionary_encode()
+            ids = coded.indices.to_numpy().astype(np.int64)
+            parts.append(coded.dictionary.to_numpy())
+        found = np.bincount(ids)
+        one = np.flatnonzero(found)
+        columns, left = [], one
+        for pairs in reversed(parts):
+            left, word = np.divmod(pairs[left], len(words))
+            columns.append(word)
+        columns = [left, *reversed(columns)]
+        mixed = hashes[columns[0]]
+        for word in columns[1:]:
+            mixed = _mixed(mixed, hashes[word])
+        texts = [spaced.take(pa.array(c)) for c in columns[:-1]] + [plain.take(pa.array(columns[-1]))]
+        phrases = pc.binary_join_element_wise(*texts, pa.scalar(b"", pa.large_binary())) if size > 1 else texts[0]
+        yield size, phrases, found[one], (mixed & last).astype(np.int64)
 
 
 def _slot_type(threshold: int) -> np.dtype:
@@ -115,11 +130,29 @@ def _scan(shard: DataFrame, since, step: int, shards: int, longest: int, thresho
     """The counts of one step by task, and their sums by slot, in blocks."""
     cap = np.iinfo(_slot_type(threshold)).max
 
-    def rows(lang, **columns):
+    kinds = {"lang": pa.string(), "size": pa.int32(), "n": pa.int64(), "block": pa.int32()} | dict.fromkeys(("phrases", "ends", "slots", "sums"), pa.binary())
+
+    def rows(**columns):
         n = len(next(iter(columns.values())))
-        types = {"lang": pa.string(), "size": pa.int32(), "phrase": pa.string(), "n": pa.int64(), "slot": pa.int32(), "block": pa.int32(), "slots": pa.binary(), "sums": pa.binary()}
-        columns["lang"] = pa.array([lang], pa.string()).take(pa.array(np.zeros(n, np.int64)))
-        return pa.RecordBatch.from_arrays([columns[c].cast(t) if c in columns else pa.nulls(n, t) for c, t in types.items()], names=list(types))
+        return pa.RecordBatch.from_arrays([pa.array(columns.get(c, [None] * n), t) for c, t in kinds.items()], names=list(kinds))
+
+    def packed(lang, length, phrases, counts, slots):
+        for at in range(0, len(phrases), PACKED):
+            some = slice(at, at + PACKED)
+            part = phrases[some]
+            offsets = np.frombuffer(part.buffers()[1], np.int64)[part.offset : part.offset + len(part) + 1]
+            data = part.buffers()[2][int(offsets[0]) : int(offsets[-1])].to_pybytes()
+            ends = (offsets[1:] - offsets[0]).astype("<u4").tobytes()
+            yield rows(lang=[lang], size=[length], phrases=[data], ends=[ends], slots=[slots[some].astype("<u4").tobytes()], sums=[counts[some].astype("<u8").tobytes()])
+
+    def by_block(counts, slots):
+        order = np.argsort(slots)
+        distinct, first = np.unique(slots[order], return_index=True)
+        sums = np.minimum(np.add.reduceat(counts[order], first), cap).astype(_slot_type(threshold))
+        blocks, starts = np.unique(distinct >> BLOCK_BITS, return_index=True)
+        offsets = (distinct & ((1 << BLOCK_BITS) - 1)).astype("<u4")
+        pieces = list(zip(starts.tolist(), [*starts[1:].tolist(), len(distinct)]))
+        return rows(block=blocks, slots=[offsets[a:b].tobytes() for a, b in pieces], sums=[sums[a:b].tobytes() for a, b in pieces])
 
     def run(batches):
         reached = since.value
@@ -131,24 +164,11 @@ def _scan(shard: DataFrame, since, step: int, shards: int, longest: int, thresho
                 codes, words = tokens(texts)
                 total = int((codes >= 0).sum())
                 if step < shards and total:
-                    yield rows(lang, size=pa.array([0]), n=pa.array([total]))
+                    yield rows(lang=[lang], size=[0], n=[total])
                 for length, phrases, counts, slots in count_phrases(codes, words, lang, reached, step, shards, longest):
-                    for part in range(0, len(phrases), 100_000):
-                        some = slice(part, part + 100_000)
-                        yield rows(lang, size=pa.array(np.full(len(counts[some]), length)), phrase=phrases[some], n=pa.array(counts[some]), slot=pa.array(slots[some]))
+                    yield from packed(lang, length, phrases, counts, slots)
                     if length < longest:
-                        order = np.argsort(slots, kind="stable")
-                        distinct, first = np.unique(slots[order], return_index=True)
-                        sums = np.minimum(np.add.reduceat(counts[order], first), cap).astype(_slot_type(threshold))
-                        blocks, starts = np.unique(distinct >> BLOCK_BITS, return_index=True)
-                        offsets = (distinct & ((1 << BLOCK_BITS) - 1)).astype("<u4")
-                        pieces = list(zip(starts.tolist(), [*starts[1:].tolist(), len(distinct)]))
-                        yield rows(
-                            lang,
-                            block=pa.array(blocks),
-                            slots=pa.array([offsets[a:b].tobytes() for a, b in pieces], pa.binary()),
-                            sums=pa.array([sums[a:b].tobytes() for a, b in pieces], pa.binary()),
-                        )
+                        yield by_block(counts, slots)
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -163,8 +183,8 @@ def _scan(shard: DataFrame, since, step: int, shards: int, longest: int, thresho
     return bounded(shard).select("lang", "text").mapInArrow(run, _SCHEMA)
 
 
-def _slot_sums(counts: DataFrame, bits: int, threshold: int) -> np.ndarray:
-    """The sums of all slots, capped by their type: 2^bits of them, added up in tasks by block."""
+def _add_slots(totals: np.ndarray, counts: DataFrame, bits: int, threshold: int) -> None:
+    """Add a step's sums to those of all slots, capped by their type; they are added up in tasks by block."""
     kind = _slot_type(threshold)
     cap, n = np.iinfo(kind).max, 1 << min(bits, BLOCK_BITS)
 
@@ -186,10 +206,10 @@ def _slot_sums(counts: DataFrame, bits: int, threshold: int) -> np.ndarray:
 
     blocks = max(1, 1 << (bits - BLOCK_BITS)) if bits > BLOCK_BITS else 1
     dealt = counts.filter("block is not null").select("block", "slots", "sums").repartition(min(blocks, 256), "block").sortWithinPartitions("block")
-    found = np.zeros(1 << bits, kind)
-    for block, sums in dealt.mapInArrow(run, "block int, sums binary").collect():
-        found[block * n : (block + 1) * n] = np.frombuffer(sums, kind)
-    return found
+    # A byte per slot reaches the driver, in rows of one block.
+    for block, sums in dealt.mapInArrow(run, "block int, sums binary").toLocalIterator():
+        own = totals[block * n : (block + 1) * n]
+        own[:] = np.minimum(own.astype(np.int64) + np.frombuffer(sums, kind), cap)
 
 
 def phrase_counts(
@@ -204,10 +224,9 @@ def phrase_counts(
     table = spark.read.schema("lang string, text string, shard int").parquet(path)
     if bits is None:
         words = (table.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
-        bits = min(max(LEAST_BITS, (words // 8).bit_length()), MOST_BITS)
+        bits = min(max(LEAST_BITS, (words // 16).bit_length()), MOST_BITS)
     since = np.full(1 << bits, NEVER, np.uint8)
     totals = np.zeros(1 << bits, _slot_type(threshold))
-    cap = np.iinfo(totals.dtype).max
     counted, step, last = [], 0, 0
     while step < last + shards:
         shipped = spark.sparkContext.broadcast(since)
@@ -217,7 +236,7 @@ def phrase_counts(
         shipped.destroy()
         counted.append(spark.read.schema(_SCHEMA).parquet(at))
         # Sums below the cap are exact, at the cap they are reached for good.
-        totals = np.minimum(totals.astype(np.int64) + _slot_sums(counted[-1], bits, threshold), cap).astype(totals.dtype)
+        _add_slots(totals, counted[-1], bits, threshold)
         fresh = (totals >= threshold) & (since == NEVER)
         step += 1
         if fresh.any():
@@ -233,12 +252,19 @@ def _added_up(counted: list[DataFrame], since: np.ndarray, threshold: int, longe
     def run(batches):
         reached = shipped.value
         for batch in batches:
-            size, slot = batch.column(1).to_numpy(), batch.column(4).to_numpy()
-            open_slot = (reached[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1
-            yield batch.select(["lang", "size", "phrase", "n"]).filter(pa.array((size == longest) | (open_slot == 1)))
+            for lang, size, phrases, ends, slots, sums in zip(*(c.to_pylist() for c in batch.columns)):
+                slots, ends = np.frombuffer(slots, "<u4"), np.frombuffer(ends, "<u4")
+                offsets = np.concatenate([[0], ends]).astype(np.int32)
+                texts = pa.Array.from_buffers(pa.string(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(phrases)])
+                counts = pa.array(np.frombuffer(sums, "<u8").astype(np.int64))
+                if size < longest:
+                    open_slot = pa.array(((reached[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1).astype(bool))
+                    texts, counts = texts.filter(open_slot), counts.filter(open_slot)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(texts), pa.string()), pa.array(np.full(len(texts), size, np.int32)), texts, counts], names=["lang", "size", "phrase", "n"])
 
     rows = reduce(DataFrame.unionByName, counted)
-    kept = rows.filter("size > 0").select("lang", "size", "phrase", "n", "slot").mapInArrow(run, "lang string, size int, phrase string, n bigint")
+    held = rows.filter("size > 0").select("lang", "size", "phrases", "ends", "slots", "sums")
+    kept = held.mapInArrow(run, "lang string, size int, phrase string, n bigint")
     frequent = kept.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= threshold)
     sizes = rows.filter("size = 0").groupBy("lang").agg(F.sum("n").alias("n"))
     return written(frequent, "frequent"), written(sizes, "sizes")
