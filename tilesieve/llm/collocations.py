@@ -7,8 +7,8 @@ threshold in what has been counted so far, and for one full cycle; so every coun
 counted in every shard exactly once.
 
 What has reached the threshold is kept in a table of hashed slots, one byte each, of a size that is
-fixed at the start (at most 2^``MOST_BITS``): phrases of one slot are added up there, so a slot may
-open a phrase early, or one that is too rare in the end, but never keeps one closed.  The counts
+fixed at the start (at most 2^``MOST_BITS`` for each length): phrases of one slot are added up there,
+so a slot may open a phrase early, or one that is too rare in the end, but never keeps one closed.  The counts
 themselves are kept by the phrase, as text.  Phrases whose slot stays below the threshold are left
 out before the exact counts are added up by Spark.
 
@@ -36,11 +36,11 @@ from ..session import scratch_path, written
 from .common import bounded
 
 LONGEST, THRESHOLD, ABSORBED, TOP = 3, 10, 50, 2_000
-SHARDS, FLUSH = 3, 8 * 1024 * 1024
+SHARDS, FLUSH = 3, 4 * 1024 * 1024
 # Slots: about one per 16 words of the corpus, within these powers of two; a block of them is summed in one place.
 LEAST_BITS, MOST_BITS, BLOCK_BITS = 16, 27, 18
 # Phrases of a packed row.
-PACKED = 50_000
+PACKED = 2_048
 NEVER = 255
 
 _BREAK, _GAP = b"\n", b" "
@@ -72,6 +72,11 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def _slots(hashes: np.ndarray, size: int, bits: int) -> np.ndarray:
+    """Each length has slots of its own, so the last slot of a length is reached one cycle after that of the length before."""
+    return (hashes & np.uint64((1 << bits) - 1)).astype(np.int64) + ((size - 1) << bits)
+
+
 def count_phrases(codes: np.ndarray, words: list[bytes], lang: str, since: np.ndarray, step: int, shards: int, longest: int):
     """For each length the phrases that are counted in this step: (length, phrases, counts, slots).
 
@@ -83,7 +88,7 @@ def count_phrases(codes: np.ndarray, words: list[bytes], lang: str, since: np.nd
     hashes = np.array([xxhash.xxh64_intdigest(salt + w) for w in words], np.uint64)
     spaced = pa.array([w + _GAP for w in words], pa.large_binary())
     plain = pa.array(words, pa.large_binary())
-    last = np.uint64(len(since) - 1)
+    bits = (len(since) // max(1, longest - 1)).bit_length() - 1
     there = codes >= 0
     safe = np.where(there, codes, 0)
     single = hashes[safe] if len(words) else np.zeros(0, np.uint64)
@@ -94,7 +99,7 @@ def count_phrases(codes: np.ndarray, words: list[bytes], lang: str, since: np.nd
             return
         if size > 1:
             # Reached parts: the phrase without its last, and without its first word.
-            reached = np.where(whole, since[own & last], NEVER)
+            reached = np.where(whole, since[_slots(own, size - 1, bits)], NEVER)
             opened = np.maximum(reached[:-1], reached[1:])
             own, whole = _mixed(own[:n], single[size - 1 :]), whole[:n] & there[size - 1 :]
         at = np.flatnonzero(whole & (opened <= step) & (opened.astype(np.int64) + shards > step) & (opened < NEVER))
@@ -118,7 +123,7 @@ def count_phrases(codes: np.ndarray, words: list[bytes], lang: str, since: np.nd
             mixed = _mixed(mixed, hashes[word])
         texts = [spaced.take(pa.array(c)) for c in columns[:-1]] + [plain.take(pa.array(columns[-1]))]
         phrases = pc.binary_join_element_wise(*texts, pa.scalar(b"", pa.large_binary())) if size > 1 else texts[0]
-        yield size, phrases, found[one], (mixed & last).astype(np.int64)
+        yield size, phrases, found[one], _slots(mixed, size, bits)
 
 
 def _slot_type(threshold: int) -> np.dtype:
@@ -143,7 +148,7 @@ def _scan(shard: DataFrame, since, step: int, shards: int, longest: int, thresho
             offsets = np.frombuffer(part.buffers()[1], np.int64)[part.offset : part.offset + len(part) + 1]
             data = part.buffers()[2][int(offsets[0]) : int(offsets[-1])].to_pybytes()
             ends = (offsets[1:] - offsets[0]).astype("<u4").tobytes()
-            yield rows(lang=[lang], size=[length], phrases=[data], ends=[ends], slots=[slots[some].astype("<u4").tobytes()], sums=[counts[some].astype("<u8").tobytes()])
+            yield rows(lang=[lang], size=[length], phrases=[data], ends=[ends], slots=[slots[some].astype("<u4").tobytes()], sums=[counts[some].astype("<u4").tobytes()])
 
     def by_block(counts, slots):
         order = np.argsort(slots)
@@ -183,10 +188,10 @@ def _scan(shard: DataFrame, since, step: int, shards: int, longest: int, thresho
     return bounded(shard).select("lang", "text").mapInArrow(run, _SCHEMA)
 
 
-def _add_slots(totals: np.ndarray, counts: DataFrame, bits: int, threshold: int) -> None:
+def _add_slots(totals: np.ndarray, counts: DataFrame, threshold: int) -> None:
     """Add a step's sums to those of all slots, capped by their type; they are added up in tasks by block."""
     kind = _slot_type(threshold)
-    cap, n = np.iinfo(kind).max, 1 << min(bits, BLOCK_BITS)
+    cap, n = np.iinfo(kind).max, min(len(totals), 1 << BLOCK_BITS)
 
     def run(batches):
         now, total = None, None
@@ -204,12 +209,11 @@ def _add_slots(totals: np.ndarray, counts: DataFrame, bits: int, threshold: int)
         if now is not None:
             yield row()
 
-    blocks = max(1, 1 << (bits - BLOCK_BITS)) if bits > BLOCK_BITS else 1
-    dealt = counts.filter("block is not null").select("block", "slots", "sums").repartition(min(blocks, 256), "block").sortWithinPartitions("block")
+    dealt = counts.filter("block is not null").select("block", "slots", "sums").repartition("block").sortWithinPartitions("block")
     # A byte per slot reaches the driver, in rows of one block.
-    for block, sums in dealt.mapInArrow(run, "block int, sums binary").toLocalIterator():
+    for block, sums in dealt.mapInArrow(run, "block int, sums binary").collect():
         own = totals[block * n : (block + 1) * n]
-        own[:] = np.minimum(own.astype(np.int64) + np.frombuffer(sums, kind), cap)
+        own[:] = np.minimum(own.astype(np.int64) + np.frombuffer(sums, kind)[: len(own)], cap)
 
 
 def phrase_counts(
@@ -225,8 +229,8 @@ def phrase_counts(
     if bits is None:
         words = (table.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
         bits = min(max(LEAST_BITS, (words // 16).bit_length()), MOST_BITS)
-    since = np.full(1 << bits, NEVER, np.uint8)
-    totals = np.zeros(1 << bits, _slot_type(threshold))
+    since = np.full((longest - 1) << bits, NEVER, np.uint8)
+    totals = np.zeros((longest - 1) << bits, _slot_type(threshold))
     counted, step, last = [], 0, 0
     while step < last + shards:
         shipped = spark.sparkContext.broadcast(since)
@@ -236,7 +240,7 @@ def phrase_counts(
         shipped.destroy()
         counted.append(spark.read.schema(_SCHEMA).parquet(at))
         # Sums below the cap are exact, at the cap they are reached for good.
-        _add_slots(totals, counted[-1], bits, threshold)
+        _add_slots(totals, counted[-1], threshold)
         fresh = (totals >= threshold) & (since == NEVER)
         step += 1
         if fresh.any():
@@ -256,7 +260,7 @@ def _added_up(counted: list[DataFrame], since: np.ndarray, threshold: int, longe
                 slots, ends = np.frombuffer(slots, "<u4"), np.frombuffer(ends, "<u4")
                 offsets = np.concatenate([[0], ends]).astype(np.int32)
                 texts = pa.Array.from_buffers(pa.string(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(phrases)])
-                counts = pa.array(np.frombuffer(sums, "<u8").astype(np.int64))
+                counts = pa.array(np.frombuffer(sums, "<u4").astype(np.int64))
                 if size < longest:
                     open_slot = pa.array(((reached[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1).astype(bool))
                     texts, counts = texts.filter(open_slot), counts.filter(open_slot)
