@@ -37,7 +37,7 @@ from .common import bounded
 
 LONGEST, THRESHOLD, ABSORBED, TOP = 3, 10, 50, 2_000
 SHARDS, FLUSH = 3, 4 * 1024 * 1024
-# Slots: about one per 16 words of the corpus, within these powers of two; a block of them is summed in one place.
+# Slots: about one per 32 words for each length of the corpus, within these powers of two; a block of them is summed in one place.
 LEAST_BITS, MOST_BITS, BLOCK_BITS = 16, 27, 18
 # Phrases of a packed row.
 PACKED = 2_048
@@ -59,7 +59,11 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
     column = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
     coded = column.dictionary_encode()
     words = [w[:-1] for w in coded.dictionary.to_pylist()]
-    codes = coded.indices.to_numpy().astype(np.int64)
+    # Codes in the order of the words: phrases in order pack well.
+    order = sorted(range(len(words)), key=words.__getitem__)
+    rank = np.empty(len(words), np.int64)
+    rank[order] = np.arange(len(words))
+    codes, words = rank[coded.indices.to_numpy()], [words[i] for i in order]
     names = {w: i for i, w in enumerate(words) if w in (b"", _BREAK)}
     codes = codes[codes != names.get(b"", -1)]
     codes[codes == names.get(_BREAK, -2)] = -1
@@ -88,7 +92,7 @@ def count_phrases(codes: np.ndarray, words: list[bytes], lang: str, since: np.nd
     hashes = np.array([xxhash.xxh64_intdigest(salt + w) for w in words], np.uint64)
     spaced = pa.array([w + _GAP for w in words], pa.large_binary())
     plain = pa.array(words, pa.large_binary())
-    bits = (len(since) // max(1, longest - 1)).bit_length() - 1
+    bits = (len(since) // (longest - 1)).bit_length() - 1
     there = codes >= 0
     safe = np.where(there, codes, 0)
     single = hashes[safe] if len(words) else np.zeros(0, np.uint64)
@@ -118,12 +122,14 @@ def count_phrases(codes: np.ndarray, words: list[bytes], lang: str, since: np.nd
             left, word = np.divmod(pairs[left], len(words))
             columns.append(word)
         columns = [left, *reversed(columns)]
+        order = np.lexsort(columns[::-1])
+        columns, counts = [c[order] for c in columns], found[one[order]]
         mixed = hashes[columns[0]]
         for word in columns[1:]:
             mixed = _mixed(mixed, hashes[word])
         texts = [spaced.take(pa.array(c)) for c in columns[:-1]] + [plain.take(pa.array(columns[-1]))]
         phrases = pc.binary_join_element_wise(*texts, pa.scalar(b"", pa.large_binary())) if size > 1 else texts[0]
-        yield size, phrases, found[one], _slots(mixed, size, bits)
+        yield size, phrases, counts, _slots(mixed, size, bits)
 
 
 def _slot_type(threshold: int) -> np.dtype:
@@ -172,8 +178,7 @@ def _scan(shard: DataFrame, since, step: int, shards: int, longest: int, thresho
                     yield rows(lang=[lang], size=[0], n=[total])
                 for length, phrases, counts, slots in count_phrases(codes, words, lang, reached, step, shards, longest):
                     yield from packed(lang, length, phrases, counts, slots)
-                    if length < longest:
-                        yield by_block(counts, slots)
+                    yield by_block(counts, slots)
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -228,9 +233,9 @@ def phrase_counts(
     table = spark.read.schema("lang string, text string, shard int").parquet(path)
     if bits is None:
         words = (table.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
-        bits = min(max(LEAST_BITS, (words // 16).bit_length()), MOST_BITS)
+        bits = min(max(LEAST_BITS, (words // 32).bit_length()), MOST_BITS)
     since = np.full((longest - 1) << bits, NEVER, np.uint8)
-    totals = np.zeros((longest - 1) << bits, _slot_type(threshold))
+    totals = np.zeros(longest << bits, _slot_type(threshold))
     counted, step, last = [], 0, 0
     while step < last + shards:
         shipped = spark.sparkContext.broadcast(since)
@@ -241,17 +246,17 @@ def phrase_counts(
         counted.append(spark.read.schema(_SCHEMA).parquet(at))
         # Sums below the cap are exact, at the cap they are reached for good.
         _add_slots(totals, counted[-1], threshold)
-        fresh = (totals >= threshold) & (since == NEVER)
+        fresh = (totals[: len(since)] >= threshold) & (since == NEVER)
         step += 1
         if fresh.any():
             since[fresh], last = step, step
-    return _added_up(counted, since, threshold, longest)
+    return _added_up(counted, totals >= threshold, threshold)
 
 
-def _added_up(counted: list[DataFrame], since: np.ndarray, threshold: int, longest: int) -> tuple[DataFrame, DataFrame]:
+def _added_up(counted: list[DataFrame], reached: np.ndarray, threshold: int) -> tuple[DataFrame, DataFrame]:
     """The exact counts of all steps; phrases in slots that never reached the threshold are left out first."""
     spark = counted[0].sparkSession
-    shipped = spark.sparkContext.broadcast(np.packbits(since != NEVER))
+    shipped = spark.sparkContext.broadcast(np.packbits(reached))
 
     def run(batches):
         reached = shipped.value
@@ -261,9 +266,8 @@ def _added_up(counted: list[DataFrame], since: np.ndarray, threshold: int, longe
                 offsets = np.concatenate([[0], ends]).astype(np.int32)
                 texts = pa.Array.from_buffers(pa.string(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(phrases)])
                 counts = pa.array(np.frombuffer(sums, "<u4").astype(np.int64))
-                if size < longest:
-                    open_slot = pa.array(((reached[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1).astype(bool))
-                    texts, counts = texts.filter(open_slot), counts.filter(open_slot)
+                open_slot = pa.array(((reached[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1).astype(bool))
+                texts, counts = texts.filter(open_slot), counts.filter(open_slot)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(texts), pa.string()), pa.array(np.full(len(texts), size, np.int32)), texts, counts], names=["lang", "size", "phrase", "n"])
 
     rows = reduce(DataFrame.unionByName, counted)
