@@ -12,6 +12,7 @@ from tilesieve.functions import bands as bd
 from tilesieve.operators import models
 from tilesieve.operators import tiles as tl
 from tilesieve.plans.materialize import materialize_subset
+from tilesieve.session import written
 from tilesieve.sources import tiles as src
 
 RGB = list(tl.RGB)
@@ -40,7 +41,7 @@ def manifest(spark, rows):
     return spark.createDataFrame(rows, "row_id bigint, parquet_file string, row_group int, row_in_rg int")
 
 
-@pytest.mark.parametrize("max_bytes", [1 << 28, 3 * src.ADDRESS_BYTES])
+@pytest.mark.parametrize("max_bytes", [1 << 28, 384])
 def test_read_tiles_addresses_rows(spark, images, max_bytes):
     wanted = manifest(spark, [(i, f"/x/part_{i % 3}.parquet", i % 4, 0) for i in range(12)] + [(99, "/x/gone.parquet", 0, 0)])
     found = tl.decode_raw_band(src.read_tiles(spark, images, wanted, RGB, max_bytes=max_bytes)).collect()
@@ -106,14 +107,40 @@ def test_extracted_rows_keep_all_columns_and_types(spark, tmp_path, capsys):
     assert [(r["shard"], r["n_missing"]) for r in made.report.filter("not complete").collect()] == [("gone.parquet", 1)]
 
 
-def test_only_named_bands_and_shards_are_scanned(spark, images, capsys):
-    wanted = manifest(spark, [(0, "/x/part_1.parquet", 2, 0)])
-    frame = src.read_tiles(spark, images, wanted, ["B04"])
+def test_only_named_row_groups_and_columns_are_opened(spark, tmp_path, capsys):
+    """What lies in other row groups, columns and shards is overwritten, and nobody notices."""
+    folder = tmp_path / "torn"
+    folder.mkdir()
+    for s in range(3):
+        shard(folder / f"part_{s}.parquet", [[blob([s, t, b]) for b in range(3)] for t in range(12)], group=3)
+    wanted = manifest(spark, [(0, "/x/part_1.parquet", 2, 0), (1, "/x/part_1.parquet", 2, 2)])
+    groups = written(src.row_groups(spark, str(folder), wanted), "groups")
+    for s in range(3):
+        path = folder / f"part_{s}.parquet"
+        about = pq.ParquetFile(path).metadata
+        with open(path, "r+b") as out:
+            for g in range(about.num_row_groups):
+                for c in range(about.num_columns):
+                    column = about.row_group(g).column(c)
+                    if (s, g, column.path_in_schema) != (1, 2, "B04"):
+                        out.seek(min(x for x in (column.dictionary_page_offset, column.data_page_offset) if x))
+                        out.write(b"\xff" * column.total_compressed_size)
+    frame = src.read_tiles(spark, str(folder), wanted, ["B04"], groups)
+    assert sorted((r["row_id"], r["row_in_file"], r["B04"][1]) for r in tl.decode_raw_band(frame, ["B04"]).collect()) == [(0, 6, 6), (1, 8, 8)]
+    with pytest.raises(Exception, match="part_1.parquet"):
+        src.read_tiles(spark, str(folder), wanted, ["B03"], groups).collect()
     frame.explain()
-    plan = capsys.readouterr().out
-    assert "ReadSchema: struct<B04:binary,tile_row:bigint,_tmp_metadata_row_index:bigint>" in plan
-    assert "Exchange hashpartitioning" not in plan.split("BroadcastExchange")[0]
-    assert "BroadcastHashJoin" in plan and "IN (part_1.parquet)" in plan.replace("= part_1.parquet", "IN (part_1.parquet)")
+    assert "FileScan parquet [B04" not in capsys.readouterr().out
+
+
+def test_a_row_group_larger_than_a_task_may_hold_is_streamed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(src, "HELD_BYTES", 8)
+    folder = tmp_path / "large"
+    folder.mkdir()
+    shard(folder / "part_0.parquet", [[blob([t, b]) for b in range(3)] for t in range(50)], group=50)
+    wanted = manifest(spark, [(t, "/x/part_0.parquet", 0, t) for t in (49, 0, 7, 8, 31)] + [(100, "/x/part_0.parquet", 0, 7)])
+    got = tl.decode_raw_band(src.read_tiles(spark, str(folder), wanted, RGB)).collect()
+    assert sorted((r["row_id"], r["B04"][0]) for r in got) == [(0, 0), (7, 7), (8, 8), (31, 31), (49, 49), (100, 7)]
 
 
 def test_a_shard_of_any_size_is_written_by_several_tasks(spark, images, tmp_path):

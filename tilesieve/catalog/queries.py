@@ -447,7 +447,7 @@ def extract_subset_rows(spark, sf_dir):
 def extract_subset_rows_in_parts(spark, sf_dir):
     """The path for addresses beyond the broadcast bound, forced by a small bound."""
     images = fx.images_dir(spark, sf_dir)
-    rows = src.extract_subset_rows(spark, images, fx.manifest(spark, sf_dir), RGB, max_bytes=150 * src.ADDRESS_BYTES)
+    rows = src.extract_subset_rows(spark, images, fx.manifest(spark, sf_dir), RGB, max_bytes=16 * 1024)
     return _bands_text(tl.decode_raw_band(rows), ["shard", "tile_row"])
 
 
