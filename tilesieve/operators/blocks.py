@@ -99,19 +99,26 @@ def vector_blocks(
     return blocks
 
 
-def stored_blocks(df: DataFrame, key: str, vec: str, max_bytes: int = STORED_BYTES, distinct: bool = False) -> list[str]:
+def stored_blocks(df: DataFrame, key: str, vec: str, max_bytes: int = STORED_BYTES, distinct: bool = False, by: str | None = None) -> list[str]:
     """The files of a written copy of a vector table, none with more than ``max_bytes`` of vectors.
 
+    Rows with the same value of ``by`` share files of their own, where it is given.
+
     Tasks read them with ``stored_block``; only their names come to the driver.  Of equal vectors
     ``distinct`` keeps that of the smallest key.
     """
     n, dims = sized(df, vec)
     limit = rows_per_block(dims, max_bytes)
-    held = df.select(F.col(key).cast("bigint").alias("k"), F.col(vec).cast("array<double>").alias("v"))
+    group = (F.lit(0) if by is None else F.col(by)).cast("int").alias("g")
+    held = df.select(group, F.col(key).cast("bigint").alias("k"), F.col(vec).cast("array<double>").alias("v"))
     if distinct:
-        held = held.groupBy("v").agg(F.min("k").alias("k")).select("k", "v")
+        held = held.groupBy("v").agg(F.min("k").alias("k"), F.min("g").alias("g")).select("g", "k", "v")
     path = scratch_path(df.sparkSession, "blocks")
-    held.repartition(max(1, -(-n // limit)), "k").write.option("maxRecordsPerFile", limit).parquet(path)
+    pieces = max(1, -(-n // limit))
+    if by is None:
+        held.drop("g").repartition(pieces, "k").write.option("maxRecordsPerFile", limit).parquet(path)
+    else:
+        held.repartition(pieces, "g").write.option("maxRecordsPerFile", limit).partitionBy("g").parquet(path)
     return df.sparkSession.read.schema("k bigint, v array<double>").parquet(path).inputFiles()
 
 

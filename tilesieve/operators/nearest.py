@@ -18,6 +18,8 @@ from .blocks import CHUNK_BYTES, STORED_BYTES, Block, in_chunks, loaded, matrix,
 # also the numbers in one slice of the exact recheck.
 CELLS = 1_000_000
 LEAST_ROWS = 512
+# Most balls that stored centroids are grouped in.
+MOST_BALLS = 1_024
 
 
 class Finder:
@@ -37,47 +39,78 @@ class Finder:
         self.kind = np.float32 if self.reach < 1e15 else np.float64
         self.table = np.vstack([-2.0 * centred.T, c2]).astype(self.kind)
 
-    def _candidates(self, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _candidates(self, part: np.ndarray, own: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         moved = part - self.shift
         length = np.sqrt(np.einsum("ij,ij->i", moved, moved))
         kind = self.kind if length.max() < 1e15 else np.float64
         rows = np.hstack([moved, np.ones((len(moved), 1))]).astype(kind)
         approx = rows @ self.table
+        if own is not None:
+            at = np.minimum(np.searchsorted(self.ids, own), len(self.ids) - 1)
+            here = np.flatnonzero(self.ids[at] == own)
+            approx[here, at[here]] = np.inf
         error = (part.shape[1] + 4) * np.finfo(self.kind).eps * (2.0 * length + self.reach) * self.reach
-        return np.nonzero(approx <= (approx.min(axis=1) + 2.0 * error)[:, None])
+        return np.nonzero((approx <= (approx.min(axis=1) + 2.0 * error)[:, None]) & (approx < np.inf))
 
-    def __call__(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Id and squared distance of the nearest row for every row of ``x``."""
-        labels, best = np.empty(len(x), dtype=np.int64), np.empty(len(x))
+    def __call__(self, x: np.ndarray, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Id and squared distance of the nearest row for every row of ``x``; -1 and inf where there is none.
+
+        ``own`` are ids that the rows of ``x`` must not be given themselves; ``ids`` are in order then.
+        """
+        labels, best = np.full(len(x), -1, dtype=np.int64), np.full(len(x), np.inf)
         step, stride = max(LEAST_ROWS, CELLS // len(self.c)), max(1, CELLS // self.c.shape[1])
         for lo in range(0, len(x), step):
             part = x[lo : lo + step]
-            row, col = self._candidates(part)
+            row, col = self._candidates(part, None if own is None else own[lo : lo + step])
             exact = np.empty(len(row))
             for s in range(0, len(row), stride):
                 diff = part[row[s : s + stride]] - self.c[col[s : s + stride]]
                 exact[s : s + stride] = np.einsum("ij,ij->i", diff, diff)
             order = np.lexsort((self.ids[col], exact, row))
-            first = order[np.searchsorted(row[order], np.arange(len(part)))]
-            labels[lo : lo + len(part)] = self.ids[col[first]]
-            best[lo : lo + len(part)] = exact[first]
+            found, first = np.unique(row[order], return_index=True)
+            labels[lo + found] = self.ids[col[order[first]]]
+            best[lo + found] = exact[order[first]]
         return labels, best
 
 
 class StoredFinder:
-    """As ``Finder`` over stored blocks: one is read at a time, and the nearest so far is kept."""
+    """As ``Finder`` over stored blocks: one is read at a time, and the nearest so far is kept.
 
-    def __init__(self, files: list[str]) -> None:
-        self.files = files
+    A block holds centroids that lie together, within ``radius`` of a centre.  By the triangle
+    inequality none of them is nearer to a point than its distance to the centre less the radius, so
+    a block measures only the points that this bound leaves open, and is not opened where there are none.
+    """
 
-    def __call__(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def __init__(self, files: list[str], centres: np.ndarray, radii: np.ndarray) -> None:
+        self.files, self.centres, self.radii = files, centres, radii
+        self.opened, self.measured = 0, 0
+
+    def _bounds(self, x: np.ndarray) -> np.ndarray:
+        """For each point and block a squared distance below which none of its centroids lies."""
+        away = np.empty((len(x), len(self.files)))
+        for b, centre in enumerate(self.centres):
+            diff = x - centre
+            away[:, b] = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+        # Less than rounding can add to either side.
+        safe = away - self.radii - 1e-12 * x.shape[1] * (away + self.radii)
+        return np.square(np.maximum(safe, 0.0))
+
+    def __call__(self, x: np.ndarray, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         labels, best = np.full(len(x), -1, dtype=np.int64), np.full(len(x), np.inf)
-        for file in self.files:
-            ids, c = stored_block(file)
+        bounds = self._bounds(x)
+        # Blocks that are nearest to many points come first.
+        nearest = np.bincount(bounds.argmin(axis=1), minlength=len(self.files)) if len(x) else np.zeros(len(self.files))
+        for b in np.argsort(-nearest, kind="stable").tolist():
+            some = np.flatnonzero(bounds[:, b] <= best)
+            if not len(some):
+                continue
+            ids, c = stored_block(self.files[b])
+            self.opened, self.measured = self.opened + 1, self.measured + len(some) * len(ids)
             if len(ids):
-                found, d2 = Finder(ids, c)(x)
-                nearer = (labels < 0) | (d2 < best) | ((d2 == best) & (found < labels))
-                labels[nearer], best[nearer] = found[nearer], d2[nearer]
+                found, d2 = Finder(ids, c)(x[some], None if own is None else own[some])
+                was, had = labels[some], best[some]
+                nearer = (found >= 0) & ((was < 0) | (d2 < had) | ((d2 == had) & (found < was)))
+                labels[some[nearer]], best[some[nearer]] = found[nearer], d2[nearer]
         return labels, best
 
 
@@ -90,6 +123,8 @@ class Centroids:
 
     data: Broadcast | None
     files: list[str]
+    # Centre and radius of each file's centroids, a row of the first and a number.
+    balls: tuple[np.ndarray, np.ndarray] | None = None
 
     @classmethod
     def of(cls, table: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES, distinct: bool = True) -> Centroids:
@@ -98,10 +133,10 @@ class Centroids:
             raise ValueError("there are no centroids to measure to")
         if n <= rows_per_block(dims, max_bytes):
             return cls(Block.of(table.sparkSession, *loaded(table, "cluster_id", "centroid"), distinct).data, [])
-        return cls(None, stored_blocks(table, "cluster_id", "centroid", min(max_bytes, STORED_BYTES), distinct))
+        return cls(None, *ball_blocks(table, min(max_bytes, STORED_BYTES), distinct))
 
     def finder(self) -> Finder | StoredFinder:
-        return StoredFinder(self.files) if self.data is None else Finder(*self.data.value)
+        return StoredFinder(self.files, *self.balls) if self.data is None else Finder(*self.data.value)
 
     def chunks(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Batches without empty ones; big enough to be worth reading all files."""
@@ -120,6 +155,52 @@ class Centroids:
             self.data.destroy()
 
 
+def ball_blocks(table: DataFrame, max_bytes: int, distinct: bool) -> tuple[list[str], tuple[np.ndarray, np.ndarray]]:
+    """Files of centroids that lie together, with the centre and radius of each.
+
+    Centroids go to the nearest of as many sampled ones as there will be blocks; a block beyond
+    ``max_bytes`` becomes several files.  The driver sees the samples and the centres only.
+    """
+    n, dims = sized(table, "centroid")
+    wanted = min(MOST_BALLS, -(-n // rows_per_block(dims, max_bytes)))
+    # At most MOST_BALLS rows.
+    ids, chosen = loaded(table.orderBy(F.xxhash64("cluster_id"), "cluster_id").limit(wanted), "cluster_id", "centroid")
+    shared = table.sparkSession.sparkContext.broadcast((np.sort(ids), chosen[np.argsort(ids)]))
+    near = _assign_to(table.withColumnRenamed("cluster_id", "_id"), Centroids(shared, []), "_id", "centroid", carry=True)
+    files = stored_blocks(near, "_id", "centroid", max_bytes, distinct, by="cluster_id")
+
+    def run(batches):
+        for batch in batches:
+            for file in batch.column(0).to_pylist():
+                held = stored_block(file)[1]
+                centre = held.mean(axis=0) if len(held) else np.zeros(dims)
+                diff = held - centre
+                radius = float(np.sqrt(np.einsum("ij,ij->i", diff, diff).max())) if len(held) else 0.0
+                yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([centre.tolist()], pa.list_(pa.float64())), pa.array([radius])], names=["file", "centre", "radius"])
+
+    spark = table.sparkSession
+    names = spark.createDataFrame([(f,) for f in files], "file string").repartition(min(len(files), spark.sparkContext.defaultParallelism), "file")
+    balls = {r.file: r for r in names.mapInArrow(run, "file string, centre array<double>, radius double").collect()}
+    shared.destroy()
+    return files, (np.array([balls[f].centre for f in files]), np.array([balls[f].radius for f in files]))
+
+
+def nearest_other(features: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """(a, b, d2): for every row of (cluster_id, centroid) the nearest other row, ties to the lowest id."""
+    held = Centroids.of(features, max_bytes, distinct=False)
+
+    def run(batches):
+        find = held.finder()
+        for batch in held.chunks(batches):
+            ids = batch.column(0).to_numpy()
+            other, d2 = find(matrix(batch.column(1)), ids)
+            there = other >= 0
+            yield pa.RecordBatch.from_arrays([pa.array(ids[there]), pa.array(other[there]), pa.array(d2[there])], names=["a", "b", "d2"])
+
+    rows = features.select(F.col("cluster_id").cast("bigint").alias("cluster_id"), "centroid")
+    return rows.mapInArrow(run, "a bigint, b bigint, d2 double")
+
+
 def _assign_to(points: DataFrame, centroids: Centroids, key: str, vec: str, carry: bool = False) -> DataFrame:
     held = [key, vec] if carry else [key]
 
