@@ -150,14 +150,76 @@ def test_vectors_of_different_length_are_rejected():
         matrix(pa.array([[1.0] * 3, [1.0] * 5]))
 
 
-@pytest.mark.parametrize("group_rows, merge_rows", [(4096, 8192), (64, 16), (16, 16)])
-def test_small_bounds_still_merge_to_the_true_clusters(spark, sf_dir, group_rows, merge_rows):
-    from tilesieve.catalog import fixtures
-    from tilesieve.operators import thresholds
+def brute_merged(points, threshold):
+    """Sub-clusters of (ids, x) by the definition, one pair after the other: {id: number}."""
+    held = {}
+    for i, v in points:
+        twin = next((k for k, (_, _, c) in held.items() if np.array_equal(c, v)), None)
+        if twin is None:
+            held[i] = (1, 0.0, v)
+        else:
+            held[twin] = (held[twin][0] + 1, 0.0, v)
+    while True:
+        near = {}
+        for i, (n, sse, c) in held.items():
+            others = [(float(((c - o[2]) ** 2).sum()), j) for j, o in held.items() if j != i]
+            if others:
+                d2, j = min(others)
+                m, other, _ = held[j]
+                if (sse + other + n * m / (n + m) * d2) / (n + m) <= threshold**2:
+                    near[(d2, min(i, j), max(i, j))] = None
+        first = {}
+        for pair in sorted(near):
+            first.setdefault(pair[1], pair)
+            first.setdefault(pair[2], pair)
+        chosen = [p for p in near if first[p[1]] == p == first[p[2]]]
+        if not chosen:
+            return {i: n for i, (n, _, _) in held.items()}
+        for d2, i, j in chosen:
+            (n, s, c), (m, t, o) = held[i], held.pop(j)
+            held[i] = (n + m, s + t + n * m / (n + m) * d2, (c * n + o * m) / (n + m))
+
+
+@pytest.mark.parametrize("threshold", [0.05, 0.5, 0.9])
+def test_merging_is_the_definition_whatever_the_bounds(spark, threshold):
+    """Overlapping points with copies: the same sub-clusters in memory, in rounds, and by brute force."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(90, 3)) * 0.7
+    x[60:] = x[rng.integers(0, 60, 30)] + (rng.random((30, 1)) < 0.5) * 0.01
+    want = sorted(brute_merged(list(enumerate(x)), threshold).values())
+    points = written(frame(spark, x), "overlapping")
+    for rows in (4096, 40):
+        found = thresholds.threshold_centroids(points.repartition(3), threshold, group_rows=rows).collect()
+        assert sorted(r.n for r in found) == want, rows
+        assert max(r.radius for r in found) <= threshold + 1e-9
+
+
+def test_merging_by_stored_blocks_is_the_same(spark):
+    x = np.random.default_rng(6).normal(size=(60, 3)) * 0.7
+    points = written(frame(spark, x), "overlapping")
+    stored = thresholds.threshold_centroids(points, 0.5, group_rows=40, max_bytes=20 * 32)
+    assert sorted(r.n for r in stored.collect()) == sorted(brute_merged(list(enumerate(x)), 0.5).values())
 
-    held = written(fixtures.blobs(spark, sf_dir), "blobs")
-    found = thresholds.threshold_centroids(held, 0.3, group_rows=group_rows, merge_rows=merge_rows).collect()
-    assert len(found) == 10 and sum(r.n for r in found) == held.count()
+
+def test_where_nothing_merges_there_is_one_round(spark, monkeypatch):
+    points = written(frame(spark, np.eye(40)), "apart")
+    rounds, real = [], thresholds._round
+    monkeypatch.setattr(thresholds, "_round", lambda *a: rounds.append(1) or real(*a))
+    assert thresholds.threshold_centroids(points, 1e-6, group_rows=10).count() == 40
+    assert len(rounds) == 1
+
+
+def test_stored_blocks_are_opened_only_where_their_ball_is_near(spark):
+    rng = np.random.default_rng(1)
+    centres = np.repeat(np.eye(8) * 100, 20, axis=0) + rng.normal(size=(160, 8))
+    table = frame(spark, centres).selectExpr("row_id AS cluster_id", "embedding AS centroid")
+    held = nearest.Centroids.of(table, 20 * (8 * 8 + 8))
+    find = held.finder()
+    x = centres[:20] + 0.1
+    labels, d2 = find(x)
+    want = ((x[:, None] - centres[None]) ** 2).sum(2)
+    assert labels.tolist() == want.argmin(1).tolist() and np.allclose(d2, want.min(1))
+    assert find.opened < len(held.files) and find.measured < len(x) * len(centres) / 2
 
 
 def test_unknown_starts_are_rejected(spark, cloud):
@@ -173,13 +235,6 @@ def test_empty_cluster_has_a_zero_centroid(spark, cloud):
     assert got[0]["centroid"] == [0.0] * 12 and np.allclose(got[1]["centroid"], cloud.mean(0))
 
 
-def test_absorb_keeps_the_radius(cloud):
-    n, ls, ss = thresholds.absorb(np.ones(400, int), cloud, (cloud**2).sum(1), 2.5)
-    assert n.sum() == 400 and np.allclose(ls.sum(0), cloud.sum(0))
-    mean = ls / n[:, None]
-    assert (ss / n - (mean**2).sum(1) <= 2.5**2 + 1e-9).all()
-
-
 @pytest.mark.parametrize("partitions,group_rows", [(1, 40), (16, 40), (4, 4096)])
 def test_threshold_clusters_find_the_blobs(spark, sf_dir, group_rows, partitions):
     points = written(fx.blobs(spark, sf_dir).repartition(partitions), "blobs")
@@ -194,7 +249,7 @@ def test_threshold_clusters_find_the_blobs(spark, sf_dir, group_rows, partitions
 
 def test_threshold_extremes(spark, sf_dir):
     points = written(fx.points(spark, sf_dir), "points")
-    for rows in (30, 4096):
+    for rows in (250, 4096):
         assert thresholds.threshold_centroids(points, 1.01, group_rows=rows).count() == 1
         assert thresholds.threshold_centroids(points, 1e-4, group_rows=rows).count() == points.count()
 
@@ -205,8 +260,7 @@ def test_copies_collapse_whatever_the_groups(spark, cloud):
     assert found.agg(F.max("n")).first()[0] == 133
 
 
-def test_a_group_beyond_one_merge_keeps_all_points(spark, cloud, monkeypatch):
-    monkeypatch.setattr(thresholds, "MERGE_ROWS", 6)
+def test_several_rounds_keep_all_points(spark, cloud):
     found = thresholds.threshold_centroids(written(frame(spark, cloud), "cloud"), 1.0, group_rows=25)
     assert found.agg(F.sum("n")).first()[0] == 400
     assert found.agg(F.max("radius")).first()[0] <= 1.0 + 1e-9

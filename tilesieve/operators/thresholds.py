@@ -1,152 +1,135 @@
 """Clustering by radius: sub-clusters whose root-mean-square radius stays below a threshold.
 
-A sub-cluster is its feature (n, linear sum, sum of squared lengths).  Features are built from
-bounded groups of points and merged in rounds over ever wider groups, so the number and content
-of the sub-clusters is fixed by the data and the parameters, but it is not the number a single
-sequential pass over all points in file order would give.
+Every different point starts as a sub-cluster: its number of points, centroid and sum of squared
+distances to it.  In a round each sub-cluster looks for its nearest other one, by centroids, ties to
+the lowest id.  Such a pair may merge if the merged radius is at most the threshold; of the pairs that
+may, each that is the nearest of both its members merges, all in one round.  Rounds go on until no
+sub-cluster may merge with its nearest other one.  The nearest pair of all always merges, so every
+round but the last merges something.
+
+The result is fixed by the points and the threshold alone: neither the order of rows, nor
+partitions, nor any bound has part in it.  Once ``group_rows`` sub-clusters are left, one task takes
+the same rounds over them in memory.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from dataclasses import dataclass
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import MAX_BROADCAST_BYTES, written
-from .blocks import list_array, matrix, sized
-from .nearest import assign_carrying, assign_nearest
+from .blocks import list_array, matrix
+from .nearest import Finder, assign_nearest, nearest_other
 from .ranking import rank_within
-from .sampling import sample_exact
 
-# Points of one group, features of one merge, and most pivots.
+# Sub-clusters that one task merges to the end.
 GROUP_ROWS = 4_096
-MERGE_ROWS = 8_192
-MAX_PIVOTS = 1_024
-SALT_STEP = 8
-
-_FEATURE = "n bigint, ls array<double>, ss double"
-
-
-def absorb(n: np.ndarray, ls: np.ndarray, ss: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Merge features one after the other into the nearest one, where the radius allows it."""
-    out_n, out_ls, out_ss = np.empty(len(n), np.int64), np.empty_like(ls), np.empty(len(n))
-    centre, centre2 = np.empty_like(ls), np.empty(len(n))
-    used, bound = 0, threshold * threshold
-    for i in range(len(n)):
-        if used:
-            point = ls[i] / n[i]
-            j = int(np.argmin(centre2[:used] - 2.0 * (centre[:used] @ point)))
-            size, total, squares = out_n[j] + n[i], out_ls[j] + ls[i], out_ss[j] + ss[i]
-            mean = total / size
-            if squares / size - mean @ mean <= bound:
-                out_n[j], out_ls[j], out_ss[j], centre[j], centre2[j] = size, total, squares, mean, mean @ mean
-                continue
-        out_n[used], out_ls[used], out_ss[used] = n[i], ls[i], ss[i]
-        centre[used] = ls[i] / n[i]
-        centre2[used] = centre[used] @ centre[used]
-        used += 1
-    return out_n[:used], out_ls[:used], out_ss[:used]
-
-
-def _feature_table(table: pa.Table, cell, salt, features) -> pa.Table:
-    n, ls, ss = features
-    size = len(n)
-    return pa.table(
-        {
-            "cell": pa.array(np.full(size, cell, np.int32)),
-            "salt": pa.array(np.full(size, salt, np.int64)),
-            "n": pa.array(n),
-            "ls": list_array(ls),
-            "ss": pa.array(ss),
-        }
-    )
 
+_FEATURE = "cluster_id bigint, n bigint, sse double, centroid array<double>"
 
-def _build(points: DataFrame, threshold: float, vec: str, key: str) -> DataFrame:
-    def job(table: pa.Table) -> pa.Table:
-        table = table.sort_by(key)
-        x = matrix(table[vec])
-        feats = absorb(np.ones(len(x), np.int64), x, np.einsum("ij,ij->i", x, x), threshold)
-        return _feature_table(table, table["cell"][0].as_py(), table["salt"][0].as_py(), feats)
 
-    return points.groupBy("cell", "salt").applyInArrow(job, f"cell int, salt bigint, {_FEATURE}")
+def merged_square(n_a, n_b, sse_a, sse_b, d2):
+    """The squared radius of two sub-clusters as one; numbers, arrays or columns."""
+    return (sse_a + sse_b + (n_a * n_b) / (n_a + n_b) * d2) / (n_a + n_b)
 
 
-def _merge(features: DataFrame, threshold: float, merge_rows: int = MERGE_ROWS) -> DataFrame:
-    """Merge the features of every (cell, salt) group, written.
+def merge_all(ids: np.ndarray, n: np.ndarray, sse: np.ndarray, c: np.ndarray, threshold: float):
+    """All rounds over sub-clusters in memory: ids in order, numbers, sums of squares and centroids.
 
-    A group beyond ``merge_rows`` is dealt to parts that fit one task, each time by other slices:
-    along one coordinate after the other, so that near features meet, and by hash where many lie
-    in one slice.  That is repeated until the group fits, or no slicing merges any more.
+    A sub-cluster's nearest other one is looked for again only where it may have changed.
     """
+    bound = threshold * threshold
+    near, d2 = np.full(len(ids), -1), np.full(len(ids), np.inf)
+    stale = np.arange(len(ids))
+    while len(ids) > 1:
+        if len(stale):
+            found, d2[stale] = Finder(ids, c)(c[stale], ids[stale])
+            near[stale] = np.searchsorted(ids, found)
+        me = np.arange(len(ids))
+        square = merged_square(n.astype(float), n[near].astype(float), sse, sse[near], d2)
+        open_to = np.flatnonzero(square <= bound)
+        if not len(open_to):
+            break
+        low, high = np.minimum(me, near)[open_to], np.maximum(me, near)[open_to]
+        # The first open pair of each sub-cluster, by distance and then ids.
+        order = np.lexsort((high, low, d2[open_to]))
+        low, high = low[order], high[order]
+        first = np.full(len(ids), len(order))
+        np.minimum.at(first, low, np.arange(len(order)))
+        np.minimum.at(first, high, np.arange(len(order)))
+        best = np.unique(first[first < len(order)])
+        best = best[(first[low[best]] == best) & (first[high[best]] == best)]
+        a, b, between = low[best], high[best], d2[open_to][order][best]
+        na, nb = n[a].astype(float), n[b].astype(float)
+        sse[a] = sse[a] + sse[b] + na * nb / (na + nb) * between
+        c[a] = (c[a] * na[:, None] + c[b] * nb[:, None]) / (na + nb)[:, None]
+        n[a] = n[a] + n[b]
+        changed = np.zeros(len(ids), bool)
+        changed[a] = changed[b] = True
+        # Stale: what merged, what pointed there, and whatever a new centroid has come nearer to or as near.
+        old = changed | changed[near]
+        keep = np.ones(len(ids), bool)
+        keep[b] = False
+        place = np.cumsum(keep) - 1
+        old |= Finder(np.sort(ids[a]), c[a[np.argsort(ids[a])]])(c)[1] <= d2
+        near = np.where(keep[near], place[near], -1)[keep]
+        ids, n, sse, c, d2 = ids[keep], n[keep], sse[keep], c[keep], d2[keep]
+        stale = np.flatnonzero(old[keep])
+    return ids, n, sse, c
+
+
+def _finished(features: DataFrame, threshold: float) -> DataFrame:
+    """All rounds in one task, for a bounded number of sub-clusters."""
 
     def job(table: pa.Table) -> pa.Table:
-        n, ls, ss = table["n"].to_numpy(), matrix(table["ls"]), table["ss"].to_numpy()
-        order = np.lexsort((ss, ls[:, 0], -n))
-        feats = absorb(n[order], ls[order], ss[order], threshold)
-        return _feature_table(table, table["cell"][0].as_py(), table["salt"][0].as_py(), feats)
+        table = table.sort_by("cluster_id")
+        held = merge_all(table["cluster_id"].to_numpy().copy(), table["n"].to_numpy().copy(), table["sse"].to_numpy().copy(), matrix(table["centroid"]).copy(), threshold)
+        return pa.table({"cluster_id": pa.array(held[0]), "n": pa.array(held[1]), "sse": pa.array(held[2]), "centroid": list_array(held[3])})
+
+    return features.withColumn("_all", F.lit(0)).groupBy("_all").applyInArrow(job, _FEATURE)
+
+
+def _round(features: DataFrame, threshold: float, max_bytes: int) -> DataFrame | None:
+    """The sub-clusters after one distributed round, written; None where nothing may merge."""
+    sizes = features.select("cluster_id", F.col("n").cast("double").alias("n"), "sse")
+    side = {s: sizes.toDF(s, f"n_{s}", f"sse_{s}") for s in "ab"}
+    pairs = nearest_other(features, max_bytes).join(side["a"], "a").join(side["b"], "b")
+    square = merged_square(*(F.col(c) for c in ("n_a", "n_b", "sse_a", "sse_b", "d2")))
+    pairs = pairs.filter(square <= threshold * threshold)
+    pairs = written(pairs.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"), "d2").distinct(), "pairs")
+    if pairs.isEmpty():
+        return None
+    pair = F.struct("d2", "low", "high")
+    first = pairs.select(F.explode(F.array("low", "high")).alias("cluster_id"), pair.alias("pair")).groupBy("cluster_id").agg(F.min("pair").alias("pair"))
+    chosen = first.groupBy("pair").agg(F.count(F.lit(1)).alias("_both")).filter("_both = 2")
+    chosen = written(chosen.select("pair.low", "pair.high", "pair.d2"), "chosen")
+    ends = chosen.select(F.col("low").alias("cluster_id"), F.col("low").alias("into"), "d2")
+    ends = ends.unionByName(chosen.select(F.col("high").alias("cluster_id"), F.col("low").alias("into"), "d2"))
+    marked = features.join(ends, "cluster_id", "left")
+    alone = marked.filter("into IS NULL")
+    a = marked.filter("into = cluster_id").select("cluster_id", F.col("n").alias("n_a"), F.col("sse").alias("sse_a"), F.col("centroid").alias("c_a"), "d2")
+    b = marked.filter("into <> cluster_id").select(F.col("into").alias("cluster_id"), F.col("n").alias("n_b"), F.col("sse").alias("sse_b"), F.col("centroid").alias("c_b"))
+    na, nb = F.col("n_a").cast("double"), F.col("n_b").cast("double")
+    merged = a.join(b, "cluster_id").select(
+        "cluster_id",
+        (F.col("n_a") + F.col("n_b")).alias("n"),
+        (F.col("sse_a") + F.col("sse_b") + na * nb / (na + nb) * F.col("d2")).alias("sse"),
+        F.zip_with("c_a", "c_b", lambda x, y: (x * na + y * nb) / (na + nb)).alias("centroid"),
+    )
+    return written(alone.select("cluster_id", "n", "sse", "centroid").unionByName(merged), "features")
 
-    group = ["cell", "salt"]
-    dims, idle, turn, before = None, 0, 0, None
-    while True:
-        dims = dims or sized(features, "ls")[1]
-        at = F.get(F.col("ls"), F.lit(turn % max(dims, 1))) / F.col("n")
-        marked = features.withColumn("_x", at)
-        span = marked.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"), F.min("_x").alias("_a"), F.max("_x").alias("_b"))
-        parts = F.ceil(F.col("_size") / merge_rows)
-        slice_no = F.when(F.col("_b") > F.col("_a"), F.least(F.floor(parts * (F.col("_x") - F.col("_a")) / (F.col("_b") - F.col("_a"))), parts - 1))
-        sliced = marked.join(span, group).withColumn("_slice", F.coalesce(slice_no, F.lit(0)).cast("bigint"))
-        within = sliced.groupBy(*group, "_slice").agg(F.ceil(F.count(F.lit(1)) / merge_rows).alias("_parts"))
-        dealt = sliced.join(within, [*group, "_slice"]).withColumn("_part", F.pmod(F.xxhash64("ls", "ss", F.lit(turn)), F.col("_parts")))
-        dealt = dealt.select(*features.columns, "_slice", "_part")
-        features = written(dealt.groupBy(*group, "_slice", "_part").applyInArrow(job, f"cell int, salt bigint, {_FEATURE}"), "features")
-        total, largest = features.groupBy(*group).count().agg(F.sum("count"), F.max("count")).first()
-        was_whole, idle = before is not None and before[1] <= merge_rows, idle + 1 if before and total == before[0] else 0
-        if turn == 0 and (span.agg(F.max("_size")).first()[0] or 0) <= merge_rows:
-            return features
-        if was_whole or idle > dims:
-            return features
-        before, turn = (total, largest), turn + 1
-
-
-@dataclass(frozen=True)
-class Grouped:
-    """Points in bounded groups; independent of the threshold, so a search deals them once."""
-
-    points: DataFrame
-    cells: int
-    salts: int
-
-
-def group_points(
-    points: DataFrame, key: str = "row_id", vec: str = "embedding", seed: int = 42, group_rows: int = GROUP_ROWS
-) -> Grouped:
-    """Deal points to cells around sampled pivots, so that near points meet.
-
-    A cell with more than ``group_rows`` points is split by a hash of the key, whatever its size.
-    """
-    points = points.filter(F.col(vec).isNotNull()).select(key, F.col(vec).cast("array<double>").alias(vec))
-    total = points.count()
-    if total == 0:
+
+def distinct_points(points: DataFrame, key: str = "row_id", vec: str = "embedding") -> DataFrame:
+    """The sub-clusters to start from: every different point, named by its smallest key, written."""
+    held = points.filter(F.col(vec).isNotNull()).select(F.col(key).cast("bigint").alias("_key"), F.col(vec).cast("array<double>").alias("centroid"))
+    one = held.groupBy("centroid").agg(F.min("_key").alias("cluster_id"), F.count(F.lit(1)).alias("n"))
+    features = written(one.select("cluster_id", "n", F.lit(0.0).alias("sse"), "centroid"), "features")
+    if features.isEmpty():
         raise ValueError("threshold clustering found zero clusters")
-    pivots = min(MAX_PIVOTS, -(-total // group_rows))
-    if pivots == 1:
-        return Grouped(points.withColumns({"cell": F.lit(0), "salt": F.lit(0).cast("bigint")}), 1, 1)
-    chosen = rank_within(sample_exact(points.select(key), pivots, key, seed), [], [key], "_rn", size=pivots)
-    # at most MAX_PIVOTS rows
-    starts = points.join(F.broadcast(chosen), key).select(
-        (F.col("_rn") - 1).cast("int").alias("cluster_id"), F.col(vec).alias("centroid")
-    )
-    near = assign_carrying(points, starts, key, vec)
-    cells = written(near.select(key, vec, F.col("cluster_id").alias("cell")), "cells")
-    sizes = cells.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / group_rows).alias("salts"))
-    # at most MAX_PIVOTS rows
-    salted = cells.join(F.broadcast(sizes), "cell").withColumn("salt", F.pmod(F.xxhash64(key), F.col("salts")))
-    return Grouped(salted.drop("salts"), pivots, sizes.agg(F.max("salts")).first()[0])
+    return features
 
 
 def threshold_centroids(
@@ -154,42 +137,31 @@ def threshold_centroids(
     threshold: float,
     key: str = "row_id",
     vec: str = "embedding",
-    seed: int = 42,
     group_rows: int = GROUP_ROWS,
-    grouped: Grouped | None = None,
-    merge_rows: int = MERGE_ROWS,
+    start: DataFrame | None = None,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """(cluster_id, centroid, n, radius): the sub-clusters of radius <= threshold, numbered 0..m-1.
 
-    1. Points are dealt to bounded groups of near points (``grouped``, where that was done before).
-    2. Every group builds its features; equal points collapse here.
-    3. The groups of a cell are merged SALT_STEP at a time, then the cells likewise; what exceeds
-       one task is merged in parts, again and again.
+    ``start`` are the ``distinct_points``, where they were made before.  They are numbered by size,
+    then by their points' sum of squared lengths.
     """
-    held = grouped or group_points(points, key, vec, seed, group_rows)
-    pivots, most = held.cells, held.salts
-    features = written(_build(held.points, threshold, vec, key), "features")
-    while most > 1:
-        most = -(-most // SALT_STEP)
-        features = features.withColumn("salt", F.expr(f"salt div {SALT_STEP}"))
-        features = _merge(features, threshold, merge_rows)
-    while pivots > 1:
-        pivots = -(-pivots // SALT_STEP)
-        features = features.withColumn("cell", F.expr(f"cell div {SALT_STEP}").cast("int"))
-        features = _merge(features, threshold, merge_rows)
-    numbered = rank_within(features.withColumn("_key", F.xxhash64("ls", "ss")), [], [F.desc("n"), "ss", "_key"], "_rn")
+    features = distinct_points(points, key, vec) if start is None else start
+    while True:
+        if features.count() <= group_rows:
+            features = written(_finished(features, threshold), "features")
+            break
+        merged = _round(features, threshold, max_bytes)
+        if merged is None:
+            break
+        features = merged
+    squares = F.col("sse") + F.col("n") * F.aggregate("centroid", F.lit(0.0), lambda acc, x: acc + x * x)
+    numbered = rank_within(features.withColumn("_ss", squares), [], [F.desc("n"), "_ss", "cluster_id"], "_rn")
     return numbered.select(
-        (F.col("_rn") - 1).cast("int").alias("cluster_id"),
-        F.transform("ls", lambda v: v / F.col("n")).alias("centroid"),
-        "n",
-        F.sqrt(F.greatest(F.col("ss") / F.col("n") - _square(F.transform("ls", lambda v: v / F.col("n"))), F.lit(0.0))).alias("radius"),
+        (F.col("_rn") - 1).cast("int").alias("cluster_id"), "centroid", "n", F.sqrt(F.col("sse") / F.col("n")).alias("radius")
     )
 
 
-def _square(vec):
-    return F.aggregate(vec, F.lit(0.0), lambda acc, x: acc + x * x)
-
-
 def threshold_clusters(
     points: DataFrame,
     threshold: float,
@@ -199,7 +171,7 @@ def threshold_clusters(
     **options,
 ) -> DataFrame:
     """(key, cluster_id, d2): every point with the nearest sub-cluster."""
-    centroids = written(threshold_centroids(points, threshold, key, vec, **options), "subclusters")
+    centroids = written(threshold_centroids(points, threshold, key, vec, max_bytes=max_bytes, **options), "subclusters")
     return assign_nearest(points, centroids, key, vec, max_bytes)
 
 
@@ -224,9 +196,9 @@ def threshold_search(
     the target, the lowest threshold or the last attempt is reached.
     """
     rows, current = [], threshold
-    grouped = group_points(points, key, vec, **options)
+    start = distinct_points(points, key, vec)
     while True:
-        centroids = written(threshold_centroids(points, current, key, vec, grouped=grouped), "subclusters")
+        centroids = written(threshold_centroids(points, current, key, vec, start=start, **options), "subclusters")
         found = cluster_number(centroids)
         rows.append((len(rows) + 1, float(current), found))
         if found >= target or current <= min_threshold or len(rows) >= attempts:
@@ -241,10 +213,10 @@ def threshold_sweep(
 ) -> DataFrame:
     """(threshold, n_clusters) per threshold, ending with the first that leaves one cluster."""
     sample = written(sample.select(key, vec), "sample")
-    grouped = group_points(sample, key, vec, **options)
+    start = distinct_points(sample, key, vec)
     rows = []
     for threshold in thresholds:
-        found = cluster_number(threshold_centroids(sample, float(threshold), key, vec, grouped=grouped))
+        found = cluster_number(threshold_centroids(sample, float(threshold), key, vec, start=start, **options))
         rows.append((float(threshold), found))
         if found == 1:
             break
