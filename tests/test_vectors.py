@@ -160,24 +160,34 @@ def brute_merged(points, threshold):
         else:
             held[twin] = (held[twin][0] + 1, 0.0, v)
     while True:
-        near = {}
+        points = {}
         for i, (n, sse, c) in held.items():
             others = [(float(((c - o[2]) ** 2).sum()), j) for j, o in held.items() if j != i]
             if others:
                 d2, j = min(others)
                 m, other, _ = held[j]
                 if (sse + other + n * m / (n + m) * d2) / (n + m) <= threshold**2:
-                    near[(d2, min(i, j), max(i, j))] = None
-        first = {}
-        for pair in sorted(near):
-            first.setdefault(pair[1], pair)
-            first.setdefault(pair[2], pair)
-        chosen = [p for p in near if first[p[1]] == p == first[p[2]]]
-        if not chosen:
+                    points[i] = (d2, j)
+        if not points:
             return {i: n for i, (n, _, _) in held.items()}
-        for d2, i, j in chosen:
-            (n, s, c), (m, t, o) = held[i], held.pop(j)
-            held[i] = (n + m, s + t + n * m / (n + m) * d2, (c * n + o * m) / (n + m))
+        roots = [i for i, (_, j) in points.items() if points.get(j, (0, None))[1] == i and (-held[i][0], i) < (-held[j][0], j)]
+        points = {i: p for i, p in points.items() if i not in roots}
+        for hub in {j for _, j in points.values()} - set(points):
+            centre, members = held[hub][2], sorted((d2, i) for i, (d2, j) in points.items() if j == hub)
+            n, about = held[hub][:2]
+            taken = [hub]
+            for d2, i in members:
+                n, about = n + held[i][0], about + held[i][1] + held[i][0] * d2
+                if about <= threshold**2 * n or len(taken) == 1:
+                    taken.append(i)
+                if about > threshold**2 * n:
+                    break
+            size = sum(held[i][0] for i in taken)
+            mean = sum(held[i][2] * held[i][0] for i in taken) / size
+            sse = sum(held[i][1] + held[i][0] * ((held[i][2] - mean) ** 2).sum() for i in taken)
+            for i in taken:
+                held.pop(i)
+            held[hub] = (size, sse, mean)
 
 
 @pytest.mark.parametrize("threshold", [0.05, 0.5, 0.9])
@@ -261,7 +271,7 @@ def test_copies_collapse_whatever_the_groups(spark, cloud):
 
 
 def test_several_rounds_keep_all_points(spark, cloud):
-    found = thresholds.threshold_centroids(written(frame(spark, cloud), "cloud"), 1.0, group_rows=25)
+    found = thresholds.threshold_centroids(written(frame(spark, cloud), "cloud"), 1.0, group_rows=200)
     assert found.agg(F.sum("n")).first()[0] == 400
     assert found.agg(F.max("radius")).first()[0] <= 1.0 + 1e-9
 

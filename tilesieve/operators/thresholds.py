@@ -1,14 +1,16 @@
 """Clustering by radius: sub-clusters whose root-mean-square radius stays below a threshold.
 
 Every different point starts as a sub-cluster: its number of points, centroid and sum of squared
-distances to it.  In a round each sub-cluster looks for its nearest other one, by centroids, ties to
-the lowest id.  Such a pair may merge if the merged radius is at most the threshold; of the pairs that
-may, each that is the nearest of both its members merges, all in one round.  Rounds go on until no
-sub-cluster may merge with its nearest other one.  The nearest pair of all always merges, so every
-round but the last merges something.
-
-The result is fixed by the points and the threshold alone: neither the order of rows, nor
-partitions, nor any bound has part in it.  Once ``group_rows`` sub-clusters are left, one task takes
+distances to it.  In a round each sub-cluster looks
+for its nearest other one, by centroids, ties to the lowest id, and points to it if the two may merge,
+which they may if the merged radius is at most the threshold.  Of two that point to each other the
+larger one, of equals that with the lower id, is the root.  Every root, that is whatever is pointed to
+and does not point itself, takes in those that point to it, nearest first, for as long as the sum of
+squares about the root's own centroid keeps the radius below the threshold, and the first in any case.
+Rounds go on until nothing points anywhere; every round but the last merges something.
+
+The result is fixed by the points and the threshold alone, up to the rounding of sums: neither the
+order of rows, nor partitions, nor any bound has part in it.  Once ``group_rows`` sub-clusters are left, one task takes
 the same rounds over them in memory.
 """
 
@@ -18,15 +20,19 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import MAX_BROADCAST_BYTES, written
 from .blocks import list_array, matrix
 from .nearest import Finder, assign_nearest, nearest_other
-from .ranking import rank_within
+from .ranking import rank_within, running_total
 
 # Sub-clusters that one task merges to the end.
 GROUP_ROWS = 4_096
+# Whole numbers that a root's room is counted in, so that its sums do not depend on their order.
+UNIT = float(1 << 20)
 
 _FEATURE = "cluster_id bigint, n bigint, sse double, centroid array<double>"
 
@@ -36,8 +42,13 @@ def merged_square(n_a, n_b, sse_a, sse_b, d2):
     return (sse_a + sse_b + (n_a * n_b) / (n_a + n_b) * d2) / (n_a + n_b)
 
 
+def weights(n, sse, d2, bound: float):
+    """How much of a root's room a member takes, before rounding; numbers, arrays or columns."""
+    return ((sse + n * d2) / bound - n) * UNIT
+
+
 def merge_all(ids: np.ndarray, n: np.ndarray, sse: np.ndarray, c: np.ndarray, threshold: float):
-    """All rounds over sub-clusters in memory: ids in order, numbers, sums of squares and centroids.
+    """All rounds over sub-clusters in memory: ids in order, numbers (as doubles), sums of squares and centroids.
 
     A sub-cluster's nearest other one is looked for again only where it may have changed.
     """
@@ -49,32 +60,42 @@ def merge_all(ids: np.ndarray, n: np.ndarray, sse: np.ndarray, c: np.ndarray, th
             found, d2[stale] = Finder(ids, c)(c[stale], ids[stale])
             near[stale] = np.searchsorted(ids, found)
         me = np.arange(len(ids))
-        square = merged_square(n.astype(float), n[near].astype(float), sse, sse[near], d2)
-        open_to = np.flatnonzero(square <= bound)
-        if not len(open_to):
+        points = merged_square(n, n[near], sse, sse[near], d2) <= bound
+        if not points.any():
             break
-        low, high = np.minimum(me, near)[open_to], np.maximum(me, near)[open_to]
-        # The first open pair of each sub-cluster, by distance and then ids.
-        order = np.lexsort((high, low, d2[open_to]))
-        low, high = low[order], high[order]
-        first = np.full(len(ids), len(order))
-        np.minimum.at(first, low, np.arange(len(order)))
-        np.minimum.at(first, high, np.arange(len(order)))
-        best = np.unique(first[first < len(order)])
-        best = best[(first[low[best]] == best) & (first[high[best]] == best)]
-        a, b, between = low[best], high[best], d2[open_to][order][best]
-        na, nb = n[a].astype(float), n[b].astype(float)
-        sse[a] = sse[a] + sse[b] + na * nb / (na + nb) * between
-        c[a] = (c[a] * na[:, None] + c[b] * nb[:, None]) / (na + nb)[:, None]
-        n[a] = n[a] + n[b]
+        mutual = points & points[near] & (near[near] == me)
+        points &= ~(mutual & ((n > n[near]) | ((n == n[near]) & (me < near))))
+        member = np.flatnonzero(points & ~points[near])
+        root = near[member]
+        order = np.lexsort((member, d2[member], root))
+        member, root = member[order], root[order]
+        hubs, first, count = np.unique(root, return_index=True, return_counts=True)
+        takes = np.ceil(weights(n[member], sse[member], d2[member], bound)).astype(np.int64)
+        total = np.cumsum(takes)
+        total -= np.repeat(total[first] - takes[first], count)
+        room = np.floor((n[hubs] - sse[hubs] / bound) * UNIT).astype(np.int64)
+        over = total > np.repeat(room, count)
+        # Members before the first that is too much, and the first one anyway.
+        past = np.cumsum(over)
+        past -= np.repeat(past[first] - over[first], count)
+        taken = past == 0
+        taken[first] = True
+        member, root = member[taken], root[taken]
+        hubs, first = np.unique(root, return_index=True)
+        own = d2[member] * n[member] + sse[member]
+        size = n[hubs] + np.add.reduceat(n[member], first)
+        mean = (c[hubs] * n[hubs, None] + np.add.reduceat(c[member] * n[member, None], first, axis=0)) / size[:, None]
+        moved = np.einsum("ij,ij->i", mean - c[hubs], mean - c[hubs])
+        sse[hubs] = np.maximum(sse[hubs] + np.add.reduceat(own, first) - size * moved, 0.0)
+        n[hubs], c[hubs] = size, mean
         changed = np.zeros(len(ids), bool)
-        changed[a] = changed[b] = True
-        # Stale: what merged, what pointed there, and whatever a new centroid has come nearer to or as near.
+        changed[hubs] = changed[member] = True
+        # Stale: what merged, what pointed there, and whatever a new centroid has come as near to.
         old = changed | changed[near]
         keep = np.ones(len(ids), bool)
-        keep[b] = False
+        keep[member] = False
         place = np.cumsum(keep) - 1
-        old |= Finder(np.sort(ids[a]), c[a[np.argsort(ids[a])]])(c)[1] <= d2
+        old |= Finder(ids[hubs], c[hubs])(c)[1] <= d2
         near = np.where(keep[near], place[near], -1)[keep]
         ids, n, sse, c, d2 = ids[keep], n[keep], sse[keep], c[keep], d2[keep]
         stale = np.flatnonzero(old[keep])
@@ -86,40 +107,47 @@ def _finished(features: DataFrame, threshold: float) -> DataFrame:
 
     def job(table: pa.Table) -> pa.Table:
         table = table.sort_by("cluster_id")
-        held = merge_all(table["cluster_id"].to_numpy().copy(), table["n"].to_numpy().copy(), table["sse"].to_numpy().copy(), matrix(table["centroid"]).copy(), threshold)
-        return pa.table({"cluster_id": pa.array(held[0]), "n": pa.array(held[1]), "sse": pa.array(held[2]), "centroid": list_array(held[3])})
+        held = merge_all(table["cluster_id"].to_numpy().copy(), table["n"].to_numpy().astype(float), table["sse"].to_numpy().copy(), matrix(table["centroid"]).copy(), threshold)
+        return pa.table({"cluster_id": pa.array(held[0]), "n": pa.array(held[1].astype(np.int64)), "sse": pa.array(held[2]), "centroid": list_array(held[3])})
 
     return features.withColumn("_all", F.lit(0)).groupBy("_all").applyInArrow(job, _FEATURE)
 
 
 def _round(features: DataFrame, threshold: float, max_bytes: int) -> DataFrame | None:
     """The sub-clusters after one distributed round, written; None where nothing may merge."""
+    bound = threshold * threshold
     sizes = features.select("cluster_id", F.col("n").cast("double").alias("n"), "sse")
     side = {s: sizes.toDF(s, f"n_{s}", f"sse_{s}") for s in "ab"}
     pairs = nearest_other(features, max_bytes).join(side["a"], "a").join(side["b"], "b")
     square = merged_square(*(F.col(c) for c in ("n_a", "n_b", "sse_a", "sse_b", "d2")))
-    pairs = pairs.filter(square <= threshold * threshold)
-    pairs = written(pairs.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"), "d2").distinct(), "pairs")
+    pairs = written(pairs.filter(square <= bound), "pairs")
     if pairs.isEmpty():
         return None
-    pair = F.struct("d2", "low", "high")
-    first = pairs.select(F.explode(F.array("low", "high")).alias("cluster_id"), pair.alias("pair")).groupBy("cluster_id").agg(F.min("pair").alias("pair"))
-    chosen = first.groupBy("pair").agg(F.count(F.lit(1)).alias("_both")).filter("_both = 2")
-    chosen = written(chosen.select("pair.low", "pair.high", "pair.d2"), "chosen")
-    ends = chosen.select(F.col("low").alias("cluster_id"), F.col("low").alias("into"), "d2")
-    ends = ends.unionByName(chosen.select(F.col("high").alias("cluster_id"), F.col("low").alias("into"), "d2"))
-    marked = features.join(ends, "cluster_id", "left")
-    alone = marked.filter("into IS NULL")
-    a = marked.filter("into = cluster_id").select("cluster_id", F.col("n").alias("n_a"), F.col("sse").alias("sse_a"), F.col("centroid").alias("c_a"), "d2")
-    b = marked.filter("into <> cluster_id").select(F.col("into").alias("cluster_id"), F.col("n").alias("n_b"), F.col("sse").alias("sse_b"), F.col("centroid").alias("c_b"))
-    na, nb = F.col("n_a").cast("double"), F.col("n_b").cast("double")
-    merged = a.join(b, "cluster_id").select(
-        "cluster_id",
-        (F.col("n_a") + F.col("n_b")).alias("n"),
-        (F.col("sse_a") + F.col("sse_b") + na * nb / (na + nb) * F.col("d2")).alias("sse"),
-        F.zip_with("c_a", "c_b", lambda x, y: (x * na + y * nb) / (na + nb)).alias("centroid"),
-    )
-    return written(alone.select("cluster_id", "n", "sse", "centroid").unionByName(merged), "features")
+    back = pairs.select(F.col("a").alias("b"), F.col("b").alias("a"))
+    larger = (F.col("n_a") > F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
+    roots = pairs.join(back, ["a", "b"], "left_semi").filter(larger).select("a")
+    pointing = written(pairs.join(roots, "a", "left_anti"), "pointing")
+    stars = pointing.join(pointing.select(F.col("a").alias("b")), "b", "left_anti")
+    stars = stars.withColumn("takes", F.ceil(weights(F.col("n_a"), F.col("sse_a"), F.col("d2"), bound)))
+    stars = stars.withColumn("room", F.floor((F.col("n_b") - F.col("sse_b") / bound) * UNIT))
+    place = F.struct("d2", "a")
+    summed = written(running_total(stars, ["b"], ["d2", "a"], "takes", "total"), "stars")
+    stops = summed.groupBy("b").agg(F.min(place).alias("_first"), F.min(F.when(F.col("total") > F.col("room"), place)).alias("_stop"))
+    taken = summed.join(stops, "b").filter(F.col("_stop").isNull() | (place < F.col("_stop")) | (place == F.col("_first")))
+    taken = written(taken.select("a", "b", "d2"), "taken")
+    into = taken.select(F.col("a").alias("cluster_id"), F.col("b").alias("into"), "d2")
+    into = into.unionByName(taken.select(F.col("b").alias("cluster_id"), F.col("b").alias("into"), F.lit(0.0).alias("d2")).distinct())
+    marked = written(features.join(into, "cluster_id", "left"), "marked")
+    merging = marked.filter("into IS NOT NULL")
+    summary = Summarizer.metrics("mean").summary(array_to_vector("centroid"), F.col("n").cast("double"))
+    sums = merging.groupBy("into").agg(F.sum("n").alias("n"), F.sum(F.col("sse") + F.col("n") * F.col("d2")).alias("_about"), summary.alias("_s"))
+    sums = sums.select("into", "n", "_about", vector_to_array("_s.mean").alias("centroid"))
+    centres = merging.filter("into = cluster_id").select("into", F.col("centroid").alias("_was"))
+    moved = F.aggregate(F.zip_with("centroid", "_was", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
+    sse = F.greatest(F.col("_about") - F.col("n") * moved, F.lit(0.0))
+    merged = sums.join(centres, "into").select(F.col("into").alias("cluster_id"), "n", sse.alias("sse"), "centroid")
+    alone = marked.filter("into IS NULL").select("cluster_id", "n", "sse", "centroid")
+    return written(alone.unionByName(merged), "features")
 
 
 def distinct_points(points: DataFrame, key: str = "row_id", vec: str = "embedding") -> DataFrame:
