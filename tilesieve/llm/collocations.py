@@ -37,7 +37,7 @@ from .common import bounded
 
 LONGEST, THRESHOLD, ABSORBED, TOP = 3, 10, 50, 2_000
 SHARDS, FLUSH = 3, 4 * 1024 * 1024
-# Slots: about one per 32 words for each length of the corpus, within these powers of two; a block of them is summed in one place.
+# Slots: about one per eight words for each length of the corpus, within these powers of two; a block of them is summed in one place.
 LEAST_BITS, MOST_BITS, BLOCK_BITS = 16, 27, 18
 # Phrases of a packed row.
 PACKED = 2_048
@@ -76,12 +76,18 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def _table_size(longest: int, bits: int) -> int:
+    """Slots of all phrases of up to ``longest`` words: an eighth as many for words as for each other length."""
+    return (1 << (bits - 3)) + ((longest - 1) << bits)
+
+
 def _slots(hashes: np.ndarray, size: int, bits: int) -> np.ndarray:
     """Each length has slots of its own, so the last slot of a length is reached one cycle after that of the length before."""
-    return (hashes & np.uint64((1 << bits) - 1)).astype(np.int64) + ((size - 1) << bits)
+    own = bits - 3 if size == 1 else bits
+    return (hashes & np.uint64((1 << own) - 1)).astype(np.int64) + (_table_size(size - 1, bits) if size > 1 else 0)
 
 
-def count_phrases(codes: np.ndarray, words: list[bytes], lang: str, since: np.ndarray, step: int, shards: int, longest: int):
+def count_phrases(codes: np.ndarray, words: list[bytes], lang: str, since: np.ndarray, step: int, shards: int, longest: int, bits: int):
     """For each length the phrases that are counted in this step: (length, phrases, counts, slots).
 
     ``since`` has for each slot the step from which what lies in it counts as reached.
@@ -92,7 +98,6 @@ def count_phrases(codes: np.ndarray, words: list[bytes], lang: str, since: np.nd
     hashes = np.array([xxhash.xxh64_intdigest(salt + w) for w in words], np.uint64)
     spaced = pa.array([w + _GAP for w in words], pa.large_binary())
     plain = pa.array(words, pa.large_binary())
-    bits = (len(since) // (longest - 1)).bit_length() - 1
     there = codes >= 0
     safe = np.where(there, codes, 0)
     single = hashes[safe] if len(words) else np.zeros(0, np.uint64)
@@ -137,7 +142,7 @@ def _slot_type(threshold: int) -> np.dtype:
     return np.min_scalar_type(threshold)
 
 
-def _scan(shard: DataFrame, since, step: int, shards: int, longest: int, threshold: int, flush: int) -> DataFrame:
+def _scan(shard: DataFrame, since, step: int, shards: int, longest: int, threshold: int, flush: int, bits: int) -> DataFrame:
     """The counts of one step by task, and their sums by slot, in blocks."""
     cap = np.iinfo(_slot_type(threshold)).max
 
@@ -176,7 +181,7 @@ def _scan(shard: DataFrame, since, step: int, shards: int, longest: int, thresho
                 total = int((codes >= 0).sum())
                 if step < shards and total:
                     yield rows(lang=[lang], size=[0], n=[total])
-                for length, phrases, counts, slots in count_phrases(codes, words, lang, reached, step, shards, longest):
+                for length, phrases, counts, slots in count_phrases(codes, words, lang, reached, step, shards, longest, bits):
                     yield from packed(lang, length, phrases, counts, slots)
                     yield by_block(counts, slots)
 
@@ -193,16 +198,17 @@ def _scan(shard: DataFrame, since, step: int, shards: int, longest: int, thresho
     return bounded(shard).select("lang", "text").mapInArrow(run, _SCHEMA)
 
 
-def _add_slots(totals: np.ndarray, counts: DataFrame, threshold: int) -> None:
-    """Add a step's sums to those of all slots, capped by their type; they are added up in tasks by block."""
+def _added_slots(totals: DataFrame | None, counts: DataFrame, threshold: int) -> DataFrame:
+    """(block, sums, reached): the sums of all slots so far, capped by their type, and a bit for each that is reached; written."""
     kind = _slot_type(threshold)
-    cap, n = np.iinfo(kind).max, min(len(totals), 1 << BLOCK_BITS)
+    cap, n = np.iinfo(kind).max, 1 << BLOCK_BITS
 
     def run(batches):
         now, total = None, None
 
         def row():
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.minimum(total, cap).astype(kind).tobytes()], pa.binary())], names=["block", "sums"])
+            values = [pa.array([now], pa.int32()), pa.array([np.minimum(total, cap).astype(kind).tobytes()], pa.binary()), pa.array([np.packbits(total >= threshold).tobytes()], pa.binary())]
+            return pa.RecordBatch.from_arrays(values, names=["block", "sums", "reached"])
 
         for batch in batches:
             for block, slots, sums in zip(*(c.to_pylist() for c in batch.columns)):
@@ -210,15 +216,17 @@ def _add_slots(totals: np.ndarray, counts: DataFrame, threshold: int) -> None:
                     if now is not None:
                         yield row()
                     now, total = block, np.zeros(n, np.int64)
-                total[np.frombuffer(slots, "<u4")] += np.frombuffer(sums, kind)
+                # Sums below the cap are exact, at the cap they are reached for good.
+                at = slice(None) if slots is None else np.frombuffer(slots, "<u4")
+                total[at] += np.frombuffer(sums, kind)
         if now is not None:
             yield row()
 
-    dealt = counts.filter("block is not null").select("block", "slots", "sums").repartition("block").sortWithinPartitions("block")
-    # A byte per slot reaches the driver, in rows of one block.
-    for block, sums in dealt.mapInArrow(run, "block int, sums binary").collect():
-        own = totals[block * n : (block + 1) * n]
-        own[:] = np.minimum(own.astype(np.int64) + np.frombuffer(sums, kind)[: len(own)], cap)
+    rows = counts.filter("block IS NOT NULL").select("block", "slots", "sums")
+    if totals is not None:
+        rows = rows.unionByName(totals.select("block", F.lit(None).cast("binary").alias("slots"), "sums"))
+    dealt = rows.repartition("block").sortWithinPartitions("block")
+    return written(dealt.mapInArrow(run, "block int, sums binary, reached binary"), "slots")
 
 
 def phrase_counts(
@@ -233,30 +241,34 @@ def phrase_counts(
     table = spark.read.schema("lang string, text string, shard int").parquet(path)
     if bits is None:
         words = (table.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
-        bits = min(max(LEAST_BITS, (words // 32).bit_length()), MOST_BITS)
-    since = np.full((longest - 1) << bits, NEVER, np.uint8)
-    totals = np.zeros(longest << bits, _slot_type(threshold))
-    counted, step, last = [], 0, 0
+        bits = min(max(LEAST_BITS, (words // 8).bit_length()), MOST_BITS)
+    since = np.full(_table_size(longest - 1, bits), NEVER, np.uint8)
+    reached = np.zeros(_table_size(longest, bits) // 8 + (1 << BLOCK_BITS), np.uint8)
+    counted, totals, step, last = [], None, 0, 0
     while step < last + shards:
         shipped = spark.sparkContext.broadcast(since)
-        found = _scan(table.filter(F.col("shard") == step % shards), shipped, step, shards, longest, threshold, flush)
+        found = _scan(table.filter(F.col("shard") == step % shards), shipped, step, shards, longest, threshold, flush, bits)
         at = scratch_path(spark, "counts")
         found.write.option("compression", "zstd").parquet(at)
         shipped.destroy()
         counted.append(spark.read.schema(_SCHEMA).parquet(at))
-        # Sums below the cap are exact, at the cap they are reached for good.
-        _add_slots(totals, counted[-1], threshold)
-        fresh = (totals[: len(since)] >= threshold) & (since == NEVER)
+        totals = _added_slots(totals, counted[-1], threshold)
+        # A bit per slot reaches the driver, in rows of one block.
         step += 1
-        if fresh.any():
-            since[fresh], last = step, step
-    return _added_up(counted, totals >= threshold, threshold)
+        width = (1 << BLOCK_BITS) // 8
+        for block, bitmap in totals.select("block", "reached").collect():
+            reached[block * width : (block + 1) * width] = np.frombuffer(bitmap, np.uint8)
+            own = since[block << BLOCK_BITS : (block + 1) << BLOCK_BITS]
+            fresh = np.unpackbits(np.frombuffer(bitmap, np.uint8))[: len(own)].astype(bool) & (own == NEVER)
+            if fresh.any():
+                own[fresh], last = step, step
+    return _added_up(counted, reached, threshold)
 
 
 def _added_up(counted: list[DataFrame], reached: np.ndarray, threshold: int) -> tuple[DataFrame, DataFrame]:
     """The exact counts of all steps; phrases in slots that never reached the threshold are left out first."""
     spark = counted[0].sparkSession
-    shipped = spark.sparkContext.broadcast(np.packbits(reached))
+    shipped = spark.sparkContext.broadcast(reached)
 
     def run(batches):
         reached = shipped.value
