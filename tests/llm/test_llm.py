@@ -119,6 +119,32 @@ def test_op1_pieces_cover_every_id_once_without_padding(spark, sf_dir, texts, li
     assert packed_right(rows, texts, library, 2048) < full + 40 * 11
 
 
+def test_rests_stay_whole_and_fill_their_class():
+    """At most one document a bin is cut, and a bin of class k opens with k rests of class k."""
+    random.seed(5)
+    sizes = [random.choice([1, 3, 40, 64, 65, 200, random.randint(1, 150)]) for _ in range(3000)]
+    bins = packing.Bins(0, 64)
+    for doc, n in enumerate(sizes):
+        bins.add(doc, bytes(4 * n))
+    early = bins.next
+    bins.finish()
+    sequences, pieces = defaultdict(list), defaultdict(int)
+    for doc, start, length, _, tokens, sequence, *_ in bins.done:
+        assert tokens == sizes[doc] and start + length <= tokens
+        sequences[sequence].append((doc, start, length))
+        pieces[doc] += length
+    assert [pieces[d] for d in range(len(sizes))] == sizes
+    for sequence in range(early):
+        held = sequences[sequence]
+        assert sum(p[2] for p in held) == 64
+        count = 64 // held[0][2]
+        assert all(64 // p[2] == count and p[1] + p[2] == sizes[p[0]] for p in held[:count] if p[2] < 64)
+        assert all(p[1] == 0 for p in held[count:])
+        assert all(p[2] == sizes[p[0]] for p in held[count:-1])
+    whole = sum(n // 64 for n in sizes)
+    assert len(bins.done) <= whole + len(sizes) + len(sequences) - whole
+
+
 def test_packing_of_odd_tables(odd, empty, library):
     assert packing.pack(empty, queries.WORDS).count() == 0
     rows = packing.pack(odd.filter("doc_id > 1"), queries.WORDS, capacity=64).collect()

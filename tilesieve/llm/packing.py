@@ -26,6 +26,8 @@ CAPACITY = 2048
 END = 1
 # Sequences of a task are numbered from its partition's number times this.
 STRIDE = 1 << 33
+# Pieces of closed sequences that a task holds before it hands them on.
+HELD = 1024
 
 _FIELDS = [
     ("start", pa.int64()),
@@ -136,7 +138,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, i
             id_type = batch.column(0).type
             for doc, ids in zip(batch.column(0).to_pylist(), bpe.encode(texts_of(batch))):
                 bins.add(doc, ids + last)
-                if len(bins.done) >= 4096:
+                if len(bins.done) >= HELD:
                     yield drained()
         bins.finish()
         if bins.done:
