@@ -449,6 +449,27 @@ def test_near_dedup_stage_links_by_five_word_similarity(spark, group):
         assert {r.doc_id for r in corpus_pipeline.near_dedup_stage(spark, docs, "").collect()} == set(root)
 
 
+def test_bitmap_keeps_all_wanted_sets_and_few_others(spark):
+    marked = spark.range(20_000).selectExpr("id AS row", "cast(cast(id AS string) AS binary) AS set")
+    wanted = marked.filter("row % 7 = 3").select("row")
+    found = shingles.sets_of(marked, wanted).collect()
+    assert sorted((r.row, bytes(r.set)) for r in found) == [(i, str(i).encode()) for i in range(3, 20_000, 7)]
+
+
+def test_stage_keeps_the_components_of_all_given_pairs(spark, sf_dir, texts):
+    """All pairs of the given documents by brute force: nothing of similarity 0.8 is missed, nothing below is linked."""
+    docs, sets = sorted(texts), {d: brute_shingles(t) for d, t in texts.items()}
+    root = {d: d for d in docs}
+    for i, a in enumerate(docs):
+        for b in docs[:i]:
+            common = len(sets[a] & sets[b])
+            if root[a] != root[b] and (sets[a] == sets[b] or 5 * common >= 4 * (len(sets[a]) + len(sets[b]) - common)):
+                x, y = root[a], root[b]
+                root = {d: min(x, y) if r in (x, y) else r for d, r in root.items()}
+    found = shingles.components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    assert {r.doc_id: r.component_id for r in found.collect()} == root
+
+
 def test_shingle_dedup_of_odd_tables(odd, empty):
     kept = shingles.keep_first(odd)
     ids = [r.doc_id for r in kept.collect()]
@@ -457,6 +478,19 @@ def test_shingle_dedup_of_odd_tables(odd, empty):
     assert shingles.keep_first(empty).count() == 0
 
 
+def test_a_star_in_an_url_is_an_ordinary_value(spark):
+    found = [f"http://y.com/a/n{k}/i/p" for k in range(40)] + [f"http://y.com/a/*/i/x{k}" for k in range(30)]
+    found += [f"http://y.com/a/*/i/z{k}" for k in range(9)] + [f"http://*/q/a{k}" for k in range(20)] + ["http://*/q/z"]
+    found += [f"http://bad{k}.net/q/a" for k in range(40)]
+    pages = spark.createDataFrame(list(enumerate(found)), "page_id bigint, url string")
+    rules = [("allow", "y.com", "/a/n"), ("block", "y.com", "/a/*/i/x"), ("allow", "*", "/q/a"), ("block", "net", "/q/a")]
+    judged = {found[r.page_id]: r for r in urls.judge(pages, rules).collect()}
+    for k in range(9):
+        assert judged[f"http://y.com/a/*/i/z{k}"].verdict == "block"
+        assert judged[f"http://y.com/a/*/i/z{k}"].template.startswith("/a/%2A/")
+    assert judged["http://*/q/z"].verdict == "allow" and judged["http://*/q/z"].purity == 0.0
+
+
 def test_feistel_is_a_permutation_without_fixed_points():
     f = pii.Feistel(b"k")
     for n in (2, 3, 7, 100, 257):
