@@ -30,6 +30,10 @@ LEAST_ROWS = 8
 # Normal deviate below which two shares count as alike; pseudo-observations of the parent; verdict.
 ALIKE, SMOOTH, REJECT = 2.0, 2.0, 0.5
 
+# The tree of all hosts and the wildcard of a template inside the tables: no host holds a slash, and no
+# segment is empty.
+ALL_HOSTS, WILDCARD = "/", ""
+
 Rule = tuple[str, str, str]  # verdict, host, path prefix
 
 
@@ -52,7 +56,7 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column,
 
 
 def _segments(path: Column) -> Column:
-    """The segments of a path; a file's ending is a part of its own kind: digits stay with ``.html``."""
+    """The segments of a path, without empty ones; a file's ending is part of its segment."""
     return F.filter(F.split(path, "/"), lambda s: s != "")
 
 
@@ -84,7 +88,7 @@ def tree(urls: DataFrame, depth: int | None = None) -> tuple[DataFrame, DataFram
     ``urls`` has (host, segments, labelled, blocked), counts of URLs of that shape in ``n``.  Shapes
     have a row per level, as far as their branches are split, in the tree of their host and in that of all hosts.
     """
-    everywhere = urls.withColumn("host", F.lit("*"))
+    everywhere = urls.withColumn("host", F.lit(ALL_HOSTS))
     rows = urls.unionByName(everywhere).withColumn("template", F.lit(""))
     rows = rows.groupBy("host", "segments", "template").agg(*(F.sum(c).alias(c) for c in ("n", "labelled", "blocked")))
     rows = written(rows, "branches0")
@@ -107,10 +111,16 @@ def tree(urls: DataFrame, depth: int | None = None) -> tuple[DataFrame, DataFram
 def _descend(rows: DataFrame, kept: DataFrame) -> DataFrame:
     """One level down: the template grows by the segment if it is kept, else by the wildcard."""
     marked = rows.join(kept.withColumn("_kept", F.lit(True)), ["host", "template", "segment"], "left")
-    step = F.when(F.col("_kept"), F.col("segment")).otherwise("*")
+    step = F.when(F.col("_kept"), F.col("segment")).otherwise(WILDCARD)
     return marked.withColumn("template", F.concat("template", F.lit("/"), step)).drop("_kept", "segment")
 
 
+def shown(template: Column) -> Column:
+    """A template with ``*`` for its wildcards; a segment ``*`` of the URLs themselves is ``%2A``."""
+    literal = F.regexp_replace(template, r"(?<=/)\*(?=/|\z)", "%2A")
+    return F.regexp_replace(literal, r"(?<=/)(?=/|\z)", "*")
+
+
 def purities(templates: DataFrame, deepest: int) -> DataFrame:
     """(host, template, purity) of the templates with labels, smoothed towards their parents."""
     labelled = written(templates.filter("labelled > 0"), "labelled")
@@ -148,7 +158,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule], depth: int | None = None, rej
     known = steps.join(purity, ["host", "template"])
     longest = written(known.groupBy("host", "segments").agg(F.max_by(F.struct("template", "purity"), "level").alias("_best")), "longest")
     own = shapes.select("host", "segments").join(longest, ["host", "segments"], "left")
-    everywhere = longest.filter("host = '*'").select("segments", F.col("_best").alias("_else"))
+    everywhere = longest.filter(F.col("host") == ALL_HOSTS).select("segments", F.col("_best").alias("_else"))
     # The own host's wins over that of all hosts.
     other = own.filter("_best is null").join(everywhere, "segments").select("host", "segments", F.col("_else").alias("_best"))
     best = own.filter("_best is not null").unionByName(other)
@@ -159,7 +169,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule], depth: int | None = None, rej
         "host",
         "path",
         "rule",
-        F.when(F.col("rule").isNull(), F.col("_best.template")).alias("template"),
+        F.when(F.col("rule").isNull(), shown(F.col("_best.template"))).alias("template"),
         F.when(F.col("rule").isNull(), F.col("_best.purity")).alias("purity"),
         F.coalesce("_verdict", learned).alias("verdict"),
     )
