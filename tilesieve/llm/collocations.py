@@ -37,8 +37,9 @@ from .common import bounded
 
 LONGEST, THRESHOLD, ABSORBED, TOP = 3, 10, 50, 2_000
 SHARDS, FLUSH = 3, 4 * 1024 * 1024
-# Slots: about one per eight words for each length of the corpus, within these powers of two; a block of them is summed in one place.
-LEAST_BITS, MOST_BITS, BLOCK_BITS = 16, 27, 18
+# Slots: about one per eight words for each length of the corpus, within these powers of two; a block of them is summed in one place,
+# and a slot's place in its block takes two bytes.
+LEAST_BITS, MOST_BITS, BLOCK_BITS = 16, 27, 16
 # Phrases of a packed row.
 PACKED = 2_048
 NEVER = 255
@@ -166,7 +167,7 @@ def _scan(shard: DataFrame, since, step: int, shards: int, longest: int, thresho
         distinct, first = np.unique(slots[order], return_index=True)
         sums = np.minimum(np.add.reduceat(counts[order], first), cap).astype(_slot_type(threshold))
         blocks, starts = np.unique(distinct >> BLOCK_BITS, return_index=True)
-        offsets = (distinct & ((1 << BLOCK_BITS) - 1)).astype("<u4")
+        offsets = (distinct & ((1 << BLOCK_BITS) - 1)).astype("<u2")
         pieces = list(zip(starts.tolist(), [*starts[1:].tolist(), len(distinct)]))
         return rows(block=blocks, slots=[offsets[a:b].tobytes() for a, b in pieces], sums=[sums[a:b].tobytes() for a, b in pieces])
 
@@ -217,7 +218,7 @@ def _added_slots(totals: DataFrame | None, counts: DataFrame, threshold: int) ->
                         yield row()
                     now, total = block, np.zeros(n, np.int64)
                 # Sums below the cap are exact, at the cap they are reached for good.
-                at = slice(None) if slots is None else np.frombuffer(slots, "<u4")
+                at = slice(None) if slots is None else np.frombuffer(slots, "<u2")
                 total[at] += np.frombuffer(sums, kind)
         if now is not None:
             yield row()
