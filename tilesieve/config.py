@@ -47,7 +47,12 @@ class SelectionConfig:
     n_clusters: int = 1000
     # Rounds of Lloyd's algorithm, or passes over all rows in mini-batches.
     max_iter: int = 6
+    # Start: "first", "sample" or "oversampled" (rows far from each other).
     init: str = "sample"
+    # Move centres without points onto far points (Lloyd); share of the heaviest centre's weight below which
+    # a centre is moved onto a random row (mini-batches).
+    refill: bool = False
+    reassignment: float = 0.0
     max_points_per_centroid: int | None = None
     batch_size: int = 4096
     pca_components: int = 0

@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import MAX_BROADCAST_BYTES, written
 from .blocks import Block, list_array, matrix, rows_per_block, sized
-from .nearest import Centroids
+from .nearest import Centroids, assign_nearest
 from .ranking import rank_within
 from .sampling import BROADCAST_KEYS, sample_exact, shuffle_key, truncate
+from .starts import oversampled_start
 
 _PARTIAL = "cluster_id int, n bigint, mean array<double>"
 
@@ -107,6 +108,8 @@ class Centres:
     values: np.ndarray | None = None
     weight: np.ndarray | None = None
     table: DataFrame | None = None
+    # Centres that got no point in the last round, as a table (cluster_id).
+    empty: DataFrame | None = None
 
     @classmethod
     def of(cls, table: DataFrame, k: int, dims: int, max_bytes: int) -> Centres:
@@ -137,9 +140,10 @@ class Centres:
         """
         if self.table is None:
             found = means.toArrow()
+            at = np.searchsorted(self.ids, found["cluster_id"].to_numpy())
+            self.empty = self._ids(np.delete(self.ids, at))
             if not found.num_rows:
                 return
-            at = np.searchsorted(self.ids, found["cluster_id"].to_numpy())
             n = found["n"].to_numpy()
             rate = (n / (self.weight[at] + n) if keep_weight else np.ones(len(n)))[:, None]
             self.values = self.values.copy()
@@ -160,7 +164,71 @@ class Centres:
             ),
         )
         seen = F.col("weight") + F.coalesce(F.col("n"), F.lit(0)) if keep_weight else F.col("weight")
-        self.table = written(mixed.select("cluster_id", "centroid", seen.alias("weight")), "centres")
+        self.table = written(mixed.select("cluster_id", "centroid", seen.alias("weight"), F.col("n").isNull().alias("empty")), "centres")
+        self.empty = self.table.filter("empty").select("cluster_id")
+
+    def _ids(self, ids: np.ndarray) -> DataFrame:
+        return self.spark.createDataFrame(pa.table({"cluster_id": pa.array(ids.astype(np.int32))}))
+
+    def refill(self, points: DataFrame, key: str, vec: str) -> None:
+        """Move every centre that got no point onto the point farthest from its own centre, one of each cluster.
+
+        Equal points have the same nearest centre, so no two centres get equal vectors.  Where there
+        are more such centres than clusters with a distance above 0, the others wait for the next round.
+        """
+        n = self.empty.count()
+        if not n:
+            return
+        label = assign_nearest(points, self.frame(), key, vec, self.max_bytes)
+        far = label.groupBy("cluster_id").agg(F.max(F.struct("d2", (-F.col(key)).alias("k"))).alias("_far"))
+        far = far.select(F.col("_far.d2").alias("d2"), (-F.col("_far.k")).alias(key)).filter("d2 > 0")
+        self._replace(self.empty, n, far, [F.desc("d2"), key], points, key, vec)
+
+    def reassign(self, batch: DataFrame, ratio: float, seed: int, key: str, vec: str) -> None:
+        """Move centres with less than ``ratio`` of the heaviest centre's weight onto random points of the batch.
+
+        At most half the batch is used, for the lightest centres; they get the least weight of the others.
+        """
+        if self.table is None:
+            light = np.flatnonzero(self.weight < ratio * self.weight.max())
+            # The lightest first.
+            light = light[np.lexsort((self.ids[light], self.weight[light]))]
+            rest, n = np.delete(self.weight, light), min(len(light), batch.count() // 2) if len(light) else 0
+            ids, least = self._ids(self.ids[light[:n]]), int(rest.min()) if len(rest) else 0
+        else:
+            heaviest = self.table.agg(F.max("weight")).first()[0]
+            is_light = F.col("weight") < ratio * heaviest
+            found = self.table.agg(F.sum(is_light.cast("long")).alias("n"), F.min(F.when(~is_light, F.col("weight"))).alias("least")).first()
+            least, n = found.least or 0, min(found.n, batch.count() // 2) if found.n else 0
+            ids = self.table.filter(is_light).orderBy("weight", "cluster_id").limit(n).select("cluster_id")
+        if n:
+            drawn = sample_exact(batch.select(key), n, key, seed)
+            self._replace(ids, n, drawn, [shuffle_key(key, seed), key], batch, key, vec, least)
+
+    def _replace(self, ids: DataFrame, n: int, chosen: DataFrame, order: list, points: DataFrame, key: str, vec: str, weight: int = 0) -> None:
+        """The i-th of ``n`` centres by id becomes the i-th chosen row in order."""
+        numbered = rank_within(ids, [], ["cluster_id"], "_rn", size=n)
+        keys = rank_within(chosen.select(key, *[c for c in chosen.columns if c != key]), [], order, "_rn", size=self._size()).select(key, "_rn")
+        pairs = numbered.join(keys, "_rn").select("cluster_id", key)
+        new = points.select(key, vec).join(F.broadcast(pairs) if n <= BROADCAST_KEYS else pairs, key)
+        new = new.select("cluster_id", F.col(vec).cast("array<double>").alias("_new"))
+        if self.table is None:
+            found = new.toArrow()
+            if found.num_rows:
+                at = np.searchsorted(self.ids, found["cluster_id"].to_numpy())
+                self.values, self.weight = self.values.copy(), self.weight.copy()
+                self.values[at], self.weight[at] = matrix(found["_new"]), weight
+            return
+        moved = F.col("_new").isNotNull()
+        self.table = written(
+            self.table.join(new, "cluster_id", "left").select(
+                "cluster_id", F.coalesce("_new", "centroid").alias("centroid"), F.when(moved, F.lit(weight)).otherwise(F.col("weight")).cast("bigint").alias("weight"), "empty"
+            ),
+            "centres",
+        )
+
+    def _size(self) -> int:
+        return len(self.ids) if self.table is None else self.table.count()
 
     def frame(self) -> DataFrame:
         if self.table is not None:
@@ -169,18 +237,20 @@ class Centres:
         return self.spark.createDataFrame(data)
 
 
-def initial_centroids(points: DataFrame, k: int, init: str, seed: int, key: str, vec: str) -> DataFrame:
-    """k starting centres, numbered 0..k-1: the first rows by key, or an exact random sample.
+def initial_centroids(points: DataFrame, k: int, init: str, seed: int, key: str, vec: str, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """k starting centres, numbered 0..k-1: the first rows by key, an exact random sample, or rows far from each other.
 
     They are chosen and numbered on their keys alone, so no task holds all their vectors.
     """
+    if init == "oversampled":
+        return oversampled_start(points, k, seed, key, vec, max_bytes)
     keys = points.select(key)
     if init == "first":
         chosen, order = truncate(keys, k, key), [key]
     elif init == "sample":
         chosen, order = sample_exact(keys, k, key, seed), [shuffle_key(key, seed), key]
     else:
-        raise ValueError(f"init must be 'first' or 'sample', not {init!r}")
+        raise ValueError(f"init must be 'first', 'sample' or 'oversampled', not {init!r}")
     numbered = rank_within(chosen, [], order, "_rn", size=k)
     # k keys and numbers
     ranked = points.select(key, vec).join(F.broadcast(numbered) if k <= BROADCAST_KEYS else numbered, key)
@@ -205,17 +275,22 @@ def kmeans(
     key: str = "row_id",
     vec: str = "embedding",
     max_bytes: int = MAX_BROADCAST_BYTES,
+    refill: bool = False,
 ) -> DataFrame:
     """(cluster_id, centroid) after ``niter`` Lloyd rounds; ids are always 0..k-1.
 
     All points train, or at most ``max_points_per_centroid`` x k of them, drawn exactly, where that is given.
+    With ``refill`` a centre that got no point in a round is moved onto a point far from its own centre;
+    without, it stays.
     """
     points, n, dims = _checked(points, k, key, vec)
     if max_points_per_centroid and n > max_points_per_centroid * k:
         points = written(sample_exact(points, max_points_per_centroid * k, key, seed), "train")
-    centres = Centres.of(initial_centroids(points, k, init, seed, key, vec), k, dims, max_bytes)
+    centres = Centres.of(initial_centroids(points, k, init, seed, key, vec, max_bytes), k, dims, max_bytes)
     for _ in range(niter):
         centres.round(points, vec)
+        if refill:
+            centres.refill(points, key, vec)
     return centres.frame()
 
 
@@ -230,24 +305,29 @@ def minibatch_kmeans(
     vec: str = "embedding",
     max_bytes: int = MAX_BROADCAST_BYTES,
     batches: int | None = None,
+    reassignment: float = 0.0,
 ) -> DataFrame:
     """(cluster_id, centroid) after ``max_iter`` passes over all rows, in random batches of about ``batch`` rows.
 
     The rows are dealt to batches by md5(key-seed-pass), every row once per pass, and the batches
     of a pass are written in one scan, each spread over several tasks; a round then reads its own
     batch only.  ``batches`` sets their number per pass instead of their size.
+    After a pass, centres with less than ``reassignment`` of the heaviest one's weight are moved onto random rows of its
+    last batch; not after the last pass, so that what is moved is trained.
     """
     points, n, dims = _checked(points, k, key, vec)
     per_epoch = batches or -(-n // batch)
     digest = F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed)), F.col("_epoch").cast("string")))
     dealt_by = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
-    centres = Centres.of(initial_centroids(points, k, init, seed, key, vec), k, dims, max_bytes)
+    centres = Centres.of(initial_centroids(points, k, init, seed, key, vec, max_bytes), k, dims, max_bytes)
     for epoch in range(max_iter):
         dealt = points.withColumn("_epoch", F.lit(epoch)).withColumn("_round", F.pmod(dealt_by, F.lit(per_epoch)).cast("int")).drop("_epoch")
         # A range of (batch, key) per task: a batch is read by its files' statistics, and by many tasks.
         held = written(dealt.repartitionByRange("_round", key), "batches")
         for i in range(per_epoch):
             centres.round(held.filter(F.col("_round") == i), vec, keep_weight=True)
+        if reassignment and epoch + 1 < max_iter:
+            centres.reassign(held.filter(F.col("_round") == per_epoch - 1), reassignment, seed + epoch, key, vec)
     return centres.frame()
 
 

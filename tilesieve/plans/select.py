@@ -67,10 +67,10 @@ def select_subset(manifest: DataFrame, embeddings: DataFrame, cfg: SelectionConf
 
     k = cfg.n_clusters
     if method == "lloyd":
-        centroids = kmeans(points, k, cfg.max_iter, cfg.seed, cfg.init, cfg.max_points_per_centroid)
+        centroids = kmeans(points, k, cfg.max_iter, cfg.seed, cfg.init, cfg.max_points_per_centroid, refill=cfg.refill)
         assign = written(assign_nearest(points, centroids), "assign")
     elif method in ("kmeans", "mini-batch-kmeans"):
-        centroids = minibatch_kmeans(points, k, cfg.max_iter, cfg.batch_size, cfg.seed, cfg.init)
+        centroids = minibatch_kmeans(points, k, cfg.max_iter, cfg.batch_size, cfg.seed, cfg.init, reassignment=cfg.reassignment)
         assign = written(assign_nearest(points, centroids), "assign")
     else:
         if method == "birch-threshold-only":
