@@ -222,6 +222,89 @@ def test_steps_through_stored_tables(spark, sf_dir, tmp_path):
         run_steps(spark, cfg, [3])
 
 
+def test_a_stopped_extraction_goes_on(spark, sf_dir, tmp_path, monkeypatch):
+    from tilesieve.plans import extract
+
+    whole = config(spark, sf_dir, tmp_path / "a")
+    want = rows(extract.extract_features(spark, whole))
+    cfg = config(spark, sf_dir, tmp_path / "b", slices=4)
+    prepared, original = [], extract.prepare_wanted
+
+    def prepare(spark, manifest, cfg):
+        prepared.append(manifest.agg(F.min("row_id"), F.max("row_id")).first())
+        return original(spark, manifest, cfg)
+
+    def stopped(df, path, **how):
+        if path.endswith("embeddings-000002"):
+            df.limit(1).select("row_id", F.array(F.lit(9.0)).alias("embedding")).write.parquet(path)
+            raise RuntimeError("lost")
+        written_as_ever(df, path, **how)
+
+    written_as_ever = extract.write_embeddings
+    monkeypatch.setattr(extract, "prepare_wanted", prepare)
+    monkeypatch.setattr(extract, "write_embeddings", stopped)
+    with pytest.raises(RuntimeError, match="lost"):
+        extract.extract_features(spark, cfg)
+    assert len(prepared) == 3 and man.read_if_present(spark, cfg.data.table("embeddings")) is None
+    monkeypatch.setattr(extract, "write_embeddings", written_as_ever)
+    # Other settings do not go on with it.
+    other = dataclasses.replace(cfg, extraction=dataclasses.replace(cfg.extraction, nodata_threshold=0.1))
+    with pytest.raises(ValueError, match="other settings"):
+        extract.extract_features(spark, other)
+    got = extract.extract_features(spark, cfg)
+    # Slices 0 and 1 are not prepared again, the half-written slice 2 is.
+    assert len(prepared) == 5 and prepared[3] == prepared[2] and rows(got) == want
+    status = lambda c: rows(spark.read.parquet(c.data.table("tile_status")))
+    assert status(cfg) == status(whole)
+    # A run that is whole does nothing more.
+    assert rows(extract.extract_features(spark, cfg)) == want and len(prepared) == 5
+
+
+def test_publishing_goes_on_and_other_tables_stay(spark, sf_dir, tmp_path, monkeypatch):
+    from tilesieve.plans import extract
+
+    cfg = config(spark, sf_dir, tmp_path, slices=3, sample_fraction=0.4)
+    foreign = spark.range(1).selectExpr("id AS row_id", "array(1F) AS embedding")
+    foreign.write.parquet(cfg.data.table("embeddings"))
+    with pytest.raises(FileExistsError):
+        extract.extract_features(spark, cfg)
+    assert rows(spark.read.parquet(cfg.data.table("embeddings"))) == rows(foreign)
+    moved = dataclasses.replace(cfg, data=dataclasses.replace(cfg.data, output_dir=str(tmp_path / "second")))
+    commit = extract._commit
+    monkeypatch.setattr(extract, "_commit", lambda s, c, n: commit(s, c, n) if n != extract._WHOLE else 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        extract.extract_features(spark, moved)
+    monkeypatch.setattr(extract, "_commit", commit)
+    monkeypatch.setattr(extract, "_extract_slice", None)
+    n = extract.extract_features(spark, moved).count()
+    assert 0 < n <= 200 and spark.read.parquet(moved.data.table("tile_status")).count() == 200
+
+
+def test_a_search_in_waves_reads_few_tiles(spark, sf_dir):
+    from tilesieve.operators import sampling
+
+    images, manifest = fx.images_dir(spark, sf_dir), fx.manifest(spark, sf_dir)
+    whole = src.read_tiles(spark, images, manifest, tl.RGB)
+    asked = []
+
+    def read(keys):
+        asked.append(keys.count())
+        return src.read_tiles(spark, images, keys, tl.RGB)
+
+    often, never = F.col("row_id") % 5 == 0, F.col("row_id") < 0
+    for k, first, within, seed in ((3, None, None, 42), (40, 10, None, 7), (3, 10, 60, 42), (1000, 50, None, 42)):
+        asked.clear()
+        got = sampling.first_matching_in_waves(manifest, read, often, k, seed=seed, within=within, first=first)
+        want = sampling.first_matching(whole, often, k, seed=seed, within=within)
+        assert rows(got.select("row_id")) == rows(want.select("row_id"))
+        assert sum(asked) <= (500 if within is None else within)
+        if k == 3:
+            assert sum(asked) < 120
+    assert sampling.first_matching_in_waves(manifest, read, never, 2, first=20).count() == 0
+    empty = manifest.limit(0)
+    assert sampling.first_matching_in_waves(empty, read, often, 2).count() == 0
+
+
 def test_unreadable_tiles_can_be_embedded_as_zeros(spark, sf_dir, tmp_path):
     from tilesieve.plans.extract import prepare_and_embed_tiles
 

@@ -356,12 +356,14 @@ _sql(
   WHERE rn <= floor(n * 0.3)""",
 )
 _IN_SAMPLE = "zeros"
-_sql(
-    "first_matching",
-    "zeros",
-    f"""SELECT row_id, round(zero_pct, 6) + 0.0 AS zero_pct FROM {_IN_SAMPLE} WHERE zero_pct > 30 AND zero_pct < 70
+for _name in ("first_matching", "first_matching_in_waves"):
+    _sql(
+        _name,
+        "zeros",
+        f"""SELECT row_id, round(zero_pct, 6) + 0.0 AS zero_pct FROM {_IN_SAMPLE} WHERE zero_pct > 30 AND zero_pct < 70
   ORDER BY {_shuffled()} LIMIT 10""",
-)
+    )
+_sql("first_black_tile_in_waves", "zeros", f"SELECT row_id FROM zeros WHERE is_black ORDER BY {_shuffled()} LIMIT 1")
 _sql(
     "first_black_tile",
     "zeros",

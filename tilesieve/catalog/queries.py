@@ -10,7 +10,7 @@ from ..config import DataConfig, ExtractionConfig, RunConfig, SelectionConfig
 from ..functions import bands as bd
 from ..functions.text import basename
 from ..functions.vectors import l2_normalize, l2_normalize_eps
-from ..operators import clustering, joins, models, nearest, pairs, ranking, reduction, reports, sampling, selection, thresholds
+from ..operators import clustering, joins, models, nearest, pairs, ranking, reduction, reports, sampling, selection, starts, thresholds
 from ..operators import tiles as tl
 from ..plans.extract import prepare_and_embed_tiles
 from ..plans.materialize import materialize_subset as materialize
@@ -364,6 +364,24 @@ def first_black_tile(spark, sf_dir):
     return reports.black_tiles(_whole(spark, sf_dir)).select("row_id")
 
 
+def _reader(spark, sf_dir):
+    """What fetches the tiles of manifest rows that have all three bands."""
+    return lambda rows: tl.null_band_policy(src.read_tiles(spark, fx.images_dir(spark, sf_dir), rows, RGB), "drop")
+
+
+@query
+def first_matching_in_waves(spark, sf_dir):
+    """The first wave has too few hits, so several are read."""
+    share = bd.zero_value_pct(*[F.col(b) for b in RGB])
+    found = sampling.first_matching_in_waves(fx.manifest(spark, sf_dir), _reader(spark, sf_dir), (share > 30) & (share < 70), 10, first=10)
+    return tl.with_zero_pct(found).select("row_id", _r(F.col("zero_pct")).alias("zero_pct"))
+
+
+@query
+def first_black_tile_in_waves(spark, sf_dir):
+    return reports.black_tiles_of(fx.manifest(spark, sf_dir), _reader(spark, sf_dir)).select("row_id")
+
+
 def _garbage(spark, sf_dir) -> DataFrame:
     return reports.garbage_clusters(_sims(spark, sf_dir), GARBAGE)
 
@@ -528,6 +546,12 @@ def minibatch_kmeans(spark, sf_dir):
     return _assign(nearest.assign_nearest(data, centroids))
 
 
+@query
+def oversampled_start(spark, sf_dir):
+    data = written(fx.points(spark, sf_dir), "points")
+    return _long(starts.oversampled_start(data, fx.K), ["cluster_id"], "centroid")
+
+
 @query
 def threshold_clusters(spark, sf_dir):
     return _assign(thresholds.threshold_clusters(written(fx.blobs(spark, sf_dir), "blobs"), 0.3))

@@ -39,6 +39,8 @@ class ExtractionConfig:
     tile_width: int = TILE_SIDE
     # Unreadable tiles: "drop" leaves them out, "zeros" embeds them as empty images, "fail" stops.
     on_error: str = "fail"
+    # Parts that are extracted one after the other; a run that was stopped goes on behind the last whole one.
+    slices: int = 1
 
 
 @dataclass(frozen=True)

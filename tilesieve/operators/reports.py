@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -10,7 +10,7 @@ from ..config import BYTES_PER_SAMPLE, TILE_BANDS, TILE_SIDE
 from ..functions.bands import is_black_tile, zero_value_pct
 from ..session import hinted
 from .ranking import describe
-from .sampling import first_matching, sample_per_group, semi_sample
+from .sampling import first_matching, first_matching_in_waves, sample_per_group, semi_sample
 
 # Tiers of the cluster size table, as (label, largest size).
 TIERS = (
@@ -195,6 +195,25 @@ def black_tiles(tiles: DataFrame, most: int = 1, seed: int = 42, within: int | N
     return first_matching(tiles, black, most, "row_id", seed, within)
 
 
+def black_tiles_of(
+    manifest: DataFrame, read: Callable[[DataFrame], DataFrame], most: int = 1, seed: int = 42, within: int | None = None
+) -> DataFrame:
+    """As ``black_tiles``, of the tiles that ``read`` fetches for rows of the manifest; it fetches no more than the hits ask for."""
+    black = is_black_tile(F.col("B04"), F.col("B03"), F.col("B02"))
+    return first_matching_in_waves(manifest, read, black, most, "row_id", seed, within)
+
+
+def dark_clusters_of(
+    manifest: DataFrame, read: Callable[[DataFrame], DataFrame], assign: DataFrame, most: int, low: float = 30, high: float = 70, seed: int = 42, within: int | None = None
+) -> DataFrame:
+    """As ``dark_clusters`` with ``most``, of the tiles that ``read`` fetches for rows of the manifest."""
+    share = zero_value_pct(F.col("B04"), F.col("B03"), F.col("B02"))
+    whole = lambda rows: read(rows).dropna(subset=["B04", "B03", "B02"])
+    hits = first_matching_in_waves(manifest, whole, (share > low) & (share < high), most, "row_id", seed, within).select("row_id")
+    # at most ``most`` rows
+    return assign.join(F.broadcast(hits), "row_id", "left_semi").select("cluster_id").distinct()
+
+
 def split_garbage(assign: DataFrame, garbage: DataFrame) -> DataFrame:
     """(row_id, cluster_id, is_garbage): membership of every tile's cluster in the garbage set."""
     marked = hinted(garbage.select("cluster_id").withColumn("_g", F.lit(True)))

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import written
 from .ranking import running_total, top_n_per_group
 
 # Up to this many rows a global top-n is taken directly.
 DIRECT_LIMIT = 1_000
 # Up to this many sampled keys are broadcast to the table they were drawn from.
 BROADCAST_KEYS = 1_000_000
+# Rows of a first wave for each wanted one, and how many times as far the next wave reaches.
+FIRST_WAVE, WAVE_GROWTH = 16, 4
 
 
 def shuffle_key(key: str, seed: int) -> Column:
@@ -76,6 +79,44 @@ def first_matching(
     return pool.filter(predicate).withColumn("_h", shuffle_key(key, seed)).orderBy("_h", key).limit(k).drop("_h")
 
 
+def first_matching_in_waves(
+    keys: DataFrame,
+    read: Callable[[DataFrame], DataFrame],
+    predicate: Column,
+    k: int,
+    key: str = "row_id",
+    seed: int = 42,
+    within: int | None = None,
+    first: int | None = None,
+) -> DataFrame:
+    """As ``first_matching``, for rows whose payload ``read`` fetches by their keys: few are fetched for few hits.
+
+    The keys are taken in waves of the shuffled order.  A wave ends where the next ``WAVE_GROWTH``
+    times as many keys are reached, and only its rows are fetched and tested; every hit of a wave
+    comes before all rows of later ones, so the search ends with the wave that holds the k-th hit.
+    Without enough hits every row is fetched once.  ``first`` is the size of the first wave.
+    """
+    pool = keys if within is None else written(sample_exact(keys, within, key, seed), "pool")
+    total = keys.count()
+    most = total if within is None else min(within, total)
+    place = F.conv(F.substring(shuffle_key(key, seed), 1, 8), 16, 10).cast("bigint")
+    size, lower, span = max(1, first or FIRST_WAVE * k), 0, 16**8
+    hits, missing = [], k
+    while True:
+        upper = span if size >= most else max(lower + 1, span * size // total)
+        wave = pool.filter((place >= lower) & (place < upper))
+        found = read(wave).filter(predicate).withColumn("_h", shuffle_key(key, seed)).orderBy("_h", key).limit(missing).drop("_h")
+        hits.append(written(found, "hits"))
+        missing -= hits[-1].count()
+        if not missing or upper == span:
+            break
+        lower, size = upper, size * WAVE_GROWTH
+    result = hits[0]
+    for more in hits[1:]:
+        result = result.unionByName(more)
+    return result
+
+
 def truncate(df: DataFrame, n: int, key: str = "row_id", direct: int = DIRECT_LIMIT) -> DataFrame:
     """First n rows by position; large n look up the n-th key and filter, so payload never moves."""
     if n <= direct:
@@ -91,4 +132,4 @@ def pick_clusters(assign: DataFrame, min_size: int = 5, k: int = 3, seed: int =
     return sample_exact(sizes.filter(F.col("n") >= min_size), k, "cluster_id", seed)
 
 
-__all__ = ["first_matching", "pick_clusters", "sample_exact", "sample_fraction", "sample_per_group", "shuffle_key", "truncate"]
+__all__ = ["first_matching", "first_matching_in_waves", "pick_clusters", "sample_exact", "sample_fraction", "sample_per_group", "shuffle_key", "truncate"]

@@ -8,12 +8,12 @@ EMBEDDING_SCHEMA = "row_id bigint, embedding array<float>"
 CENTROID_SCHEMA = "cluster_id int, centroid array<double>, n bigint"
 
 
-def write_embeddings(df: DataFrame, path: str, key: str = "row_id", vec: str = "embedding") -> None:
-    df.select(F.col(key).cast("bigint").alias("row_id"), F.col(vec).cast("array<float>").alias("embedding")).write.parquet(path)
+def write_embeddings(df: DataFrame, path: str, key: str = "row_id", vec: str = "embedding", mode: str = "errorifexists") -> None:
+    df.select(F.col(key).cast("bigint").alias("row_id"), F.col(vec).cast("array<float>").alias("embedding")).write.mode(mode).parquet(path)
 
 
-def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(EMBEDDING_SCHEMA).parquet(path)
+def read_embeddings(spark: SparkSession, *paths: str) -> DataFrame:
+    return spark.read.schema(EMBEDDING_SCHEMA).parquet(*paths)
 
 
 def write_centroids(centroids: DataFrame, counts: DataFrame, path: str) -> None:
