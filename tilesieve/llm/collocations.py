@@ -37,9 +37,8 @@ from .common import bounded
 
 LONGEST, THRESHOLD, ABSORBED, TOP = 3, 10, 50, 2_000
 SHARDS, FLUSH = 3, 4 * 1024 * 1024
-# Slots: about one per eight words for each length of the corpus, within these powers of two; a block of them is summed in one place,
-# and a slot's place in its block takes two bytes.
-LEAST_BITS, MOST_BITS, BLOCK_BITS = 16, 27, 16
+# Slots: about one per eight words for each length of the corpus, within these powers of two; a block of them is summed in one place.
+LEAST_BITS, MOST_BITS, BLOCK_BITS = 16, 27, 18
 # Phrases of a packed row.
 PACKED = 2_048
 NEVER = 255
@@ -138,6 +137,18 @@ def count_phrases(codes: np.ndarray, words: list[bytes], lang: str, since: np.nd
         yield size, phrases, counts, _slots(mixed, size, bits)
 
 
+def _packed_places(places: np.ndarray) -> bytes:
+    """Places in a block, in order: how many lie in each of its parts of 65,536, and two bytes for each."""
+    sizes = np.bincount(places >> 16, minlength=1 << (BLOCK_BITS - 16))
+    return sizes.astype("<u4").tobytes() + (places & 0xFFFF).astype("<u2").tobytes()
+
+
+def _places(packed: bytes) -> np.ndarray:
+    parts = 1 << (BLOCK_BITS - 16)
+    sizes = np.frombuffer(packed, "<u4", parts)
+    return np.frombuffer(packed, "<u2", offset=4 * parts) + (np.repeat(np.arange(parts), sizes) << 16)
+
+
 def _slot_type(threshold: int) -> np.dtype:
     """The smallest type that can tell whether the threshold is reached."""
     return np.min_scalar_type(threshold)
@@ -167,9 +178,9 @@ def _scan(shard: DataFrame, since, step: int, shards: int, longest: int, thresho
         distinct, first = np.unique(slots[order], return_index=True)
         sums = np.minimum(np.add.reduceat(counts[order], first), cap).astype(_slot_type(threshold))
         blocks, starts = np.unique(distinct >> BLOCK_BITS, return_index=True)
-        offsets = (distinct & ((1 << BLOCK_BITS) - 1)).astype("<u2")
+        places = distinct & ((1 << BLOCK_BITS) - 1)
         pieces = list(zip(starts.tolist(), [*starts[1:].tolist(), len(distinct)]))
-        return rows(block=blocks, slots=[offsets[a:b].tobytes() for a, b in pieces], sums=[sums[a:b].tobytes() for a, b in pieces])
+        return rows(block=blocks, slots=[_packed_places(places[a:b]) for a, b in pieces], sums=[sums[a:b].tobytes() for a, b in pieces])
 
     def run(batches):
         reached = since.value
@@ -218,7 +229,7 @@ def _added_slots(totals: DataFrame | None, counts: DataFrame, threshold: int) ->
                         yield row()
                     now, total = block, np.zeros(n, np.int64)
                 # Sums below the cap are exact, at the cap they are reached for good.
-                at = slice(None) if slots is None else np.frombuffer(slots, "<u2")
+                at = slice(None) if slots is None else _places(slots)
                 total[at] += np.frombuffer(sums, kind)
         if now is not None:
             yield row()
