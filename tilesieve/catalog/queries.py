@@ -366,7 +366,8 @@ def first_black_tile(spark, sf_dir):
 
 def _reader(spark, sf_dir):
     """What fetches the tiles of manifest rows that have all three bands."""
-    return lambda rows: tl.null_band_policy(src.read_tiles(spark, fx.images_dir(spark, sf_dir), rows, RGB), "drop")
+    images = fx.images_dir(spark, sf_dir)
+    return lambda rows: tl.null_band_policy(tl.decode_raw_band(src.read_tiles(spark, images, rows, RGB)), "drop")
 
 
 @query
