@@ -325,3 +325,13 @@ def test_materialized_rows_are_addressed_by_the_new_manifest(spark, sf_dir, tmp_
     after = src.read_tiles(spark, str(tmp_path / "sub" / "images"), made.manifest, tl.RGB).select("row_id", *tl.RGB)
     assert rows(before) == rows(after)
     assert made.report.filter("not complete").count() == 0
+
+
+def test_clusters_of_the_first_half_dark_tiles(spark, sf_dir):
+    from tilesieve.operators import reports
+
+    images, manifest, assign = fx.images_dir(spark, sf_dir), fx.manifest(spark, sf_dir), fx.assign10(spark, sf_dir)
+    read = lambda keys: tl.decode_raw_band(src.read_tiles(spark, images, keys, tl.RGB))
+    for most, within in ((3, None), (5, 100)):
+        want = reports.dark_clusters(read(manifest), assign, most=most, within=within)
+        assert rows(reports.dark_clusters_of(manifest, read, assign, most, within=within)) == rows(want) != []
