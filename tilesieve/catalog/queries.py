@@ -392,7 +392,8 @@ def _split(spark, sf_dir) -> DataFrame:
 
 
 def _labelled(spark, sf_dir) -> DataFrame:
-    return reports.labelled_sample(_split(spark, sf_dir), fx.tiles(spark, sf_dir))
+    """The shuffled sample that the SQL asks for: 500 tiles of garbage clusters and 1,000 of the others."""
+    return reports.labelled_sample(_split(spark, sf_dir), fx.tiles(spark, sf_dir), garbage=500, good=1000)
 
 
 @query
