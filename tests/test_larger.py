@@ -27,3 +27,9 @@ def test_more_tiles_than_the_sample_takes(spark, larger, name):
     """Both classes have more tiles than the SQL samples."""
     db = compare.connect(larger)
     assert compare.check(spark, db, contract.queries()[name], contract.oracle_sql()[name], larger) is None
+
+
+def test_turned_tiles_tie_as_in_the_sql(spark, larger):
+    """A turned tile has the channel means of the tile itself, so the smaller row_id is chosen."""
+    db = compare.connect(larger)
+    assert compare.check(spark, db, contract.queries()["run_steps"], contract.oracle_sql()["run_steps"], larger) is None

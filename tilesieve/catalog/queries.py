@@ -265,10 +265,10 @@ def prepare_tiles(spark, sf_dir):
 SELECTION = SelectionConfig(n_clusters=fx.K, max_iter=fx.ROUNDS, init="first", max_points_per_centroid=None)
 
 
-def _run_config(spark, sf_dir, model: str, size: int, metadata_path: str = "") -> RunConfig:
+def _run_config(spark, sf_dir, model: str, size: int, metadata_path: str = "", pixels: str = "float") -> RunConfig:
     return RunConfig(
         DataConfig(metadata_path, fx.images_dir(spark, sf_dir), scratch_path(spark, "run")),
-        ExtractionConfig(model=model, crop_size=size, tile_height=fx.SIDE, tile_width=fx.SIDE),
+        ExtractionConfig(model=model, crop_size=size, pixels=pixels, tile_height=fx.SIDE, tile_width=fx.SIDE),
         SELECTION,
     )
 
@@ -828,9 +828,12 @@ def select_subset_stats(spark, sf_dir):
 
 @query
 def run_steps(spark, sf_dir):
-    """Both steps from stored metadata and shards; the model gives the mean of every channel."""
+    """Both steps from stored metadata and shards; the model gives the mean of every channel, of pixels in double.
+
+    Means are rounded to single precision once, as in the SQL, so that tiles with equal means tie.
+    """
     models.register_model("channel-means", _channel_means)
-    cfg = _run_config(spark, sf_dir, "channel-means", fx.SIDE, _stored_metadata(spark, sf_dir))
+    cfg = _run_config(spark, sf_dir, "channel-means", fx.SIDE, _stored_metadata(spark, sf_dir), pixels="double")
     subset = steps(spark, cfg, [1, 2])
     return subset.withColumn("parquet_file", basename(F.col("parquet_file")))
 

@@ -41,6 +41,8 @@ class ExtractionConfig:
     on_error: str = "fail"
     # Parts that are extracted one after the other; a run that was stopped goes on behind the last whole one.
     slices: int = 1
+    # Numbers the model gets: "float" as networks take them, or "double".
+    pixels: str = "float"
 
 
 @dataclass(frozen=True)

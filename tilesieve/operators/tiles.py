@@ -115,14 +115,18 @@ def prepare_tiles(
     size: int = 224,
     threshold: float = 0.45,
     bands: Sequence[str] = RGB,
+    kind: str = "float",
 ) -> DataFrame:
-    """(row_id, status, nodata, pixels) of raw tiles; pixels only for tiles that are kept.
+    """(row_id, status, nodata, pixels) of raw tiles; pixels, of type ``kind``, only for tiles that are kept.
 
     One Arrow pass decodes, tests, scales, clamps, resizes and normalises, so that a native tile
     crosses into Python once and comes back as a size x size image.
     """
     mean = np.asarray(CHANNEL_MEAN).reshape(3, 1, 1)
     std = np.asarray(CHANNEL_STD).reshape(3, 1, 1)
+    if kind not in ("float", "double"):
+        raise ValueError(f"pixels must be 'float' or 'double', not {kind!r}")
+    number = np.float32 if kind == "float" else np.float64
 
     def one(blobs, resize) -> tuple[str, float | None, np.ndarray | None]:
         if any(b is None for b in blobs):
@@ -134,7 +138,7 @@ def prepare_tiles(
         if share * 100.0 > threshold * 100.0:
             return "nodata", share, None
         image = resize(np.clip(raw / 10000.0, 0.0, 1.0))
-        return "kept", share, ((image - mean) / std).astype(np.float32).ravel()
+        return "kept", share, ((image - mean) / std).astype(number).ravel()
 
     def run(batches):
         resize = resizer(height, width, size)
@@ -146,18 +150,18 @@ def prepare_tiles(
                         batch.column(0),
                         pa.array([m[0] for m in made], pa.string()),
                         pa.array([m[1] for m in made], pa.float64()),
-                        pa.array([m[2] for m in made], pa.list_(pa.float32())),
+                        pa.array([m[2] for m in made], pa.list_(pa.from_numpy_dtype(number))),
                     ],
                     names=["row_id", "status", "nodata", "pixels"],
                 )
 
     source = tiles.select("row_id", *[_band_bytes(tiles, b).alias(b) for b in bands])
-    return source.mapInArrow(run, "row_id bigint, status string, nodata double, pixels array<float>")
+    return source.mapInArrow(run, f"row_id bigint, status string, nodata double, pixels array<{kind}>")
 
 
-def blank_pixels(size: int) -> Column:
+def blank_pixels(size: int, kind: str = "float") -> Column:
     """The image of an unreadable tile under the ``zeros`` policy: zeros, then normalised."""
-    parts = [F.array_repeat(F.lit(-m / s).cast("float"), size * size) for m, s in zip(CHANNEL_MEAN, CHANNEL_STD)]
+    parts = [F.array_repeat(F.lit(-m / s).cast(kind), size * size) for m, s in zip(CHANNEL_MEAN, CHANNEL_STD)]
     return F.concat(*parts)
 
 

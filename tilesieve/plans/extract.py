@@ -26,7 +26,7 @@ def prepare_wanted(spark: SparkSession, manifest: DataFrame, cfg: RunConfig) ->
         raise ValueError(f"on_error must be 'fail', 'drop' or 'zeros', not {e.on_error!r}")
     bands = band_columns(e.band_indices)
     tiles = read_tiles(spark, cfg.data.images_dir, manifest, bands, tolerant=e.on_error != "fail")
-    return written(prepare_tiles(tiles, e.tile_height, e.tile_width, e.crop_size, e.nodata_threshold, bands), "prepared")
+    return written(prepare_tiles(tiles, e.tile_height, e.tile_width, e.crop_size, e.nodata_threshold, bands, e.pixels), "prepared")
 
 
 def embed_prepared(manifest: DataFrame, prepared: DataFrame, cfg: RunConfig) -> DataFrame:
@@ -35,7 +35,7 @@ def embed_prepared(manifest: DataFrame, prepared: DataFrame, cfg: RunConfig) ->
     usable = prepared.filter(F.col("status") == "kept").select("row_id", "pixels")
     if e.on_error == "zeros":
         unread = tile_status(manifest, prepared).filter(F.col("status") == "read_error").select("row_id")
-        usable = usable.unionByName(unread.withColumn("pixels", blank_pixels(e.crop_size)))
+        usable = usable.unionByName(unread.withColumn("pixels", blank_pixels(e.crop_size, e.pixels)))
     return embed_tiles(usable, model_factory(e.model), e.crop_size, e.batch_size)
 
 
