@@ -375,3 +375,40 @@ def test_percentiles_are_found_bit_by_bit(spark, monkeypatch):
     assert np.allclose(pairs.pair_percentiles(frame(spark, x), probs), np.percentile(d, [100 * p for p in probs]), rtol=1e-6)
     assert np.isnan(pairs.pair_percentiles(frame(spark, x).filter("row_id < 0"), probs)).all()
     assert np.isnan(pairs.pair_percentiles(frame(spark, x).filter("row_id >= 50"), probs)).all()
+
+
+def test_pairs_are_measured_once_and_no_vector_comes_to_the_driver(spark, cloud, monkeypatch):
+    """Several files, repeated keys and a key that is null; vectors are neither collected nor broadcast."""
+
+    def fail(*_):
+        raise AssertionError("vectors in the driver")
+
+    monkeypatch.setattr(blocks, "loaded", fail)
+    monkeypatch.setattr(blocks.Block, "of", fail)
+    monkeypatch.setattr(pairs, "LEAST", 30)
+    ids = [None if i == 7 else i % 390 for i in range(400)]
+    rows = [(i, v.tolist()) for i, v in zip(ids, cloud)]
+    points = spark.createDataFrame(rows, "row_id bigint, embedding array<double>")
+    assert len(pairs._files(points, "row_id", "embedding", 1 << 28)) > 3
+    d = np.sqrt(((cloud[:, None] - cloud[None]) ** 2).sum(2))
+    d = [d[i, j] for i in range(400) for j in range(400) if None not in (ids[i], ids[j]) and ids[i] != ids[j] and d[i, j] > 0]
+    got = {r["distance"]: r["n_pairs"] for r in pairs.pairwise_distances(points, digits=2).collect()}
+    value, n = np.unique(np.floor(np.array(d) * 100 + 0.5) / 100, return_counts=True)
+    assert got == dict(zip(value.tolist(), n.tolist()))
+    probs = [0, 0.05, 0.5, 0.95, 1]
+    assert np.allclose(pairs.pair_percentiles(points, probs), np.percentile(d, [100 * p for p in probs]), atol=1e-9)
+
+
+@pytest.mark.parametrize("dense,held", [(1 << 22, 1 << 20), (50, 10)])
+def test_counts_of_numbers_near_and_far(monkeypatch, dense, held):
+    monkeypatch.setattr(pairs, "DENSE", dense)
+    monkeypatch.setattr(pairs, "HELD", held)
+    rng = np.random.default_rng(3)
+    parts = [rng.integers(base, base + width, 40) for base, width in ((5, 9), (0, 30), (100, 20), (10, 400), (60, 3), (-20, 4))]
+    value, n = np.unique(np.concatenate(parts), return_counts=True)
+    for count in (pairs._counted, pairs._listed):
+        got = {}
+        for some, many in count(iter([p.copy() for p in parts])):
+            for v, m in zip(some.tolist(), many.tolist()):
+                got[v] = got.get(v, 0) + m
+        assert got == dict(zip(value.tolist(), n.tolist()))
