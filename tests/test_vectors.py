@@ -412,3 +412,16 @@ def test_counts_of_numbers_near_and_far(monkeypatch, dense, held):
             for v, m in zip(some.tolist(), many.tolist()):
                 got[v] = got.get(v, 0) + m
         assert got == dict(zip(value.tolist(), n.tolist()))
+
+
+def test_sub_clusters_beyond_a_bound_do_not_come_to_the_driver(spark, monkeypatch):
+    """However much may be broadcast: the driver gathers no more centroids than its own bound, with the same result."""
+    x = np.random.default_rng(6).normal(size=(60, 3)) * 0.7
+    points = written(frame(spark, x), "overlapping")
+    gathered, real = [], nearest.loaded
+    monkeypatch.setattr(nearest, "GATHERED_BYTES", 20 * 32)
+    monkeypatch.setattr(nearest, "loaded", lambda *a: gathered.append(a[0].count()) or real(*a))
+    labels = thresholds.threshold_clusters(points, 0.5, group_rows=40)
+    sizes = sorted(r["count"] for r in labels.groupBy("cluster_id").count().collect())
+    assert gathered and max(gathered) <= 20
+    assert sum(sizes) == 60 and len(sizes) == len(brute_merged(list(enumerate(x)), 0.5))

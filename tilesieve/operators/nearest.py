@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.vectors import dot, l2_normalize, l2_normalize_eps, literal_vector
 from ..session import MAX_BROADCAST_BYTES
-from .blocks import CHUNK_BYTES, STORED_BYTES, Block, in_chunks, loaded, matrix, rows_per_block, sized, stored_block, stored_blocks
+from .blocks import CHUNK_BYTES, Block, in_chunks, loaded, matrix, rows_per_block, sized, stored_block, stored_blocks
 
 # Cells of the distance matrix a task looks at together, and the least number of points for it;
 # also the numbers in one slice of the exact recheck.
@@ -20,6 +20,8 @@ CELLS = 1_000_000
 LEAST_ROWS = 512
 # Most balls that stored centroids are grouped in.
 MOST_BALLS = 1_024
+# Centroids beyond this size do not come to the driver; tasks read them from files of at most that size.
+GATHERED_BYTES = 8 * 1024 * 1024
 
 
 class Finder:
@@ -131,9 +133,10 @@ class Centroids:
         n, dims = sized(table, "centroid")
         if n == 0:
             raise ValueError("there are no centroids to measure to")
+        max_bytes = min(max_bytes, GATHERED_BYTES)
         if n <= rows_per_block(dims, max_bytes):
             return cls(Block.of(table.sparkSession, *loaded(table, "cluster_id", "centroid"), distinct).data, [])
-        return cls(None, *ball_blocks(table, min(max_bytes, STORED_BYTES), distinct))
+        return cls(None, *ball_blocks(table, max_bytes, distinct))
 
     def finder(self) -> Finder | StoredFinder:
         return StoredFinder(self.files, *self.balls) if self.data is None else Finder(*self.data.value)
