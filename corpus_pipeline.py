@@ -1,6 +1,6 @@
 """The corpus pipeline: each stage works on all rows that its predecessor kept, as written Parquet.
 
-quality classifier -> language identification -> near-dedup by word shingles -> pseudonyms -> packing
+quality classifier -> language identification -> SimHash near-dedup checked on word shingles -> pseudonyms -> packing
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8) stays."""
+    """One document of each group of near copies (SimHash, then five-word shingles of similarity 0.8) stays."""
     return shingles.keep_first(docs)
 
 

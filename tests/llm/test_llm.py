@@ -449,6 +449,54 @@ def test_near_dedup_stage_links_by_five_word_similarity(spark, group):
         assert {r.doc_id for r in corpus_pipeline.near_dedup_stage(spark, docs, "").collect()} == set(root)
 
 
+@pytest.mark.parametrize("group", [4, 2048])
+def test_stage_links_by_fingerprints_without_any_band(spark, group):
+    random.seed(13)
+    texts = []
+    for _ in range(12):
+        base = [f"w{random.randint(0, 5000)}" for _ in range(200)]
+        for changes in (0, 0, 1, 1, 2, 3, 5, 8, 20):
+            words = list(base)
+            for at in random.sample(range(200), changes):
+                words[at] = f"new{random.randint(0, 10**6)}"
+            texts.append(" ".join(words))
+    sets = [brute_shingles(t) for t in texts]
+    fps = []
+    for text in texts:
+        words = text.split()
+        hashes = [xxhash.xxh64_intdigest(s, 42) for s in {" ".join(words[i : i + 3]) for i in range(len(words) - 2)}]
+        fps.append(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)))
+    met = brute_components(set(fps), shingles.REACH)
+    root = list(range(len(texts)))
+    apart = 0  # pairs of one group that are not alike
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if met[fps[i]] == met[fps[j]]:
+                if 5 * len(a & b) >= 4 * len(a | b):
+                    x, y = root[i], root[j]
+                    root = [min(x, y) if r in (x, y) else r for r in root]
+                else:
+                    apart += 1
+    assert apart > 5 and len(set(root)) < len(texts) - 30
+    marked = corpus_pipeline.written(shingles.shingle_sets(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")), "test")
+    first = {r.row: r.first for r in marked.groupBy("key").agg(F.min("row").alias("row"), F.min("doc_id").alias("first")).collect()}
+    edges = shingles.links(marked.withColumn("bands", F.array().cast("array<bigint>")), group=group)
+    found = {first[r.node]: first[r.root] for r in connected(edges).collect()}
+    firsts = {d: min(e for e in range(len(texts)) if sets[e] == sets[d]) for d in range(len(texts))}
+    assert [found.get(firsts[d], firsts[d]) for d in range(len(texts))] == root
+
+
+def test_near_dedup_stage_goes_through_fingerprints(spark, monkeypatch):
+    asked = []
+    given = shingles.fingerprint_links
+    monkeypatch.setattr(shingles, "fingerprint_links", lambda fps, *a, **k: asked.append(fps.count()) or given(fps, *a, **k))
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(words), " ".join([*words[:-1], "new"]), " ".join(words[::-1]), " ".join(words[::-1]), None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {r.doc_id for r in corpus_pipeline.near_dedup_stage(spark, docs, "").collect()} == {0, 2, 4}
+    assert len(asked) == 1 and 3 <= asked[0] <= 4
+
+
 def test_bitmap_keeps_all_wanted_sets_and_few_others(spark):
     marked = spark.range(20_000).selectExpr("id AS row", "cast(cast(id AS string) AS binary) AS set")
     wanted = marked.filter("row % 7 = 3").select("row")

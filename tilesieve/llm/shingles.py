@@ -1,16 +1,21 @@
-"""Near duplicates by the share of common word shingles.
+"""Near duplicates by SimHash with pivot distance tables, checked on sets of word shingles.
 
 A document is the set of its shingles of five words (a text of fewer words is one shingle); two
 documents are linked if their sets' Jaccard similarity is at least ``LEAST``.  Documents with equal
-sets are one row from then on.  Candidates meet in the bands of a MinHash signature: two documents
-of similarity s meet nowhere with probability (1 - s^ROWS)^BANDS, 3 in a million at 0.8 and less
-above.  Every pair that meets and is not connected yet is measured on the sets themselves, so no
-pair below ``LEAST`` is linked.  Sets hold 32 bits of each shingle's XXH64 value.
+sets are one row from then on.  No pair below ``LEAST`` is linked: every pair that meets and is not
+connected yet is measured on the sets themselves, which hold 32 bits of each shingle's XXH64 value.
 
-SimHash serves badly here: similarity 0.8 is 4 to 12 and more of 64 bits, and no choice of blocks
-tells these from the 32 bits of unrelated texts without comparing nearly all pairs.
+Documents meet by their SimHash fingerprints first, as in ``simhash``: blocks of bits, tables of
+distances to pivots, and bit by bit what survives.  All that ``REACH`` bits connect is one group.
+A fingerprint is the majority over three-word shingles, each once, so equal sets have equal ones.
 
-Bands with the same members are looked at once.  Members of a large band are split into parts, and
+Similarity 0.8 is up to 11 bits and more, and no choice of blocks tells these from the 32 bits of
+unrelated texts without comparing nearly all pairs.  So documents of different groups also meet in
+the bands of a MinHash signature: two of similarity s meet nowhere with probability
+(1 - s^ROWS)^BANDS, 3 in a million at 0.8 and less above.  A band within one group adds no pair and
+is left out.
+
+Bands with the same members are looked at once.  Members of a large group or band are split into parts, and
 each pair of parts is a task's work; no pair becomes a row.  Until then only keys move.  Sets move for
 one row of each key that shares a band with another one: a bitmap of fixed size with a bit for each
 such row, broadcast, keeps nearly all other sets where they are, and a join by row the rest.
@@ -30,11 +35,13 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import written
 from .common import bounded, slices, texts_of
 from .components import connected
-from .simhash import SEED, first_rows, shingle_hashes
+from .simhash import SEED, first_rows, links as fingerprint_links, majority, shingle_hashes
 
 SHINGLE, LEAST = 5, 0.8
+# Bits by which fingerprints may differ, and blocks of bits; a row has a key per choice of two blocks.
+REACH, BLOCKS = 5, 7
 BANDS, ROWS = 32, 5
-# Members of a band that are compared in one task; shingles that are permuted at once.
+# Members of a group or band that are compared in one task; shingles that are permuted at once.
 GROUP, STEP = 2_048, 4_096
 # Bits of the bitmap of wanted rows (16 MiB), in pieces of the size that Spark's bitmaps have.  Where it
 # fills up (about 100 million rows) more sets are moved, and the result is the same.
@@ -61,7 +68,7 @@ def band_keys(hashes: np.ndarray, masks: np.ndarray, factors: np.ndarray, rows:
 
 
 def shingle_sets(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, row, key, bands, set) of every row: ``key`` names the set, which is sorted 32-bit integers.
+    """(id, row, key, fp, bands, set) of every row: ``key`` names the set, which is sorted 32-bit integers.
 
     ``row`` is a number of its own for each row, as long as the table is not computed again.
     """
@@ -73,10 +80,11 @@ def shingle_sets(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
         at = TaskContext.get().partitionId() << 40
         for batch in slices(batches):
-            keys, bands, sets = [], [], []
+            keys, fps, bands, sets = [], [], [], []
             for text in texts_of(batch):
                 hashes = np.unique(np.array(shingle_hashes(text, SHINGLE), np.uint64))
                 keys.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
+                fps.append(majority(np.unique(np.array(shingle_hashes(text), np.uint64)).tolist()))
                 # Empty sets have one key and need no candidates.
                 bands.append(band_keys(hashes, masks, factors) if len(hashes) else [])
                 sets.append(np.unique(hashes.astype(np.uint32)).tobytes())
@@ -84,13 +92,14 @@ def shingle_sets(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
                 batch.column(0),
                 pa.array(np.arange(at, at + batch.num_rows)),
                 pa.array(np.array(keys, np.uint64).view(np.int64)),
+                pa.array(np.array(fps, np.uint64).view(np.int64)),
                 pa.array(bands, pa.list_(pa.int64())),
                 pa.array(sets, pa.binary()),
             ]
             at += batch.num_rows
-            yield pa.RecordBatch.from_arrays(columns, names=[id_col, "row", "key", "bands", "set"])
+            yield pa.RecordBatch.from_arrays(columns, names=[id_col, "row", "key", "fp", "bands", "set"])
 
-    return bounded(docs).select(id_col, "text").mapInArrow(run, f"`{id_col}` {kind}, row bigint, key bigint, bands array<bigint>, set binary")
+    return bounded(docs).select(id_col, "text").mapInArrow(run, f"`{id_col}` {kind}, row bigint, key bigint, fp bigint, bands array<bigint>, set binary")
 
 
 def sets_of(marked: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -133,14 +142,29 @@ def first_connected(sets: list[np.ndarray], least: float = LEAST) -> np.ndarray:
     return root
 
 
+def close(one: DataFrame, reach: int = REACH, blocks: int = BLOCKS, group: int = GROUP) -> DataFrame:
+    """(row, _root, _n) of the rows whose fingerprint is connected with that of other rows; _n rows have that root."""
+    roots = connected(fingerprint_links(one.select("fp").distinct(), reach, blocks, group=group))
+    rooted = one.select("row", "fp").join(roots, F.col("fp") == F.col("node"), "left").select("row", F.coalesce("root", "fp").alias("_root"))
+    return rooted.join(rooted.groupBy("_root").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), "_root").select("row", "_root", "_n")
+
+
 def links(marked: DataFrame, least: float = LEAST, group: int = GROUP) -> DataFrame:
     """(a, b) edges between rows whose sets are alike; of the rows of one key, the first stands for all."""
-    one = marked.groupBy("key").agg(F.min("row").alias("row"), F.first("bands").alias("bands"))
-    rows = written(one.select("row", F.explode("bands").alias("_band")), "bands")
+    one = marked.groupBy("key").agg(F.min("row").alias("row"), F.first("fp").alias("fp"), F.first("bands").alias("bands"))
+    one = written(one.select("row", "fp", "bands"), "bands")
+    near = written(close(one, group=group), "close")
+    rows = one.select("row", F.explode("bands").alias("_band"))
     bands = rows.groupBy("_band").agg(F.count(F.lit(1)).alias("_n"), F.bit_xor(F.xxhash64("row")).alias("_who")).filter("_n > 1")
     # Bands with the same members: one of them.
     bands = bands.groupBy("_n", "_who").agg(F.min("_band").alias("_band")).select("_band", "_n")
-    members = written(rows.join(bands, "_band"), "members")
+    met = written(rows.join(bands, "_band"), "met")
+    # Bands whose members all have one root go: that group's pairs are measured as a band of its own.
+    rooted = met.join(near.select("row", "_root"), "row", "left").groupBy("_band", "_n")
+    rooted = rooted.agg(F.count("_root").alias("_rooted"), F.min("_root").alias("_least"), F.max("_root").alias("_most"))
+    apart = rooted.filter("_rooted < _n or _least < _most").select("_band")
+    groups = near.select("row", F.xxhash64("_root").alias("_band"), "_n")
+    members = written(met.join(apart, "_band").select("row", "_band", "_n").unionByName(groups), "members")
     sets = written(sets_of(marked, written(members.select("row").distinct(), "wanted")), "sets")
     parts = F.when(F.col("_n") > group, F.ceil(F.col("_n") / (group // 2))).otherwise(1).cast("int")
     dealt = members.withColumn("_parts", parts).withColumn("_part", F.pmod(F.xxhash64("row"), F.col("_parts")).cast("int"))
