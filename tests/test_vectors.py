@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tilesieve.catalog import fixtures as fx
-from tilesieve.operators import blocks, clustering, nearest, pairs, reduction, thresholds
+from tilesieve.operators import blocks, clustering, nearest, neighbours, pairs, reduction, thresholds
 from tilesieve.session import written
 
 
@@ -425,3 +425,65 @@ def test_sub_clusters_beyond_a_bound_do_not_come_to_the_driver(spark, monkeypatc
     sizes = sorted(r["count"] for r in labels.groupBy("cluster_id").count().collect())
     assert gathered and max(gathered) <= 20
     assert sum(sizes) == 60 and len(sizes) == len(brute_merged(list(enumerate(x)), 0.5))
+
+
+@pytest.mark.parametrize("few,in_task", [(0, 1 << 20), (0, 0), (256, 1 << 20)])
+def test_rounds_over_files_are_the_definition(spark, monkeypatch, few, in_task):
+    """Files of few rows, nearest ones kept over rounds, stars in a task or in joins, and rounds followed in the driver."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(150, 3)) * 0.8
+    x[100:] = x[rng.integers(0, 20, 50)] + rng.normal(size=(50, 3)) * 0.01
+    points = written(frame(spark, x), "overlapping")
+    followed, real = [], thresholds._followed
+    monkeypatch.setattr(neighbours, "LEAST", 9)
+    monkeypatch.setattr(thresholds, "FEW_PAIRS", few)
+    monkeypatch.setattr(thresholds, "PAIRS_IN_TASK", in_task)
+    monkeypatch.setattr(thresholds, "_followed", lambda *a: followed.append(real(*a)) or followed[-1])
+    start = thresholds.Start(thresholds.distinct_points(points))
+    assert len(start.held().files) >= 10
+    for threshold in (0.05, 0.2):
+        want = sorted(brute_merged(list(enumerate(x)), threshold).values())
+        found = thresholds.threshold_centroids(points, threshold, group_rows=5, start=start).collect()
+        assert sorted(r.n for r in found) == want
+    assert any(f[0] for f in followed) if few else not followed
+
+
+def test_one_member_a_round_takes_few_searches(spark, monkeypatch):
+    """A large sub-cluster takes in one point after the other; the rounds do not search all rows each time."""
+    rng = np.random.default_rng(9)
+    far = rng.normal(size=(900, 16))
+    far /= np.linalg.norm(far, axis=1)[:, None] / rng.uniform(1, 1.2, 900)[:, None]
+    x = np.vstack([rng.normal(size=(400, 16)) * 1e-3, far])
+    points = written(frame(spark, x), "heavy")
+    held = thresholds.merge_all(np.arange(1300), np.ones(1300), np.zeros(1300), x.copy(), 0.25)
+    rounds, searched, real, look = [], [], thresholds._followed, thresholds.with_nearest
+    monkeypatch.setattr(thresholds, "_followed", lambda *a: rounds.append(real(*a)) or rounds[-1])
+    monkeypatch.setattr(thresholds, "with_nearest", lambda *a, **k: searched.append(1) or look(*a, **k))
+    found = thresholds.threshold_centroids(points, 0.25, group_rows=10).collect()
+    assert sorted(r.n for r in found) == sorted(held[1].astype(int).tolist())
+    assert sum(r[0] for r in rounds) >= 15 and len(searched) <= 10
+
+
+def test_all_thresholds_share_one_search(spark, monkeypatch):
+    points = written(frame(spark, np.eye(40)), "apart")
+    searched, look = [], thresholds.with_nearest
+    monkeypatch.setattr(thresholds, "with_nearest", lambda *a, **k: searched.append(1) or look(*a, **k))
+    sweep = thresholds.threshold_sweep(points, [1e-6, 1e-3, 0.1], group_rows=10).collect()
+    assert [r.n_clusters for r in sweep] == [40, 40, 40] and len(searched) == 1
+    log = thresholds.threshold_search(points, 50, 0.1, attempts=3, group_rows=10)[0].collect()
+    assert [r.n_clusters for r in log] == [40, 40, 40] and len(searched) == 2
+
+
+def test_different_points_of_one_key_stay_apart_in_files(spark):
+    """Keys that repeat, or are null, on different points: each is a sub-cluster of its own."""
+    rows = [(None if i == 3 else i // 2, v.tolist()) for i, v in enumerate(np.eye(20))]
+    points = written(spark.createDataFrame(rows, "row_id bigint, embedding array<double>"), "keys")
+    assert thresholds.threshold_centroids(points, 0.5, group_rows=5).count() == 20
+    assert thresholds.threshold_centroids(points, 0.75, group_rows=5).agg(F.sum("n")).first()[0] == 20
+
+
+def test_marked_cells_are_found_as_nonzero_finds_them():
+    rng = np.random.default_rng(4)
+    for shape in ((1, 1), (3, 5), (7, 8), (40, 33), (0, 4)):
+        marks = rng.random(shape) < 0.1
+        assert [p.tolist() for p in nearest._places(marks)] == [p.tolist() for p in np.nonzero(marks)]

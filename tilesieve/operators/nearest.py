@@ -24,6 +24,16 @@ MOST_BALLS = 1_024
 GATHERED_BYTES = 8 * 1024 * 1024
 
 
+def _places(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """np.nonzero of a matrix with few marks: eight cells are looked at together."""
+    flat = marks.reshape(-1)
+    whole = len(flat) // 8 * 8
+    words = np.flatnonzero(flat[:whole].view(np.uint64))
+    inside = (words[:, None] * 8 + np.arange(8)).reshape(-1)
+    at = np.concatenate([inside[flat[inside]], whole + np.flatnonzero(flat[whole:])])
+    return np.divmod(at, marks.shape[1])
+
+
 class Finder:
     """Nearest row of one matrix, exact, with the bulk of the work in a single-precision product.
 
@@ -52,7 +62,12 @@ class Finder:
             here = np.flatnonzero(self.ids[at] == own)
             approx[here, at[here]] = np.inf
         error = (part.shape[1] + 4) * np.finfo(self.kind).eps * (2.0 * length + self.reach) * self.reach
-        return np.nonzero((approx <= (approx.min(axis=1) + 2.0 * error)[:, None]) & (approx < np.inf))
+        least = approx.min(axis=1)
+        most = np.where(least < np.inf, least + 2.0 * error, -np.inf)
+        if approx.dtype == np.float32:
+            # The next number above, so that a bound in single precision leaves nothing out.
+            most = np.nextafter(most.astype(np.float32), np.float32(np.inf))
+        return _places(approx <= most[:, None])
 
     def __call__(self, x: np.ndarray, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Id and squared distance of the nearest row for every row of ``x``; -1 and inf where there is none.
@@ -188,22 +203,6 @@ def ball_blocks(table: DataFrame, max_bytes: int, distinct: bool) -> tuple[list[
     return files, (np.array([balls[f].centre for f in files]), np.array([balls[f].radius for f in files]))
 
 
-def nearest_other(features: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """(a, b, d2): for every row of (cluster_id, centroid) the nearest other row, ties to the lowest id."""
-    held = Centroids.of(features, max_bytes, distinct=False)
-
-    def run(batches):
-        find = held.finder()
-        for batch in held.chunks(batches):
-            ids = batch.column(0).to_numpy()
-            other, d2 = find(matrix(batch.column(1)), ids)
-            there = other >= 0
-            yield pa.RecordBatch.from_arrays([pa.array(ids[there]), pa.array(other[there]), pa.array(d2[there])], names=["a", "b", "d2"])
-
-    rows = features.select(F.col("cluster_id").cast("bigint").alias("cluster_id"), "centroid")
-    return rows.mapInArrow(run, "a bigint, b bigint, d2 double")
-
-
 def _assign_to(points: DataFrame, centroids: Centroids, key: str, vec: str, carry: bool = False) -> DataFrame:
     held = [key, vec] if carry else [key]
 
