@@ -464,6 +464,24 @@ def test_one_member_a_round_takes_few_searches(spark, monkeypatch):
     assert sum(r[0] for r in rounds) >= 15 and len(searched) <= 10
 
 
+def test_no_more_rows_are_gathered_than_the_bound(spark, monkeypatch):
+    """Equal distances, and a row that is the nearest one of nearly all: the driver still gathers few."""
+    rng = np.random.default_rng(10)
+    sphere = rng.normal(size=(500, 12))
+    sphere /= np.linalg.norm(sphere, axis=1)[:, None]
+    lattice = np.stack(np.meshgrid(*[np.arange(8.0)] * 3), -1).reshape(-1, 3)
+    for x, threshold in ((np.vstack([np.zeros((1, 12)), sphere * 0.5, [[0.01] * 12]]), 0.06), (np.vstack([lattice, lattice[:1] + 0.01]), 0.4)):
+        points = written(frame(spark, x), "ties")
+        gathered, real = [], neighbours.Rows.of.__func__
+        monkeypatch.setattr(neighbours, "LEAST", 20)
+        monkeypatch.setattr(thresholds, "FOLLOWED_BYTES", 64 * (8 * x.shape[1] + 48))
+        monkeypatch.setattr(neighbours.Rows, "of", classmethod(lambda cls, table: gathered.append(table.num_rows) or real(cls, table)))
+        found = thresholds.threshold_centroids(points, threshold, group_rows=5).collect()
+        assert sorted(r.n for r in found) == sorted(brute_merged(list(enumerate(x)), threshold).values())
+        assert gathered and max(gathered) <= 100
+        monkeypatch.undo()
+
+
 def test_all_thresholds_share_one_search(spark, monkeypatch):
     points = written(frame(spark, np.eye(40)), "apart")
     searched, look = [], thresholds.with_nearest

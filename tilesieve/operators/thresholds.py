@@ -40,9 +40,9 @@ GROUP_ROWS = 4_096
 # Pairs that one task forms into stars (seven numbers a pair), and pairs that the driver follows over several rounds.
 PAIRS_IN_TASK = 1 << 20
 FEW_PAIRS = 256
-# For these pairs the driver gathers, at most: rows around their ends; rows whose nearest one may become a moved end;
-# rows that may have to look again.
-AROUND, WATCHED, LOOKING = 4_096, 1_024, 1_024
+# Bytes of rows that the driver gathers for these pairs, at most.
+FOLLOWED_BYTES = GATHERED_BYTES
+LESS = 1 - 1e-6
 # Whole numbers that a root's room is counted in, so that its sums do not depend on their order.
 UNIT = float(1 << 20)
 
@@ -172,26 +172,29 @@ class _Around:
 
     ``reach``: everything nearer than this to where the row was when gathered is inside; 0 where that is not known.
     ``cut`` is the same for the ends.  ``known``: rows whose pointers are all inside.  ``slack``: what is this near to
-    where an end was is not the nearest one of a row outside.
+    where an end was is not the nearest one of a row outside.  ``rows`` is None where too many rows point to an end.
     """
 
     def __init__(self, held: Stored, ends: Rows) -> None:
         self.ends = ends
-        share = max(8, AROUND // len(ends.ids))
+        # Of all rows that may be gathered: those around the ends, those whose nearest one may become a moved end,
+        # those that point to what may merge, and those that may look again, each with four others.
+        most = FOLLOWED_BYTES // (8 * ends.c.shape[1] + 48)
+        share, watching, pointing, looking = max(8, most // 4 // len(ends.ids)), most // 8, most // 8, most // 8
         # What the files list comes to the driver: less of each, the more files there are.
         files = len(held.files) + 1
-        listed, watched = max(2, min(max(8, share // 4), GATHERED_BYTES // (16 * files * len(ends.ids)))), 64
-        looking = min(LOOKING, max(64, GATHERED_BYTES // (60 * files)))
+        listed, watched = max(2, min(max(8, share // 4), FOLLOWED_BYTES // (16 * files * len(ends.ids)))), max(2, min(128, FOLLOWED_BYTES // (64 * files)))
+        looking = max(9, min(looking, 2 * FOLLOWED_BYTES // (60 * files)))
 
         def near_ends(rows: Rows):
             d2, _ = squares(rows.c, ends.c)
             here = np.flatnonzero(is_in(ends.ids, rows.ids))
             d2[np.searchsorted(rows.ids, ends.ids[here]), here] = np.inf
             margin = np.where(is_in(rows.ids, ends.ids), np.inf, np.sqrt(d2.min(axis=1)) - np.sqrt(rows.d2))
-            values, most = [*d2.T, margin], [listed] * len(ends.ids) + [watched]
-            at = [np.argpartition(v, k - 1)[:k] if len(v) > k else np.arange(len(v)) for v, k in zip(values, most)]
+            values, top = [*d2.T, margin], [listed] * len(ends.ids) + [watched]
+            at = [np.argpartition(v, k - 1)[:k] if len(v) > k else np.arange(len(v)) for v, k in zip(values, top)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(at)), pa.int32()), pa.array([rows.ids[i] for i in at]), pa.array([v[i] for v, i in zip(values, at)]), pa.array([len(v) > k for v, k in zip(values, most)])],
+                [pa.array(range(len(at)), pa.int32()), pa.array([rows.ids[i] for i in at]), pa.array([v[i] for v, i in zip(values, at)]), pa.array([len(v) > k for v, k in zip(values, top)])],
                 names=["e", "ids", "v", "more"],
             )
 
@@ -200,14 +203,29 @@ class _Around:
         for e, ids, v, more in zip(*(table[c].to_numpy(zero_copy_only=False) for c in ("e", "ids", "v", "more"))):
             lists[e].append((ids, v, more))
         cuts, nearest = [], []
-        for some, most in zip(lists, [share] * len(ends.ids) + [WATCHED]):
+        for some, top in zip(lists, [share] * len(ends.ids) + [watching]):
             ids, v = np.concatenate([s[0] for s in some]), np.concatenate([s[1] for s in some])
             order = np.argsort(v, kind="stable")
-            cuts.append(min([v[order[most - 1]] if len(v) > most else np.inf, *(s[1].max() for s in some if s[2])]))
-            nearest.append(ids[order[: min(64, max(2, 512 // len(ends.ids)))]])
-        cut, slack = np.array(cuts[:-1]), cuts[-1]
+            cuts.append(min([v[order[top - 1]] if len(v) > top else np.inf, *(s[1].max() for s in some if s[2])]))
+            # As many as leave room for what points to them.
+            nearest.append(ids[order[: max(2, looking // 3 // len(ends.ids))]])
+        # A little less, so that no number of rows at equal distances is gathered.
+        cut, slack = np.array(cuts[:-1]) * LESS, cuts[-1] * LESS
+        self.rows, self.slack, self.cut = None, slack, np.sqrt(cut)
+        if not slack > (1 - LESS) * self.cut.max(where=np.isfinite(cut), initial=0.0):
+            return
         known = np.union1d(ends.ids, np.concatenate(nearest[:-1]))
 
+        def pointers(rows: Rows):
+            ids, n = np.unique(rows.near[is_in(rows.near, known)], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], names=["id", "n"])
+
+        table = held.scan(pointers, "id bigint, n bigint")
+        n = np.bincount(np.searchsorted(known, table["id"].to_numpy()), table["n"].to_numpy(), len(known))
+        # Rows that very many point to are left out: a round that changes one of them is not followed.
+        few = np.argsort(n, kind="stable")
+        known = np.sort(known[few[np.cumsum(n[few]) <= pointing]])
+
         def gathered(rows: Rows):
             d2, error = squares(rows.c, ends.c)
             low = np.maximum(d2 - error, 0.0)
@@ -224,8 +242,10 @@ class _Around:
         reach = np.zeros(len(asking.ids))
         if len(asking.ids):
             # Within the fourth nearest among the rows gathered there are four others at most, wherever they lie.
-            d2, error = squares(rows.c, asking.c)
-            fourth = np.partition(d2, min(4, len(d2) - 1), axis=0)[min(4, len(d2) - 1)] + error
+            fourth = np.empty(len(reach))
+            for lo in range(0, len(reach), 64):
+                d2, error = squares(rows.c, asking.c[lo : lo + 64])
+                fourth[lo : lo + 64] = np.partition(d2, min(4, len(d2) - 1), axis=0)[min(4, len(d2) - 1)] + error
 
             def nearest_four(part: Rows):
                 d2, error = squares(part.c, asking.c)
@@ -240,7 +260,7 @@ class _Around:
             # The row itself is the first, its nearest one the second.
             start = np.searchsorted(e, np.arange(len(reach)))
             last = np.minimum(start + 4, np.searchsorted(e, np.arange(len(reach)), "right") - 1)
-            reach = np.where(last >= start, v[np.maximum(last, 0)], 0.0)
+            reach = np.where(last >= start, v[np.maximum(last, 0)], 0.0) * LESS
 
             def within(part: Rows):
                 d2, error = squares(part.c, asking.c)
@@ -249,11 +269,11 @@ class _Around:
                     yield part.take(np.flatnonzero(inside)).batch()
 
             rows = Rows.joined([rows, Rows.of(held.scan(within, SCHEMA, asking.c, np.sqrt(reach)))])
-        self.rows, self.slack = rows, slack
+        self.rows = rows
         self.reach = np.zeros(len(rows.ids))
         self.reach[np.searchsorted(rows.ids, asking.ids)] = np.sqrt(reach)
         self.reach[np.searchsorted(rows.ids, ends.ids)] = np.sqrt(cut)
-        self.known, self.cut = is_in(rows.ids, known), np.sqrt(cut)
+        self.known = is_in(rows.ids, known)
 
 
 def _followed(held: Stored, ends: Rows, threshold: float) -> tuple[int, Stored, Rows]:
@@ -262,6 +282,8 @@ def _followed(held: Stored, ends: Rows, threshold: float) -> tuple[int, Stored,
     Returns their number, the sub-clusters after them, and the ends of the pairs that may merge then.
     """
     bound, around = threshold * threshold, _Around(held, ends)
+    if around.rows is None:
+        return 0, held, ends
     ids, n, sse, c, near, d2 = around.rows
     n, was = n.astype(float), c
 
@@ -309,7 +331,7 @@ def _followed(held: Stored, ends: Rows, threshold: float) -> tuple[int, Stored,
 
 def rounds_among_few(held: Stored, ends: Rows, threshold: float) -> Stored:
     """The sub-clusters after the rounds that can be followed while few pairs may merge; the same ones where none can."""
-    while 0 < len(ends.ids) <= 2 * FEW_PAIRS and held.extra.nbytes + held.gone.nbytes <= GATHERED_BYTES:
+    while 0 < len(ends.ids) <= min(2 * FEW_PAIRS, FOLLOWED_BYTES // (8 * ends.c.shape[1] + 48) // 16) and held.extra.nbytes + held.gone.nbytes <= GATHERED_BYTES:
         rounds, held, ends = _followed(held, ends, threshold)
         if not rounds:
             break
